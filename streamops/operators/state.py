@@ -105,46 +105,60 @@ def running_top_k(df: DataFrame, k: int = 3, key: str = "id", order: str = "arri
     Running top-k has no built-in window aggregate (a growing ``collect_list``
     frame is quadratic), so:
     1. per (key, chunk) the k largest values (a window bounded by one chunk);
-    2. per key the carry – k largest of all earlier chunks – folded over the
-       chunk table in pandas (one small row per chunk value);
-    3. per (key, chunk) a linear pandas fold seeded with the carry.
+    2. per key the carry – the k largest of all earlier chunks – folded over
+       the small chunk table;
+    3. per (key, chunk) a linear fold seeded with the carry.
+    Steps 2 and 3 run as one pass over hash-partitioned, sorted rows in
+    ``mapInPandas`` (Arrow batches, no per-group pandas frames).
     """
     tops = [f"top{i + 1}" for i in range(k)]
+    carry_cols = [f"_c{i}" for i in range(k)]
+    key_type = df.schema[key].dataType.simpleString()
     d = df.select(key, order, value).withColumn("_chunk", chunk_of(order, width))
     w = Window.partitionBy(key, "_chunk").orderBy(F.col(value).desc(), F.col(order))
-    summ = d.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-
-    key_type = df.schema[key].dataType.simpleString()
-    carry_schema = f"{key} {key_type}, _chunk bigint, " + ", ".join(f"_c{i} int" for i in range(k))
-
-    def carry_fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk", kind="stable")
-        out_rows, top = [], []
-        for ch, g in pdf.groupby("_chunk", sort=True):
-            out_rows.append([pdf[key].iloc[0], ch] + (top + [None] * k)[:k])
-            for v in g[value].tolist():
+    summ = (d.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(w))
+             .where(F.col("_r") <= k).select(key, "_chunk", value))
+
+    def carry_fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cur_key, top, last_chunk = object(), [], None
+        for pdf in batches:
+            keys, chunks, vals = pdf[key].tolist(), pdf["_chunk"].tolist(), pdf[value].tolist()
+            out = []
+            for kk, ch, v in zip(keys, chunks, vals):
+                if kk != cur_key:
+                    cur_key, top, last_chunk = kk, [], None
+                if ch != last_chunk:
+                    out.append([kk, ch] + (top + [None] * k)[:k])
+                    last_chunk = ch
                 top = _top_merge(top, int(v), k)
-        return pd.DataFrame(out_rows, columns=[key, "_chunk"] + [f"_c{i}" for i in range(k)])
+            yield pd.DataFrame(out, columns=[key, "_chunk"] + carry_cols).astype(
+                {c: "Int32" for c in carry_cols})
 
-    carry = summ.select(key, "_chunk", value).groupBy(key).applyInPandas(carry_fold, carry_schema)
-    # every (key, chunk) of the rows appears in the carry table (left join kept for safety)
+    carry = (summ.repartition(key).sortWithinPartitions(key, "_chunk")
+                 .mapInPandas(carry_fold, f"{key} {key_type}, _chunk bigint, "
+                              + ", ".join(f"{c} int" for c in carry_cols)))
+    # chunks without values have no carry row: left join, empty carry
     j = d.join(carry, [key, "_chunk"], "left")
 
-    out_schema = f"{key} {key_type}, {order} bigint, {value} int, " + ", ".join(f"{t} int" for t in tops)
+    def chunk_fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cur, top = object(), []
+        for pdf in batches:
+            keys, chunks, vals = pdf[key].tolist(), pdf["_chunk"].tolist(), pdf[value].tolist()
+            cs = [pdf[c].tolist() for c in carry_cols]
+            res = []
+            for i, (kk, ch, v) in enumerate(zip(keys, chunks, vals)):
+                if (kk, ch) != cur:
+                    cur = (kk, ch)
+                    top = [int(c[i]) for c in cs if c[i] is not None and not pd.isna(c[i])]
+                if v is not None and not pd.isna(v):
+                    top = _top_merge(top, int(v), k)
+                res.append((top + [None] * k)[:k])
+            out = pd.DataFrame(res, columns=tops, dtype="Int32")
+            out.insert(0, value, pdf[value].astype("Int32").to_numpy())
+            out.insert(0, order, pdf[order].to_numpy())
+            out.insert(0, key, pdf[key].to_numpy())
+            yield out
 
-    def chunk_fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        first = pdf.iloc[0]
-        top = [int(first[f"_c{i}"]) for i in range(k) if pd.notna(first[f"_c{i}"])]
-        res = []
-        for v in pdf[value].tolist():
-            if v is not None and not pd.isna(v):
-                top = _top_merge(top, int(v), k)
-            res.append((top + [None] * k)[:k])
-        out = pd.DataFrame(res, columns=tops, dtype="Int32")
-        out.insert(0, value, pdf[value].astype("Int32").to_numpy())
-        out.insert(0, order, pdf[order].to_numpy())
-        out.insert(0, key, pdf[key].to_numpy())
-        return out
-
-    return j.groupBy(key, "_chunk").applyInPandas(chunk_fold, out_schema).select(order, key, value, *tops)
+    out_schema = f"{key} {key_type}, {order} bigint, {value} int, " + ", ".join(f"{t} int" for t in tops)
+    return (j.repartition(key, "_chunk").sortWithinPartitions(key, "_chunk", order)
+             .mapInPandas(chunk_fold, out_schema).select(order, key, value, *tops))

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KINDS = ("sum", "count", "max", "min", "first", "last", "last_nonnull")
 
@@ -48,6 +49,21 @@ class Agg:
             raise ValueError(f"unknown scan kind {self.kind!r}")
 
 
+def _default(t: T.DataType) -> Column:
+    """A non-null placeholder of type ``t`` (only used next to an is-null flag)."""
+    if isinstance(t, T.StringType):
+        return F.lit("")
+    if isinstance(t, T.BooleanType):
+        return F.lit(False)
+    if isinstance(t, (T.NumericType,)):
+        return F.lit(0).cast(t)
+    if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(0).cast("timestamp").cast(t)
+    if isinstance(t, T.BinaryType):
+        return F.lit(b"").cast(t)
+    raise TypeError(f"unsupported scan key type {t.simpleString()}")
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -60,8 +76,20 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
     order_by      order columns, unique within a key
     chunk         BIGINT expression, non-decreasing along ``order_by``
     """
-    pk = F.struct(*[F.col(c) for c in partition_by]) if partition_by else F.lit(0)
-    d = df.withColumn("_pk", pk).withColumn("_chunk", chunk)
+    d = df.withColumn("_chunk", chunk)
+    # Plain, null-safe surrogate key columns: coalesce(k, default) plus an
+    # is-null flag for nullable keys.  Plain atomic columns keep sort prefixes
+    # and hash partitioning cheap, and an inner equi-join on them keeps NULL
+    # keys (which a join on the raw key would drop).
+    pcols = ["_chunk"]
+    for i, k in enumerate(partition_by):
+        f = df.schema[k]
+        d = d.withColumn(f"_k{i}", F.coalesce(F.col(k), _default(f.dataType)))
+        pcols.append(f"_k{i}")
+        if f.nullable:
+            d = d.withColumn(f"_n{i}", F.col(k).isNull())
+            pcols.append(f"_n{i}")
+    kcols = pcols[1:]
     for i, a in enumerate(aggs):
         d = d.withColumn(f"_x{i}", a.expr)
 
@@ -87,12 +115,12 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
         else:  # last_nonnull
             t = F.max_by(x, F.when(x.isNotNull(), ord_struct))
         tot.append(t.alias(f"_t{i}"))
-    chunks = d.groupBy("_pk", "_chunk").agg(*tot)
+    chunks = d.groupBy(*pcols).agg(*tot)
 
     # 2. carry over earlier chunks of the same key
-    wk = Window.partitionBy("_pk").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = [F.col("_pk").alias("_cpk"), F.col("_chunk").alias("_cchunk"),
-             F.sum("_n").over(wk).alias("_cn")]
+    wk = (Window.partitionBy(*kcols) if kcols else Window.partitionBy()).orderBy("_chunk") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    carry = [F.col(c).alias(f"_c{c}") for c in pcols] + [F.sum("_n").over(wk).alias("_cn")]
     for i, a in enumerate(aggs):
         t = F.col(f"_t{i}")
         if a.kind in ("sum", "count"):
@@ -111,8 +139,12 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
     carry_df = chunks.select(*carry)
 
     # 3. rows joined to their chunk's carry, then the in-chunk window
-    j = d.join(carry_df, (d["_pk"] == carry_df["_cpk"]) & (d["_chunk"] == carry_df["_cchunk"]))
-    wc = Window.partitionBy("_pk", "_chunk").orderBy(*ordc)
+    cond = None
+    for c in pcols:
+        e = d[c] == carry_df[f"_c{c}"]
+        cond = e if cond is None else cond & e
+    j = d.join(carry_df, cond)
+    wc = Window.partitionBy(*pcols).orderBy(*ordc)
     incl = wc.rowsBetween(Window.unboundedPreceding, 0)
     excl = wc.rowsBetween(Window.unboundedPreceding, -1)
     out = j
@@ -144,7 +176,7 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
         else:
             v = F.coalesce(F.last(x, ignorenulls=True).over(fr), c)
         out = out.withColumn(a.name, v)
-    drop = ["_pk", "_chunk", "_cpk", "_cchunk", "_cn"] + \
+    drop = pcols + [f"_c{c}" for c in pcols] + ["_cn"] + \
         [f"_x{i}" for i in range(len(aggs))] + [f"_c{i}" for i in range(len(aggs))]
     return out.drop(*drop)
 

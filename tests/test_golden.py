@@ -1,0 +1,174 @@
+"""Golden results on the reference programs' literal inputs."""
+
+from pyspark.sql import functions as F
+
+from streamops.functions.parse import parse_sensor_lines
+from streamops.functions.tokenize import tokenize_lines
+from streamops.operators import joins, partition, rolling, transform, windows
+from streamops.sources.generator import generate
+from streamops.streaming import sinks
+
+SENSOR_SCHEMA = "id string, ts_ms bigint, vc int, arrival bigint"
+
+
+def sensors(spark, rows):
+    """rows of (id, ts seconds, vc) in arrival order; time becomes ms."""
+    return spark.createDataFrame([(i, t * 1000, v, n) for n, (i, t, v) in enumerate(rows)], SENSOR_SCHEMA)
+
+
+G2 = [("s1", 1, 1), ("s1", 11, 11), ("s2", 2, 2), ("s3", 3, 3)]
+
+
+def rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_g1_wordcount(spark):
+    lines = spark.createDataFrame([(1, "hello flink"), (2, "hello world"), (3, "hello java")], "line_no long, value string")
+    toks = tokenize_lines(lines, keep=["line_no"])
+    assert rows(rolling.wordcount(toks), "word", "cnt") == [("flink", 1), ("hello", 3), ("java", 1), ("world", 1)]
+    run = rolling.running_count(toks, ["word"], ["line_no", "word_pos"], "line_no", width=1)
+    assert [r["cnt"] for r in run.where("word = 'hello'").orderBy("line_no").collect()] == [1, 2, 3]
+
+
+def test_tokenizer_java_split_rules(spark):
+    lines = spark.createDataFrame([(1, ""), (2, "   "), (3, " a  b  "), (4, "x")], "n long, value string")
+    got = {}
+    for r in tokenize_lines(lines, keep=["n"]).collect():
+        got.setdefault(r["n"], []).append((r["word_pos"], r["word"]))
+    assert got[1] == [(1, "")]
+    assert 2 not in got
+    assert sorted(got[3]) == [(1, ""), (2, "a"), (3, ""), (4, "b")]
+    assert got[4] == [(1, "x")]
+
+
+def test_g2_rolling(spark):
+    df = sensors(spark, G2)
+    s1 = lambda d: [(r["id"], r["ts_ms"] // 1000, r["vc"]) for r in d.where("id = 's1'").orderBy("arrival").collect()]
+    assert s1(rolling.rolling_sum(df, width=1)) == [("s1", 1, 1), ("s1", 1, 12)]
+    assert s1(rolling.rolling_max(df, width=1)) == [("s1", 1, 1), ("s1", 1, 11)]
+    assert s1(rolling.rolling_max_by(df, width=1)) == [("s1", 1, 1), ("s1", 11, 11)]
+    others = rows(rolling.rolling_sum(df).where("id <> 's1'"), "id", "ts_ms", "vc")
+    assert others == [("s2", 2000, 2), ("s3", 3000, 3)]
+
+
+def test_max_by_keeps_earliest_on_tie(spark):
+    df = sensors(spark, [("s1", 1, 5), ("s1", 2, 5), ("s1", 3, 4)])
+    got = [r["ts_ms"] for r in rolling.rolling_max_by(df, width=2).orderBy("arrival").collect()]
+    assert got == [1000, 1000, 1000]
+    got = [r["ts_ms"] for r in rolling.rolling_max_by(df, use_min=True, width=2).orderBy("arrival").collect()]
+    assert got == [1000, 1000, 3000]
+
+
+def test_g3_reduce(spark):
+    df = sensors(spark, [("s1", 1, 1), ("s1", 11, 11), ("s1", 21, 21), ("s2", 2, 2), ("s3", 3, 3)])
+    got = rows(rolling.rolling_reduce(df, width=2), "id", "ts_ms", "vc")
+    assert got == [("s1", 1000, 1), ("s1", 11000, 12), ("s1", 21000, 33), ("s2", 2000, 2), ("s3", 3000, 3)]
+
+
+def test_g4_transforms(spark):
+    df = sensors(spark, G2)
+    assert [r["id"] for r in transform.map_project(df, ["arrival", "id"]).orderBy("arrival").collect()] == ["s1", "s1", "s2", "s3"]
+    assert transform.filter_eq(df, "id", "s1").count() == 2
+    fm = transform.flatmap_by_key(df, "id", {"s1": ["vc"], "s2": ["ts_ms", "vc"]}, keep=["arrival"])
+    assert [r["value"] for r in fm.orderBy("arrival", "out_pos").collect()] == [1, 11, 2000, 2]
+
+
+def test_filter_null_never_matches(spark):
+    df = spark.createDataFrame([(None, 1), ("s1", 2)], "id string, vc int")
+    assert transform.filter_eq(df, "id", "s1").count() == 1
+
+
+def test_g5_split_and_custom_partition(spark):
+    df = spark.createDataFrame([("123",), ("456",), ("789",), ("111",), ("-3",)], "value string") \
+        .withColumn("n", F.col("value").cast("int"))
+    even, odd = transform.split_even_odd(df, "n")
+    assert rows(even, "value") == [("456",)]
+    assert rows(odd, "value") == [("111",), ("123",), ("789",)]  # -3 is in neither
+    placed = partition.with_partition_id(partition.custom_partition(df, "value", 2))
+    assert dict(rows(placed, "value", "pid")) == {"123": 1, "456": 0, "789": 1, "111": 1, "-3": 1}
+
+
+def test_g6_routing(spark):
+    df = sensors(spark, G2)
+    out = transform.route_outputs(df, "id", {"s1": "tag1", "s2": "tag2"})
+    assert rows(out["main"], "id") == [("s3",)]
+    assert out["tag1"].count() == 2 and out["tag2"].count() == 1
+    main, alarm = transform.alarm_split(df, "vc", 10)
+    assert main.count() == 4 and rows(alarm, "vc") == [(11,)]
+
+
+def _g7(spark):
+    left = spark.createDataFrame([("a", 1000, 0), ("a", 2000, 1), ("b", 3000, 2), ("c", 4000, 3)],
+                                 "id string, ts_ms bigint, arrival bigint")
+    right = spark.createDataFrame([("a", 1000, 1, 0), ("a", 11000, 11, 1), ("b", 2000, 2, 2),
+                                   ("b", 12000, 12, 3), ("c", 14000, 14, 4), ("d", 15000, 15, 5)],
+                                  "id string, ts_ms bigint, vc int, arrival bigint")
+    return left, right
+
+
+def test_g7_window_and_interval_join(spark):
+    left, right = _g7(spark)
+    want = [("a", 1000, 1000), ("a", 2000, 1000), ("b", 3000, 2000)]
+    assert rows(joins.window_join(left, right, 10_000), "id", "l_ts_ms", "r_ts_ms") == want
+    assert rows(joins.interval_join(left, right, -2000, 2000), "id", "l_ts_ms", "r_ts_ms") == want
+    assert rows(joins.interval_join_bucketed(left, right, -2000, 2000), "id", "l_ts_ms", "r_ts_ms") == want
+
+
+def test_interval_join_bounds_inclusive(spark):
+    left = spark.createDataFrame([("k", 10_000, 0)], "id string, ts_ms bigint, arrival bigint")
+    right = spark.createDataFrame([("k", t, 0, i) for i, t in enumerate([7999, 8000, 12000, 12001])],
+                                  "id string, ts_ms bigint, vc int, arrival bigint")
+    for f in (joins.interval_join, joins.interval_join_bucketed):
+        assert rows(f(left, right, -2000, 2000), "r_ts_ms") == [(8000,), (12000,)]
+
+
+def test_g8_connect(spark):
+    a = spark.createDataFrame([(1, "a1"), (1, "a2"), (2, "b"), (3, "c")], "id int, arrival string")
+    b = spark.createDataFrame([(1, "aa1", 1), (1, "aa2", 2), (2, "bb", 1), (3, "cc", 1)], "id int, arrival string, n int")
+    assert joins.connect_join(a, b).count() == 6
+
+
+def test_g9_rich_map(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (4,)], "x int")
+    assert rows(transform.map_increment(df, "x"), "value") == [(2,), (3,), (4,), (5,)]
+    opened = []
+    out = transform.with_task_lifecycle(
+        df, setup=lambda: {"n": 0}, row_fn=lambda st, pdf: pdf.assign(x=pdf.x + 1),
+        teardown=lambda st: None, schema="x int")
+    assert rows(out, "x") == [(2,), (3,), (4,), (5,)]
+    del opened
+
+
+def test_g10_tumbling(spark):
+    df = sensors(spark, G2)
+    got = rows(windows.tumbling_agg(df, 10_000), "id", "w_start", "w_end", "cnt")
+    assert got == [("s1", 0, 10000, 1), ("s1", 10000, 20000, 1), ("s2", 0, 10000, 1), ("s3", 0, 10000, 1)]
+
+
+def test_g11_generator(spark):
+    g = generate(spark, 100, parts=3)
+    vals = [r["value"] for r in g.orderBy("i").collect()]
+    assert vals[0] == "Number:0" and vals[-1] == "Number:99" and len(vals) == 100
+
+
+def test_g12_kafka_lines_and_quarantine(spark):
+    lines = spark.createDataFrame([("s1,1L,1",), ("s1,11L,1",), ("s2,2L,2",)], "value string")
+    assert [r["key"] for r in sinks.kafka_keyed_rows(lines, "t").collect()] == ["s1", "s1", "s2"]
+    ok, bad = parse_sensor_lines(lines)
+    assert ok.count() == 0
+    assert rows(bad, "reason") == [("bad_ts",)] * 3
+
+
+def test_parse_rules(spark):
+    cases = {
+        "s1,1,2": ("s1", 1, 2), ",1,2": ("", 1, 2), "s1,+1,-2,extra": ("s1", 1, -2),
+        "s1,1,2,,": ("s1", 1, 2), "s1,1,": "missing_fields", "s1,1": "missing_fields",
+        "": "missing_fields", ",,,": "missing_fields", "s1, 1,2": "bad_ts", "s1,,2": "bad_ts",
+        "s1,1,2147483648": "bad_vc", "s1,9223372036854775808,1": "bad_ts", "s1,1,x": "bad_vc",
+    }
+    lines = spark.createDataFrame([(k,) for k in cases], "value string")
+    ok, bad = parse_sensor_lines(lines, keep=["value"])
+    got = {r["value"]: (r["id"], r["ts"], r["vc"]) for r in ok.collect()}
+    got.update({r["value"]: r["reason"] for r in bad.collect()})
+    assert got == cases
