@@ -26,15 +26,19 @@ ON_TIME, ALLOWED, CLOSED = "on_time", "allowed", "closed"
 
 def watermark_trace(df: DataFrame, delay_ms: int, time: str = "ts_ms",
                     arrival: tuple[str, ...] = ("arr_ms", "arrival"),
-                    chunk_width: int = 6 * 3600 * 1000) -> DataFrame:
+                    chunk_width: int = 6 * 3600 * 1000,
+                    initial_max: int | None = None) -> DataFrame:
     """Adds ``wm_before`` / ``wm_after``: the watermark just before and just
     after each row (NULL = no watermark yet).  ``arrival[0]`` is the chunked
-    order column (non-decreasing along the arrival order)."""
+    order column (non-decreasing along the arrival order).  ``initial_max`` is
+    the max event time of everything that arrived earlier (the streaming
+    carry)."""
     s = prefix_scan(df, [], list(arrival), chunk_of(arrival[0], chunk_width),
                     [Agg("_mx_b", "max", F.col(time), inclusive=False),
                      Agg("_mx_a", "max", F.col(time), inclusive=True)])
-    return (s.withColumn("wm_before", F.col("_mx_b") - F.lit(delay_ms + 1))
-             .withColumn("wm_after", F.col("_mx_a") - F.lit(delay_ms + 1))
+    init = F.lit(initial_max).cast("bigint")
+    return (s.withColumn("wm_before", F.greatest(F.col("_mx_b"), init) - F.lit(delay_ms + 1))
+             .withColumn("wm_after", F.greatest(F.col("_mx_a"), init) - F.lit(delay_ms + 1))
              .drop("_mx_b", "_mx_a"))
 
 
