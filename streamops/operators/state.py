@@ -67,12 +67,15 @@ def ttl_state(df: DataFrame, ttl_ms: int, key: str = "id", order: str = "arrival
     """
     s = prefix_scan(df, [key], [order], chunk_of(order, width),
                     [Agg("_pt", "last", F.col(time), inclusive=False)])
-    brk = F.when(F.col("_pt").isNull() | (F.col(time) - F.col("_pt") >= ttl_ms), 1).otherwise(0)
-    s = s.withColumn("_brk", brk)
-    s = prefix_scan(s, [key], [order], chunk_of(order, width), [Agg("_island", "sum", F.col("_brk"))])
-    s = prefix_scan(s, [key, "_island"], [order], chunk_of(order, width),
-                    [Agg("state", "last_nonnull",
-                         F.when(F.col(value) > write_above, F.col(value)), inclusive=False)])
+    brk = F.col("_pt").isNull() | (F.col(time) - F.col("_pt") >= ttl_ms)
+    # one more scan carries both the start of the current island and the
+    # last write before this row; a write from an earlier island is expired
+    s = prefix_scan(s, [key], [order], chunk_of(order, width),
+                    [Agg("_start", "last_nonnull", F.when(brk, F.col(order))),
+                     Agg("_w", "last_nonnull", F.when(F.col(value) > write_above,
+                                                      F.struct(F.col(order).alias("o"), F.col(value).alias("v"))),
+                         inclusive=False)])
+    s = s.withColumn("state", F.when(F.col("_w.o") >= F.col("_start"), F.col("_w.v")))
     return s.select(order, key, time, value, "state")
 
 

@@ -133,3 +133,7 @@ def count_window_sliding(df: DataFrame, size: int, slide: int, key: str = "id",
     return j.select(key, F.col("_rn").alias("pos"), "fire_arrival",
                     F.least(F.col("_rn"), F.lit(size)).alias("cnt"),
                     (F.col("_s") - F.coalesce(F.col("_bs"), F.lit(0))).alias("sum_vc"))
+
+
+# legacy full-window apply (W13) has the same output as the process function
+window_apply = window_process

@@ -71,3 +71,32 @@ def connect_join_stream(left: DataFrame, right: DataFrame, key: str = "id") -> D
     l = left.select(F.col(key), F.col("arrival").alias("l_arrival"))
     r = right.select(F.col(key), F.col("arrival").alias("r_arrival"))
     return l.join(r, key)
+
+
+def processing_time_counts(stream: DataFrame, kind: str, size_ms: int, slide_ms: int | None = None,
+                           key: str = "id") -> DataFrame:
+    """Processing-time windows (W1 tumbling, W2 sliding, W3 session) over the
+    wall clock of each micro-batch; results depend on timing (rows-only)."""
+    s = stream.withColumn("proc_time", F.current_timestamp())
+    if kind == "tumbling":
+        w = F.window("proc_time", _ms(size_ms))
+    elif kind == "sliding":
+        w = F.window("proc_time", _ms(size_ms), _ms(slide_ms))
+    elif kind == "session":
+        w = F.session_window("proc_time", _ms(size_ms))
+    else:
+        raise ValueError(kind)
+    return s.groupBy(key, w.alias("w")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def window_join_stream(left: DataFrame, right: DataFrame, size_ms: int, delay_ms: int = 0,
+                       key: str = "id", time_col: str = "event_time") -> DataFrame:
+    """Stream-stream window join (J1): equal key and equal tumbling window."""
+    def side(df, p):
+        w = F.window(time_col, _ms(size_ms))
+        return (df.withWatermark(time_col, _ms(delay_ms))
+                  .select(F.col(key).alias(f"{p}_id"), F.col("arrival").alias(f"{p}_arrival"),
+                          F.col(time_col).alias(f"{p}_t"), w.alias(f"{p}_w")))
+    l, r = side(left, "l"), side(right, "r")
+    return l.join(r, (F.col("l_id") == F.col("r_id")) & (F.col("l_w") == F.col("r_w"))).select(
+        F.col("l_id").alias(key), F.unix_millis("l_w.start").alias("w_start"), "l_arrival", "r_arrival")
