@@ -94,7 +94,9 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
         d = d.withColumn(f"_x{i}", a.expr)
 
     ordc = _cols(order_by)
-    ord_struct = F.struct(*ordc)
+    # a single order column orders min_by/max_by directly: primitive buffers
+    # keep the chunk totals in a hash aggregate (a struct forces a sort-based one)
+    ord_struct = ordc[0] if len(ordc) == 1 else F.struct(*ordc)
 
     # 1. chunk totals
     tot = [F.count(F.lit(1)).alias("_n")]
