@@ -65,3 +65,24 @@ def classify_batches(carry_root: str, delay_ms: int, size_ms: int, lateness_ms:
         batch.unpersist()
 
     return run
+
+
+def routed_rows_sink(path: str):
+    """Sink for ``classify_batches``: append every classified row to a parquet
+    folder (closed rows included, tagged), the input of ``window_updates``."""
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(path)
+
+    return sink
+
+
+def window_updates(spark, routed_path: str, schema: str, key: str = "id", value: str = "vc") -> DataFrame:
+    """Second stage: a stream over the routed rows; on-time and allowed-late
+    rows update their window's count and sum (update output mode, one update
+    per window per micro-batch).  Closed rows go nowhere: they are the side
+    output.  The last update of a window equals its final batch firing."""
+    routed = spark.readStream.schema(schema).parquet(routed_path)
+    return (routed.where(F.col("lateness") != lateness.CLOSED)
+                  .groupBy(key, "w_start", "w_end")
+                  .agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).cast("bigint").alias("sum_vc")))

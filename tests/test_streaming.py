@@ -156,3 +156,23 @@ def test_router_and_file_sink(spark):
     q.processAllAvailable()
     q.stop()
     assert sinks.read_text_by_hour(spark, path).count() == b.count()
+
+
+def test_allowed_lateness_updates_reach_final_firing(spark, tmp_path):
+    src, _ = split_events("/root/testdata/sf0.01", 5, jitter=True)
+    routed = str(tmp_path / "routed")
+    q = (with_jitter(events_stream(spark, src)).writeStream
+         .foreachBatch(SL.classify_batches(str(tmp_path / "carry"), 30 * 60_000, 3_600_000, 20 * 60_000,
+                                           SL.routed_rows_sink(routed)))
+         .option("checkpointLocation", str(tmp_path / "ck1")).start())
+    q.processAllAvailable()
+    q.stop()
+    schema = spark.read.parquet(routed).schema
+    upd = run_to_memory(SL.window_updates(spark, routed, schema), mode="update",
+                        checkpoint=str(tmp_path / "ck2"))
+    got = as_set(upd.groupBy("id", "w_start").agg(F.max("cnt").alias("cnt"), F.max("sum_vc").alias("sum_vc")),
+                 ["id", "w_start", "cnt", "sum_vc"])
+    batch = lateness.window_firings(lateness.classify_tumbling(lateness.watermark_trace(
+        with_jitter(sensor(spark, "/root/testdata/sf0.01")), 30 * 60_000), 3_600_000, 20 * 60_000))
+    final = batch.groupBy("id", "w_start").agg(F.max("cnt").alias("cnt"), F.max("sum_vc").alias("sum_vc"))
+    assert got == as_set(final, ["id", "w_start", "cnt", "sum_vc"])

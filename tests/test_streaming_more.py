@@ -116,3 +116,21 @@ def test_custom_foreach_sink_and_console(spark):
     q = sinks.console(events_stream(spark, src).select("id"), "sensors", tempfile.mkdtemp(prefix="streamops-ck-"))
     q.processAllAvailable()
     q.stop()
+
+
+def test_threshold_join_stream_matches_batch(spark, tmp_path):
+    from streamops.operators.joins import asof_threshold
+    from streamops.streaming.asof import threshold_batches
+    src, _ = split_events(SF001, 4)
+    b = sensor(spark, SF001)
+    config = b.where("event_type = 'signup'").withColumnRenamed("vc", "threshold")
+    out = str(tmp_path / "alerts")
+    data = events_stream(spark, src).where("event_type <> 'signup'")
+    q = (data.writeStream.foreachBatch(threshold_batches(
+            config, lambda df, bid: df.write.mode("append").parquet(out)))
+         .option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.processAllAvailable()
+    q.stop()
+    want = asof_threshold(b.where("event_type <> 'signup'"), config)
+    cols = ["arrival", "id", "vc", "threshold"]
+    assert as_set(spark.read.parquet(out), cols) == as_set(want, cols)
