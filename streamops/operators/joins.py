@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamops.operators.windows import assign_tumbling
-from streamops.plans.scan import Agg, chunk_of, prefix_scan
+from streamops.plans.scan import GLOBAL_CHUNK, Agg, chunk_of, prefix_scan
 
 
 def broadcast_if_small(spark, df: DataFrame, max_rows: int) -> DataFrame:
@@ -92,7 +92,7 @@ def connect_join(left: DataFrame, right: DataFrame, key: str = "id",
 
 def asof_threshold(data: DataFrame, config: DataFrame, order: str = "arrival",
                    value: str = "vc", threshold_col: str = "threshold",
-                   default: int = 0, width: int = 1 << 16,
+                   default: int = 0, width: int = GLOBAL_CHUNK,
                    keep=("id",)) -> DataFrame:
     """Broadcast-state join: each data row is compared with the latest config
     value that arrived before it (``default`` before any), and kept when its

@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamops.operators.windows import assign_tumbling
-from streamops.plans.scan import Agg, chunk_of, prefix_scan
+from streamops.plans.scan import TIME_CHUNK_MS, Agg, chunk_of, prefix_scan
 
 ON_TIME, ALLOWED, CLOSED = "on_time", "allowed", "closed"
 
 
 def watermark_trace(df: DataFrame, delay_ms: int, time: str = "ts_ms",
                     arrival: tuple[str, ...] = ("arr_ms", "arrival"),
-                    chunk_width: int = 6 * 3600 * 1000,
+                    chunk_width: int = TIME_CHUNK_MS,
                     initial_max: int | None = None) -> DataFrame:
     """Adds ``wm_before`` / ``wm_after``: the watermark just before and just
     after each row (NULL = no watermark yet).  ``arrival[0]`` is the chunked
@@ -57,7 +57,7 @@ def classify_tumbling(traced: DataFrame, size_ms: int, lateness_ms: int, time: s
 
 def window_firings(classified: DataFrame, key: str = "id", value: str = "vc",
                    arrival: tuple[str, ...] = ("arr_ms", "arrival"),
-                   chunk_width: int = 6 * 3600 * 1000) -> DataFrame:
+                   chunk_width: int = TIME_CHUNK_MS) -> DataFrame:
     """Changelog of window results with allowed lateness.
 
     Firing 0 holds the on-time rows (if any).  Every allowed-late row re-fires
@@ -82,7 +82,7 @@ def window_firings(classified: DataFrame, key: str = "id", value: str = "vc",
 
 def periodic_watermark(df: DataFrame, every: int, delay_ms: int, time: str = "ts_ms",
                        arrival: tuple[str, ...] = ("arr_ms", "arrival"),
-                       chunk_width: int = 6 * 3600 * 1000, epoch_chunk: int = 1 << 16) -> DataFrame:
+                       chunk_width: int = TIME_CHUNK_MS, epoch_chunk: int = 1 << 20) -> DataFrame:
     """A generator that emits the watermark once per ``every`` arrivals: a row
     sees the watermark of the last completed epoch (NULL in the first).
 

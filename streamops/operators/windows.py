@@ -8,10 +8,10 @@ with partial aggregation, so a hot key or hot window is combined map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import Agg, chunk_of, prefix_scan
+from streamops.plans.scan import DEFAULT_CHUNK, TIME_CHUNK_MS, Agg, chunk_of, prefix_scan
 
 
 def assign_tumbling(df: DataFrame, size_ms: int, time: str = "ts_ms") -> DataFrame:
@@ -79,22 +79,34 @@ def global_window(df, key="id", value="vc"):
 
 
 def session_agg(df: DataFrame, gap_ms: int, key: str = "id", time: str = "ts_ms",
-                order: str = "arrival", value: str = "vc", chunk_ms: int = 1 << 32) -> DataFrame:
+                order: str = "arrival", value: str = "vc") -> DataFrame:
     """Event-time sessions: a row spans ``[t, t + gap)`` and touching spans
     merge, i.e. a new session starts when the gap to the key's previous row
     (in time order) is larger than ``gap_ms``.
 
-    Gaps and session numbers are two chunked prefix scans over (key, time
-    chunk), so a key that is always active is still split across tasks.
+    Two rows in the same ``gap_ms``-wide time bucket are less than a gap
+    apart, so a session boundary never falls inside a bucket.  Rows are
+    therefore first pre-aggregated per (key, bucket) – a hash aggregate with
+    map-side combine – and the gap-and-island scan runs over that bucket
+    table (at most range / gap rows per key), never over raw rows.  A hot key
+    is reduced before any per-key ordering happens.  ``order`` is unused: rows
+    with equal times fall in one bucket.
     """
-    ordc = [time, order]
-    s = prefix_scan(df, [key], ordc, chunk_of(time, chunk_ms),
-                    [Agg("_pt", "last", F.col(time), inclusive=False)])
-    s = s.withColumn("_new", F.when(F.col("_pt").isNull() | (F.col(time) - F.col("_pt") > gap_ms), 1).otherwise(0))
-    s = prefix_scan(s, [key], ordc, chunk_of(time, chunk_ms), [Agg("_sess", "sum", F.col("_new"))])
+    if gap_ms <= 0:
+        raise ValueError("gap_ms must be positive")
+    b = (df.withColumn("_b", chunk_of(time, gap_ms)).groupBy(key, "_b")
+           .agg(F.min(time).alias("_mn"), F.max(time).alias("_mx"),
+                F.count(F.lit(1)).alias("_cnt"), F.sum(value).cast("bigint").alias("_sum")))
+    # The bucket table has at most (time range / gap) rows per key whatever
+    # the data volume, so one ordered window per key over it is bounded; lag
+    # and the running session number share its single sort.
+    w = Window.partitionBy(key).orderBy("_b")
+    pmx = F.lag("_mx").over(w)
+    s = b.withColumn("_new", F.when(pmx.isNull() | (F.col("_mn") - pmx > gap_ms), 1).otherwise(0))
+    s = s.withColumn("_sess", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return s.groupBy(key, "_sess").agg(
-        F.min(time).alias("s_start"), (F.max(time) + F.lit(gap_ms)).alias("s_end"),
-        *count_sum(value)).drop("_sess")
+        F.min("_mn").alias("s_start"), (F.max("_mx") + F.lit(gap_ms)).alias("s_end"),
+        F.sum("_cnt").alias("cnt"), F.sum("_sum").cast("bigint").alias("sum_vc")).drop("_sess")
 
 
 def session_agg_native(df: DataFrame, gap_ms: int, key: str = "id", time_col: str = "event_time",
@@ -106,7 +118,7 @@ def session_agg_native(df: DataFrame, gap_ms: int, key: str = "id", time_col: st
 
 
 def count_window_tumbling(df: DataFrame, size: int, key: str = "id", order: str = "arrival",
-                          value: str = "vc", width: int = 1 << 16) -> DataFrame:
+                          value: str = "vc", width: int = DEFAULT_CHUNK) -> DataFrame:
     """countWindow(size): consecutive groups of ``size`` rows per key; an
     incomplete tail never fires."""
     s = prefix_scan(df, [key], [order], chunk_of(order, width), [Agg("_rn", "count", F.lit(1))])
@@ -118,7 +130,7 @@ def count_window_tumbling(df: DataFrame, size: int, key: str = "id", order: str
 
 
 def count_window_sliding(df: DataFrame, size: int, slide: int, key: str = "id",
-                         order: str = "arrival", value: str = "vc", width: int = 1 << 16) -> DataFrame:
+                         order: str = "arrival", value: str = "vc", width: int = DEFAULT_CHUNK) -> DataFrame:
     """countWindow(size, slide): fires after every ``slide``-th row of a key,
     over its last (up to) ``size`` rows.
 

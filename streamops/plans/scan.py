@@ -193,7 +193,16 @@ def chunk_of(col: str, width: int) -> Column:
     return floor_div(f"`{col}`", width)
 
 
-# Default chunk width in arrival units.  A task then holds at most this many
-# rows of one key; the chunk table has at most (arrival range / width) rows
-# per key.
+# Chunk widths.  A task holds at most one chunk of one key; the chunk table
+# holds at most (order range / width) rows per key, and at most one row per
+# input row.
+#
+# Keyed scans in arrival units: at most 4M rows of a key per task.
 DEFAULT_CHUNK = 1 << 22
+# Scans over one global order (no key) in arrival units: 1M rows per task, and
+# a single-partition carry window over range / 1M chunk rows.
+GLOBAL_CHUNK = 1 << 20
+# Scans ordered by event or arrival *time* (ms): one minute.  At ~4e5 rows/s
+# (100 TB of readings over a month) that is ~2e7 rows per task, and 43,200
+# chunk rows per key per month.
+TIME_CHUNK_MS = 60_000
