@@ -113,8 +113,9 @@ def event_timer_first_fire(df: DataFrame, timer_ms: int, delay_ms: int, key: str
     """
     cross = df.where(F.col(time) >= F.lit(timer_ms + delay_ms + 1)).agg(F.min(arrival)).scalar()
     first = df.groupBy(key).agg(F.min(arrival).alias("first_arrival"))
-    # greatest(first, cross) written with one reference to the subquery, and
-    # NULL when it is NULL
-    first_a = F.col("first_arrival")
-    return first.select(key, F.lit(timer_ms).cast("bigint").alias("timer_ms"),
-                        (first_a + F.greatest(cross - first_a, F.lit(0))).cast("bigint").alias("fired_at"))
+    # the subquery is bound to a column once, then used twice
+    x = F.col("_cross")
+    return (first.withColumn("_cross", cross)
+                 .select(key, F.lit(timer_ms).cast("bigint").alias("timer_ms"),
+                         F.when(x.isNotNull(), F.greatest(F.col("first_arrival"), x))
+                          .cast("bigint").alias("fired_at")))
