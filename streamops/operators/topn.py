@@ -28,22 +28,22 @@ def topn_all_window(df: DataFrame, n: int, size_ms: int, slide_ms: int,
 
 
 def topn_keyed(df: DataFrame, n: int, size_ms: int, slide_ms: int,
-               time: str = "ts_ms", value: str = "vc") -> DataFrame:
+               time: str = "ts_ms", value: str = "vc", shards: int = 64) -> DataFrame:
     """Two stages as in the keyed form: (1) keyed by value, a sliding-window
-    count; (2) keyed by window, pick the best entry N times.  Each pick is a
-    plain ``max`` aggregate (bounded state, partial aggregation) followed by
-    an anti join that removes the winner – no per-window list is built."""
-    remaining = _counts(df, size_ms, slide_ms, time, value)
-    picks = []
-    for r in range(1, n + 1):
-        best = remaining.groupBy("w_start", "w_end").agg(
-            F.max(F.struct(F.col("cnt"), (-F.col(value)).alias("nv"))).alias("b"))
-        win = best.select("w_start", "w_end", F.lit(r).cast("bigint").alias("rank"),
-                          (-F.col("b.nv")).alias(value), F.col("b.cnt").alias("cnt"))
-        picks.append(win)
-        if r < n:
-            remaining = remaining.join(win.select("w_start", value), ["w_start", value], "left_anti")
-    out = picks[0]
-    for p in picks[1:]:
-        out = out.unionByName(p)
-    return out
+    count; (2) keyed by window, the top ``n``.
+
+    Stage 2 is a two-level top-N: first the top ``n`` inside each
+    (window, hash shard of the value) – a rank window bounded by one shard's
+    values – then a merge of at most ``shards * n`` candidates per window,
+    collected and sorted.  One pass over the input, and no collection grows
+    with the data.
+    """
+    c = _counts(df, size_ms, slide_ms, time, value)
+    w1 = Window.partitionBy("w_start", "_shard").orderBy(F.col("cnt").desc(), F.col(value).asc())
+    cand = (c.withColumn("_shard", F.pmod(F.hash(F.col(value)), F.lit(shards)))
+             .withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n))
+    best = cand.groupBy("w_start", "w_end").agg(F.slice(F.array_sort(F.collect_list(
+        F.struct((-F.col("cnt")).alias("nc"), F.col(value).alias("v")))), 1, n).alias("top"))
+    return best.select("w_start", "w_end", F.posexplode("top").alias("p", "e")).select(
+        "w_start", "w_end", (F.col("p") + 1).cast("bigint").alias("rank"),
+        F.col("e.v").alias(value), (-F.col("e.nc")).alias("cnt"))
