@@ -86,8 +86,8 @@ def test_kafka_shaping_and_text_source(spark, tmp_path):
     o = SS.kafka_options("b:9092", "t", group_id="g", starting="earliest")
     assert o["subscribe"] == "t" and o["startingOffsets"] == "earliest" and o["kafka.group.id"] == "g"
     p = tmp_path / "words.txt"
-    p.write_text("hello flink\nhello world\nhello java\n")
-    assert [r["value"] for r in read_lines(spark, str(p)).collect()] == ["hello flink", "hello world", "hello java"]
+    p.write_text("hello spark\nhello world\nhello java\n")
+    assert [r["value"] for r in read_lines(spark, str(p)).collect()] == ["hello spark", "hello world", "hello java"]
     st = run_to_memory(SS.text_stream(spark, str(tmp_path), max_files_per_trigger=1))
     assert st.count() == 3
 
