@@ -22,13 +22,37 @@ BASE_CONF = {
 }
 
 
+# Settings for the 100 TB target (about 1000 executors).  A full shuffle of
+# 100 TB at ~256 MB per reducer needs ~400k reducers; start at 100k and let
+# AQE coalesce small ones and split skewed ones.  Scan splits of 512 MB keep
+# ~200k map tasks.  Decommissioning migrates shuffle and cached blocks off a
+# leaving executor, so losing one does not recompute whole stages.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "100000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, app: str = "streamops",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """``profile="cluster"`` adds ``CLUSTER_CONF``; explicit ``extra`` wins."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in BASE_CONF.items():
+    conf = dict(BASE_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    for k, v in conf.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
