@@ -68,13 +68,12 @@ def classify_batches(carry_root: str, delay_ms: int, size_ms: int, lateness_ms:
 
 
 def routed_rows_sink(path: str):
-    """Sink for ``classify_batches``: append every classified row to a parquet
-    folder (closed rows included, tagged), the input of ``window_updates``."""
+    """Sink for ``classify_batches``: every classified row (closed rows
+    included, tagged) goes to ``path/batch_id=N``, written once per batch id
+    (replay-safe); the input of ``window_updates``."""
+    from streamops.streaming.sinks import idempotent_parquet_sink
 
-    def sink(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(path)
-
-    return sink
+    return idempotent_parquet_sink(path)
 
 
 def window_updates(spark, routed_path: str, schema: str, key: str = "id", value: str = "vc") -> DataFrame:

@@ -114,6 +114,28 @@ def jdbc_batch_writer(url: str, table: str, properties: dict, batch_size: int =
     return write
 
 
+def idempotent_parquet_sink(path: str):
+    """``foreachBatch`` writer that is safe to replay: batch N goes to
+    ``path/batch_id=N`` and is skipped when that folder is already committed.
+
+    Spark's commit protocol publishes a folder only after the whole write
+    succeeded, so a batch that failed mid-write is simply written again, and a
+    batch replayed after a later failure finds its committed folder and adds
+    nothing."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
+        spark = batch.sparkSession
+        try:
+            spark.read.parquet(target).limit(0).collect()
+            return  # already committed
+        except Exception:
+            pass
+        batch.write.mode("overwrite").parquet(target)
+
+    return write
+
+
 class ForeachRowSink:
     """Custom sink with open / process / close, for ``writeStream.foreach``.
 

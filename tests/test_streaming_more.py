@@ -134,3 +134,14 @@ def test_threshold_join_stream_matches_batch(spark, tmp_path):
     want = asof_threshold(b.where("event_type <> 'signup'"), config)
     cols = ["arrival", "id", "vc", "threshold"]
     assert as_set(spark.read.parquet(out), cols) == as_set(want, cols)
+
+
+def test_idempotent_sink_replay_adds_nothing(spark, tmp_path):
+    from streamops.streaming.sinks import idempotent_parquet_sink
+    w = idempotent_parquet_sink(str(tmp_path / "out"))
+    b = sensor(spark, SF001)
+    w(b, 0)
+    w(b, 0)  # replay of batch 0
+    w(b.limit(10), 1)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.where("batch_id = 0").count() == b.count() and got.where("batch_id = 1").count() == 10
