@@ -145,3 +145,18 @@ def test_idempotent_sink_replay_adds_nothing(spark, tmp_path):
     w(b.limit(10), 1)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.where("batch_id = 0").count() == b.count() and got.where("batch_id = 1").count() == 10
+
+
+def test_generator_stream_is_capped_and_formatted(spark):
+    import time as _t
+    from streamops.sources.generator import generate_stream
+    name = "gen_" + str(int(_t.time()))
+    q = (generate_stream(spark, 20, rows_per_second=40, parts=3).writeStream.format("memory")
+         .queryName(name).option("checkpointLocation", tempfile.mkdtemp(prefix="streamops-ck-")).start())
+    deadline = _t.time() + 30
+    while _t.time() < deadline and spark.table(name).count() < 20:
+        _t.sleep(0.5)
+    q.stop()
+    vals = sorted(r["i"] for r in spark.table(name).collect())
+    assert vals == list(range(20))
+    assert {r["value"] for r in spark.table(name).collect()} == {f"Number:{i}" for i in range(20)}
