@@ -76,22 +76,22 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
     order_by      order columns, unique within a key
     chunk         BIGINT expression, non-decreasing along ``order_by``
     """
-    d = df.withColumn("_chunk", chunk)
     # Plain, null-safe surrogate key columns: coalesce(k, default) plus an
     # is-null flag for nullable keys.  Plain atomic columns keep sort prefixes
     # and hash partitioning cheap, and an inner equi-join on them keeps NULL
-    # keys (which a join on the raw key would drop).
-    pcols = ["_chunk"]
+    # keys (which a join on the raw key would drop).  All helper columns are
+    # added in one projection (one analysis pass).
+    pcols, extra = ["_chunk"], [chunk.alias("_chunk")]
     for i, k in enumerate(partition_by):
         f = df.schema[k]
-        d = d.withColumn(f"_k{i}", F.coalesce(F.col(k), _default(f.dataType)))
+        extra.append(F.coalesce(F.col(k), _default(f.dataType)).alias(f"_k{i}"))
         pcols.append(f"_k{i}")
         if f.nullable:
-            d = d.withColumn(f"_n{i}", F.col(k).isNull())
+            extra.append(F.col(k).isNull().alias(f"_n{i}"))
             pcols.append(f"_n{i}")
     kcols = pcols[1:]
-    for i, a in enumerate(aggs):
-        d = d.withColumn(f"_x{i}", a.expr)
+    extra += [a.expr.alias(f"_x{i}") for i, a in enumerate(aggs)]
+    d = df.select("*", *extra)
 
     ordc = _cols(order_by)
     # a single order column orders min_by/max_by directly: primitive buffers
@@ -149,7 +149,7 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
     wc = Window.partitionBy(*pcols).orderBy(*ordc)
     incl = wc.rowsBetween(Window.unboundedPreceding, 0)
     excl = wc.rowsBetween(Window.unboundedPreceding, -1)
-    out = j
+    outs = []
     for i, a in enumerate(aggs):
         x, c = F.col(f"_x{i}"), F.col(f"_c{i}")
         fr = incl if a.inclusive else excl
@@ -177,10 +177,10 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
                 v = F.when(n_in > 0, F.last(x).over(fr)).otherwise(c)
         else:
             v = F.coalesce(F.last(x, ignorenulls=True).over(fr), c)
-        out = out.withColumn(a.name, v)
-    drop = pcols + [f"_c{c}" for c in pcols] + ["_cn"] + \
-        [f"_x{i}" for i in range(len(aggs))] + [f"_c{i}" for i in range(len(aggs))]
-    return out.drop(*drop)
+        outs.append(v.alias(a.name))
+    # the input's columns (minus any an aggregate replaces) plus the results
+    names = {a.name for a in aggs}
+    return j.select(*[F.col(c) for c in df.columns if c not in names], *outs)
 
 
 def floor_div(sql: str, n: int) -> Column:
