@@ -46,7 +46,11 @@ def interval_join(left: DataFrame, right: DataFrame, lower_ms: int, upper_ms: in
                   key: str = "id", time: str = "ts_ms",
                   lcols=("arrival", "ts_ms"), rcols=("arrival", "ts_ms", "vc")) -> DataFrame:
     """Pairs with equal key and ``l.t + lower <= r.t <= l.t + upper`` (both
-    ends inclusive), planned as an equi-join on the key with a range filter."""
+    ends inclusive), planned as an equi-join on the key with a range filter.
+
+    A hot key's rows are all compared with each other in one join partition;
+    at scale use ``interval_join_bucketed`` (same pairs).  This form is kept as
+    its independent check."""
     l = _side(left, "l", key, lcols)
     r = _side(right, "r", key, rcols).withColumnRenamed(key, "_rk")
     cond = ((l[key] == r["_rk"]) &
