@@ -103,7 +103,8 @@ QUERIES = {
     "parse_sensor_lines": lambda sp, d: _parsed(sp, d)[0],
     "parse_sensor_rejects": lambda sp, d: _parsed(sp, d)[1],
     "map_project": lambda sp, d: transform.map_project(_sensor(sp, d), ["arrival", "id"]),
-    "filter_eq": lambda sp, d: transform.filter_eq(_sensor(sp, d), "id", FILTER_ID).select("arrival", "id", "ts_ms", "vc"),
+    "filter_eq": lambda sp, d: transform.filter_eq(sensor(sp, d, id_equals=FILTER_ID), "id", FILTER_ID).select(
+        "arrival", "id", "ts_ms", "vc"),
     "flatmap_conditional": lambda sp, d: transform.flatmap_by_key(_sensor(sp, d), "event_type", FLATMAP, keep=["arrival"]),
     "tokenize_lines": lambda sp, d: _tokens(sp, d),
     "map_increment": lambda sp, d: transform.map_increment(_sensor(sp, d), "vc", keep=["arrival"]),

@@ -8,6 +8,7 @@ integer arithmetic so they do not depend on the session time zone.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,8 +46,19 @@ def sensor_view(events: DataFrame) -> DataFrame:
     )
 
 
-def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sensor_view(read_table(spark, sf_dir, "events"))
+def sensor(spark: SparkSession, sf_dir: str, id_equals: str | None = None) -> DataFrame:
+    """The sensor view; ``id_equals`` keeps one id.
+
+    ``id`` is ``cast(user_id as string)``, which Catalyst cannot invert, so a
+    filter on it would not reach the parquet scan.  For a canonical integer
+    text the equivalent ``user_id = n`` filter is applied to the raw column
+    (pushed down, row groups skipped by statistics); the string filter stays
+    as well, so non-canonical texts keep their exact meaning."""
+    ev = read_table(spark, sf_dir, "events")
+    if id_equals is not None and re.fullmatch(r"0|-?[1-9][0-9]{0,17}", id_equals):
+        ev = ev.where(F.col("user_id") == F.lit(int(id_equals)))
+    s = sensor_view(ev)
+    return s if id_equals is None else s.where(F.col("id") == F.lit(id_equals))
 
 
 def with_jitter(sensor_df: DataFrame) -> DataFrame:
