@@ -117,7 +117,7 @@ QUERIES = {
     "alarm_threshold": lambda sp, d: transform.alarm_split(_sensor(sp, d), "vc", ALARM)[1].select("arrival", "id", "vc"),
     "scalar_bundle": lambda sp, d: scalar_bundle(_sensor(sp, d)),
     # partitioning
-    "part_random": lambda sp, d: _part_rows(partition.random_partition(_sensor(sp, d), PARTS)),
+    "part_random": lambda sp, d: partition.random_partition(_part_rows(_sensor(sp, d)), PARTS),
     "part_round_robin": lambda sp, d: _part_rows(partition.round_robin(_sensor(sp, d), PARTS)),
     "part_rescale": lambda sp, d: _part_rows(partition.rescale(_sensor(sp, d), 2)),
     "part_broadcast": lambda sp, d: partition.broadcast_copies(_part_rows(_sensor(sp, d)), COPIES),
