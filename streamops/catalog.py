@@ -14,7 +14,6 @@ from streamops.functions.parse import parse_sensor_lines
 from streamops.functions.scalar import scalar_bundle
 from streamops.functions.tokenize import tokenize_lines
 from streamops.operators import joins, lateness, partition, rolling, state, topn, transform, windows
-from streamops.plans.scan import chunk_of
 from streamops.sources.tables import (JITTER_MOD, JITTER_MULT, JITTER_STEP_MS, candidate_lines, lines_view,
                                       read_table, sensor, sensor_lines, with_jitter)
 from streamops.streaming import sinks
