@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamops.operators.windows import assign_tumbling
+from streamops.operators.windows import assign_sliding, assign_tumbling
 from streamops.plans.scan import TIME_CHUNK_MS, Agg, chunk_of, prefix_scan
 
 ON_TIME, ALLOWED, CLOSED = "on_time", "allowed", "closed"
@@ -55,6 +55,27 @@ def classify_tumbling(traced: DataFrame, size_ms: int, lateness_ms: int, time: s
     return d.withColumn("lateness", cls)
 
 
+def classify_sliding(traced: DataFrame, size_ms: int, slide_ms: int, lateness_ms: int,
+                     time: str = "ts_ms") -> DataFrame:
+    """Per (row, sliding window) pair, the same three classes as tumbling."""
+    d = assign_sliding(traced, size_ms, slide_ms, time)
+    e1, wm = F.col("w_end") - 1, F.col("wm_before")
+    cls = (F.when(wm.isNull() | (e1 > wm), F.lit(ON_TIME))
+            .when(wm < e1 + F.lit(lateness_ms), F.lit(ALLOWED))
+            .otherwise(F.lit(CLOSED)))
+    return d.withColumn("lateness", cls)
+
+
+def side_output_sliding(traced: DataFrame, size_ms: int, slide_ms: int, lateness_ms: int,
+                        time: str = "ts_ms", row_id: str = "arrival") -> DataFrame:
+    """Rows whose *every* window is closed.  The newest window of a row ends
+    last, so that is the one to test: no per-row grouping of pairs."""
+    t = F.col(time)
+    newest_end = t - F.pmod(t, F.lit(slide_ms)) + F.lit(size_ms)
+    wm = F.col("wm_before")
+    return traced.where(wm.isNotNull() & (newest_end - 1 + F.lit(lateness_ms) <= wm))
+
+
 def window_firings(classified: DataFrame, key: str = "id", value: str = "vc",
                    arrival: tuple[str, ...] = ("arr_ms", "arrival"),
                    chunk_width: int = TIME_CHUNK_MS) -> DataFrame:

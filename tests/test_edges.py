@@ -73,3 +73,21 @@ def test_count_window_incomplete_tail_never_fires(spark):
     s = windows.count_window_sliding(d, 5, 2, width=4)
     got = sorted((r["pos"], r["cnt"], r["sum_vc"]) for r in s.collect())
     assert got[0] == (2, 2, 1) and got[-1] == (12, 5, 7 + 8 + 9 + 10 + 11)
+
+
+def test_sliding_side_output_needs_every_window_closed(spark):
+    from streamops.sources.tables import sensor, with_jitter
+    s = with_jitter(sensor(spark, "/root/testdata/sf0.01"))
+    traced = lateness.watermark_trace(s, 30 * 60_000)
+    for size, slide, late, n in ((3_600_000, 3_600_000, 20 * 60_000, 14), (3_600_000, 1_800_000, 0, None)):
+        pairs = lateness.classify_sliding(traced, size, slide, late)
+        by_row = {}
+        for r in pairs.select("arrival", "lateness").collect():
+            by_row.setdefault(r["arrival"], []).append(r["lateness"])
+        want = sorted(a for a, cs in by_row.items() if all(c == "closed" for c in cs))
+        got = sorted(r["arrival"] for r in lateness.side_output_sliding(traced, size, slide, late).collect())
+        assert got == want
+        if n is not None:
+            assert len(got) == n  # slide == size is the tumbling case (FIXTURES: 14)
+        else:
+            assert pairs.where("lateness = 'closed'").count() > 0  # some pairs closed, no row wholly
