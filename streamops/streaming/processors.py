@@ -18,8 +18,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 
 def _sorted(rows: Iterator[pd.DataFrame], order: str = "arrival") -> pd.DataFrame:
-    pdf = pd.concat(list(rows), ignore_index=True)
-    return pdf.sort_values(order, kind="stable")
+    """All rows of one key in this micro-batch, in arrival order."""
+    parts = [p for p in rows if len(p)]
+    if not parts:
+        return pd.DataFrame(columns=[order, "vc", "ts_ms"])
+    return pd.concat(parts, ignore_index=True).sort_values(order, kind="stable")
 
 
 class JumpAlert(StatefulProcessor):
