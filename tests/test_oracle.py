@@ -25,3 +25,14 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["w_start", "w_end", "rank", "vc", "cnt"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"sink_file_roundtrip"}))
+def test_column_types_match_oracle(spark, con001, name):
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in QUERIES[name](spark, SF001).schema}
+    rel = con001.sql(ORACLE[name])
+    assert s == dict(zip(rel.columns, [str(t) for t in rel.types]))
