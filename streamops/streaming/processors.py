@@ -159,6 +159,39 @@ class EventTimeTTL(StatefulProcessor):
         pass
 
 
+class ProcessingTimeTTL(StatefulProcessor):
+    """Value state with Spark's processing-time TTL (ST6 as configured in the
+    reference).  Spark refreshes a TTL on write only, so every read writes the
+    value back: reads and writes both refresh it, and an expired value is
+    never returned.  Results depend on wall-clock timing (rows-only).  Spark
+    requires ``time_mode="ProcessingTime"`` for state TTL."""
+
+    OUTPUT = "id string, arrival bigint, vc int, state int"
+
+    def __init__(self, ttl_ms: int, write_above: int = 10):
+        self.ttl_ms, self.write_above = ttl_ms, write_above
+
+    def init(self, handle):
+        self.st = handle.getValueState("st", "v int", ttlDurationMs=self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _sorted(rows)
+        out = []
+        for a, x in zip(pdf["arrival"].tolist(), pdf["vc"].tolist()):
+            v = self.st.get()[0] if self.st.exists() else None
+            out.append((key[0], a, x, v))
+            if x > self.write_above:
+                self.st.update((int(x),))
+            elif v is not None:
+                self.st.update((v,))  # refresh on read
+        res = pd.DataFrame(out, columns=["id", "arrival", "vc", "state"])
+        res["state"] = res["state"].astype("Int32")
+        yield res
+
+    def close(self):
+        pass
+
+
 class BucketCount(StatefulProcessor):
     """Operator list state stand-in: a durable running count per bucket (ST7)."""
 
