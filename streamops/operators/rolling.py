@@ -19,10 +19,11 @@ def wordcount(tokens: DataFrame, word_col: str = "word") -> DataFrame:
 
 
 def running_count(df: DataFrame, keys: list[str], order: list[str], chunk_col: str,
-                  width: int = DEFAULT_CHUNK, name: str = "cnt") -> DataFrame:
-    """Running number of rows per key (1, 2, 3, ...) along ``order``."""
+                  width: int = DEFAULT_CHUNK, name: str = "cnt", reuse_input: bool = False) -> DataFrame:
+    """Running number of rows per key (1, 2, 3, ...) along ``order``.
+    ``reuse_input`` reads an expensive input (e.g. tokenised text) once."""
     return prefix_scan(df, keys, order, chunk_of(chunk_col, width),
-                       [Agg(name, "count", F.lit(1))])
+                       [Agg(name, "count", F.lit(1))], reuse_input=reuse_input)
 
 
 def _keyed(df, key, order, width, aggs):

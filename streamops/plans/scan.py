@@ -69,19 +69,28 @@ def _cols(xs) -> list[Column]:
 
 
 def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
-                chunk: Column, aggs: list[Agg]) -> DataFrame:
+                chunk: Column, aggs: list[Agg], reuse_input: bool = False) -> DataFrame:
     """Append one column per ``Agg`` holding its running value.
 
     partition_by  key columns (may be empty: one global order)
     order_by      order columns, unique within a key
     chunk         BIGINT expression, non-decreasing along ``order_by``
+    reuse_input   False: chunk totals by a partial + final aggregate over a
+                  second read of the input (cheap inputs: a column scan).
+                  True: the input is read and shuffled once; the chunk totals
+                  come from whole-chunk frames of the same window and the
+                  shuffle is reused (inputs whose upstream is expensive, such
+                  as tokenised text).
     """
     # Plain, null-safe surrogate key columns: coalesce(k, default) plus an
     # is-null flag for nullable keys.  Plain atomic columns keep sort prefixes
     # and hash partitioning cheap, and an inner equi-join on them keeps NULL
     # keys (which a join on the raw key would drop).  All helper columns are
     # added in one projection (one analysis pass).
-    pcols, extra = ["_chunk"], [chunk.alias("_chunk")]
+    # A NULL order value sorts first (ASC NULLS FIRST), so its row belongs to
+    # the lowest chunk: a NULL chunk becomes the smallest BIGINT instead of
+    # being lost in the equi-join.
+    pcols, extra = ["_chunk"], [F.coalesce(chunk, F.lit(-(1 << 63)).cast("bigint")).alias("_chunk")]
     for i, k in enumerate(partition_by):
         f = df.schema[k]
         extra.append(F.coalesce(F.col(k), _default(f.dataType)).alias(f"_k{i}"))
@@ -94,30 +103,67 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
     d = df.select("*", *extra)
 
     ordc = _cols(order_by)
-    # a single order column orders min_by/max_by directly: primitive buffers
-    # keep the chunk totals in a hash aggregate (a struct forces a sort-based one)
-    ord_struct = ordc[0] if len(ordc) == 1 else F.struct(*ordc)
+    wc = Window.partitionBy(*pcols).orderBy(*ordc)
+    incl = wc.rowsBetween(Window.unboundedPreceding, 0)
+    excl = wc.rowsBetween(Window.unboundedPreceding, -1)
 
-    # 1. chunk totals
-    tot = [F.count(F.lit(1)).alias("_n")]
+    # running values inside the chunk
+    within = [F.count(F.lit(1)).over(excl).alias("_nin")]
     for i, a in enumerate(aggs):
         x = F.col(f"_x{i}")
+        fr = incl if a.inclusive else excl
         if a.kind == "sum":
-            t = F.sum(x)
+            w = F.sum(x).over(fr)
         elif a.kind == "count":
-            t = F.count(x)
+            w = F.count(x).over(fr)
         elif a.kind == "max":
-            t = F.max(x)
+            w = F.max(x).over(fr)
         elif a.kind == "min":
-            t = F.min(x)
+            w = F.min(x).over(fr)
         elif a.kind == "first":
-            t = F.min_by(x, ord_struct)
+            w = F.first(x).over(fr)
         elif a.kind == "last":
-            t = F.max_by(x, ord_struct)
-        else:  # last_nonnull
-            t = F.max_by(x, F.when(x.isNotNull(), ord_struct))
-        tot.append(t.alias(f"_t{i}"))
-    chunks = d.groupBy(*pcols).agg(*tot)
+            w = x if a.inclusive else F.last(x).over(fr)
+        else:
+            w = F.last(x, ignorenulls=True).over(fr)
+        within.append(w.alias(f"_w{i}"))
+
+    # 1. chunk totals
+    if reuse_input:
+        whole = wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        tot = [F.count(F.lit(1)).over(whole).alias("_n")]
+        for i, a in enumerate(aggs):
+            x = F.col(f"_x{i}")
+            t = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min,
+                 "first": F.first, "last": F.last}.get(a.kind)
+            t = t(x).over(whole) if t else F.last(x, ignorenulls=True).over(whole)
+            tot.append(t.alias(f"_t{i}"))
+        rows = d.select("*", *within, *tot, F.row_number().over(wc).alias("_rn"))
+        chunks = rows.where(F.col("_rn") == 1).select(*pcols, "_n", *[f"_t{i}" for i in range(len(aggs))])
+    else:
+        # a single order column orders min_by/max_by directly: primitive buffers
+        # keep the totals in a hash aggregate (a struct forces a sort-based one)
+        ord_struct = ordc[0] if len(ordc) == 1 else F.struct(*ordc)
+        tot = [F.count(F.lit(1)).alias("_n")]
+        for i, a in enumerate(aggs):
+            x = F.col(f"_x{i}")
+            if a.kind == "sum":
+                t = F.sum(x)
+            elif a.kind == "count":
+                t = F.count(x)
+            elif a.kind == "max":
+                t = F.max(x)
+            elif a.kind == "min":
+                t = F.min(x)
+            elif a.kind == "first":
+                t = F.min_by(x, ord_struct)
+            elif a.kind == "last":
+                t = F.max_by(x, ord_struct)
+            else:  # last_nonnull
+                t = F.max_by(x, F.when(x.isNotNull(), ord_struct))
+            tot.append(t.alias(f"_t{i}"))
+        chunks = d.groupBy(*pcols).agg(*tot)
+        rows = d.select("*", *within)
 
     # 2. carry over earlier chunks of the same key
     wk = (Window.partitionBy(*kcols) if kcols else Window.partitionBy()).orderBy("_chunk") \
@@ -140,43 +186,33 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
         carry.append(c.alias(f"_c{i}"))
     carry_df = chunks.select(*carry)
 
-    # 3. rows joined to their chunk's carry, then the in-chunk window
+    # 3. the in-chunk window runs first (rows shuffled by (chunk, key)); the
+    # join to the carry then reuses that partitioning, or probes a broadcast
+    # carry in the parallel post-shuffle tasks
     cond = None
     for c in pcols:
-        e = d[c] == carry_df[f"_c{c}"]
+        e = rows[c] == carry_df[f"_c{c}"]
         cond = e if cond is None else cond & e
-    j = d.join(carry_df, cond)
-    wc = Window.partitionBy(*pcols).orderBy(*ordc)
-    incl = wc.rowsBetween(Window.unboundedPreceding, 0)
-    excl = wc.rowsBetween(Window.unboundedPreceding, -1)
+    j = rows.join(carry_df, cond)
     outs = []
     for i, a in enumerate(aggs):
-        x, c = F.col(f"_x{i}"), F.col(f"_c{i}")
-        fr = incl if a.inclusive else excl
+        w, c, n_in = F.col(f"_w{i}"), F.col(f"_c{i}"), F.col("_nin")
         if a.kind == "sum":
-            w = F.sum(x).over(fr)
             v = F.coalesce(w + c, w, c)
         elif a.kind == "count":
-            v = F.coalesce(F.count(x).over(fr), F.lit(0)) + F.coalesce(c, F.lit(0))
+            v = F.coalesce(w, F.lit(0)) + F.coalesce(c, F.lit(0))
         elif a.kind == "max":
-            v = F.greatest(F.max(x).over(fr), c)
+            v = F.greatest(w, c)
         elif a.kind == "min":
-            v = F.least(F.min(x).over(fr), c)
+            v = F.least(w, c)
         elif a.kind == "first":
             has_before = F.coalesce(F.col("_cn"), F.lit(0)) > 0
-            if a.inclusive:
-                v = F.when(has_before, c).otherwise(F.first(x).over(fr))
-            else:
-                n_in = F.count(F.lit(1)).over(excl)
-                v = F.when(has_before, c).when(n_in > 0, F.first(x).over(fr))
+            v = F.when(has_before, c).otherwise(w) if a.inclusive else \
+                F.when(has_before, c).when(n_in > 0, w)
         elif a.kind == "last":
-            if a.inclusive:
-                v = x
-            else:
-                n_in = F.count(F.lit(1)).over(excl)
-                v = F.when(n_in > 0, F.last(x).over(fr)).otherwise(c)
+            v = w if a.inclusive else F.when(n_in > 0, w).otherwise(c)
         else:
-            v = F.coalesce(F.last(x, ignorenulls=True).over(fr), c)
+            v = F.coalesce(w, c)
         outs.append(v.alias(a.name))
     # the input's columns (minus any an aggregate replaces) plus the results
     names = {a.name for a in aggs}

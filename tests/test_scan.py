@@ -36,8 +36,8 @@ def brute(rows, kind, inclusive):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_scan_matches_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,reuse", [(1, False), (2, False), (3, False), (1, True), (2, True)])
+def test_scan_matches_brute_force(spark, seed, reuse):
     rnd = random.Random(seed)
     keys = ["a", "b", None, "c"]
     rows = []
@@ -49,7 +49,8 @@ def test_scan_matches_brute_force(spark, seed):
     kinds = ["sum", "count", "max", "min", "first", "last", "last_nonnull"]
     for width in (1, 7, 50, 1 << 20):
         aggs = [Agg(f"{kd}_{inc}", kd, F.col("x"), inclusive=inc) for kd in kinds for inc in (True, False)]
-        got = {r["o"]: r for r in prefix_scan(df, ["k"], ["o"], chunk_of("o", width), aggs).collect()}
+        got = {r["o"]: r for r in prefix_scan(df, ["k"], ["o"], chunk_of("o", width), aggs,
+                                               reuse_input=reuse).collect()}
         assert len(got) == len(rows)
         for kd in kinds:
             for inc in (True, False):
@@ -58,11 +59,13 @@ def test_scan_matches_brute_force(spark, seed):
                 assert have == want, (width, kd, inc)
 
 
-def test_global_scan_without_keys(spark):
+@pytest.mark.parametrize("reuse", [False, True])
+def test_global_scan_without_keys(spark, reuse):
     rows = [(None, o, o % 5) for o in range(60)]
     df = spark.createDataFrame(rows, "k string, o bigint, x int")
     got = {r["o"]: r["m"] for r in prefix_scan(df, [], ["o"], chunk_of("o", 8),
-                                                [Agg("m", "max", F.col("x"), inclusive=False)]).collect()}
+                                                [Agg("m", "max", F.col("x"), inclusive=False)],
+                                                reuse_input=reuse).collect()}
     assert got == brute(rows, "max", False)
 
 
@@ -81,3 +84,12 @@ def test_registered_scans_are_chunk_invariant(spark):
     a = sorted(map(tuple, state.ttl_state(s, 5 * 3600 * 1000).collect()))
     b = sorted(map(tuple, state.ttl_state(s, 5 * 3600 * 1000, width=41).collect()))
     assert a == b
+
+
+@pytest.mark.parametrize("reuse", [False, True])
+def test_null_order_rows_are_kept(spark, reuse):
+    rows = [("a", None, 1), ("a", 3, 2), ("a", 9, 4), ("b", None, 8)]
+    df = spark.createDataFrame(rows, "k string, o bigint, x int")
+    out = prefix_scan(df, ["k"], ["o"], chunk_of("o", 4), [Agg("s", "sum", F.col("x"))], reuse_input=reuse)
+    got = {(r["k"], r["o"]): r["s"] for r in out.collect()}
+    assert got == {("a", None): 1, ("a", 3): 3, ("a", 9): 7, ("b", None): 8}
