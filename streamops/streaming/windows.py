@@ -100,3 +100,12 @@ def window_join_stream(left: DataFrame, right: DataFrame, size_ms: int, delay_ms
     l, r = side(left, "l"), side(right, "r")
     return l.join(r, (F.col("l_id") == F.col("r_id")) & (F.col("l_w") == F.col("r_w"))).select(
         F.col("l_id").alias(key), F.unix_millis("l_w.start").alias("w_start"), "l_arrival", "r_arrival")
+
+
+def word_counts_stream(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Streaming word count (A2): tokenise each line and keep a running count
+    per word; in update mode each micro-batch emits the words it changed, and
+    the last value per word equals the bounded count (A1)."""
+    from streamops.functions.tokenize import words
+    return (lines.select(F.explode(words(value_col)).alias("word"))
+                 .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))

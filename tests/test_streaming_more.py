@@ -189,3 +189,19 @@ def test_processing_time_ttl_and_timer_run(spark):
     fired = _poll_to_memory(P.apply(events_stream(spark, src), "id", P.ProcessingTimer(0),
                                     time_mode="ProcessingTime"), lambda t: t.count() > 0)
     assert fired.count() > 0
+
+
+def test_streaming_word_count_reaches_batch_count(spark, tmp_path):
+    from streamops.functions.tokenize import tokenize_lines
+    from streamops.operators.rolling import wordcount
+    from streamops.sources.tables import lines_view, read_table
+    lines = lines_view(read_table(spark, SF001, "documents")).limit(400)
+    vals = [r["value"] for r in lines.collect()]
+    src = tmp_path / "text"
+    src.mkdir()
+    for i in range(4):
+        (src / f"part-{i}.txt").write_text("\n".join(vals[i * 100:(i + 1) * 100]) + "\n")
+    got = run_to_memory(SW.word_counts_stream(SS.text_stream(spark, str(src), max_files_per_trigger=1)), mode="update")
+    final = {r["word"]: r["m"] for r in got.groupBy("word").agg(F.max("cnt").alias("m")).collect()}
+    want = {r["word"]: r["cnt"] for r in wordcount(tokenize_lines(spark.createDataFrame([(v,) for v in vals], "value string"))).collect()}
+    assert final == want
