@@ -205,3 +205,23 @@ def test_streaming_word_count_reaches_batch_count(spark, tmp_path):
     final = {r["word"]: r["m"] for r in got.groupBy("word").agg(F.max("cnt").alias("m")).collect()}
     want = {r["word"]: r["cnt"] for r in wordcount(tokenize_lines(spark.createDataFrame([(v,) for v in vals], "value string"))).collect()}
     assert final == want
+
+
+def test_stateless_operators_run_unchanged_on_streams(spark):
+    from streamops.functions.parse import parse_sensor_lines
+    from streamops.operators import transform
+    from streamops.operators.windows import assign_sliding
+    from streamops.sources.tables import sensor_lines
+    src, _ = split_events(SF001, 3)
+    st, b = events_stream(spark, src), sensor(spark, SF001)
+    cases = {
+        "flatmap": lambda d: transform.flatmap_by_key(d, "event_type", {"click": ["vc"], "view": ["ts_ms", "vc"]},
+                                                      keep=["arrival"]),
+        "route": lambda d: transform.with_route(d, "event_type", {"click": "tag1"}).select("arrival", "route"),
+        "alarm": lambda d: transform.alarm_split(d, "vc", 10)[1].select("arrival"),
+        "sliding": lambda d: assign_sliding(d, 5 * 3_600_000, 2 * 3_600_000).select("arrival", "w_start"),
+        "parse": lambda d: parse_sensor_lines(sensor_lines(d), keep=["rec"])[0].select("rec", "id", "ts", "vc"),
+    }
+    for name, f in cases.items():
+        got = run_to_memory(f(st))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, f(b).collect())), name
