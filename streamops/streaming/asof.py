@@ -1,10 +1,12 @@
 """Broadcast-state threshold join on a stream (J4, streaming form).
 
 Each micro-batch of data rows is joined as-of by arrival with the config
-table: the batch rows and the config rows that arrived no later than the
-batch's last row are run through the batch operator, so the answer does not
-depend on how the data stream is cut.  The config table is read per batch
-(batch-granular updates, as with a broadcast side that changes)."""
+table: the batch rows, the config rows inside the batch's arrival range and
+one row carrying the last earlier config value are run through the batch
+operator, so the answer does not depend on how the data stream is cut, and
+the work per batch does not grow with the config history.  The config table
+is read per batch (batch-granular updates, as with a changing broadcast
+side); the arrival filters are pushed into its scan."""
 
 from __future__ import annotations
 
@@ -20,9 +22,16 @@ def threshold_batches(config: DataFrame, sink, order: str = "arrival", value: st
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        last = batch.agg(F.max(order)).first()[0]
+        first, last = batch.agg(F.min(order), F.max(order)).first()
         if last is not None:
-            cfg = config.where(F.col(order) <= F.lit(last))
+            # the as-of work per batch is bounded by the batch's arrival range:
+            # config rows inside it, plus one row carrying the last earlier value
+            inside = config.where((F.col(order) >= F.lit(first)) & (F.col(order) <= F.lit(last)))
+            before = (config.where(F.col(order) < F.lit(first))
+                            .agg(F.max_by(F.col(threshold_col), F.col(order)).alias(threshold_col),
+                                 F.max(order).alias(order))
+                            .where(F.col(order).isNotNull()))
+            cfg = inside.select(order, threshold_col).unionByName(before.select(order, threshold_col))
             sink(asof_threshold(batch, cfg, order, value, threshold_col, default), batch_id)
         batch.unpersist()
 
