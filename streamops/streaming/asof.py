@@ -27,7 +27,7 @@ def threshold_batches(config: DataFrame, sink, order: str = "arrival", value: st
             # the as-of work per batch is bounded by the batch's arrival range:
             # config rows inside it, plus one row carrying the last earlier value
             inside = config.where((F.col(order) >= F.lit(first)) & (F.col(order) <= F.lit(last)))
-            before = (config.where(F.col(order) < F.lit(first))
+            before = (config.where((F.col(order) < F.lit(first)) & F.col(threshold_col).isNotNull())
                             .agg(F.max_by(F.col(threshold_col), F.col(order)).alias(threshold_col),
                                  F.max(order).alias(order))
                             .where(F.col(order).isNotNull()))
