@@ -76,12 +76,23 @@ def routed_rows_sink(path: str):
     return idempotent_parquet_sink(path)
 
 
-def window_updates(spark, routed_path: str, schema: str, key: str = "id", value: str = "vc") -> DataFrame:
+def window_updates(spark, routed_path: str, schema, size_ms: int, delay_ms: int, lateness_ms: int,
+                   key: str = "id", value: str = "vc", time: str = "ts_ms") -> DataFrame:
     """Second stage: a stream over the routed rows; on-time and allowed-late
     rows update their window's count and sum (update output mode, one update
     per window per micro-batch).  Closed rows go nowhere: they are the side
-    output.  The last update of a window equals its final batch firing."""
+    output.  The last update of a window equals its final batch firing.
+
+    State is bounded by a Spark watermark of ``size + delay + lateness``: an
+    allowed row of window [S, E) arrives while the max event time is below
+    E + delay + lateness, and its own time is at least E - size, so Spark's
+    (one batch behind) late filter never drops it, while windows older than
+    that are evicted from the state store."""
     routed = spark.readStream.schema(schema).parquet(routed_path)
-    return (routed.where(F.col("lateness") != lateness.CLOSED)
-                  .groupBy(key, "w_start", "w_end")
-                  .agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).cast("bigint").alias("sum_vc")))
+    keep = (routed.where(F.col("lateness") != lateness.CLOSED)
+                  .withColumn("_et", F.timestamp_millis(F.col(time)))
+                  .withWatermark("_et", f"{int(size_ms + delay_ms + lateness_ms)} milliseconds"))
+    return (keep.groupBy(key, F.window("_et", f"{int(size_ms)} milliseconds").alias("_w"))
+                .agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).cast("bigint").alias("sum_vc"))
+                .select(key, F.unix_millis("_w.start").alias("w_start"), F.unix_millis("_w.end").alias("w_end"),
+                        "cnt", "sum_vc"))

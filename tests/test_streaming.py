@@ -168,8 +168,8 @@ def test_allowed_lateness_updates_reach_final_firing(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     schema = spark.read.parquet(routed).schema
-    upd = run_to_memory(SL.window_updates(spark, routed, schema), mode="update",
-                        checkpoint=str(tmp_path / "ck2"))
+    upd = run_to_memory(SL.window_updates(spark, routed, schema, 3_600_000, 30 * 60_000, 20 * 60_000),
+                        mode="update", checkpoint=str(tmp_path / "ck2"))
     got = as_set(upd.groupBy("id", "w_start").agg(F.max("cnt").alias("cnt"), F.max("sum_vc").alias("sum_vc")),
                  ["id", "w_start", "cnt", "sum_vc"])
     batch = lateness.window_firings(lateness.classify_tumbling(lateness.watermark_trace(
