@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -38,14 +39,14 @@ class JumpAlert(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
-        prev = int(self.last.get()[0]) if self.last.exists() else 0
-        out = []
-        for a, v in zip(pdf["arrival"].tolist(), pdf["vc"].tolist()):
-            if abs(v - prev) > self.threshold:
-                out.append((key[0], a, v, prev))
-            prev = v
-        self.last.update((prev,))
-        yield pd.DataFrame(out, columns=["id", "arrival", "vc", "prev_vc"])
+        first_prev = int(self.last.get()[0]) if self.last.exists() else 0
+        vc = pdf["vc"].astype("int64").to_numpy()
+        prev = np.concatenate(([first_prev], vc[:-1])) if len(vc) else vc
+        hit = np.abs(vc - prev) > self.threshold
+        if len(vc):
+            self.last.update((int(vc[-1]),))
+        yield pd.DataFrame({"id": key[0], "arrival": pdf["arrival"].to_numpy()[hit],
+                            "vc": vc[hit].astype("int32"), "prev_vc": prev[hit].astype("int32")})
 
     def close(self):
         pass
@@ -61,13 +62,14 @@ class RunningSumAvg(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
-        s, n = self.acc.get() if self.acc.exists() else (0, 0)
-        out = []
-        for a, v in zip(pdf["arrival"].tolist(), pdf["vc"].tolist()):
-            s, n = s + v, n + 1
-            out.append((key[0], a, v, s, s / n))
-        self.acc.update((s, n))
-        yield pd.DataFrame(out, columns=["id", "arrival", "vc", "sum_vc", "avg_vc"])
+        s0, n0 = self.acc.get() if self.acc.exists() else (0, 0)
+        vc = pdf["vc"].astype("int64").to_numpy()
+        sums = s0 + np.cumsum(vc)
+        counts = n0 + np.arange(1, len(vc) + 1)
+        if len(vc):
+            self.acc.update((int(sums[-1]), int(counts[-1])))
+        yield pd.DataFrame({"id": key[0], "arrival": pdf["arrival"].to_numpy(), "vc": vc.astype("int32"),
+                            "sum_vc": sums, "avg_vc": sums / counts})
 
     def close(self):
         pass
@@ -111,15 +113,15 @@ class ValueCounts(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
-        out, cache = [], {}
-        for a, v in zip(pdf["arrival"].tolist(), pdf["vc"].tolist()):
-            if v not in cache:
-                cache[v] = int(self.counts.getValue((v,))[0]) if self.counts.containsKey((v,)) else 0
-            cache[v] += 1
-            out.append((key[0], a, v, cache[v]))
-        for v, n in cache.items():
-            self.counts.updateValue((v,), (n,))
-        yield pd.DataFrame(out, columns=["id", "arrival", "vc", "cnt"])
+        vc = pdf["vc"].astype("int64")
+        base = {int(v): (int(self.counts.getValue((int(v),))[0]) if self.counts.containsKey((int(v),)) else 0)
+                for v in vc.unique()}
+        cnt = vc.groupby(vc).cumcount().to_numpy() + 1 + vc.map(base).to_numpy()
+        last = pd.Series(cnt, index=vc.to_numpy()).groupby(level=0).max()
+        for v, n in last.items():
+            self.counts.updateValue((int(v),), (int(n),))
+        yield pd.DataFrame({"id": key[0], "arrival": pdf["arrival"].to_numpy(),
+                            "vc": vc.to_numpy().astype("int32"), "cnt": cnt.astype("int64")})
 
     def close(self):
         pass
@@ -202,13 +204,11 @@ class BucketCount(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
-        n = int(self.n.get()[0]) if self.n.exists() else 0
-        out = []
-        for a in pdf["arrival"].tolist():
-            n += 1
-            out.append((key[0], a, n))
-        self.n.update((n,))
-        yield pd.DataFrame(out, columns=["bucket", "arrival", "cnt"])
+        n0 = int(self.n.get()[0]) if self.n.exists() else 0
+        cnt = n0 + np.arange(1, len(pdf) + 1)
+        if len(pdf):
+            self.n.update((int(cnt[-1]),))
+        yield pd.DataFrame({"bucket": key[0], "arrival": pdf["arrival"].to_numpy(), "cnt": cnt.astype("int64")})
 
     def close(self):
         pass
