@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamops.operators.windows import assign_tumbling
-from streamops.plans.scan import GLOBAL_CHUNK, Agg, chunk_of, prefix_scan
+from streamops.plans.scan import GLOBAL_CHUNK, Agg, chunk_of, floor_div, prefix_scan
 
 
 def broadcast_if_small(spark, df: DataFrame, max_rows: int) -> DataFrame:
@@ -70,15 +70,11 @@ def interval_join_bucketed(left: DataFrame, right: DataFrame, lower_ms: int, upp
     a hot key's rows spread over many (key, bucket) join partitions.
     """
     span = max(1, upper_ms - lower_ms)
-    lt = F.col(f"l_{time}")
-    lo, hi = lt + F.lit(lower_ms), lt + F.lit(upper_ms)
-    b_lo = (lo - F.pmod(lo, F.lit(span))) / span
-    b_hi = (hi - F.pmod(hi, F.lit(span))) / span
-    l = _side(left, "l", key, lcols).withColumn(
-        "_b", F.explode(F.sequence(b_lo.cast("bigint"), b_hi.cast("bigint"))))
-    rt = F.col(f"r_{time}")
+    b_lo = floor_div(f"`l_{time}` + ({int(lower_ms)})", span)
+    b_hi = floor_div(f"`l_{time}` + ({int(upper_ms)})", span)
+    l = _side(left, "l", key, lcols).withColumn("_b", F.explode(F.sequence(b_lo, b_hi)))
     r = (_side(right, "r", key, rcols).withColumnRenamed(key, "_rk")
-         .withColumn("_rb", ((rt - F.pmod(rt, F.lit(span))) / span).cast("bigint")))
+         .withColumn("_rb", floor_div(f"`r_{time}`", span)))
     cond = ((l[key] == r["_rk"]) & (l["_b"] == r["_rb"]) &
             (r[f"r_{time}"] >= l[f"l_{time}"] + F.lit(lower_ms)) &
             (r[f"r_{time}"] <= l[f"l_{time}"] + F.lit(upper_ms)))

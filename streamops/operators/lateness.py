@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamops.operators.windows import assign_sliding, assign_tumbling
-from streamops.plans.scan import TIME_CHUNK_MS, Agg, chunk_of, prefix_scan
+from streamops.plans.scan import TIME_CHUNK_MS, Agg, chunk_of, floor_div, prefix_scan
 
 ON_TIME, ALLOWED, CLOSED = "on_time", "allowed", "closed"
 
@@ -112,7 +112,7 @@ def periodic_watermark(df: DataFrame, every: int, delay_ms: int, time: str = "ts
     epoch table, joined back on the epoch."""
     s = prefix_scan(df, [], list(arrival), chunk_of(arrival[0], chunk_width),
                     [Agg("arrival_no", "count", F.lit(1))])
-    s = s.withColumn("epoch", ((F.col("arrival_no") - 1 - F.pmod(F.col("arrival_no") - 1, F.lit(every))) / every).cast("bigint"))
+    s = s.withColumn("epoch", floor_div("`arrival_no` - 1", every))
     ep = s.groupBy("epoch").agg(F.max(time).alias("_emax"))
     ep = prefix_scan(ep, [], ["epoch"], chunk_of("epoch", epoch_chunk),
                      [Agg("_prev_max", "max", F.col("_emax"), inclusive=False)])

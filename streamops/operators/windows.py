@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import DEFAULT_CHUNK, Agg, chunk_of, prefix_scan
+from streamops.plans.scan import DEFAULT_CHUNK, Agg, chunk_of, floor_div, prefix_scan
 
 
 def assign_tumbling(df: DataFrame, size_ms: int, time: str = "ts_ms") -> DataFrame:
@@ -122,7 +122,7 @@ def count_window_tumbling(df: DataFrame, size: int, key: str = "id", order: str
     """countWindow(size): consecutive groups of ``size`` rows per key; an
     incomplete tail never fires."""
     s = prefix_scan(df, [key], [order], chunk_of(order, width), [Agg("_rn", "count", F.lit(1))])
-    s = s.withColumn("win_no", ((F.col("_rn") - 1 - F.pmod(F.col("_rn") - 1, F.lit(size))) / size).cast("bigint"))
+    s = s.withColumn("win_no", floor_div("`_rn` - 1", size))
     g = s.groupBy(key, "win_no").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum(value).cast("bigint").alias("sum_vc"),
         F.min(order).alias("first_arrival"), F.max(order).alias("last_arrival"))
