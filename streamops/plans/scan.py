@@ -242,3 +242,19 @@ GLOBAL_CHUNK = 1 << 20
 # (100 TB of readings over a month) that is ~2e7 rows per task, and 43,200
 # chunk rows per key per month.
 TIME_CHUNK_MS = 60_000
+
+
+def suggest_width(df: DataFrame, order_col: str, target_rows: int = 4_000_000,
+                  lo: int = 1 << 10, hi: int = 1 << 40) -> int:
+    """A chunk width (in ``order_col`` units) that gives about ``target_rows``
+    rows per chunk when the order values are spread evenly: one small
+    aggregate (count, min, max) over the column, clamped to [lo, hi].  Rows of
+    a single key are at most that many per task; pass the result as ``width``.
+    """
+    r = df.agg(F.count(F.col(order_col)).alias("n"), F.min(order_col).alias("a"),
+               F.max(order_col).alias("b")).first()
+    if not r["n"]:
+        return lo
+    span = int(r["b"]) - int(r["a"]) + 1
+    w = -(-span * target_rows // int(r["n"]))
+    return int(min(max(w, lo), hi))

@@ -93,3 +93,12 @@ def test_null_order_rows_are_kept(spark, reuse):
     out = prefix_scan(df, ["k"], ["o"], chunk_of("o", 4), [Agg("s", "sum", F.col("x"))], reuse_input=reuse)
     got = {(r["k"], r["o"]): r["s"] for r in out.collect()}
     assert got == {("a", None): 1, ("a", 3): 3, ("a", 9): 7, ("b", None): 8}
+
+
+def test_suggest_width(spark):
+    from streamops.plans.scan import suggest_width
+    from streamops.sources.tables import sensor
+    s = sensor(spark, "/root/testdata/sf0.01")  # arrival 0..9999, dense
+    assert suggest_width(s, "arrival", target_rows=2_000, lo=1) == 2_000
+    assert suggest_width(s, "ts_ms", target_rows=100, lo=1) > 60_000  # ~260 s per row
+    assert suggest_width(s.limit(0), "arrival") == 1 << 10
