@@ -160,5 +160,17 @@ class ForeachRowSink:
 
 
 def console(df: DataFrame, label: str, checkpoint: str, mode: str = "append"):
+    """Labelled console output on stdout (print)."""
     return (df.writeStream.format("console").queryName(label).outputMode(mode)
               .option("checkpointLocation", checkpoint).start())
+
+
+def console_err(df: DataFrame, label: str, checkpoint: str):
+    """Labelled per-row output on the executors' stderr (printToErr)."""
+
+    def emit(row):
+        import sys as _sys
+        print(f"{label}> {row}", file=_sys.stderr)
+
+    return (df.writeStream.foreach(emit).queryName(label)
+              .option("checkpointLocation", checkpoint).start())

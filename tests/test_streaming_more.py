@@ -116,6 +116,10 @@ def test_custom_foreach_sink_and_console(spark):
     q = sinks.console(events_stream(spark, src).select("id"), "sensors", tempfile.mkdtemp(prefix="streamops-ck-"))
     q.processAllAvailable()
     q.stop()
+    q = sinks.console_err(events_stream(spark, src).select("id"), "sensors_err", tempfile.mkdtemp(prefix="streamops-ck-"))
+    q.processAllAvailable()
+    assert q.exception() is None
+    q.stop()
 
 
 def test_threshold_join_stream_matches_batch(spark, tmp_path):
