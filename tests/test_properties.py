@@ -92,3 +92,58 @@ def test_sessions_match_gap_split(spark, evs, gap):
             cur.append((t, v))
         want.append((k, cur[0][0], cur[-1][0] + gap, len(cur), sum(x for _, x in cur)))
     assert got == sorted(want)
+
+
+def simulate(evs, size, delay, late):
+    """Event-by-event model: after each row the watermark is max_ts - delay - 1;
+    a window [S, E) fires (firing 0, on-time rows) once the watermark reaches
+    E - 1; a row for a fired window within the lateness re-fires it with the
+    cumulative totals; beyond it the row is a side output."""
+    mx, classes, firings, state = None, {}, [], {}
+    for arrival, (k, t, v) in enumerate(evs):
+        wm = None if mx is None else mx - delay - 1
+        e = t - t % size + size
+        w = (k, e - size)
+        st = state.setdefault(w, {"cnt": 0, "sum": 0, "fired": False, "n": 0})
+        if wm is not None and e - 1 + late <= wm:
+            classes[arrival] = "closed"
+        elif wm is not None and e - 1 <= wm:
+            classes[arrival] = "allowed"
+            st["cnt"] += 1
+            st["sum"] += v
+            st["n"] += 1
+            firings.append((k, e - size, st["n"], st["cnt"], st["sum"]))
+        else:
+            classes[arrival] = "on_time"
+            st["cnt"] += 1
+            st["sum"] += v
+        mx = t if mx is None else max(mx, t)
+    # firing 0 of every window that had on-time rows (at its watermark or at the end-of-input flush)
+    on = {}
+    for arrival, (k, t, v) in enumerate(evs):
+        if classes[arrival] == "on_time":
+            c = on.setdefault((k, t - t % size), [0, 0])
+            c[0] += 1
+            c[1] += v
+    firings += [(k, s, 0, c, sm) for (k, s), (c, sm) in on.items()]
+    return classes, sorted(firings)
+
+
+stream = st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(min_value=0, max_value=300),
+                            st.integers(min_value=0, max_value=9)), min_size=1, max_size=80)
+
+
+@SETTINGS
+@given(stream, st.integers(min_value=0, max_value=40), st.integers(min_value=0, max_value=40))
+def test_lateness_matches_event_simulation(spark, evs, delay, late):
+    from pyspark.sql import functions as F
+    from streamops.operators import lateness
+    size = 50
+    df = spark.createDataFrame([(k, t, v, i) for i, (k, t, v) in enumerate(evs)],
+                               "id string, ts_ms bigint, vc int, arrival bigint").withColumn("arr_ms", F.col("arrival"))
+    c = lateness.classify_tumbling(lateness.watermark_trace(df, delay, chunk_width=16), size, late)
+    classes, firings = simulate(evs, size, delay, late)
+    assert {r["arrival"]: r["lateness"] for r in c.collect()} == classes
+    got = sorted((r["id"], r["w_start"], r["firing"], r["cnt"], r["sum_vc"])
+                 for r in lateness.window_firings(c, chunk_width=16).collect())
+    assert got == firings
