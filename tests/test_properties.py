@@ -147,3 +147,56 @@ def test_lateness_matches_event_simulation(spark, evs, delay, late):
     got = sorted((r["id"], r["w_start"], r["firing"], r["cnt"], r["sum_vc"])
                  for r in lateness.window_firings(c, chunk_width=16).collect())
     assert got == firings
+
+
+keyed = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(min_value=0, max_value=60),
+                           st.integers(min_value=-5, max_value=30)), min_size=1, max_size=90)
+
+
+@SETTINGS
+@given(keyed)
+def test_keyed_state_matches_sequential_model(spark, evs):
+    from streamops.operators import joins, state, windows
+    # arrival = list position; time increases with arrival (steps 0..60 ms)
+    rows, t = [], 0
+    for i, (k, step, v) in enumerate(evs):
+        t += step
+        rows.append((k, t, v, i))
+    df = spark.createDataFrame(rows, "id string, ts_ms bigint, vc int, arrival bigint")
+    W = 3  # tiny chunks: carries across chunks are exercised
+    prev, top, ttl, last_t, pos, buf = {}, {}, {}, {}, {}, {}
+    alerts, tops, states, tumb, slid = [], {}, {}, [], []
+    for k, t, v, a in rows:
+        p = prev.get(k, 0)
+        if abs(v - p) > 10:
+            alerts.append((a, p))
+        prev[k] = v
+        top[k] = sorted(top.get(k, []) + [v], reverse=True)[:3]
+        tops[a] = tuple((top[k] + [None] * 3)[:3])
+        if k in last_t and t - last_t[k] >= 25:
+            ttl.pop(k, None)
+        states[a] = ttl.get(k)
+        if v > 10:
+            ttl[k] = v
+        last_t[k] = t
+        pos[k] = pos.get(k, 0) + 1
+        buf[k] = (buf.get(k, []) + [v])[-5:]
+        if pos[k] % 5 == 0:
+            tumb.append((k, pos[k] // 5 - 1, sum(buf[k])))
+        if pos[k] % 2 == 0:
+            slid.append((k, pos[k], len(buf[k]), sum(buf[k])))
+    assert sorted((r["arrival"], r["prev_vc"]) for r in state.jump_alert(df, width=W).collect()) == sorted(alerts)
+    assert {r["arrival"]: (r["top1"], r["top2"], r["top3"]) for r in state.running_top_k(df, 3, width=W).collect()} == tops
+    assert {r["arrival"]: r["state"] for r in state.ttl_state(df, 25, width=W).collect()} == states
+    assert sorted((r["id"], r["win_no"], r["sum_vc"]) for r in windows.count_window_tumbling(df, 5, width=W).collect()) == sorted(tumb)
+    assert sorted((r["id"], r["pos"], r["cnt"], r["sum_vc"]) for r in windows.count_window_sliding(df, 5, 2, width=W).collect()) == sorted(slid)
+    # as-of: rows of key 'c' are the config stream, the rest data; default threshold 0
+    th, want = 0, []
+    for k, t, v, a in rows:
+        if k == "c":
+            th = v
+        elif v > th:
+            want.append((a, v, th))
+    data, cfg = df.where("id <> 'c'"), df.where("id = 'c'").withColumnRenamed("vc", "threshold")
+    got = sorted((r["arrival"], r["vc"], r["threshold"]) for r in joins.asof_threshold(data, cfg, width=W).collect())
+    assert got == want
