@@ -200,3 +200,49 @@ def test_keyed_state_matches_sequential_model(spark, evs):
     data, cfg = df.where("id <> 'c'"), df.where("id = 'c'").withColumnRenamed("vc", "threshold")
     got = sorted((r["arrival"], r["vc"], r["threshold"]) for r in joins.asof_threshold(data, cfg, width=W).collect())
     assert got == want
+
+
+@SETTINGS
+@given(keyed)
+def test_rolling_family_matches_sequential_model(spark, evs):
+    from streamops.operators import rolling, state
+    rows, t = [], 0
+    for i, (k, step, v) in enumerate(evs):
+        t += step
+        rows.append((k, t, v, i))
+    df = spark.createDataFrame(rows, "id string, ts_ms bigint, vc int, arrival bigint")
+    W = 4
+    first_ts, s, mx, mn, mxb, mnb, vcnt, n, bucket = {}, {}, {}, {}, {}, {}, {}, {}, {}
+    want = {f: {} for f in ("sum", "max", "min", "maxby", "minby", "reduce", "counts", "avg", "bucket")}
+    for k, t, v, a in rows:
+        first_ts.setdefault(k, t)
+        s[k] = s.get(k, 0) + v
+        n[k] = n.get(k, 0) + 1
+        mx[k] = max(mx.get(k, v), v)
+        mn[k] = min(mn.get(k, v), v)
+        if k not in mxb or v > mxb[k][0]:
+            mxb[k] = (v, t)
+        if k not in mnb or v < mnb[k][0]:
+            mnb[k] = (v, t)
+        vcnt[(k, v)] = vcnt.get((k, v), 0) + 1
+        b = a % 3
+        bucket[b] = bucket.get(b, 0) + 1
+        want["sum"][a] = (first_ts[k], s[k])
+        want["max"][a] = (first_ts[k], mx[k])
+        want["min"][a] = (first_ts[k], mn[k])
+        want["maxby"][a] = (mxb[k][1], mxb[k][0])
+        want["minby"][a] = (mnb[k][1], mnb[k][0])
+        want["reduce"][a] = (t, s[k])
+        want["counts"][a] = vcnt[(k, v)]
+        want["avg"][a] = s[k] / n[k]
+        want["bucket"][a] = (b, bucket[b])
+    pair = lambda d: {r["arrival"]: (r["ts_ms"], r["vc"]) for r in d.collect()}
+    assert pair(rolling.rolling_sum(df, width=W)) == want["sum"]
+    assert pair(rolling.rolling_max(df, width=W)) == want["max"]
+    assert pair(rolling.rolling_max(df, width=W, use_min=True)) == want["min"]
+    assert pair(rolling.rolling_max_by(df, width=W)) == want["maxby"]
+    assert pair(rolling.rolling_max_by(df, width=W, use_min=True)) == want["minby"]
+    assert pair(rolling.rolling_reduce(df, width=W)) == want["reduce"]
+    assert {r["arrival"]: r["cnt"] for r in state.value_counts_running(df, width=W).collect()} == want["counts"]
+    assert {r["arrival"]: r["avg_vc"] for r in state.running_avg(df, width=W).collect()} == want["avg"]
+    assert {r["arrival"]: (r["bucket"], r["cnt"]) for r in state.bucket_running_count(df, 3, width=W).collect()} == want["bucket"]
