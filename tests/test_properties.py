@@ -246,3 +246,40 @@ def test_rolling_family_matches_sequential_model(spark, evs):
     assert {r["arrival"]: r["cnt"] for r in state.value_counts_running(df, width=W).collect()} == want["counts"]
     assert {r["arrival"]: r["avg_vc"] for r in state.running_avg(df, width=W).collect()} == want["avg"]
     assert {r["arrival"]: (r["bucket"], r["cnt"]) for r in state.bucket_running_count(df, 3, width=W).collect()} == want["bucket"]
+
+
+pts = st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(min_value=-200, max_value=400),
+                         st.integers(min_value=0, max_value=4)), min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(pts, pts, st.integers(min_value=1, max_value=90), st.integers(min_value=1, max_value=90))
+def test_windows_joins_topn_match_brute_force(spark, xs, ys, size, slide):
+    from streamops.operators import joins, topn, windows
+    mk = lambda r: spark.createDataFrame([(k, t, v, i) for i, (k, t, v) in enumerate(r)],
+                                         "id string, ts_ms bigint, vc int, arrival bigint")
+    L, R = mk(xs), mk(ys)
+    # sliding assignment: window starts s = j * slide with s <= t < s + size
+    want = sorted((i, s) for i, (k, t, v) in enumerate(xs)
+                  for s in range((t - size) // slide * slide, t + 1, slide) if s <= t < s + size)
+    got = sorted((r["arrival"], r["w_start"]) for r in windows.assign_sliding(L, size, slide).collect())
+    assert got == want
+    # interval join, both plans, bounds inclusive
+    lo, hi = -slide, size
+    pairs = sorted((i, j) for i, (k, t, _) in enumerate(xs) for j, (k2, t2, _) in enumerate(ys)
+                   if k == k2 and t + lo <= t2 <= t + hi)
+    for f in (joins.interval_join, joins.interval_join_bucketed):
+        assert sorted((r["l_arrival"], r["r_arrival"]) for r in f(L, R, lo, hi).collect()) == pairs
+    # window join
+    wj = sorted((i, j) for i, (k, t, _) in enumerate(xs) for j, (k2, t2, _) in enumerate(ys)
+                if k == k2 and t - t % size == t2 - t2 % size)
+    assert sorted((r["l_arrival"], r["r_arrival"]) for r in joins.window_join(L, R, size).collect()) == wj
+    # top-2 by frequency per sliding window, ties by smaller value; both plans
+    from collections import Counter
+    per = {}
+    for i, s in want:
+        per.setdefault(s, Counter())[xs[i][2]] += 1
+    tn = sorted((s, rank + 1, v, c) for s, cnt in per.items()
+                for rank, (v, c) in enumerate(sorted(cnt.items(), key=lambda e: (-e[1], e[0]))[:2]))
+    for f in (topn.topn_all_window, topn.topn_keyed):
+        assert sorted((r["w_start"], r["rank"], r["vc"], r["cnt"]) for r in f(L, 2, size, slide).collect()) == tn
