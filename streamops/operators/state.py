@@ -70,12 +70,14 @@ def ttl_state(df: DataFrame, ttl_ms: int, key: str = "id", order: str = "arrival
     brk = F.col("_pt").isNull() | (F.col(time) - F.col("_pt") >= ttl_ms)
     # one more scan carries both the start of the current island and the
     # last write before this row; a write from an earlier island is expired
+    # (the last write's arrival and value share one non-null mask, so they
+    # always come from the same row; primitive columns keep hash aggregates)
+    wrote = F.col(value) > write_above
     s = prefix_scan(s, [key], [order], chunk_of(order, width),
                     [Agg("_start", "last_nonnull", F.when(brk, F.col(order))),
-                     Agg("_w", "last_nonnull", F.when(F.col(value) > write_above,
-                                                      F.struct(F.col(order).alias("o"), F.col(value).alias("v"))),
-                         inclusive=False)])
-    s = s.withColumn("state", F.when(F.col("_w.o") >= F.col("_start"), F.col("_w.v")))
+                     Agg("_wo", "last_nonnull", F.when(wrote, F.col(order)), inclusive=False),
+                     Agg("_wv", "last_nonnull", F.when(wrote, F.col(value)), inclusive=False)])
+    s = s.withColumn("state", F.when(F.col("_wo") >= F.col("_start"), F.col("_wv")))
     return s.select(order, key, time, value, "state")
 
 
