@@ -49,7 +49,13 @@ def rolling_max(df: DataFrame, key: str = "id", order: str = "arrival", value: s
 def rolling_max_by(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
                    time: str = "ts_ms", width: int = DEFAULT_CHUNK, use_min: bool = False) -> DataFrame:
     """``maxBy(value)`` (or minBy): the whole record holding the running
-    extreme; on ties the earliest record stays."""
+    extreme; on ties the earliest record stays.
+
+    The record is one struct ``(value, -arrival, time)`` ordered as a whole,
+    so the chunk totals are a sort-based aggregate (struct buffers).  The
+    primitive alternative – a running max, then the last row that raised it –
+    needs two chained scans, i.e. a second full shuffle, which costs more than
+    the map-side sort."""
     if use_min:
         rec = F.struct(F.col(value).alias("v"), F.col(order).alias("o"), F.col(time).alias("t"))
         agg = Agg("_r", "min", rec)
