@@ -35,22 +35,27 @@ def kafka_write_options(bootstrap: str, topic: str, checkpoint: str, **extra) ->
     return opts
 
 
+def kafka_records(rows: DataFrame) -> DataFrame:
+    """The columns the Kafka sink takes: ``key``, ``value``, ``topic`` when
+    present, and a ``dedup_id`` record header when the rows carry one."""
+    out = rows
+    if "dedup_id" in rows.columns:
+        out = rows.withColumn("headers", F.array(F.struct(F.lit("dedup_id").alias("key"),
+                                                          F.col("dedup_id").cast("binary").alias("value"))))
+    return out.select(*[c for c in ("key", "value", "topic", "headers") if c in out.columns])
+
+
 def kafka_stream_sink(rows: DataFrame, bootstrap: str, topic: str | None, checkpoint: str,
                       trigger: str = "2 seconds", **extra):
     """Kafka sink (K2/K3): ``rows`` has ``value`` and optionally ``key`` /
     ``topic``.  At-least-once; consumers drop replays by ``dedup_id``, which is
     sent as a record header."""
-    out = rows
-    if "dedup_id" in rows.columns:
-        out = rows.withColumn("headers", F.array(F.struct(F.lit("dedup_id").alias("key"),
-                                                          F.col("dedup_id").cast("binary").alias("value"))))
-    cols = [c for c in ("key", "value", "topic", "headers") if c in out.columns]
+    out = kafka_records(rows)
     opts = {"kafka.bootstrap.servers": bootstrap, "checkpointLocation": checkpoint}
     if topic:
         opts["topic"] = topic
     opts.update(extra)
-    return (out.select(*cols).writeStream.format("kafka").options(**opts)
-               .trigger(processingTime=trigger).start())
+    return out.writeStream.format("kafka").options(**opts).trigger(processingTime=trigger).start()
 
 
 def with_hour_bucket(df: DataFrame, time_ms: str = "ts_ms") -> DataFrame:

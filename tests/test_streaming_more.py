@@ -229,3 +229,14 @@ def test_stateless_operators_run_unchanged_on_streams(spark):
     for name, f in cases.items():
         got = run_to_memory(f(st))
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, f(b).collect())), name
+
+
+def test_kafka_records_shape(spark):
+    from streamops.sources.tables import sensor_lines
+    b = sensor(spark, SF001)
+    rec = sinks.kafka_records(sinks.kafka_value_rows(sensor_lines(b), id_col="rec"))
+    assert rec.columns == ["value", "headers"]
+    r = rec.first()
+    assert r["headers"][0]["key"] == "dedup_id" and bytes(r["headers"][0]["value"]).decode().isdigit()
+    keyed = sinks.kafka_records(sinks.kafka_keyed_rows(sensor_lines(b), "t"))
+    assert keyed.columns == ["key", "value", "topic"] and keyed.count() == b.count()
