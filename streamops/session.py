@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -68,17 +69,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is used as
-    is.  Only when it is unset (local tests) do we create one.
+    is.  Only when it is unset and the master is local (tests) do we create
+    one: on a cluster a machine-local folder would lose rows, so this raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         d = tempfile.mkdtemp(prefix="streamops-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # core settings may be read-only at run time
-            pass
     spark.sparkContext.setCheckpointDir(d)
     return d
 
