@@ -9,13 +9,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streamops.session import scratch_path
 from streamops.sources.tables import read_table
 
 __all__ = ["as_text", "filesystem", "hash_words", "local_path", "mix", "read_table", "scratch_path", "settle",
-           "split_words", "u64"]
+           "split_words", "u64", "with_text"]
 
 # Odd multipliers for mixing 64-bit hashes (fixed values of this package).
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -35,6 +36,20 @@ def settle(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_text(docs: DataFrame, row: Column, text: Column, changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of the struct ``row``, with another text
+    where ``changed``; n_chars, where there is one, follows the text."""
+    out = []
+    for f in docs.schema.fields:
+        c = row.getField(f.name)
+        if f.name == "text":
+            c = F.when(changed, text).otherwise(c)
+        elif f.name == "n_chars":
+            c = F.when(changed, F.length(text).cast(f.dataType)).otherwise(c)
+        out.append(c.alias(f.name))
+    return out
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and inner path of a shared-folder URI or plain path."""
     if "://" in uri or uri.startswith("file:"):

@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from streamops.llm import packing
+from streamops.llm import decontaminate, html, packing, pii, quality, secrets, warc
 from streamops.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -18,7 +18,39 @@ def op9_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.PATTERN)
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents: one row per document and item."""
+    return decontaminate.contaminated(spark, read_table(spark, sf_dir, "documents"),
+                                      read_table(spark, sf_dir, "benchmark"))
+
+
+def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(spark, read_table(spark, sf_dir, "documents")).drop("_id", "_row", "removed")
+
+
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
+    "op4_secret_scan": op4_secret_scan,
+    "op7_pii": op7_pii,
+    "op8_decontamination": op8_decontamination,
+    "op2_warc": op2_warc,
+    "op10_quality_lines": op10_quality_lines,
     "op9_bestfit_packing": op9_bestfit_packing,
 }
 ORACLE: dict[str, str] = {}
