@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from streamops.llm import decontaminate, html, packing, pii, quality, secrets, warc
+from streamops.llm import decontaminate, html, langid, minhash, ngram, packing, pii, quality, secrets, warc
 from streamops.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -26,10 +26,22 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.score(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(spark, read_table(spark, sf_dir, "documents"))
 
@@ -46,11 +58,14 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_warc": op2_warc,
+    "op3_minhash": op3_minhash,
     "op4_secret_scan": op4_secret_scan,
+    "op5_lm_scoring": op5_lm_scoring,
+    "op6_language_id": op6_language_id,
     "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
-    "op2_warc": op2_warc,
-    "op10_quality_lines": op10_quality_lines,
     "op9_bestfit_packing": op9_bestfit_packing,
+    "op10_quality_lines": op10_quality_lines,
 }
 ORACLE: dict[str, str] = {}
