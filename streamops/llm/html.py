@@ -34,7 +34,7 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open element of one of these kinds, up to a boundary.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-        "tr": ({"tr", "td", "th"}, {"table", "tbody", "thead", "tfoot"}),
+        "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"}),
         "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"})}
 P_KEEPS = frozenset("address article aside blockquote button body caption center dd details dialog div dl dt fieldset "
@@ -155,6 +155,8 @@ def parse(html: str) -> Page:
             if tag in ("br", "hr", "img", "wbr"):
                 page.runs.append((block, stack[-1], "" if tag == "wbr" else " ", False))
             continue
+        if tag in ("td", "th"):
+            page.runs.append((block, stack[-1], " ", False))
         if tag == "a" and (i := open_at({"a"}, P_KEEPS)):
             close(i)
         if tag in RAW:                                 # its content is no markup and no article text
@@ -196,7 +198,7 @@ def main_text(html: str | None) -> str:
         size[node] += length
         link[node] += linked
         points = (len(words) >= 25) + words.count(",") + words.count("，") + min(len(words) / 100, 3.0)
-        up, level = (page.parent[node] if page.tag[node] not in ("article", "main", "div", "section", "td", "body")
+        up, level = (page.parent[node] if page.tag[node] not in ("article", "main", "div", "section", "body")
                      else node), 0
         while up > 0 and level < 5:
             score[up] += points / (1, 2, 6, 9, 12)[level]
@@ -213,6 +215,8 @@ def main_text(html: str | None) -> str:
     best = max(range(n), key=lambda i: (total[i], -i))
     if total[best] <= 0:
         best = max(range(n), key=lambda i: (page.tag[i] in ("article", "main", "body"), size[i], i))
+    while page.tag[best] in ("tr", "tbody", "thead", "tfoot", "li", "dt", "dd"):
+        best = page.parent[best]                       # rows and list items are parts, not containers
     up = best
     while up > 0 and page.tag[up] not in ("article", "main"):
         up = page.parent[up]

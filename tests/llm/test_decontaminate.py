@@ -1,0 +1,143 @@
+"""Benchmark decontamination against a plain greedy string tiling."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from streamops.llm import decontaminate as dec
+from tests.conftest import SF001
+from tests.llm.fixtures import documents, hostile, rows_of, words
+
+
+def plain_tiles(p, t, least):
+    """Greedy string tiling by its definition."""
+    fp, ft, out = [True] * len(p), [True] * len(t), []
+    while True:
+        best = []
+        top = least
+        for i in range(len(p)):
+            for j in range(len(t)):
+                k = 0
+                while i + k < len(p) and j + k < len(t) and p[i + k] == t[j + k] and fp[i + k] and ft[j + k]:
+                    k += 1
+                if k > top or (k == top and k >= least):
+                    if k > top:
+                        best, top = [], k
+                    best.append((i, j))
+        if not best:
+            return out
+        for i, j in best:
+            if all(fp[i:i + top]) and all(ft[j:j + top]):
+                fp[i:i + top] = [False] * top
+                ft[j:j + top] = [False] * top
+                out.append(top)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_tiles_equal_the_definition(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(25):
+        v = int(rng.integers(2, 30))
+        p, t = rng.integers(0, v, rng.integers(1, 40)), rng.integers(0, v, rng.integers(1, 60))
+        if rng.random() < 0.7 and len(p) > 8:          # pieces of p in another order
+            cut = len(p) // 2
+            t = np.concatenate((t[:5], p[cut:], t[5:10], p[:cut], t[10:]))
+        got = dec.tile(p.astype(np.int64), t.astype(np.int64), 3)
+        used_p, used_t = set(), set()
+        for k, x, y in got:
+            assert (p[x:x + k] == t[y:y + k]).all() and k >= 3
+            assert used_p.isdisjoint(range(x, x + k)) and used_t.isdisjoint(range(y, y + k))
+            used_p |= set(range(x, x + k))
+            used_t |= set(range(y, y + k))
+        want = plain_tiles(p.tolist(), t.tolist(), 3)
+        assert max((g[0] for g in got), default=0) == max(want, default=0)
+        assert abs(sum(g[0] for g in got) - sum(want)) <= 3          # ties may be broken another way
+
+
+def test_long_windows_have_the_same_hash():
+    x = np.random.default_rng(1).integers(0, 50, 200)
+    for size in (17, 40, 200):
+        h = dec.window_hashes(x, size)
+        for i in range(len(h)):
+            assert h[i] == dec.window_hashes(x[i:i + size], size)[0]
+        y = np.concatenate((x[7:7 + size], x)) if size < 190 else np.concatenate((x, x))
+        assert dec.window_hashes(y, size)[0] in h
+
+
+def test_repetitive_texts():
+    p, t = np.zeros(3000, np.int64), np.zeros(20_000, np.int64)
+    assert sum(x[0] for x in dec.tile(p, t)) == 3000
+
+
+def bench(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+
+
+def brute(docs, items, coverage=dec.COVERAGE, least=dec.MIN_MATCH):
+    out = []
+    for d, text in docs:
+        t = [w for w in map(dec.token, split(text)) if w]
+        grams = {tuple(t[i:i + least]) for i in range(len(t) - least + 1)}
+        for i, item in sorted(set(items), key=str):
+            p = [w for w in map(dec.token, split(item)) if w]
+            if len(p) >= least and any(tuple(p[k:k + least]) in grams for k in range(len(p) - least + 1)):
+                if sum(plain_tiles(p, t, least)) >= coverage * len(p):
+                    out.append((d, i))
+    return sorted(out, key=str)
+
+
+def split(text):
+    import re
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_planted_passages(spark):
+    rng = random.Random(2)
+    items = [" ".join(words(rng, rng.randint(15, 40))) for _ in range(12)]
+    filler = lambda n: " ".join(words(rng, n))
+    texts = []
+    for i, item in enumerate(items):
+        w = item.split()
+        cut = len(w) // 2
+        texts += [filler(30) + " " + item + " " + filler(20), item.upper() + "!", "\n".join(w),
+                  filler(10) + " " + " ".join(w[cut:]) + " " + filler(9) + " " + " ".join(w[:cut]),   # reordered
+                  " ".join(w[:5]) + " " + filler(40), filler(60)]
+    docs = documents(spark, texts + hostile(rng), extra=True)
+    b = bench(spark, [*items, None, "", "too short here", items[0]])
+    got = sorted(((r["doc_id"], r["item_id"]) for r in rows_of(dec.contaminated(spark, docs, b))), key=str)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if len(r["text"] or "") < 10_000]
+    want = brute(rows, [(r["item_id"], r["text"]) for r in b.collect()])
+    assert got == want and len({d for d, _ in got}) >= 4 * len(items)
+    flagged = {d for d, _ in got}
+    for i in range(len(items)):
+        assert {6 * i, 6 * i + 1, 6 * i + 2, 6 * i + 3} <= flagged and not {6 * i + 4, 6 * i + 5} & flagged
+    out = dec.remove(spark, docs, b)
+    assert out.columns == docs.columns and {r["doc_id"] for r in rows_of(out)} == set(range(len(texts) + 13)) - flagged
+    # small blocks of the benchmark give the same rows
+    assert sorted(((r["doc_id"], r["item_id"]) for r in rows_of(dec.contaminated(spark, docs, b, block_chars=300))), key=str) == got
+
+
+def test_the_table(spark):
+    docs, b = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "benchmark"))
+    got = {(r["doc_id"], r["item_id"]) for r in rows_of(dec.contaminated(spark, docs, b))}
+    inside = {(d["doc_id"], i["item_id"]) for d in docs.collect() for i in b.collect() if i["text"] in (d["text"] or "")}
+    assert inside <= got and len(got) < 3 * len(inside) + 5
+
+
+def test_empty_tables_and_nulls(spark):
+    docs, b = documents(spark, ["one two three four five six", None]), bench(spark, ["one two three four five six", None])
+    assert [(r["doc_id"], r["item_id"], r["coverage"]) for r in rows_of(dec.contaminated(spark, docs, b))] == [(0, 0, 1.0)]
+    assert dec.contaminated(spark, docs.limit(0), b).count() == 0 and dec.contaminated(spark, docs, b.limit(0)).count() == 0
+    assert dec.remove(spark, docs, b.limit(0)).count() == 2 and dec.remove(spark, docs.limit(0), b).count() == 0
+    twice = rows_of(dec.contaminated(spark, docs.union(docs), b.union(b)))
+    assert len(twice) == 2
+    null = spark.createDataFrame([(None, "one two three four five six")], "doc_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in rows_of(dec.contaminated(spark, null, b))] == [(None, 0)]
+
+
+def test_index_ignores_punctuation_tokens():
+    index = dec.Index([(1, "Alpha, beta -- gamma; delta epsilon!")])
+    hits = list(index.batch(pa.array(["x alpha * beta gamma\n'delta' EPSILON y", "alpha beta gamma delta"]), 0.5))
+    assert [(r, i, n) for r, i, n, _ in hits] == [(0, 1, 5)]

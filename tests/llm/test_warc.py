@@ -1,0 +1,138 @@
+"""WARC archives: exact round trip, roles, push-down, damage."""
+
+import base64
+import hashlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from streamops.llm import warc
+from tests.conftest import SF001
+from tests.llm.fixtures import rows_of
+
+PAGES = "page_id long, url string, html string, record_type string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "clash") for r in rows], PAGES)
+
+
+def brute(rows, least=0):
+    groups = defaultdict(list)
+    for i, _, h in rows:
+        groups[h or ""].append(i)
+    out = []
+    for i, _, h in rows:
+        raw = (h or "").encode()
+        ids = [x for x in groups[h or ""] if x is not None]
+        lead = max(ids) if ids and len(groups[h or ""]) > 1 and len(raw) >= least else None
+        revisit = lead is not None and i != lead
+        out.append((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(),
+                    "revisit" if revisit else "response", lead if revisit else None))
+    return sorted(out, key=str)
+
+
+ROWS = [(1, "http://a/1", "<p>x</p>"), (2, "http://a/2", "<p>x</p>"), (3, None, None), (4, "http://a/4", ""),
+        (5, "http://é/5\nX: y", "<p>é 漢字 😀\r\n\r\nWARC/1.1\r\n</p>"), (6, "u", "<p>x</p>"), (7, "u", "z" * 200_000), (None, "u", "<p>x</p>"),
+        (8, "u", "\r\n"), (9, "u", "a\x00b"), (9, "u", "a\x00b"), (None, None, None), (-5, "u", "HTTP/1.1 200 OK\r\n\r\n")]
+
+
+def digests(df):
+    return sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])
+                   for r in rows_of(df)), key=str)
+
+
+def test_round_trip(spark):
+    assert digests(warc.round_trip(spark, pages(spark, ROWS))) == brute(ROWS)
+
+
+def test_small_payloads_can_be_left_alone(spark):
+    assert digests(warc.round_trip(spark, pages(spark, ROWS), min_bytes=9)) == brute(ROWS, 9)
+
+
+def test_the_table(spark):
+    df = spark.read.parquet(f"{SF001}/pages.parquet")
+    rows = [(r["page_id"], r["url"], r["html"]) for r in df.collect()]
+    assert digests(warc.round_trip(spark, df)) == brute(rows)
+
+
+def test_a_hot_payload(spark):
+    rows = [(i, "u", "same" if i % 2 else f"own {i}") for i in range(300)]
+    assert digests(warc.round_trip(spark, pages(spark, rows).repartition(6))) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert warc.round_trip(spark, pages(spark, ROWS).limit(0)).count() == 0
+
+
+def written(spark, rows=ROWS, archive_bytes=64 << 20):
+    return warc.write_archives(spark, pages(spark, rows))
+
+
+def test_payloads_and_headers_come_back(spark):
+    folder, manifest = written(spark)
+    got = rows_of(warc.read(spark, folder))
+    assert len(got) == len(ROWS)
+    stored = {r["page_id"]: bytes(r["payload"]).decode() for r in got if r["record_type"] == "response" and r["page_id"] is not None}
+    for i, _, h in ROWS:
+        if i in stored:
+            assert stored[i] == (h or "")
+    assert all(r["payload"] is None for r in got if r["record_type"] == "revisit")
+    assert {r["url"] for r in got if r["page_id"] == 5} == {"http://é/5 X: y"}
+    assert rows_of(warc.read(spark, folder, manifest=manifest).select("page_id", "at").orderBy("at")) == rows_of(
+        warc.read(spark, folder).select("page_id", "at").orderBy("at"))
+
+
+def test_filters_reach_the_reader(spark):
+    folder, _ = written(spark)
+    df = warc.read(spark, folder).where((F.col("record_type") == "revisit") & F.col("page_id").isin(1, 2, 7))
+    assert sorted(r["page_id"] for r in rows_of(df)) == [1, 2]
+    reader = warc.WarcReader({"path": folder})
+    left = list(reader.pushFilters([warc.EqualTo(("record_type",), "revisit"), warc.In(("page_id",), (1, 2, 7)),
+                                    warc.EqualTo(("payload_bytes",), 3), warc.IsNotNull(("url",))]))
+    assert len(left) == 1 and reader.wanted == {"record_type": {"revisit"}, "page_id": {1, 2, 7}}
+    rows = [r for p in reader.partitions() for r in reader.read(p)]
+    assert sorted(r[0] for r in rows) == [1, 2]
+
+
+def test_unwanted_payloads_are_not_read(spark, monkeypatch):
+    folder, _ = written(spark, [(i, "u", "y" * 500_000 + str(i)) for i in range(4)])
+    reader, read = warc.WarcReader({"path": folder}), []
+    list(reader.pushFilters([warc.EqualTo(("page_id",), 2)]))
+    import io
+
+    class Counting(io.BufferedReader):
+        def read(self, n=-1):
+            read.append(n)
+            return super().read(n)
+    monkeypatch.setattr(io, "BufferedReader", Counting)
+    assert [r[0] for p in reader.partitions() for r in reader.read(p)] == [2]
+    assert read == [500_001]
+
+
+def test_one_partition_for_each_archive(spark):
+    folder, _ = written(spark)
+    reader = warc.WarcReader({"path": folder})
+    assert len(reader.partitions()) == len({p for x in reader.partitions() for p in x.paths})
+    assert len(warc.WarcReader({"path": folder, "archivesPerTask": "100"}).partitions()) == 1
+
+
+def test_archives_are_cut_at_their_size(spark):
+    from streamops.session import scratch_path
+    top = scratch_path(spark, "cut")
+    made = rows_of(warc.write(spark, pages(spark, [(i, "u", "y" * 1000 + str(i)) for i in range(20)]).coalesce(1), top,
+                              archive_bytes=4000))
+    assert sum(r["records"] for r in made) == 20 and len(made) >= 5
+    assert warc.read(spark, top, verify=True).count() == 20
+
+
+def test_damage_is_noticed(spark, tmp_path):
+    good = warc.record("response", 1, "u", b"payload", warc.digest(b"payload"), None)
+    (tmp_path / "a.warc").write_bytes(good.replace(b"payload", b"paYload"))
+    reader = warc.WarcReader({"path": str(tmp_path), "verify": "true"})
+    with pytest.raises(ValueError, match="digest"):
+        list(reader.read(reader.partitions()[0]))
+    (tmp_path / "a.warc").write_bytes(b"junk\r\n" + good)
+    with pytest.raises(ValueError, match="no WARC record"):
+        list(reader.read(reader.partitions()[0]))
