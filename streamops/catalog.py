@@ -14,6 +14,7 @@ from streamops.functions.parse import parse_sensor_lines
 from streamops.functions.scalar import scalar_bundle
 from streamops.functions.tokenize import tokenize_lines
 from streamops.operators import joins, lateness, partition, rolling, state, topn, transform, windows
+from streamops.plans.scan import density_chunk
 from streamops.sources.tables import (JITTER_MOD, JITTER_MULT, JITTER_STEP_MS, candidate_lines, lines_view,
                                       read_table, sensor, sensor_lines, with_jitter)
 from streamops.streaming import sinks
@@ -32,6 +33,7 @@ PERIODIC_EVERY = 100
 WINDOW_JOIN = 10 * HOUR
 INTERVAL = 2 * HOUR
 TTL = 5 * HOUR
+CONNECT_TTL = 6 * HOUR
 TOP_N = 2
 TOP_K_STATE = 3
 JUMP = 10
@@ -39,6 +41,7 @@ ALARM = 10
 BUCKETS = 4
 PARTS = 8
 COPIES = 4
+DOCS_PER_CHUNK = 4096
 # M3 is an id filter by definition (keep rows whose id equals a constant).  The
 # query runs over the whole events table; the pushed-down predicate only lets
 # the reader skip row groups whose statistics exclude the id.
@@ -47,6 +50,8 @@ TIMER_AT = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
 FLATMAP = {"click": ["vc"], "view": ["ts_ms", "vc"]}
 ROUTES = {"click": "tag1", "purchase": "tag2"}
 TOPIC = "sensor"
+LEFT_TYPES = ("click", "view")
+NO_KEY_TYPE = "view"
 
 
 def _sensor(spark, d):
@@ -66,8 +71,20 @@ def _tokens(spark, d):
 
 
 def _sides(spark, d):
+    """Two sides that together hold every event."""
     s = _sensor(spark, d)
-    return s.where(F.col("event_type") == "click"), s.where(F.col("event_type") == "purchase")
+    left = F.col("event_type").isin(*LEFT_TYPES)
+    return s.where(left), s.where(~left)
+
+
+def _no_key(s):
+    """The same rows with a NULL key for one event type."""
+    return s.withColumn("id", F.when(F.col("event_type") != NO_KEY_TYPE, F.col("id")))
+
+
+def _firings(j):
+    cls = lateness.classify_tumbling(lateness.watermark_trace(j, DELAY), TUMBLE, LATENESS)
+    return lateness.window_firings(cls)
 
 
 def _parsed(spark, d):
@@ -119,19 +136,20 @@ QUERIES = {
     "alarm_threshold": lambda sp, d: transform.alarm_split(_sensor(sp, d), "vc", ALARM)[1].select("arrival", "id", "vc"),
     "scalar_bundle": lambda sp, d: scalar_bundle(_sensor(sp, d)),
     # partitioning
-    "part_random": lambda sp, d: partition.random_partition(_part_rows(_sensor(sp, d)), PARTS),
-    "part_round_robin": lambda sp, d: _part_rows(partition.round_robin(_sensor(sp, d), PARTS)),
-    "part_rescale": lambda sp, d: _part_rows(partition.rescale(_sensor(sp, d), 2)),
+    "part_random": lambda sp, d: partition.random_partition(_part_rows(_sensor(sp, d))),
+    "part_round_robin": lambda sp, d: _part_rows(partition.round_robin(_sensor(sp, d))),
+    "part_rescale": lambda sp, d: _part_rows(partition.rescale(_sensor(sp, d))),
     "part_broadcast": lambda sp, d: partition.broadcast_copies(_part_rows(_sensor(sp, d)), COPIES),
     "part_global": lambda sp, d: partition.single_partition(
         _sensor(sp, d).groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))),
-    "part_by_key": lambda sp, d: _part_rows(partition.by_key(_sensor(sp, d), PARTS, "id")),
+    "part_by_key": lambda sp, d: _part_rows(partition.by_key(_sensor(sp, d), "id")),
     "part_custom": lambda sp, d: partition.with_partition_id(
         partition.custom_partition(_sensor(sp, d).select("arrival", "id"), "id", PARTS)),
     # rolling aggregates
     "wordcount": lambda sp, d: rolling.wordcount(_tokens(sp, d)),
     "wordcount_running": lambda sp, d: rolling.running_count(
-        _tokens(sp, d), ["word"], ["doc_id", "line_no", "word_pos"], "doc_id", width=1 << 12),
+        _tokens(sp, d), ["word"], ["doc_id", "line_no", "word_pos"], "doc_id", reuse_input=True,
+        chunk=density_chunk(read_table(sp, d, "documents"), "doc_id", target_rows=DOCS_PER_CHUNK)),
     "rolling_sum": lambda sp, d: rolling.rolling_sum(_sensor(sp, d)),
     "rolling_max": lambda sp, d: rolling.rolling_max(_sensor(sp, d)),
     "rolling_max_by": lambda sp, d: rolling.rolling_max_by(_sensor(sp, d)),
@@ -159,12 +177,16 @@ QUERIES = {
     "win_allowed_lateness": lambda sp, d: lateness.window_firings(_classified(sp, d)),
     "late_side_output": lambda sp, d: _classified(sp, d).where(F.col("lateness") == lateness.CLOSED).select(
         "arrival", "id", "ts_ms", "vc"),
+    "watermark_monotonic": lambda sp, d: lateness.watermark_trace(_jitter(sp, d), 0).select(
+        "arrival", "arr_ms", "ts_ms", "wm_before", "wm_after"),
+    "late_side_output_sliding": lambda sp, d: lateness.side_output_sliding(
+        _traced(sp, d), TUMBLE, TUMBLE // 2, LATENESS).select("arrival", "id", "ts_ms", "vc"),
     "timer_event": lambda sp, d: lateness.event_timer_first_fire(_sensor(sp, d), TIMER_AT, DELAY),
     # joins
     "join_window": lambda sp, d: joins.window_join(*_sides(sp, d), WINDOW_JOIN),
-    "join_interval": lambda sp, d: joins.interval_join(*_sides(sp, d), -INTERVAL, INTERVAL),
+    "join_interval": lambda sp, d: joins.interval_join_bucketed(*_sides(sp, d), -INTERVAL, INTERVAL),
     "join_interval_bucketed": lambda sp, d: joins.interval_join_bucketed(*_sides(sp, d), -INTERVAL, INTERVAL),
-    "join_connect": lambda sp, d: joins.connect_join(*_sides(sp, d)),
+    "join_connect": lambda sp, d: joins.connect_join_ttl(*_sides(sp, d), CONNECT_TTL).select("id", "l_arrival", "r_arrival"),
     "join_broadcast_threshold": lambda sp, d: joins.asof_threshold(
         _sensor(sp, d).where(F.col("event_type") != "signup"),
         _sensor(sp, d).where(F.col("event_type") == "signup").withColumnRenamed("vc", "threshold")),
@@ -177,6 +199,13 @@ QUERIES = {
     "state_running_avg": lambda sp, d: state.running_avg(_sensor(sp, d)),
     "state_ttl": lambda sp, d: state.ttl_state(_sensor(sp, d), TTL),
     "state_bucket_count": lambda sp, d: state.bucket_running_count(_sensor(sp, d), BUCKETS),
+    # NULL is a key like any other
+    "rolling_sum_null_key": lambda sp, d: rolling.rolling_sum(_no_key(_sensor(sp, d))),
+    "state_running_sum_null_key": lambda sp, d: state.running_sum(_no_key(_sensor(sp, d))),
+    "state_top3_null_key": lambda sp, d: state.running_top_k(_no_key(_sensor(sp, d)), TOP_K_STATE),
+    "win_process_null_key": lambda sp, d: windows.window_process(_no_key(_sensor(sp, d)), TUMBLE),
+    "win_count_sliding_null_key": lambda sp, d: windows.count_window_sliding(_no_key(_sensor(sp, d)), COUNT_SIZE, COUNT_SLIDE),
+    "win_allowed_lateness_null_key": lambda sp, d: _firings(_no_key(_jitter(sp, d))),
     # top-N
     "topn_window_all": lambda sp, d: topn.topn_all_window(_sensor(sp, d), TOP_N, SLIDE_SIZE, SLIDE_STEP),
     "topn_window_keyed": lambda sp, d: topn.topn_keyed(_sensor(sp, d), TOP_N, SLIDE_SIZE, SLIDE_STEP),
@@ -208,8 +237,9 @@ PARSED = (f"SELECT source, rec, pos, value, f[1] AS id, "
           f"SELECT *, string_split(value, ',') AS f, "
           f"len(string_split(regexp_replace(value, ',+$', ''), ',')) AS nf FROM ({CAND}))")
 W_ID = "PARTITION BY id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-CLICK = f"SELECT * FROM ({SENSOR}) WHERE event_type = 'click'"
-PURCHASE = f"SELECT * FROM ({SENSOR}) WHERE event_type = 'purchase'"
+_LEFT = ", ".join(f"'{t}'" for t in LEFT_TYPES)
+LEFT = f"SELECT * FROM ({SENSOR}) WHERE event_type IN ({_LEFT})"
+RIGHT = f"SELECT * FROM ({SENSOR}) WHERE event_type NOT IN ({_LEFT})"
 
 
 def _tumble(size, src=SENSOR):
@@ -331,19 +361,19 @@ ORACLE = {
         f"SELECT id, w_start, w_end, CAST(0 AS BIGINT) AS firing, cnt, sum_vc FROM b UNION ALL "
         f"SELECT l.id, l.w_start, l.w_end, l.k AS firing, coalesce(b.cnt, 0) + l.k AS cnt, "
         f"CAST(coalesce(b.sum_vc, 0) + l.ls AS BIGINT) AS sum_vc FROM l LEFT JOIN b "
-        f"ON l.id = b.id AND l.w_start = b.w_start"),
+        f"ON l.id IS NOT DISTINCT FROM b.id AND l.w_start = b.w_start"),
     "late_side_output": f"SELECT arrival, id, ts_ms, vc FROM ({CLASSIFIED}) WHERE lateness = 'closed'",
     "timer_event": (f"SELECT id, CAST({TIMER_AT} AS BIGINT) AS timer_ms, CASE WHEN x IS NULL THEN NULL "
                     f"ELSE greatest(min(arrival), x) END AS fired_at FROM ({SENSOR}), "
                     f"(SELECT min(arrival) AS x FROM ({SENSOR}) WHERE ts_ms >= {TIMER_AT + DELAY + 1}) GROUP BY id, x"),
     "join_window": (f"SELECT l.id, l.w_start, l.w_end, l.arrival AS l_arrival, l.ts_ms AS l_ts_ms, "
-                    f"r.arrival AS r_arrival, r.ts_ms AS r_ts_ms, r.vc AS r_vc FROM ({_tumble(WINDOW_JOIN, CLICK)}) l "
-                    f"JOIN ({_tumble(WINDOW_JOIN, PURCHASE)}) r ON l.id = r.id AND l.w_start = r.w_start"),
+                    f"r.arrival AS r_arrival, r.ts_ms AS r_ts_ms, r.vc AS r_vc FROM ({_tumble(WINDOW_JOIN, LEFT)}) l "
+                    f"JOIN ({_tumble(WINDOW_JOIN, RIGHT)}) r ON l.id = r.id AND l.w_start = r.w_start"),
     "join_interval": (f"SELECT l.id, l.arrival AS l_arrival, l.ts_ms AS l_ts_ms, r.arrival AS r_arrival, "
-                      f"r.ts_ms AS r_ts_ms, r.vc AS r_vc FROM ({CLICK}) l JOIN ({PURCHASE}) r ON l.id = r.id "
+                      f"r.ts_ms AS r_ts_ms, r.vc AS r_vc FROM ({LEFT}) l JOIN ({RIGHT}) r ON l.id = r.id "
                       f"AND r.ts_ms BETWEEN l.ts_ms - {INTERVAL} AND l.ts_ms + {INTERVAL}"),
-    "join_connect": (f"SELECT l.id, l.arrival AS l_arrival, r.arrival AS r_arrival FROM ({CLICK}) l "
-                     f"JOIN ({PURCHASE}) r ON l.id = r.id"),
+    "join_connect": (f"SELECT l.id, l.arrival AS l_arrival, r.arrival AS r_arrival FROM ({LEFT}) l "
+                     f"JOIN ({RIGHT}) r ON l.id = r.id AND abs(l.ts_ms - r.ts_ms) < {CONNECT_TTL}"),
     "join_broadcast_threshold": (
         f"SELECT arrival, id, vc, threshold FROM (SELECT *, coalesce(last_value(th IGNORE NULLS) OVER (ORDER BY "
         f"arrival ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS threshold FROM (SELECT arrival, id, vc, "
@@ -375,3 +405,10 @@ ORACLE = {
                             f"strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H') AS bucket_hour FROM ({SENSOR})"),
 }
 ORACLE["join_interval_bucketed"] = ORACLE["join_interval"]
+ORACLE["watermark_monotonic"] = ORACLE["watermark_trace"].replace(f"- {DELAY + 1} AS", "- 1 AS")
+ORACLE["late_side_output_sliding"] = (
+    f"SELECT arrival, id, ts_ms, vc FROM ({TRACED}) WHERE wm_before IS NOT NULL AND "
+    f"ts_ms - ts_ms % {TUMBLE // 2} + {TUMBLE} - 1 + {LATENESS} <= wm_before")
+_SENSOR_NO_KEY = f"SELECT CASE WHEN event_type <> '{NO_KEY_TYPE}' THEN id END AS id, ts_ms, vc, arrival, event_type FROM ({SENSOR})"
+for _name in ("rolling_sum", "state_running_sum", "state_top3", "win_process", "win_count_sliding", "win_allowed_lateness"):
+    ORACLE[f"{_name}_null_key"] = ORACLE[_name].replace(f"({SENSOR})", f"({_SENSOR_NO_KEY})")

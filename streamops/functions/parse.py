@@ -42,15 +42,15 @@ def parse_sensor_lines(lines: DataFrame, value_col: str = "value",
 
     readings: keep columns + id STRING, ts BIGINT, vc INT
     rejects:  keep columns + the raw value + reason STRING
-    With ``strict`` the readings frame raises on the first bad line (ANSI cast).
+    With ``strict`` the readings frame raises on the first bad line, by the same rules.
     """
     keep = keep or []
     a = _annotate(lines, value_col)
     if strict:
-        fields = F.split(F.col(value_col), ",")
-        good = lines.select(*keep, fields.getItem(0).alias("id"),
-                            fields.getItem(1).cast("bigint").alias("ts"),
-                            fields.getItem(2).cast("int").alias("vc"))
+        wrong = F.raise_error(F.concat(F.col("_reason"), F.lit(": "), F.coalesce(value_col, F.lit("null"))))
+        good = a.select(*keep, F.when(F.col("_reason").isNull(), F.col("_id")).otherwise(wrong.cast("string")).alias("id"),
+                        F.when(F.col("_reason").isNull(), F.col("_ts")).otherwise(wrong.cast("bigint")).alias("ts"),
+                        F.when(F.col("_reason").isNull(), F.col("_vc")).otherwise(wrong.cast("int")).alias("vc"))
         return good, a.where("_reason IS NOT NULL").select(*keep, value_col, F.col("_reason").alias("reason"))
     ok = a.where(F.col("_reason").isNull()).select(
         *keep, F.col("_id").alias("id"), F.col("_ts").alias("ts"), F.col("_vc").alias("vc"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def words(col: str | Column) -> Column:
     v = F.col(col) if isinstance(col, str) else col
-    r = F.regexp_replace(v, r" +\z", "")
+    r = F.rtrim(v)                                     # spaces only, one backward step per space
     return (F.when(v == "", F.array(F.lit("")))
             .when(r == "", F.array().cast("array<string>"))
             .otherwise(F.split(r, " ")))

@@ -12,18 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamops.operators.windows import assign_tumbling
-from streamops.plans.scan import GLOBAL_CHUNK, Agg, chunk_of, floor_div, prefix_scan
-
-
-def broadcast_if_small(spark, df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only when a bounded count proves it small.
-
-    ``limit(max_rows + 1).count()`` stops after max_rows + 1 rows, so the check
-    itself is cheap; beyond the bound the frame is returned unmarked and Spark
-    picks a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+from streamops.plans.scan import Agg, chunk_for, floor_div, prefix_scan
 
 
 def _side(df, prefix, key, cols):
@@ -90,9 +79,18 @@ def connect_join(left: DataFrame, right: DataFrame, key: str = "id",
     return l.join(r, key).select(key, *[f"l_{c}" for c in lcols], *[f"r_{c}" for c in rcols])
 
 
+def connect_join_ttl(left: DataFrame, right: DataFrame, ttl_ms: int, key: str = "id", time: str = "ts_ms",
+                     lcols=("arrival", "ts_ms"), rcols=("arrival", "ts_ms")) -> DataFrame:
+    """Connected keyed streams whose cached rows expire: pairs with equal key
+    whose times are less than ``ttl_ms`` apart, whichever came first.  An
+    interval join in its bucketed form, so the pairs of a key are bounded by
+    what it receives within one expiry, and a hot key spreads over buckets."""
+    return interval_join_bucketed(left, right, -(ttl_ms - 1), ttl_ms - 1, key, time, lcols, rcols)
+
+
 def asof_threshold(data: DataFrame, config: DataFrame, order: str = "arrival",
                    value: str = "vc", threshold_col: str = "threshold",
-                   default: int = 0, width: int = GLOBAL_CHUNK,
+                   default: int = 0, width: int | None = None,
                    keep=("id",)) -> DataFrame:
     """Broadcast-state join: each data row is compared with the latest config
     value that arrived before it (``default`` before any), and kept when its
@@ -108,7 +106,7 @@ def asof_threshold(data: DataFrame, config: DataFrame, order: str = "arrival",
                                     *[F.lit(None).cast(data.schema[k].dataType).alias(k) for k in keep],
                                     F.col(threshold_col).cast("int").alias("_th"),
                                     F.lit(False).alias("_is_data"))))
-    s = prefix_scan(u, [], [order], chunk_of(order, width), [Agg("_cur", "last_nonnull", F.col("_th"))])
+    s = prefix_scan(u, [], [order], chunk_for(u, order, width), [Agg("_cur", "last_nonnull", F.col("_th"))])
     th = F.coalesce(F.col("_cur"), F.lit(default))
     return s.where(F.col("_is_data") & (F.col(value) > th)).select(
         order, *keep, value, th.alias(threshold_col))

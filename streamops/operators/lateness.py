@@ -19,21 +19,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamops.operators.windows import assign_sliding, assign_tumbling
-from streamops.plans.scan import TIME_CHUNK_MS, Agg, chunk_of, floor_div, prefix_scan
+from streamops.plans.scan import TIME_CHUNK_MS, Agg, chunk_for, chunk_of, floor_div, prefix_scan
 
 ON_TIME, ALLOWED, CLOSED = "on_time", "allowed", "closed"
 
 
 def watermark_trace(df: DataFrame, delay_ms: int, time: str = "ts_ms",
                     arrival: tuple[str, ...] = ("arr_ms", "arrival"),
-                    chunk_width: int = TIME_CHUNK_MS,
+                    chunk_width: int | None = None,
                     initial_max: int | None = None) -> DataFrame:
     """Adds ``wm_before`` / ``wm_after``: the watermark just before and just
     after each row (NULL = no watermark yet).  ``arrival[0]`` is the chunked
     order column (non-decreasing along the arrival order).  ``initial_max`` is
     the max event time of everything that arrived earlier (the streaming
     carry)."""
-    s = prefix_scan(df, [], list(arrival), chunk_of(arrival[0], chunk_width),
+    s = prefix_scan(df, [], list(arrival), chunk_for(df, arrival[0], chunk_width),
                     [Agg("_mx_b", "max", F.col(time), inclusive=False),
                      Agg("_mx_a", "max", F.col(time), inclusive=True)])
     init = F.lit(initial_max).cast("bigint")
@@ -84,33 +84,35 @@ def window_firings(classified: DataFrame, key: str = "id", value: str = "vc",
     Firing 0 holds the on-time rows (if any).  Every allowed-late row re-fires
     its window at once: firing k carries the count and sum of the on-time rows
     plus the first k allowed-late rows in arrival order.
+
+    The watermark never falls, so all on-time rows of a window arrive before
+    its first allowed-late row: one running count and sum over both classes
+    gives every firing, and nothing is joined.  The scan is keyed by window, so
+    a key spans the chunks of one window only.
     """
     on = classified.where(F.col("lateness") == ON_TIME)
     base = on.groupBy(key, "w_start", "w_end").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum(value).cast("bigint").alias("sum_vc"))
-    late = classified.where(F.col("lateness") == ALLOWED)
-    s = prefix_scan(late, [key, "w_start"], list(arrival), chunk_of(arrival[0], chunk_width),
-                    [Agg("_k", "count", F.lit(1)), Agg("_ls", "sum", F.col(value).cast("bigint"))])
-    b = base.select(F.col(key).alias("_bk"), F.col("w_start").alias("_bw"),
-                    F.col("cnt").alias("_bc"), F.col("sum_vc").alias("_bs"))
-    j = s.join(b, (s[key] == b["_bk"]) & (s["w_start"] == b["_bw"]), "left")
-    refires = j.select(key, "w_start", "w_end", F.col("_k").alias("firing"),
-                       (F.coalesce(F.col("_bc"), F.lit(0)) + F.col("_k")).alias("cnt"),
-                       (F.coalesce(F.col("_bs"), F.lit(0)) + F.col("_ls")).alias("sum_vc"))
+    live = classified.where(F.col("lateness") != CLOSED)
+    s = prefix_scan(live, [key, "w_start"], list(arrival), chunk_of(arrival[0], chunk_width),
+                    [Agg("_k", "count", F.when(F.col("lateness") == ALLOWED, 1)), Agg("_n", "count", F.lit(1)),
+                     Agg("_s", "sum", F.col(value).cast("bigint"))])
+    refires = s.where(F.col("lateness") == ALLOWED).select(
+        key, "w_start", "w_end", F.col("_k").alias("firing"), F.col("_n").alias("cnt"), F.col("_s").alias("sum_vc"))
     return base.select(key, "w_start", "w_end", F.lit(0).cast("bigint").alias("firing"),
                        "cnt", "sum_vc").unionByName(refires)
 
 
 def periodic_watermark(df: DataFrame, every: int, delay_ms: int, time: str = "ts_ms",
                        arrival: tuple[str, ...] = ("arr_ms", "arrival"),
-                       chunk_width: int = TIME_CHUNK_MS, epoch_chunk: int = 1 << 20) -> DataFrame:
+                       chunk_width: int | None = None, epoch_chunk: int = 1 << 20) -> DataFrame:
     """A generator that emits the watermark once per ``every`` arrivals: a row
     sees the watermark of the last completed epoch (NULL in the first).
 
     Arrival numbers come from a global count scan; the per-epoch max is an
     aggregate; the carry over epochs is a second scan on the (much smaller)
     epoch table, joined back on the epoch."""
-    s = prefix_scan(df, [], list(arrival), chunk_of(arrival[0], chunk_width),
+    s = prefix_scan(df, [], list(arrival), chunk_for(df, arrival[0], chunk_width),
                     [Agg("arrival_no", "count", F.lit(1))])
     s = s.withColumn("epoch", floor_div("`arrival_no` - 1", every))
     ep = s.groupBy("epoch").agg(F.max(time).alias("_emax"))

@@ -7,28 +7,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def random_partition(df: DataFrame, n: int, seed: int = 17) -> DataFrame:
+def shuffle_width(df: DataFrame) -> int:
+    """The session's number of shuffle partitions, the default of ``n``."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def random_partition(df: DataFrame, n: int | None = None, seed: int = 17) -> DataFrame:
     """Random placement that is still deterministic: a seeded hash of the
-    whole row.  ``rand()`` would place a recomputed row elsewhere after an
-    executor loss and force downstream stages to rerun."""
-    return df.repartition(n, F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
+    whole row and of its place in its input partition, so equal rows spread
+    too.  ``rand()`` would place a recomputed row elsewhere after an executor
+    loss and force downstream stages to rerun; the place is the same whenever
+    the input partition is read again (files are)."""
+    at = "_place"
+    return (df.withColumn(at, F.monotonically_increasing_id())
+              .repartition(n or shuffle_width(df), F.xxhash64(F.lit(seed), *[F.col(c) for c in [*df.columns, at]]))
+              .drop(at))
 
 
-def round_robin(df: DataFrame, n: int) -> DataFrame:
-    return df.repartition(n)
+def round_robin(df: DataFrame, n: int | None = None) -> DataFrame:
+    return df.repartition(n or shuffle_width(df))
 
 
-def rescale(df: DataFrame, n: int) -> DataFrame:
-    """Merge neighbouring partitions without a shuffle."""
-    return df.coalesce(n)
+def rescale(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Merge neighbouring partitions without a shuffle, down to ``n``, by
+    default half the session's shuffle partitions: the scan below runs in as
+    many tasks, so ``n`` must grow with the input."""
+    return df.coalesce(n or max(1, shuffle_width(df) // 2))
 
 
 def broadcast_copies(df: DataFrame, n: int) -> DataFrame:
     """One copy of every row per downstream task, tagged with ``copy``.
 
-    A generator (explode) rather than a join: no pair enumeration.  As a join
-    side, use ``F.broadcast`` instead, behind a size check
-    (``streamops.operators.joins.broadcast_if_small``).
+    A generator (explode) rather than a join: no pair enumeration.
     """
     return df.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("copy"), "*")
 
@@ -39,8 +49,10 @@ def single_partition(df: DataFrame) -> DataFrame:
     return df.coalesce(1)
 
 
-def by_key(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    return df.repartition(n, *keys)
+def by_key(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
+    """All rows of a key in one partition, by definition; a hot key is one
+    task's rows, so use it for placement and aggregate without it."""
+    return df.repartition(n or shuffle_width(df), *keys)
 
 
 def custom_partition_id(key: str, n: int) -> Column:

@@ -7,10 +7,10 @@ into arrival chunks instead of landing in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import DEFAULT_CHUNK, Agg, chunk_of, prefix_scan
+from streamops.plans.scan import Agg, chunk_for, prefix_scan
 
 
 def wordcount(tokens: DataFrame, word_col: str = "word") -> DataFrame:
@@ -19,19 +19,21 @@ def wordcount(tokens: DataFrame, word_col: str = "word") -> DataFrame:
 
 
 def running_count(df: DataFrame, keys: list[str], order: list[str], chunk_col: str,
-                  width: int = DEFAULT_CHUNK, name: str = "cnt", reuse_input: bool = False) -> DataFrame:
+                  width: int | None = None, name: str = "cnt", reuse_input: bool = False,
+                  chunk: Column | None = None) -> DataFrame:
     """Running number of rows per key (1, 2, 3, ...) along ``order``.
-    ``reuse_input`` reads an expensive input (e.g. tokenised text) once."""
-    return prefix_scan(df, keys, order, chunk_of(chunk_col, width),
-                       [Agg(name, "count", F.lit(1))], reuse_input=reuse_input)
+    ``reuse_input`` reads an expensive input (e.g. tokenised text) once;
+    ``chunk`` gives its chunk numbers where they come from another table."""
+    chunk = chunk if chunk is not None else chunk_for(df, chunk_col, width)
+    return prefix_scan(df, keys, order, chunk, [Agg(name, "count", F.lit(1))], reuse_input=reuse_input)
 
 
 def _keyed(df, key, order, width, aggs):
-    return prefix_scan(df, [key], [order], chunk_of(order, width), aggs)
+    return prefix_scan(df, [key], [order], chunk_for(df, order, width), aggs)
 
 
 def rolling_sum(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
-                time: str = "ts_ms", width: int = DEFAULT_CHUNK) -> DataFrame:
+                time: str = "ts_ms", width: int | None = None) -> DataFrame:
     """``sum(value)``: running sum; the other fields keep the key's first row."""
     out = _keyed(df, key, order, width, [Agg("_s", "sum", F.col(value).cast("bigint")),
                                          Agg("_f", "first", F.col(time))])
@@ -39,7 +41,7 @@ def rolling_sum(df: DataFrame, key: str = "id", order: str = "arrival", value: s
 
 
 def rolling_max(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
-                time: str = "ts_ms", width: int = DEFAULT_CHUNK, use_min: bool = False) -> DataFrame:
+                time: str = "ts_ms", width: int | None = None, use_min: bool = False) -> DataFrame:
     """``max(value)`` (or min): running extreme; other fields from the first row."""
     out = _keyed(df, key, order, width, [Agg("_m", "min" if use_min else "max", F.col(value)),
                                          Agg("_f", "first", F.col(time))])
@@ -47,7 +49,7 @@ def rolling_max(df: DataFrame, key: str = "id", order: str = "arrival", value: s
 
 
 def rolling_max_by(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
-                   time: str = "ts_ms", width: int = DEFAULT_CHUNK, use_min: bool = False) -> DataFrame:
+                   time: str = "ts_ms", width: int | None = None, use_min: bool = False) -> DataFrame:
     """``maxBy(value)`` (or minBy): the whole record holding the running
     extreme; on ties the earliest record stays.
 
@@ -67,7 +69,7 @@ def rolling_max_by(df: DataFrame, key: str = "id", order: str = "arrival", value
 
 
 def rolling_reduce(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
-                   time: str = "ts_ms", width: int = DEFAULT_CHUNK) -> DataFrame:
+                   time: str = "ts_ms", width: int | None = None) -> DataFrame:
     """reduce((a, b) -> (a.id, b.ts, a.vc + b.vc)): current ts, running sum."""
     out = _keyed(df, key, order, width, [Agg("_s", "sum", F.col(value).cast("bigint"))])
     return out.select(order, key, time, F.col("_s").alias(value))

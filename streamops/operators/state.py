@@ -6,31 +6,29 @@ must reach the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import DEFAULT_CHUNK, Agg, chunk_of, prefix_scan
+from streamops.plans.scan import Agg, chunk_for, prefix_scan
 
 
 def jump_alert(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
-               threshold: int = 10, width: int = DEFAULT_CHUNK) -> DataFrame:
+               threshold: int = 10, width: int | None = None) -> DataFrame:
     """Rows whose value differs from the key's previous value by more than
     ``threshold``; the previous value of a key's first row is 0."""
-    s = prefix_scan(df, [key], [order], chunk_of(order, width),
+    s = prefix_scan(df, [key], [order], chunk_for(df, order, width),
                     [Agg("_prev", "last", F.col(value), inclusive=False)])
     prev = F.coalesce(F.col("_prev"), F.lit(0))
-    return s.where(F.abs(F.col(value) - prev) > threshold).select(
+    # in BIGINT: two INT values can be further apart than an INT can hold
+    return s.where(F.abs(F.col(value).cast("bigint") - prev.cast("bigint")) > threshold).select(
         order, key, value, prev.alias("prev_vc"))
 
 
 def value_counts_running(df: DataFrame, key: str = "id", order: str = "arrival",
-                         value: str = "vc", width: int = DEFAULT_CHUNK) -> DataFrame:
+                         value: str = "vc", width: int | None = None) -> DataFrame:
     """Map state ``value -> count``: per row, the count of its own value so far
     (the long form of the whole map; emitting the map per row is quadratic)."""
-    s = prefix_scan(df, [key, value], [order], chunk_of(order, width),
+    s = prefix_scan(df, [key, value], [order], chunk_for(df, order, width),
                     [Agg("cnt", "count", F.lit(1))])
     return s.select(order, key, value, "cnt")
 
@@ -40,23 +38,23 @@ def value_counts_final(df: DataFrame, key: str = "id", value: str = "vc") -> Dat
 
 
 def running_sum(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
-                width: int = DEFAULT_CHUNK) -> DataFrame:
-    s = prefix_scan(df, [key], [order], chunk_of(order, width),
+                width: int | None = None) -> DataFrame:
+    s = prefix_scan(df, [key], [order], chunk_for(df, order, width),
                     [Agg("sum_vc", "sum", F.col(value).cast("bigint"))])
     return s.select(order, key, value, "sum_vc")
 
 
 def running_avg(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
-                width: int = DEFAULT_CHUNK) -> DataFrame:
+                width: int | None = None) -> DataFrame:
     """Running mean from an exact BIGINT sum and a count."""
-    s = prefix_scan(df, [key], [order], chunk_of(order, width),
+    s = prefix_scan(df, [key], [order], chunk_for(df, order, width),
                     [Agg("_s", "sum", F.col(value).cast("bigint")), Agg("_n", "count", F.col(value))])
     return s.select(order, key, value, (F.col("_s").cast("double") / F.col("_n")).alias("avg_vc"))
 
 
 def ttl_state(df: DataFrame, ttl_ms: int, key: str = "id", order: str = "arrival",
               time: str = "ts_ms", value: str = "vc", write_above: int = 10,
-              width: int = DEFAULT_CHUNK) -> DataFrame:
+              width: int | None = None) -> DataFrame:
     """Value state with a TTL refreshed on every read and write.
 
     Each row reads the state (and so refreshes it), emits the old value, and
@@ -65,15 +63,15 @@ def ttl_state(df: DataFrame, ttl_ms: int, key: str = "id", order: str = "arrival
     returned.  So the value a row sees is the last written value among the
     earlier rows of its *island* (rows of a key with gaps < ttl).
     """
-    s = prefix_scan(df, [key], [order], chunk_of(order, width),
-                    [Agg("_pt", "last", F.col(time), inclusive=False)])
+    chunk = chunk_for(df, order, width)
+    s = prefix_scan(df, [key], [order], chunk, [Agg("_pt", "last", F.col(time), inclusive=False)])
     brk = F.col("_pt").isNull() | (F.col(time) - F.col("_pt") >= ttl_ms)
     # one more scan carries both the start of the current island and the
     # last write before this row; a write from an earlier island is expired
     # (the last write's arrival and value share one non-null mask, so they
     # always come from the same row; primitive columns keep hash aggregates)
     wrote = F.col(value) > write_above
-    s = prefix_scan(s, [key], [order], chunk_of(order, width),
+    s = prefix_scan(s, [key], [order], chunk,
                     [Agg("_start", "last_nonnull", F.when(brk, F.col(order))),
                      Agg("_wo", "last_nonnull", F.when(wrote, F.col(order)), inclusive=False),
                      Agg("_wv", "last_nonnull", F.when(wrote, F.col(value)), inclusive=False)])
@@ -82,88 +80,62 @@ def ttl_state(df: DataFrame, ttl_ms: int, key: str = "id", order: str = "arrival
 
 
 def bucket_running_count(df: DataFrame, n: int, order: str = "arrival",
-                         width: int = DEFAULT_CHUNK) -> DataFrame:
+                         width: int | None = None) -> DataFrame:
     """Operator list state: a running element count per fixed bucket (the
     stand-in for a subtask), ``bucket = pmod(arrival, n)``."""
     d = df.withColumn("bucket", F.pmod(F.col(order), F.lit(n)).cast("int"))
-    s = prefix_scan(d, ["bucket"], [order], chunk_of(order, width), [Agg("cnt", "count", F.lit(1))])
+    s = prefix_scan(d, ["bucket"], [order], chunk_for(df, order, width), [Agg("cnt", "count", F.lit(1))])
     return s.select(order, "bucket", "cnt")
 
 
 # --- running top-k values (list state) -------------------------------------
 
-def _top_merge(top: list[int], v: int, k: int) -> list[int]:
-    if len(top) < k:
-        top.append(v)
-        top.sort(reverse=True)
-    elif v > top[-1]:
-        top[-1] = v
-        top.sort(reverse=True)
-    return top
+def _levels(df: DataFrame, value: str, k: int, w) -> DataFrame:
+    """Adds ``_t1.._tk``: the k largest values of the window up to each row.
+
+    The largest value is a running max.  What a row displaces there, the lesser
+    of its value and the previous largest, is the input of the second level,
+    and so on; all levels share one partition and sort."""
+    x = value
+    for i in range(1, k + 1):
+        df = df.withColumn(f"_t{i}", F.max(x).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        if i < k:
+            before = F.max(x).over(w.rowsBetween(Window.unboundedPreceding, -1))
+            df = df.withColumn(f"_p{i}", before)
+            low = F.when(F.col(x).isNotNull() & F.col(f"_p{i}").isNotNull(), F.least(F.col(x), F.col(f"_p{i}")))
+            df = df.withColumn(f"_d{i}", low)
+            x = f"_d{i}"
+    return df
 
 
 def running_top_k(df: DataFrame, k: int = 3, key: str = "id", order: str = "arrival",
-                  value: str = "vc", width: int = DEFAULT_CHUNK) -> DataFrame:
+                  value: str = "vc", width: int | None = None) -> DataFrame:
     """After each row, the ``k`` largest values of its key so far, descending,
-    as columns ``top1..topk`` (NULL while fewer exist).
-
-    Running top-k has no built-in window aggregate (a growing ``collect_list``
-    frame is quadratic), so:
-    1. per (key, chunk) the k largest values (a window bounded by one chunk);
-    2. per key the carry – the k largest of all earlier chunks – folded over
-       the small chunk table;
-    3. per (key, chunk) a linear fold seeded with the carry.
-    Steps 2 and 3 run as one pass over hash-partitioned, sorted rows in
-    ``mapInPandas`` (Arrow batches, no per-group pandas frames).
-    """
-    tops = [f"top{i + 1}" for i in range(k)]
-    carry_cols = [f"_c{i}" for i in range(k)]
-    key_type = df.schema[key].dataType.simpleString()
-    d = df.select(key, order, value).withColumn("_chunk", chunk_of(order, width))
-    w = Window.partitionBy(key, "_chunk").orderBy(F.col(value).desc(), F.col(order))
-    summ = (d.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(w))
-             .where(F.col("_r") <= k).select(key, "_chunk", value))
-
-    def carry_fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_key, top, last_chunk = object(), [], None
-        for pdf in batches:
-            keys, chunks, vals = pdf[key].tolist(), pdf["_chunk"].tolist(), pdf[value].tolist()
-            out = []
-            for kk, ch, v in zip(keys, chunks, vals):
-                if kk != cur_key:
-                    cur_key, top, last_chunk = kk, [], None
-                if ch != last_chunk:
-                    out.append([kk, ch] + (top + [None] * k)[:k])
-                    last_chunk = ch
-                top = _top_merge(top, int(v), k)
-            yield pd.DataFrame(out, columns=[key, "_chunk"] + carry_cols).astype(
-                {c: "Int32" for c in carry_cols})
-
-    carry = (summ.repartition(key).sortWithinPartitions(key, "_chunk")
-                 .mapInPandas(carry_fold, f"{key} {key_type}, _chunk bigint, "
-                              + ", ".join(f"{c} int" for c in carry_cols)))
-    # chunks without values have no carry row: left join, empty carry
-    j = d.join(carry, [key, "_chunk"], "left")
-
-    def chunk_fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, top = object(), []
-        for pdf in batches:
-            keys, chunks, vals = pdf[key].tolist(), pdf["_chunk"].tolist(), pdf[value].tolist()
-            cs = [pdf[c].tolist() for c in carry_cols]
-            res = []
-            for i, (kk, ch, v) in enumerate(zip(keys, chunks, vals)):
-                if (kk, ch) != cur:
-                    cur = (kk, ch)
-                    top = [int(c[i]) for c in cs if c[i] is not None and not pd.isna(c[i])]
-                if v is not None and not pd.isna(v):
-                    top = _top_merge(top, int(v), k)
-                res.append((top + [None] * k)[:k])
-            out = pd.DataFrame(res, columns=tops, dtype="Int32")
-            out.insert(0, value, pdf[value].astype("Int32").to_numpy())
-            out.insert(0, order, pdf[order].to_numpy())
-            out.insert(0, key, pdf[key].to_numpy())
-            yield out
-
-    out_schema = f"{key} {key_type}, {order} bigint, {value} int, " + ", ".join(f"{t} int" for t in tops)
-    return (j.repartition(key, "_chunk").sortWithinPartitions(key, "_chunk", order)
-             .mapInPandas(chunk_fold, out_schema).select(order, key, value, *tops))
+    as columns ``top1..topk`` (NULL while fewer exist), in the value's type.
+
+    1. per (key, chunk) the k largest values (ranked in one chunk);
+    2. per key the carry, the k largest of all earlier chunks, over that table
+       (at most k rows for each chunk);
+    3. per (key, chunk) the running k largest, merged with the carry.
+    All of it is built-in windows and sorts of k-element arrays.  A NULL value
+    changes nothing; NULL is a key like any other."""
+    d = df.select(key, order, value, F.coalesce(chunk_for(df, order, width), F.lit(-(1 << 63)).cast("bigint")).alias("_chunk"))
+    top = Window.partitionBy(key, "_chunk").orderBy(F.col(value).desc(), F.col(order))
+    best = (d.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(top))
+             .where(F.col("_r") <= k))
+    # the running k largest over the chunk table; its last row of a chunk is
+    # that chunk's state, and every chunk sees the state of the one before
+    ordered = Window.partitionBy(key).orderBy("_chunk", "_r")
+    states = _levels(best, value, k, ordered).groupBy(key, "_chunk").agg(
+        F.max_by(F.array(*(f"_t{i + 1}" for i in range(k))), "_r").alias("_state"))
+    chunks = d.select(key, "_chunk").distinct()
+    same = F.col("a." + key).eqNullSafe(F.col("b." + key)) & (F.col("a._chunk") == F.col("b._chunk"))
+    carry = chunks.alias("a").join(states.alias("b"), same, "left").select(F.col("a." + key).alias(key), "a._chunk", "_state")
+    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry.select(key, "_chunk", F.last("_state", ignorenulls=True).over(earlier).alias("_carry"))
+    rows = _levels(d, value, k, Window.partitionBy(key, "_chunk").orderBy(order))
+    j = rows.alias("a").join(carry.alias("b"), same).select("a.*", "b._carry")
+    none = F.array().cast(f"array<{df.schema[value].dataType.simpleString()}>")
+    both = F.concat(F.array(*(f"_t{i + 1}" for i in range(k))), F.coalesce("_carry", none))
+    j = j.withColumn("_top", F.sort_array(F.filter(both, lambda v: v.isNotNull()), asc=False))
+    return j.select(order, key, value, *(F.get("_top", F.lit(i)).alias(f"top{i + 1}") for i in range(k)))

@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamops.operators.windows import assign_sliding
+from streamops.operators.windows import assign_sliding, panes
 
 
 def _counts(df, size_ms, slide_ms, time, value):
-    return assign_sliding(df, size_ms, slide_ms, time).groupBy("w_start", "w_end", value).agg(
-        F.count(F.lit(1)).alias("cnt"))
+    p = panes(df, size_ms, slide_ms, [value], [F.count(F.lit(1)).alias("_c")], time)
+    return assign_sliding(p, size_ms, slide_ms, "_pane").groupBy("w_start", "w_end", value).agg(
+        F.sum("_c").cast("bigint").alias("cnt"))
 
 
 def topn_all_window(df: DataFrame, n: int, size_ms: int, slide_ms: int,

@@ -1,11 +1,12 @@
 """Hooks for opaque user functions, all Arrow-batched.
 
 Prefer Column expressions; use these only when a function cannot be written
-with built-in functions.  Each runs inside Spark tasks over pandas batches or
-groups: map and flat-map per Arrow batch, a grouped aggregate as a pandas
-UDF with partial results never materialised per row, and a full-window
-function per (key, window) group – which holds one window in memory, so it
-suits bounded windows only.
+with built-in functions.  Map and flat-map run per Arrow batch (a Python table
+function per row where one is wanted).  The grouped aggregate and the full-window
+function hold one whole group in the memory of one task and have no partial
+results, so they suit groups of bounded size only: for large or hot groups use
+the built-in aggregates (``streamops.operators.windows``), which combine
+map-side.
 """
 
 from __future__ import annotations
@@ -54,3 +55,15 @@ def window_process_pandas(df: DataFrame, size_ms: int, fn: Callable[[pd.DataFram
     """ProcessWindowFunction: ``fn`` receives all rows of one (key, tumbling
     window), with ``w_start`` / ``w_end`` columns."""
     return assign_tumbling(df, size_ms, time).groupBy(key, "w_start").applyInPandas(fn, schema)
+
+
+def flat_map_rows(df: DataFrame, fn: Callable[..., object], schema: str, *cols: str) -> DataFrame:
+    """FlatMapFunction as a Python table function: ``fn(*values)`` gives any
+    number of tuples of ``schema`` for each row; the row's columns are kept."""
+
+    class Rows:
+        def eval(self, *values):
+            yield from fn(*values)
+
+    table = F.udtf(Rows, returnType=schema, useArrow=True)
+    return df.lateralJoin(table(*[F.col(c).outer() for c in cols]))

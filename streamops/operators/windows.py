@@ -8,10 +8,12 @@ with partial aggregation, so a hot key or hot window is combined map-side.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import DEFAULT_CHUNK, Agg, chunk_of, floor_div, prefix_scan
+from streamops.plans.scan import Agg, chunk_for, chunk_of, floor_div, prefix_scan
 
 
 def assign_tumbling(df: DataFrame, size_ms: int, time: str = "ts_ms") -> DataFrame:
@@ -45,8 +47,20 @@ def tumbling_agg(df, size_ms, keys=("id",), time="ts_ms", value="vc"):
     return window_count_sum(assign_tumbling(df, size_ms, time), list(keys), value)
 
 
+def panes(df: DataFrame, size_ms: int, slide_ms: int, keys: list[str], aggs: list, time: str = "ts_ms") -> DataFrame:
+    """``aggs`` per (keys, pane), panes being gcd(size, slide) wide: every
+    sliding window is a union of whole panes, so rows are combined map-side
+    once, and only panes are copied to the windows that hold them."""
+    pane = math.gcd(size_ms, slide_ms)
+    t = F.col(time)
+    return df.groupBy(*keys, (t - F.pmod(t, F.lit(pane))).alias("_pane")).agg(*aggs)
+
+
 def sliding_agg(df, size_ms, slide_ms, keys=("id",), time="ts_ms", value="vc"):
-    return window_count_sum(assign_sliding(df, size_ms, slide_ms, time), list(keys), value)
+    p = panes(df, size_ms, slide_ms, list(keys), [F.count(F.lit(1)).alias("_c"), F.sum(F.col(value)).cast("bigint").alias("_s")],
+              time)
+    return assign_sliding(p, size_ms, slide_ms, "_pane").groupBy(*keys, "w_start", "w_end").agg(
+        F.sum("_c").cast("bigint").alias("cnt"), F.sum("_s").cast("bigint").alias("sum_vc"))
 
 
 def window_reduce(df, size_ms, key="id", time="ts_ms", value="vc", order="arrival"):
@@ -70,8 +84,9 @@ def window_process(df, size_ms, key="id", time="ts_ms", cols=("arrival", "ts_ms"
     has to fit in one task's memory; the count is aggregated and joined back
     on (key, window)."""
     w = assign_tumbling(df, size_ms, time)
-    cnt = w.groupBy(key, "w_start").agg(F.count(F.lit(1)).alias("cnt"))
-    return w.join(cnt, [key, "w_start"]).select(key, "w_start", "w_end", "cnt", *cols)
+    cnt = w.groupBy(F.col(key).alias("_k"), F.col("w_start").alias("_w")).agg(F.count(F.lit(1)).alias("cnt"))
+    same = w[key].eqNullSafe(cnt["_k"]) & (w["w_start"] == cnt["_w"])   # NULL is a key like any other
+    return w.join(cnt, same).select(key, "w_start", "w_end", "cnt", *cols)
 
 
 def global_window(df, key="id", value="vc"):
@@ -118,10 +133,10 @@ def session_agg_native(df: DataFrame, gap_ms: int, key: str = "id", time_col: st
 
 
 def count_window_tumbling(df: DataFrame, size: int, key: str = "id", order: str = "arrival",
-                          value: str = "vc", width: int = DEFAULT_CHUNK) -> DataFrame:
+                          value: str = "vc", width: int | None = None) -> DataFrame:
     """countWindow(size): consecutive groups of ``size`` rows per key; an
     incomplete tail never fires."""
-    s = prefix_scan(df, [key], [order], chunk_of(order, width), [Agg("_rn", "count", F.lit(1))])
+    s = prefix_scan(df, [key], [order], chunk_for(df, order, width), [Agg("_rn", "count", F.lit(1))])
     s = s.withColumn("win_no", floor_div("`_rn` - 1", size))
     g = s.groupBy(key, "win_no").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum(value).cast("bigint").alias("sum_vc"),
@@ -130,18 +145,18 @@ def count_window_tumbling(df: DataFrame, size: int, key: str = "id", order: str
 
 
 def count_window_sliding(df: DataFrame, size: int, slide: int, key: str = "id",
-                         order: str = "arrival", value: str = "vc", width: int = DEFAULT_CHUNK) -> DataFrame:
+                         order: str = "arrival", value: str = "vc", width: int | None = None) -> DataFrame:
     """countWindow(size, slide): fires after every ``slide``-th row of a key,
     over its last (up to) ``size`` rows.
 
     The window sum is a difference of running sums, S(n) - S(n - size); the
     lagged running sum is found by an equi-join on (key, position), which
     spreads a hot key over all tasks (no per-key frame)."""
-    s = prefix_scan(df, [key], [order], chunk_of(order, width),
+    s = prefix_scan(df, [key], [order], chunk_for(df, order, width),
                     [Agg("_rn", "count", F.lit(1)), Agg("_s", "sum", F.col(value).cast("bigint"))])
     fires = s.where(F.pmod(F.col("_rn"), F.lit(slide)) == 0).select(key, "_rn", "_s", F.col(order).alias("fire_arrival"))
     back = s.select(F.col(key).alias("_bk"), (F.col("_rn") + size).alias("_brn"), F.col("_s").alias("_bs"))
-    j = fires.join(back, (fires[key] == back["_bk"]) & (fires["_rn"] == back["_brn"]), "left")
+    j = fires.join(back, fires[key].eqNullSafe(back["_bk"]) & (fires["_rn"] == back["_brn"]), "left")
     return j.select(key, F.col("_rn").alias("pos"), "fire_arrival",
                     F.least(F.col("_rn"), F.lit(size)).alias("cnt"),
                     (F.col("_s") - F.coalesce(F.col("_bs"), F.lit(0))).alias("sum_vc"))

@@ -7,7 +7,8 @@ into chunks (``chunk`` must be non-decreasing along the order):
 
 1. per (key, chunk): the chunk's total, by a partial + final hash aggregate;
 2. per key: the carry = total of all earlier chunks, a window over the
-   small chunk table (one row per non-empty chunk);
+   chunk table: one row per non-empty chunk, at most ``MAX_CHUNKS`` per key
+   where the chunks come from ``density_chunk``;
 3. per (key, chunk): the running value inside the chunk, combined with the
    carry.  The rows are joined to the carry on (key, chunk) – AQE turns this
    into a broadcast join when the chunk table is small at run time – and the
@@ -229,32 +230,58 @@ def chunk_of(col: str, width: int) -> Column:
     return floor_div(f"`{col}`", width)
 
 
-# Chunk widths.  A task holds at most one chunk of one key; the chunk table
-# holds at most (order range / width) rows per key, and at most one row per
-# input row.
-#
-# Keyed scans in arrival units: at most 4M rows of a key per task.
-DEFAULT_CHUNK = 1 << 22
-# Scans over one global order (no key) in arrival units: 1M rows per task, and
-# a single-partition carry window over range / 1M chunk rows.
-GLOBAL_CHUNK = 1 << 20
-# Scans ordered by event or arrival *time* (ms): one minute.  At ~4e5 rows/s
-# (100 TB of readings over a month) that is ~2e7 rows per task, and 43,200
-# chunk rows per key per month.
+# Chunk numbers from row density.  A task holds at most one chunk of one key.
+#: Rows of one chunk, all keys together, at most (in expectation).
+TARGET_ROWS = 4_000_000
+#: At least this many chunks, so that a hot key of a small input uses all cores.
+MIN_CHUNKS = 16
+#: At most this many: the carry window of a key (or of a scan without key) runs
+#: over one row for each chunk, so this is its bound; above it chunks grow.
+MAX_CHUNKS = 1 << 18
+#: Quantiles of the order column that the chunk boundaries follow.
+SEGMENTS = 64
+#: Fixed width of time chunks (ms) where the key holds the window's start, so
+#: that a key spans few chunks.
 TIME_CHUNK_MS = 60_000
 
 
-def suggest_width(df: DataFrame, order_col: str, target_rows: int = 4_000_000,
-                  lo: int = 1 << 10, hi: int = 1 << 40) -> int:
-    """A chunk width (in ``order_col`` units) that gives about ``target_rows``
-    rows per chunk when the order values are spread evenly: one small
-    aggregate (count, min, max) over the column, clamped to [lo, hi].  Rows of
-    a single key are at most that many per task; pass the result as ``width``.
-    """
-    r = df.agg(F.count(F.col(order_col)).alias("n"), F.min(order_col).alias("a"),
-               F.max(order_col).alias("b")).first()
+def chunk_edges(n: int, edges: list[int], target_rows: int = TARGET_ROWS,
+                min_chunks: int = MIN_CHUNKS) -> list[tuple[int, int, int]]:
+    """(start, first chunk, width) of each segment between ``edges`` (ascending
+    quantiles with both ends) for ``n`` rows."""
+    chunks = min(MAX_CHUNKS, max(min_chunks, -(-n // target_rows)))
+    parts = -(-chunks // max(1, len(edges) - 1))
+    return [(a, i * parts, max(1, -(-(b - a) // parts))) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+
+
+def density_chunk(df: DataFrame, order_col: str, target_rows: int = TARGET_ROWS,
+                  min_chunks: int = MIN_CHUNKS) -> Column:
+    """A chunk number for any BIGINT order column, dense, sparse or bursty.
+
+    One aggregate over the column (count and quantiles, a single row) gives
+    ``SEGMENTS`` segments of about equal row counts; each is cut into chunks of
+    equal width.  Values 10^9 apart and crowded minutes alike give chunks of
+    about ``target_rows`` rows.  Rows with one and the same order value stay in
+    one chunk."""
+    steps = [k / SEGMENTS for k in range(SEGMENTS + 1)]
+    r = df.agg(F.count(order_col).alias("n"), F.min(order_col).alias("a"), F.max(order_col).alias("b"),
+               F.percentile_approx(order_col, steps, 1000).alias("q")).first()
     if not r["n"]:
-        return lo
-    span = int(r["b"]) - int(r["a"]) + 1
-    w = -(-span * target_rows // int(r["n"]))
-    return int(min(max(w, lo), hi))
+        return F.lit(0).cast("bigint")
+    edges = sorted({int(r["a"]), *map(int, r["q"]), int(r["b"]) + 1})
+    cuts = chunk_edges(r["n"], edges, target_rows, min_chunks)
+    c = f"CAST(`{order_col}` AS BIGINT)"
+
+    def pick(lo: int, hi: int) -> str:
+        if hi - lo == 1:
+            a, first, width = cuts[lo]
+            return f"({first}L + greatest(0L, {c} - ({a}L)) div {width}L)"
+        mid = (lo + hi) // 2
+        return f"(CASE WHEN {c} < {cuts[mid][0]}L THEN {pick(lo, mid)} ELSE {pick(mid, hi)} END)"
+
+    return F.when(F.col(order_col).isNotNull(), F.expr(pick(0, len(cuts))))
+
+
+def chunk_for(df: DataFrame, order_col: str, width: int | None = None) -> Column:
+    """Chunks of a given width, else by row density."""
+    return chunk_of(order_col, width) if width else density_chunk(df, order_col)

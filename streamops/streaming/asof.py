@@ -1,38 +1,63 @@
 """Broadcast-state threshold join on a stream (J4, streaming form).
 
 Each micro-batch of data rows is joined as-of by arrival with the config
-table: the batch rows, the config rows inside the batch's arrival range and
-one row carrying the last earlier config value are run through the batch
-operator, so the answer does not depend on how the data stream is cut, and
-the work per batch does not grow with the config history.  The config table
-is read per batch (batch-granular updates, as with a changing broadcast
-side); the arrival filters are pushed into its scan."""
+table: the batch rows, the config rows that arrived since the last batch and
+one row carrying the last value before them are run through the batch operator,
+so the answer does not depend on how the data stream is cut.  The carry, the
+last config value up to a batch's last arrival, is kept per batch id in the
+query's folder, so a batch reads only config rows after it (the filter is pushed
+into the scan) and a replayed batch reads what it read the first time.  The
+config table is read per batch (batch-granular updates, as with a changing
+broadcast side)."""
 
 from __future__ import annotations
 
+import json
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamops.operators.joins import asof_threshold
+from streamops.streaming import store
 
 
-def threshold_batches(config: DataFrame, sink, order: str = "arrival", value: str = "vc",
+def threshold_batches(config: DataFrame, sink, carry_root: str, order: str = "arrival", value: str = "vc",
                       threshold_col: str = "threshold", default: int = 0):
     """``foreachBatch`` function: ``sink(alerts, batch_id)`` per batch."""
 
+    def path(batch_id: int) -> str:
+        return os.path.join(carry_root, f"batch={batch_id:012d}")
+
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        carry = {"upto": None, "order": None, "threshold": None}
+        if batch_id > 0:
+            text = store.read_text(spark, path(batch_id - 1))
+            if text is None:
+                raise FileNotFoundError(f"no carry of batch {batch_id - 1} in {carry_root}")
+            carry = json.loads(text)
         batch = batch.persist()
-        first, last = batch.agg(F.min(order), F.max(order)).first()
-        if last is not None:
-            # the as-of work per batch is bounded by the batch's arrival range:
-            # config rows inside it, plus one row carrying the last earlier value
-            inside = config.where((F.col(order) >= F.lit(first)) & (F.col(order) <= F.lit(last)))
-            before = (config.where((F.col(order) < F.lit(first)) & F.col(threshold_col).isNotNull())
-                            .agg(F.max_by(F.col(threshold_col), F.col(order)).alias(threshold_col),
-                                 F.max(order).alias(order))
-                            .where(F.col(order).isNotNull()))
-            cfg = inside.select(order, threshold_col).unionByName(before.select(order, threshold_col))
-            sink(asof_threshold(batch, cfg, order, value, threshold_col, default), batch_id)
-        batch.unpersist()
+        try:
+            last = batch.agg(F.max(order)).first()[0]
+            if last is not None:
+                new = config.where(F.col(order) <= F.lit(last)).select(order, threshold_col)
+                if carry["upto"] is not None:
+                    new = new.where(F.col(order) > F.lit(carry["upto"]))
+                cfg = new
+                if carry["order"] is not None:
+                    old = spark.range(1).select(F.lit(carry["order"]).cast(new.schema[order].dataType).alias(order),
+                                                F.lit(carry["threshold"]).cast(new.schema[threshold_col].dataType).alias(threshold_col))
+                    cfg = new.unionByName(old)
+                sink(asof_threshold(batch, cfg, order, value, threshold_col, default), batch_id)
+                latest = new.where(F.col(threshold_col).isNotNull()).agg(
+                    F.max(order).alias("o"), F.max_by(threshold_col, order).alias("t")).first()
+                upto = last if carry["upto"] is None else max(last, carry["upto"])
+                if latest["o"] is not None:
+                    carry = {"order": latest["o"], "threshold": latest["t"]}
+                carry["upto"] = upto
+            store.write_text(spark, path(batch_id), json.dumps(carry))
+        finally:
+            batch.unpersist()
 
     return run

@@ -10,12 +10,14 @@ exactly the value it read the first time.
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamops.operators import lateness
+from streamops.streaming import store
 
 
 def _carry_path(root: str, batch_id: int) -> str:
@@ -23,46 +25,45 @@ def _carry_path(root: str, batch_id: int) -> str:
 
 
 def read_carry(spark, root: str, batch_id: int):
-    """Max event time after batch ``batch_id`` (None before the first)."""
+    """Max event time after batch ``batch_id`` (None before the first, and if
+    no row has come yet).  Every batch writes its carry, so a missing or broken
+    one is an error, not an empty start."""
     if batch_id < 0:
         return None
-    try:
-        r = spark.read.json(_carry_path(root, batch_id)).first()
-    except Exception:
-        return None
-    return None if r is None else r["max_ts"]
+    text = store.read_text(spark, _carry_path(root, batch_id))
+    if text is None:
+        raise FileNotFoundError(f"no carry of batch {batch_id} in {root}")
+    return json.loads(text)["max_ts"]
 
 
 def write_carry(spark, root: str, batch_id: int, max_ts) -> None:
-    (spark.createDataFrame([(batch_id, max_ts)], "batch_id long, max_ts long")
-          .coalesce(1).write.mode("overwrite").json(_carry_path(root, batch_id)))
+    store.write_text(spark, _carry_path(root, batch_id), json.dumps({"max_ts": max_ts}))
 
 
 def classify_batches(carry_root: str, delay_ms: int, size_ms: int, lateness_ms: int, sink,
-                     time: str = "ts_ms", arrival=("arr_ms", "arrival")):
+                     time: str = "ts_ms", arrival=("arr_ms", "arrival"), slide_ms: int | None = None):
     """A ``foreachBatch`` function: classify every row of the batch as on
     time / allowed / closed with the exact per-event rule and hand the
-    classified frame to ``sink(df, batch_id)``.
+    classified frame to ``sink(df, batch_id)``.  With ``slide_ms`` the windows
+    slide and there is one classified row for each (row, window).
 
     Batches must arrive in arrival order (the usual source contract)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         init = read_carry(spark, carry_root, batch_id - 1)
-        if init is None and batch_id > 0:
-            # an empty earlier batch wrote no value: walk back to the last one
-            b = batch_id - 2
-            while init is None and b >= 0:
-                init = read_carry(spark, carry_root, b)
-                b -= 1
         batch = batch.persist()
-        traced = lateness.watermark_trace(batch, delay_ms, time, arrival, initial_max=init)
-        classified = lateness.classify_tumbling(traced, size_ms, lateness_ms, time)
-        sink(classified, batch_id)
-        mx = batch.agg(F.max(time).alias("m")).first()["m"]
-        new = mx if init is None else (init if mx is None else max(init, mx))
-        write_carry(spark, carry_root, batch_id, new)
-        batch.unpersist()
+        try:
+            traced = lateness.watermark_trace(batch, delay_ms, time, arrival, initial_max=init)
+            if slide_ms:
+                classified = lateness.classify_sliding(traced, size_ms, slide_ms, lateness_ms, time)
+            else:
+                classified = lateness.classify_tumbling(traced, size_ms, lateness_ms, time)
+            sink(classified, batch_id)
+            mx = batch.agg(F.max(time).alias("m")).first()["m"]
+            write_carry(spark, carry_root, batch_id, max((x for x in (mx, init) if x is not None), default=None))
+        finally:
+            batch.unpersist()
 
     return run
 
@@ -96,3 +97,19 @@ def window_updates(spark, routed_path: str, schema, size_ms: int, delay_ms: int,
                 .agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).cast("bigint").alias("sum_vc"))
                 .select(key, F.unix_millis("_w.start").alias("w_start"), F.unix_millis("_w.end").alias("w_end"),
                         "cnt", "sum_vc"))
+
+
+def firings_stream(spark, routed_path: str, schema, size_ms: int, delay_ms: int, lateness_ms: int,
+                   key: str = "id", time: str = "ts_ms") -> DataFrame:
+    """Second stage with one output row per firing, as in the batch form:
+    firing 0 when the first allowed-late row comes (or the window's time is
+    over), then one firing for every allowed-late row.  ``key`` must be a
+    string column and the value column is ``vc``."""
+    from streamops.streaming.processors import WindowFirings
+    routed = spark.readStream.schema(schema).parquet(routed_path)
+    live = (routed.where(F.col("lateness") != lateness.CLOSED)
+                  .withColumn("_et", F.timestamp_millis(F.col(time)))
+                  .withWatermark("_et", f"{int(size_ms + delay_ms + lateness_ms)} milliseconds"))
+    p = WindowFirings(size_ms)
+    return live.groupBy(key, "w_start").transformWithStateInPandas(
+        statefulProcessor=p, outputStructType=p.OUTPUT, outputMode="Append", timeMode="EventTime")

@@ -18,16 +18,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 
-def _sorted(rows: Iterator[pd.DataFrame], order: str = "arrival") -> pd.DataFrame:
+#: Rows of one key in one micro-batch.  They are sorted together in memory, so
+#: the source must cut batches (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``)
+#: such that no key brings more; beyond this the batch fails with that advice
+#: instead of running out of memory.
+MAX_KEY_ROWS = 5_000_000
+
+
+def _sorted(rows: Iterator[pd.DataFrame], order: str = "arrival", limit: int | None = None) -> pd.DataFrame:
     """All rows of one key in this micro-batch, in arrival order."""
-    parts = [p for p in rows if len(p)]
+    parts, n, limit = [], 0, limit or MAX_KEY_ROWS
+    for p in rows:
+        n += len(p)
+        if n > limit:
+            raise ValueError(f"a key brings over {limit} rows in one micro-batch: lower the source's batch size")
+        if len(p):
+            parts.append(p)
     if not parts:
         return pd.DataFrame(columns=[order, "vc", "ts_ms"])
     return pd.concat(parts, ignore_index=True).sort_values(order, kind="stable")
 
 
+def _values(pdf: pd.DataFrame, col: str = "vc") -> pd.Series:
+    """The values as nullable integers; NULL follows the batch forms' rules."""
+    return pd.to_numeric(pdf[col]).astype("Int64").reset_index(drop=True)
+
+
 class JumpAlert(StatefulProcessor):
-    """ValueState: alert when |vc - previous vc| > threshold (previous starts at 0)."""
+    """ValueState: alert when |vc - previous vc| > threshold (previous starts
+    at 0).  A NULL value alerts nothing and counts as 0 for the next row."""
 
     OUTPUT = "id string, arrival bigint, vc int, prev_vc int"
 
@@ -39,21 +58,22 @@ class JumpAlert(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
-        first_prev = int(self.last.get()[0]) if self.last.exists() else 0
-        vc = pdf["vc"].astype("int64").to_numpy()
-        prev = np.concatenate(([first_prev], vc[:-1])) if len(vc) else vc
-        hit = np.abs(vc - prev) > self.threshold
+        vc = _values(pdf)
+        before = self.last.get()[0] if self.last.exists() else None
+        prev = pd.concat([pd.Series([before], dtype="Int64"), vc[:-1]], ignore_index=True).fillna(0) if len(vc) else vc
+        hit = ((vc - prev).abs() > self.threshold).fillna(False).to_numpy(dtype=bool)
         if len(vc):
-            self.last.update((int(vc[-1]),))
+            self.last.update((None if pd.isna(vc.iloc[-1]) else int(vc.iloc[-1]),))
         yield pd.DataFrame({"id": key[0], "arrival": pdf["arrival"].to_numpy()[hit],
-                            "vc": vc[hit].astype("int32"), "prev_vc": prev[hit].astype("int32")})
+                            "vc": vc[hit].to_numpy("int32"), "prev_vc": prev[hit].to_numpy("int32")})
 
     def close(self):
         pass
 
 
 class RunningSumAvg(StatefulProcessor):
-    """Value state (sum, count): running sum and mean per row (ST4, ST5)."""
+    """Value state (sum, count): running sum and mean per row (ST4, ST5), both
+    over the values that are not NULL, and NULL before the first."""
 
     OUTPUT = "id string, arrival bigint, vc int, sum_vc bigint, avg_vc double"
 
@@ -63,40 +83,45 @@ class RunningSumAvg(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
         s0, n0 = self.acc.get() if self.acc.exists() else (0, 0)
-        vc = pdf["vc"].astype("int64").to_numpy()
-        sums = s0 + np.cumsum(vc)
-        counts = n0 + np.arange(1, len(vc) + 1)
+        vc = _values(pdf)
+        sums = s0 + vc.fillna(0).to_numpy("int64").cumsum()
+        counts = n0 + vc.notna().to_numpy().cumsum()
         if len(vc):
             self.acc.update((int(sums[-1]), int(counts[-1])))
-        yield pd.DataFrame({"id": key[0], "arrival": pdf["arrival"].to_numpy(), "vc": vc.astype("int32"),
-                            "sum_vc": sums, "avg_vc": sums / counts})
+        some = counts > 0
+        yield pd.DataFrame({"id": key[0], "arrival": pdf["arrival"].to_numpy(), "vc": vc.astype("Int32").array,
+                            "sum_vc": pd.Series(sums, dtype="Int64").where(some),
+                            "avg_vc": pd.Series(np.divide(sums, np.maximum(counts, 1))).where(some)})
 
     def close(self):
         pass
 
 
 class TopK(StatefulProcessor):
-    """ListState: the k largest values so far, descending (ST2)."""
+    """ListState: the k largest values so far, descending (ST2); NULL changes
+    nothing.  ``value_type`` is the value column's type."""
 
-    def __init__(self, k: int = 3):
-        self.k = k
-        self.OUTPUT = "id string, arrival bigint, vc int, " + ", ".join(f"top{i + 1} int" for i in range(k))
+    def __init__(self, k: int = 3, value_type: str = "int"):
+        self.k, self.value_type = k, value_type
+        self.OUTPUT = f"id string, arrival bigint, vc {value_type}, " + ", ".join(f"top{i + 1} {value_type}" for i in range(k))
 
     def init(self, handle):
-        self.top = handle.getListState("top", "v int")
+        self.top = handle.getListState("top", f"v {self.value_type}")
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
         top = [int(r[0]) for r in self.top.get()] if self.top.exists() else []
-        out = []
-        for a, v in zip(pdf["arrival"].tolist(), pdf["vc"].tolist()):
-            top = sorted(top + [int(v)], reverse=True)[: self.k]
-            out.append([key[0], a, v] + (top + [None] * self.k)[: self.k])
+        vc, out = _values(pdf), []
+        for v in vc.tolist():
+            if not pd.isna(v):
+                top = sorted([*top, int(v)], reverse=True)[: self.k]
+            out.append((top + [None] * self.k)[: self.k])
         self.top.put([(t,) for t in top])
-        cols = ["id", "arrival", "vc"] + [f"top{i + 1}" for i in range(self.k)]
-        res = pd.DataFrame(out, columns=cols)
-        for c in cols[3:]:
-            res[c] = res[c].astype("Int32")
+        kind = "Int32" if self.value_type == "int" else "Int64"
+        res = pd.DataFrame(out, columns=[f"top{i + 1}" for i in range(self.k)], dtype=kind)
+        res.insert(0, "vc", vc.astype(kind))
+        res.insert(0, "arrival", pdf["arrival"].to_numpy())
+        res.insert(0, "id", key[0])
         yield res
 
     def close(self):
@@ -104,24 +129,30 @@ class TopK(StatefulProcessor):
 
 
 class ValueCounts(StatefulProcessor):
-    """MapState vc -> count; per row the count of its own value (ST3)."""
+    """MapState vc -> count; per row the count of its own value (ST3).  NULL is
+    a value of its own, kept under a flag."""
 
     OUTPUT = "id string, arrival bigint, vc int, cnt bigint"
 
     def init(self, handle):
-        self.counts = handle.getMapState("counts", "vc int", "n long")
+        self.counts = handle.getMapState("counts", "vc int, known boolean", "n long")
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
-        vc = pdf["vc"].astype("int64")
-        base = {int(v): (int(self.counts.getValue((int(v),))[0]) if self.counts.containsKey((int(v),)) else 0)
-                for v in vc.unique()}
-        cnt = vc.groupby(vc).cumcount().to_numpy() + 1 + vc.map(base).to_numpy()
-        last = pd.Series(cnt, index=vc.to_numpy()).groupby(level=0).max()
-        for v, n in last.items():
-            self.counts.updateValue((int(v),), (int(n),))
-        yield pd.DataFrame({"id": key[0], "arrival": pdf["arrival"].to_numpy(),
-                            "vc": vc.to_numpy().astype("int32"), "cnt": cnt.astype("int64")})
+        vc = _values(pdf)
+        known, plain = vc.notna(), vc.fillna(0)
+        group = pd.Series(list(zip(plain.tolist(), known.tolist())), dtype=object)
+        base = {}
+        for g in group.unique():
+            at = (int(g[0]), bool(g[1]))
+            base[g] = int(self.counts.getValue(at)[0]) if self.counts.containsKey(at) else 0
+        cnt = group.groupby(group).cumcount().to_numpy("int64") + 1 + group.map(base).to_numpy("int64") if len(group) else []
+        for g, n in zip(group, cnt):
+            base[g] = int(n)
+        for g, n in base.items():
+            self.counts.updateValue((int(g[0]), bool(g[1])), (n,))
+        yield pd.DataFrame({"id": key[0], "arrival": pdf["arrival"].to_numpy(), "vc": vc.astype("Int32").array,
+                            "cnt": np.array(cnt, "int64")})
 
     def close(self):
         pass
@@ -145,16 +176,17 @@ class EventTimeTTL(StatefulProcessor):
         pdf = _sorted(rows)
         v, last = self.st.get() if self.st.exists() else (None, None)
         out = []
-        for a, t, x in zip(pdf["arrival"].tolist(), pdf["ts_ms"].tolist(), pdf["vc"].tolist()):
+        for a, t, x in zip(pdf["arrival"].tolist(), pdf["ts_ms"].tolist(), _values(pdf).tolist()):
+            x = None if pd.isna(x) else int(x)
             if last is not None and t - last >= self.ttl_ms:
                 v = None
             out.append((key[0], a, t, x, v))
-            if x > self.write_above:
+            if x is not None and x > self.write_above:
                 v = x
             last = t
         self.st.update((v, last))
         res = pd.DataFrame(out, columns=["id", "arrival", "ts_ms", "vc", "state"])
-        res["state"] = res["state"].astype("Int32")
+        res[["vc", "state"]] = res[["vc", "state"]].astype("Int32")
         yield res
 
     def close(self):
@@ -179,15 +211,16 @@ class ProcessingTimeTTL(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
         out = []
-        for a, x in zip(pdf["arrival"].tolist(), pdf["vc"].tolist()):
+        for a, x in zip(pdf["arrival"].tolist(), _values(pdf).tolist()):
+            x = None if pd.isna(x) else int(x)
             v = self.st.get()[0] if self.st.exists() else None
             out.append((key[0], a, x, v))
-            if x > self.write_above:
-                self.st.update((int(x),))
+            if x is not None and x > self.write_above:
+                self.st.update((x,))
             elif v is not None:
                 self.st.update((v,))  # refresh on read
         res = pd.DataFrame(out, columns=["id", "arrival", "vc", "state"])
-        res["state"] = res["state"].astype("Int32")
+        res[["vc", "state"]] = res[["vc", "state"]].astype("Int32")
         yield res
 
     def close(self):
@@ -231,19 +264,127 @@ class CountWindows(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
-        buf = [int(r[0]) for r in self.buf.get()] if self.buf.exists() else []
+        buf = [r[0] for r in self.buf.get()] if self.buf.exists() else []
         n = int(self.pos.get()[0]) if self.pos.exists() else 0
         out = []
-        for v in pdf["vc"].tolist():
+
+        def total():                                   # NULL values add nothing; all NULL is NULL
+            some = [x for x in buf if x is not None]
+            return sum(some) if some else None
+
+        for v in _values(pdf).tolist():
             n += 1
-            buf = (buf + [int(v)])[-self.size:]
+            buf = [*buf, None if pd.isna(v) else int(v)][-self.size:]
             if n % self.size == 0:
-                out.append((key[0], "tumbling", n // self.size - 1, self.size, sum(buf)))
+                out.append((key[0], "tumbling", n // self.size - 1, self.size, total()))
             if n % self.slide == 0:
-                out.append((key[0], "sliding", n, len(buf), sum(buf)))
+                out.append((key[0], "sliding", n, len(buf), total()))
         self.buf.put([(x,) for x in buf])
         self.pos.update((n,))
-        yield pd.DataFrame(out, columns=["id", "kind", "pos", "cnt", "sum_vc"])
+        res = pd.DataFrame(out, columns=["id", "kind", "pos", "cnt", "sum_vc"])
+        res["sum_vc"] = res["sum_vc"].astype("Int64")
+        yield res
+
+    def close(self):
+        pass
+
+
+class WindowProcess(StatefulProcessor):
+    """Full-window function per (key, tumbling window) (W12): the rows are list
+    state; when the watermark passes the window's end they are given out with
+    the window's count, in parts, and the state is cleared."""
+
+    OUTPUT = "id string, w_start bigint, w_end bigint, cnt bigint, arrival bigint, ts_ms bigint, vc int"
+    PART = 10_000
+
+    def __init__(self, size_ms: int):
+        self.size_ms = size_ms
+
+    def init(self, handle):
+        self.handle = handle
+        self.rows = handle.getListState("rows", "arrival long, ts_ms long, vc int")
+        self.n = handle.getValueState("n", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        n = int(self.n.get()[0]) if self.n.exists() else 0
+        if not n:
+            self.handle.registerTimer(int(key[1]) + self.size_ms - 1)
+        for p in rows:
+            if len(p):
+                vc = [None if pd.isna(v) else int(v) for v in p["vc"]]
+                self.rows.appendList(list(zip(p["arrival"].tolist(), p["ts_ms"].tolist(), vc)))
+                n += len(p)
+        self.n.update((n,))
+        yield pd.DataFrame(columns=["id", "w_start", "w_end", "cnt", "arrival", "ts_ms", "vc"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        n, part = int(self.n.get()[0]), []
+
+        def out():
+            res = pd.DataFrame(part, columns=["arrival", "ts_ms", "vc"])
+            res["vc"] = res["vc"].astype("Int32")
+            for i, (c, v) in enumerate((("id", key[0]), ("w_start", int(key[1])), ("w_end", int(key[1]) + self.size_ms), ("cnt", n))):
+                res.insert(i, c, v)
+            return res
+
+        for r in self.rows.get():
+            part.append(tuple(r))
+            if len(part) == self.PART:
+                yield out()
+                part = []
+        if part:
+            yield out()
+        self.rows.clear()
+        self.n.clear()
+
+    def close(self):
+        pass
+
+
+class WindowFirings(StatefulProcessor):
+    """Window results with allowed lateness, one row per firing (WM7), over
+    rows classified as on time or allowed late.  State: count, sum, firings."""
+
+    OUTPUT = "id string, w_start bigint, w_end bigint, firing bigint, cnt bigint, sum_vc bigint"
+
+    def __init__(self, size_ms: int):
+        self.size_ms = size_ms
+
+    def init(self, handle):
+        self.handle = handle
+        self.st = handle.getValueState("st", "cnt long, sum_vc long, late long, fired boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        if self.st.exists():
+            cnt, total, late, fired = self.st.get()
+        else:
+            cnt, total, late, fired = 0, None, 0, False
+            self.handle.registerTimer(int(key[1]) + self.size_ms - 1)
+        pdf, out = _sorted(rows), []
+        order = pdf.sort_values(["arr_ms", "arrival"], kind="stable") if "arr_ms" in pdf else pdf
+        for allowed, v in zip((order["lateness"] == "allowed").tolist(), _values(order).tolist()):
+            if allowed and not fired:                  # all on-time rows came before the first allowed one
+                if cnt:
+                    out.append((key[0], int(key[1]), int(key[1]) + self.size_ms, 0, cnt, total))
+                fired = True
+            cnt += 1
+            total = total if pd.isna(v) else (total or 0) + int(v)
+            if allowed:
+                late += 1
+                out.append((key[0], int(key[1]), int(key[1]) + self.size_ms, late, cnt, total))
+        self.st.update((cnt, total, late, fired))
+        yield self.frame(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        cnt, total, late, fired = self.st.get()
+        yield self.frame([] if fired else [(key[0], int(key[1]), int(key[1]) + self.size_ms, 0, cnt, total)])
+        self.st.clear()
+
+    @staticmethod
+    def frame(rows):
+        res = pd.DataFrame(rows, columns=["id", "w_start", "w_end", "firing", "cnt", "sum_vc"])
+        res["sum_vc"] = res["sum_vc"].astype("Int64")
+        return res
 
     def close(self):
         pass

@@ -1,7 +1,7 @@
 """Sinks (K1-K6): row shaping for Kafka, file, JDBC, custom and console sinks.
 
 Spark's Kafka sink is at-least-once; rows carry a ``dedup_id`` so a consumer
-can drop replays.  The JDBC writer is replay-safe through the batch id.
+can drop replays.  The JDBC and Parquet writers are safe to replay by batch id.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamops.sources.tables import millis_to_ntz
+from streamops.streaming import store
 
 # Fixed value: the hourly directory format of the file sink.
 HOUR_DIR_FORMAT = "yyyy-MM-dd HH"
@@ -29,12 +30,6 @@ def kafka_keyed_rows(lines: DataFrame, topic: str, value_col: str = "value") ->
     return lines.select(F.lit(topic).alias("topic"), F.split(v, ",").getItem(0).alias("key"), v.alias("value"))
 
 
-def kafka_write_options(bootstrap: str, topic: str, checkpoint: str, **extra) -> dict:
-    opts = {"kafka.bootstrap.servers": bootstrap, "topic": topic, "checkpointLocation": checkpoint}
-    opts.update(extra)
-    return opts
-
-
 def kafka_records(rows: DataFrame) -> DataFrame:
     """The columns the Kafka sink takes: ``key``, ``value``, ``topic`` when
     present, and a ``dedup_id`` record header when the rows carry one."""
@@ -63,14 +58,15 @@ def with_hour_bucket(df: DataFrame, time_ms: str = "ts_ms") -> DataFrame:
     return df.withColumn("bucket_hour", F.date_format(millis_to_ntz(time_ms), HOUR_DIR_FORMAT))
 
 
-def write_text_by_hour(df: DataFrame, path: str, value_col: str = "value",
+def write_text_by_hour(df: DataFrame, path: str, value_col: str = "value", salts: int = 1,
                        max_records_per_file: int = 1_000_000) -> None:
     """Batch row-format text sink: one folder per event hour, files rolled by a
-    record cap.  Each task sorts its rows by hour and writes one file per hour
-    it holds; a time-ordered input touches few hours per task, so no extra
-    shuffle is spent on grouping rows by hour."""
-    (df.select(value_col, "bucket_hour").write.mode("errorifexists")
-       .option("maxRecordsPerFile", max_records_per_file)
+    record cap.  Rows are first brought together by (hour, salt), so an hour
+    gives about ``salts`` files (and those that the cap rolls) whatever the
+    order and number of input tasks; raise ``salts`` with the rows of an hour."""
+    salt = F.pmod(F.xxhash64(value_col), F.lit(salts))
+    (df.select(value_col, "bucket_hour").repartition(F.col("bucket_hour"), salt).sortWithinPartitions("bucket_hour")
+       .write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
        .partitionBy("bucket_hour").text(path))
 
 
@@ -88,55 +84,65 @@ def stream_text_by_hour(df: DataFrame, path: str, checkpoint: str, trigger: str
               .partitionBy("bucket_hour").trigger(processingTime=trigger).start(path))
 
 
-def jdbc_batch_writer(url: str, table: str, properties: dict, batch_size: int = 100,
-                      retries: int = 3):
+def jdbc_delete_batch(spark, url: str, table: str, properties: dict, batch_id: int) -> None:
+    """Delete a batch's rows, in one transaction; a table that does not exist
+    has none."""
+    jvm = spark._jvm
+    props = jvm.java.util.Properties()
+    for k, v in properties.items():
+        props.setProperty(k, str(v))
+    con = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        found = con.getMetaData().getTables(None, None, table.split(".")[-1], None)
+        if found.next():
+            con.createStatement().executeUpdate(f"DELETE FROM {table} WHERE batch_id = {int(batch_id)}")
+    finally:
+        con.close()
+
+
+def jdbc_append(rows: DataFrame, url: str, table: str, properties: dict, batch_size: int) -> None:
+    rows.write.option("batchsize", batch_size).jdbc(url, table, mode="append", properties=properties)
+
+
+def jdbc_batch_writer(url: str, table: str, properties: dict, batch_size: int = 100, retries: int = 3,
+                      delete=jdbc_delete_batch, append=jdbc_append):
     """``foreachBatch`` function writing each micro-batch with JDBC batching.
 
-    Replay-safe: every row carries the batch id; rows of a batch id that is
-    already present are not written again.  Credentials come from
-    ``properties`` only.
-    """
+    Every row carries its batch id.  Each attempt first deletes what the table
+    holds of that id, then appends the batch, so neither a retry nor a replay
+    after partitions were committed loses or doubles rows; between the two a
+    reader can see part of a batch.  The last error is raised when the retries
+    are used up, so the batch is not taken as written.  Credentials come from
+    ``properties`` only."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            done = (spark.read.jdbc(url, f"(SELECT 1 AS x FROM {table} WHERE batch_id = {int(batch_id)}) t",
-                                    properties=properties).limit(1).count() > 0)
-        except Exception:  # table not created yet
-            done = False
-        if done:
-            return
         rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        last = None
-        for _ in range(retries + 1):
+        for attempt in range(retries + 1):
             try:
-                rows.write.option("batchsize", batch_size).jdbc(url, table, mode="append", properties=properties)
+                delete(batch.sparkSession, url, table, properties, batch_id)
+                append(rows, url, table, properties, batch_size)
                 return
-            except Exception as e:  # bounded retry, then fail the batch
-                last = e
-        raise last
+            except Exception:
+                if attempt == retries:
+                    raise
 
     return write
 
 
 def idempotent_parquet_sink(path: str):
     """``foreachBatch`` writer that is safe to replay: batch N goes to
-    ``path/batch_id=N`` and is skipped when that folder is already committed.
+    ``path/batch_id=N`` and is skipped only if its commit marker exists.
 
-    Spark's commit protocol publishes a folder only after the whole write
-    succeeded, so a batch that failed mid-write is simply written again, and a
-    batch replayed after a later failure finds its committed folder and adds
-    nothing."""
+    The marker (``path/_commits/N``) is written after the whole batch, so a
+    folder that a failed attempt left behind, readable or not, is overwritten."""
+    root = path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
-        spark = batch.sparkSession
-        try:
-            spark.read.parquet(target).limit(0).collect()
-            return  # already committed
-        except Exception:
-            pass
-        batch.write.mode("overwrite").parquet(target)
+        marker = f"{root}/_commits/{int(batch_id)}"
+        if store.exists(batch.sparkSession, marker):
+            return
+        batch.write.mode("overwrite").parquet(f"{root}/batch_id={int(batch_id)}")
+        store.write_text(batch.sparkSession, marker, "done")
 
     return write
 

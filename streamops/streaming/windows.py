@@ -35,21 +35,37 @@ def session_counts(stream: DataFrame, gap_ms: int, delay_ms: int = 0, key: str =
 
 
 def topn_chained(stream: DataFrame, n: int, size_ms: int, slide_ms: int, delay_ms: int = 0,
-                 time_col: str = "event_time", value: str = "vc") -> DataFrame:
-    """Two chained window aggregations (N2): count per (value, window), then
-    per window the top ``n`` entries.  The second stage gathers one row per
-    distinct value of the window (bounded by the value domain)."""
+                 time_col: str = "event_time", value: str = "vc", shards: int = 64) -> DataFrame:
+    """Chained window aggregations (N2): count per (value, window), then the
+    top ``n`` of each (window, shard of the values), then of each window.  A
+    list holds one shard's distinct values at most, or ``shards * n`` entries;
+    raise ``shards`` with the number of distinct values."""
     w = F.window(time_col, _ms(size_ms), _ms(slide_ms))
     counts = (stream.withWatermark(time_col, _ms(delay_ms)).groupBy(w.alias("w"), value)
                     .agg(F.count(F.lit(1)).alias("cnt")))
-    ranked = (counts.groupBy("w").agg(F.slice(F.sort_array(F.collect_list(
-        F.struct((-F.col("cnt")).alias("nc"), F.col(value).alias("v")))), 1, n).alias("top")))
+    entry = F.struct((-F.col("cnt")).alias("nc"), F.col(value).alias("v"))
+    part = counts.groupBy("w", F.pmod(F.hash(F.col(value)), F.lit(shards)).alias("_shard")).agg(
+        F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("top"))
+    ranked = part.groupBy("w").agg(F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, n).alias("top"))
     return ranked.select(F.unix_millis("w.start").alias("w_start"), F.unix_millis("w.end").alias("w_end"),
                          F.posexplode("top").alias("p", "e")).select(
         "w_start", "w_end", (F.col("p") + 1).cast("bigint").alias("rank"),
         F.col("e.v").alias(value), (-F.col("e.nc")).alias("cnt"))
 
 
+def window_process_stream(stream: DataFrame, size_ms: int, delay_ms: int = 0, key: str = "id",
+                          time: str = "ts_ms", time_col: str = "event_time") -> DataFrame:
+    """Full-window function on a stream (W12): when the watermark passes a
+    window's end, every element of the window with its bounds and count.  The
+    rows of an open window are list state of its (key, window)."""
+    from streamops.streaming.processors import WindowProcess
+    p = WindowProcess(size_ms)
+    w = (stream.withWatermark(time_col, _ms(delay_ms))
+               .withColumn("w_start", F.col(time) - F.pmod(F.col(time), F.lit(size_ms))))
+    return w.groupBy(key, "w_start").transformWithStateInPandas(
+        statefulProcessor=p, outputStructType=p.OUTPUT, outputMode="Append", timeMode="EventTime")
+
+
 def interval_join_stream(left: DataFrame, right: DataFrame, lower_ms: int, upper_ms: int,
                          delay_ms: int = 0, key: str = "id", time_col: str = "event_time") -> DataFrame:
     """Stream-stream inner interval join (J2); Spark bounds the join state
@@ -64,13 +80,11 @@ def interval_join_stream(left: DataFrame, right: DataFrame, lower_ms: int, upper
     return l.join(r, cond).select(F.col("l_id").alias(key), "l_arrival", "r_arrival")
 
 
-def connect_join_stream(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """Connected keyed streams caching every row (J3): a stream-stream inner
-    equi-join without watermark; its state grows without bound, like the
-    reference's caches."""
-    l = left.select(F.col(key), F.col("arrival").alias("l_arrival"))
-    r = right.select(F.col(key), F.col("arrival").alias("r_arrival"))
-    return l.join(r, key)
+def connect_join_stream(left: DataFrame, right: DataFrame, ttl_ms: int, delay_ms: int = 0, key: str = "id",
+                        time_col: str = "event_time") -> DataFrame:
+    """Connected keyed streams whose cached rows expire (J3): pairs with equal
+    key whose times are less than ``ttl_ms`` apart; the range bounds the state."""
+    return interval_join_stream(left, right, -(ttl_ms - 1), ttl_ms - 1, delay_ms, key, time_col)
 
 
 def processing_time_counts(stream: DataFrame, kind: str, size_ms: int, slide_ms: int | None = None,
