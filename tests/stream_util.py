@@ -5,17 +5,21 @@ import tempfile
 import time
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 
 from streamops.sources.tables import JITTER_MOD, JITTER_MULT, JITTER_STEP_MS
 
 
-def split_events(sf_dir: str, parts: int, jitter: bool = False, first: int | None = None) -> tuple[str, list[str]]:
+def split_events(sf_dir: str, parts: int, jitter: bool = False, first: int | None = None,
+                 closing: bool = False) -> tuple[str, list[str]]:
     """Write ``parts`` parquet files in arrival order into a fresh folder.
 
     With ``jitter`` the order is the synthetic arrival order (arr_ms, event_id).
     Files get increasing modification times so the stream reads them in order.
+    With ``closing`` two more files follow with one row each of another key, a
+    year on: they close every window of the data and stay open themselves.
     Returns (folder, [file paths]); with ``first`` only that many files are
     placed in the folder, the rest are written next to it for later moves.
     """
@@ -43,4 +47,15 @@ def split_events(sf_dir: str, parts: int, jitter: bool = False, first: int | Non
         pq.write_table(t.slice(bounds[i], bounds[i + 1] - bounds[i]), p)
         os.utime(p, (now + i, now + i))
         paths.append(p)
+    if closing:
+        for i in (1, 2):
+            row = {c: t.column(c).slice(t.num_rows - 1, 1) for c in t.column_names}
+            row["event_id"] = pa.array([10_000_000 + i], t.schema.field("event_id").type)
+            row["user_id"] = pa.array([-1], t.schema.field("user_id").type)
+            late = pc.add(pc.cast(row["ts"], pa.int64()), i * 365 * 86_400 * 1_000_000)
+            row["ts"] = pc.cast(late, t.schema.field("ts").type)
+            p = os.path.join(src, f"part-{parts + i:04d}.parquet")
+            pq.write_table(pa.table(row).cast(t.schema), p)
+            os.utime(p, (now + parts + i, now + parts + i))
+            paths.append(p)
     return src, paths

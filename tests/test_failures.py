@@ -1,0 +1,220 @@
+"""Writes that fail half-way, replays, and carries that are missing or broken."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from streamops.operators import lateness, state, windows
+from streamops.sources.tables import sensor, with_jitter
+from streamops.streaming import lateness as SL
+from streamops.streaming import processors as P
+from streamops.streaming import sinks, store
+from streamops.streaming.sources import events_stream
+from tests.conftest import SF001
+from tests.stream_util import split_events
+from tests.test_streaming import as_set, run_to_memory
+
+HOUR, MIN = 3_600_000, 60_000
+
+
+def test_half_written_batch_folder_is_rewritten(spark, tmp_path):
+    out = str(tmp_path / "out")
+    b = sensor(spark, SF001)
+    b.limit(10).write.parquet(f"{out}/batch_id=0")     # readable, but never committed
+    w = sinks.idempotent_parquet_sink(out)
+    w(b, 0)
+    assert spark.read.parquet(out).count() == b.count()
+    w(b.limit(3), 0)                                   # committed now: a replay adds and removes nothing
+    assert spark.read.parquet(out).count() == b.count()
+
+
+def test_batch_is_not_committed_when_the_write_fails(spark, tmp_path):
+    out = str(tmp_path / "out")
+    b = sensor(spark, SF001)
+    w = sinks.idempotent_parquet_sink(out)
+    with pytest.raises(Exception):
+        w(b.withColumn("x", F.when(F.col("arrival") == 500, F.raise_error(F.lit("lost"))).otherwise(F.lit(1).cast("void"))
+                       .cast("string")), 0)
+    w(b, 0)
+    assert spark.read.parquet(out).count() == b.count()
+
+
+class FakeTable:
+    """A table whose appends commit part of a batch and then fail."""
+
+    def __init__(self, failures):
+        self.rows, self.failures, self.deletes = [], failures, 0
+
+    def delete(self, spark, url, table, properties, batch_id):
+        self.deletes += 1
+        self.rows = [r for r in self.rows if r["batch_id"] != batch_id]
+
+    def append(self, df, url, table, properties, batch_size):
+        rows = df.collect()
+        if self.failures:
+            self.failures -= 1
+            self.rows += rows[: len(rows) // 2]        # partitions committed before the failure
+            raise OSError("connection lost")
+        self.rows += rows
+
+
+@pytest.mark.parametrize("failures", [0, 1, 3])
+def test_jdbc_batches_are_exact_after_failures_and_replays(spark, failures):
+    t = FakeTable(failures)
+    w = sinks.jdbc_batch_writer("jdbc:x", "ws", {}, retries=3, delete=t.delete, append=t.append)
+    b = sensor(spark, SF001).limit(20)
+    w(b, 0)
+    w(b, 0)                                            # the same batch again, as after a lost commit
+    w(b, 1)
+    assert sorted((r["arrival"], r["batch_id"]) for r in t.rows) == sorted(
+        (r["arrival"], k) for r in b.collect() for k in (0, 1))
+
+
+def test_jdbc_failure_is_raised_after_the_retries(spark):
+    t = FakeTable(10)
+    w = sinks.jdbc_batch_writer("jdbc:x", "ws", {}, retries=2, delete=t.delete, append=t.append)
+    with pytest.raises(OSError):
+        w(sensor(spark, SF001).limit(4), 0)
+    assert t.deletes == 3
+    with pytest.raises(Exception):                     # the real writer, without a driver
+        sinks.jdbc_batch_writer("jdbc:nosuchdriver://nowhere/db", "ws", {"user": "u"}, retries=1)(sensor(spark, SF001).limit(5), 0)
+
+
+def test_carry_is_an_error_when_missing_or_broken(spark, tmp_path):
+    root = str(tmp_path)
+    assert SL.read_carry(spark, root, -1) is None
+    with pytest.raises(FileNotFoundError):
+        SL.read_carry(spark, root, 0)
+    SL.write_carry(spark, root, 0, None)
+    assert SL.read_carry(spark, root, 0) is None       # written: no row has come yet
+    SL.write_carry(spark, root, 1, 77)
+    SL.write_carry(spark, root, 1, 77)                 # a replay
+    assert SL.read_carry(spark, root, 1) == 77
+    store.write_text(spark, SL._carry_path(root, 2), "{broken")
+    with pytest.raises(ValueError):
+        SL.read_carry(spark, root, 2)
+
+
+def classified(spark, tmp_path, src, **kw):
+    routed = str(tmp_path / "routed")
+    q = (with_jitter(events_stream(spark, src)).writeStream
+         .foreachBatch(SL.classify_batches(str(tmp_path / "carry"), 30 * MIN, HOUR, 20 * MIN, SL.routed_rows_sink(routed), **kw))
+         .option("checkpointLocation", str(tmp_path / "ck1")).start())
+    q.processAllAvailable()
+    q.stop()
+    return routed
+
+
+def test_stream_fires_once_for_every_late_row(spark, tmp_path):
+    src, _ = split_events("/root/testdata/sf0.01", 5, jitter=True, closing=True)
+    routed = classified(spark, tmp_path, src)
+    schema = spark.read.parquet(routed).schema
+    got = run_to_memory(SL.firings_stream(spark, routed, schema, HOUR, 30 * MIN, 20 * MIN), checkpoint=str(tmp_path / "ck2"))
+    want = lateness.window_firings(lateness.classify_tumbling(lateness.watermark_trace(
+        with_jitter(sensor(spark, "/root/testdata/sf0.01")), 30 * MIN), HOUR, 20 * MIN))
+    cols = ["id", "w_start", "w_end", "firing", "cnt", "sum_vc"]
+    assert as_set(got.where("id <> '-1'"), cols) == as_set(want, cols)
+
+
+def test_sliding_classification_on_a_stream(spark, tmp_path):
+    src, _ = split_events("/root/testdata/sf0.01", 4, jitter=True)
+    routed = classified(spark, tmp_path, src, slide_ms=HOUR // 2)
+    want = lateness.classify_sliding(lateness.watermark_trace(with_jitter(sensor(spark, "/root/testdata/sf0.01")), 30 * MIN),
+                                     HOUR, HOUR // 2, 20 * MIN)
+    cols = ["arrival", "w_start", "lateness"]
+    assert as_set(spark.read.parquet(routed), cols) == as_set(want, cols)
+
+
+def test_null_values_agree_between_stream_and_batch(spark, tmp_path):
+    src, _ = split_events(SF001, 3)
+
+    def gaps(df):
+        return df.withColumn("vc", F.when(F.col("arrival") % 5 != 0, F.col("vc")))
+
+    s = gaps(sensor(spark, SF001))
+    cases = [
+        (P.JumpAlert(10), state.jump_alert(s, threshold=10), ["arrival", "id", "vc", "prev_vc"]),
+        (P.TopK(3), state.running_top_k(s, 3), ["arrival", "id", "vc", "top1", "top2", "top3"]),
+        (P.ValueCounts(), state.value_counts_running(s), ["arrival", "id", "vc", "cnt"]),
+        (P.RunningSumAvg(), state.running_avg(s).join(state.running_sum(s).select("arrival", "sum_vc"), "arrival"),
+         ["arrival", "id", "vc", "sum_vc", "avg_vc"]),
+        (P.EventTimeTTL(5 * HOUR), state.ttl_state(s, 5 * HOUR), ["arrival", "id", "ts_ms", "vc", "state"]),
+    ]
+    for proc, want, cols in cases:
+        key = lambda rows: sorted(rows, key=str)
+        got = run_to_memory(P.apply(gaps(events_stream(spark, src)), "id", proc))
+        assert key(as_list(got, cols)) == key(as_list(want, cols)), type(proc).__name__
+
+
+def as_list(df, cols):
+    return [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
+
+
+def test_a_key_beyond_the_batch_bound_fails_with_advice(monkeypatch):
+    import pandas as pd
+    part = pd.DataFrame({"arrival": range(10), "vc": range(10)})
+    assert len(P._sorted(iter([part, part]), limit=20)) == 20
+    with pytest.raises(ValueError, match="lower the source's batch size"):
+        P._sorted(iter([part, part, part]), limit=20)
+
+
+def test_shared_folder_must_be_named_off_local(monkeypatch):
+    from streamops import session
+
+    class Context:
+        master = "spark://head:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_file_sink_writes_one_file_per_hour_and_salt(spark, tmp_path):
+    s = sinks.with_hour_bucket(sensor(spark, SF001).repartition(7)).select(F.col("id").alias("value"), "bucket_hour")
+    hours = s.select("bucket_hour").distinct().count()
+    sinks.write_text_by_hour(s, str(tmp_path / "out"))
+    files = [f for _, _, fs in os.walk(tmp_path / "out") for f in fs if f.startswith("part-")]
+    assert len(files) == hours and sinks.read_text_by_hour(spark, str(tmp_path / "out")).count() == 1000
+
+
+def test_null_keys_in_batch_operators(spark):
+    rows = [(k, i * 1000, i, i) for i in range(24) for k in (None, "a")]
+    df = spark.createDataFrame([(k, t, v, 2 * a + (k is None)) for k, t, v, a in rows], "id string, ts_ms bigint, vc int, arrival bigint")
+    for out in (windows.window_process(df, 8000), windows.count_window_sliding(df, 5, 2, width=3),
+                state.running_top_k(df, 3, width=4), state.running_sum(df, width=4)):
+        drop = {"id", "arrival", "fire_arrival"}
+        cols = [c for c in out.columns if c not in drop]
+        assert as_set(out.where("id is null"), cols) == as_set(out.where("id = 'a'"), cols) and out.where("id is null").count()
+
+
+def test_top_k_types_and_chunks_without_values(spark):
+    df = spark.createDataFrame([("a", 0, 1 << 40, 0), ("a", 1, 7, 1), ("a", 2, None, 2), ("a", 3, 5, 3)],
+                               "id string, ts_ms bigint, vc bigint, arrival bigint")
+    for width in (1, 2, None):
+        got = [(r["top1"], r["top2"], r["top3"]) for r in state.running_top_k(df, 3, width=width).orderBy("arrival").collect()]
+        assert got == [(1 << 40, None, None), (1 << 40, 7, None), (1 << 40, 7, None), (1 << 40, 7, 5)]
+
+
+def test_jump_between_the_ends_of_int(spark):
+    df = spark.createDataFrame([("a", 0, 2147483647, 0), ("a", 1, -5, 1)], "id string, ts_ms bigint, vc int, arrival bigint")
+    assert [r["prev_vc"] for r in state.jump_alert(df).orderBy("arrival").collect()] == [0, 2147483647]
+
+
+def test_strict_parsing_uses_the_same_rules(spark):
+    from streamops.functions.parse import parse_sensor_lines
+    good = spark.createDataFrame([("s1,1,2",), ("s2,+3,-4,x",)], "value string")
+    assert sorted(map(tuple, parse_sensor_lines(good, strict=True)[0].collect())) == [("s1", 1, 2), ("s2", 3, -4)]
+    for bad in ("s1, 7 ,3", "s1,1L,1", "s1,1", ""):
+        with pytest.raises(Exception, match="bad_|missing_"):
+            parse_sensor_lines(spark.createDataFrame([(bad,)], "value string"), strict=True)[0].collect()

@@ -4,15 +4,14 @@
 import pytest
 
 import __spark_entry__ as E
+from streamops.catalog import ORACLE, QUERIES
 from tests.conftest import SF001
 from tests.oracle import compare
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
-
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

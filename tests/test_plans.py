@@ -6,12 +6,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from streamops.catalog import QUERIES
 from tests.conftest import SF001
 
-QUERIES = E.queries()
 SCANNED = ["rolling_sum", "rolling_max_by", "state_jump_alert", "state_running_avg", "state_ttl",
-           "state_value_counts", "win_count_sliding", "wordcount_running", "join_broadcast_threshold"]
+           "state_value_counts", "win_count_sliding", "wordcount_running", "join_broadcast_threshold",
+           "rolling_sum_null_key", "win_count_tumbling"]
 
 
 def plan_of(df) -> str:
@@ -35,3 +35,13 @@ def test_row_windows_include_the_chunk(spark, name):
     for part, order in wins:
         assert "_chunk" in part or order.startswith("_chunk") or "_chunk" in order.split(",")[0], \
             f"{name}: window partitioned by [{part}] ordered by [{order}]"
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"sink_file_roundtrip"}))
+def test_no_python_in_any_registered_plan(spark, name):
+    assert not re.search("MapInPandas|MapInArrow|FlatMapGroups|ArrowEvalPython", plan_of(QUERIES[name](spark, SF001)))
+
+
+def test_running_word_count_reads_documents_once(spark):
+    p = plan_of(QUERIES["wordcount_running"](spark, SF001))
+    assert len(re.findall(r"documents\.parquet", p)) <= 2      # the plan and its initial copy

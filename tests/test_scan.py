@@ -1,12 +1,16 @@
 """The chunked prefix scan equals a brute-force per-key scan for any chunk
 width, NULL keys and NULL values included."""
 
+import json
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import Agg, chunk_of, prefix_scan
+from streamops.plans.scan import MAX_CHUNKS, MIN_CHUNKS, Agg, chunk_edges, chunk_of, density_chunk, prefix_scan
+from tests.conftest import ROOT
 
 
 def brute(rows, kind, inclusive):
@@ -95,10 +99,73 @@ def test_null_order_rows_are_kept(spark, reuse):
     assert got == {("a", None): 1, ("a", 3): 3, ("a", 9): 7, ("b", None): 8}
 
 
-def test_suggest_width(spark):
-    from streamops.plans.scan import suggest_width
-    from streamops.sources.tables import sensor
-    s = sensor(spark, "/root/testdata/sf0.01")  # arrival 0..9999, dense
-    assert suggest_width(s, "arrival", target_rows=2_000, lo=1) == 2_000
-    assert suggest_width(s, "ts_ms", target_rows=100, lo=1) > 60_000  # ~260 s per row
-    assert suggest_width(s.limit(0), "arrival") == 1 << 10
+def chunk_rows(df, order, **kw):
+    c = density_chunk(df, order, **kw)
+    return {r["c"]: r["count"] for r in df.select(c.alias("c")).groupBy("c").count().collect()}
+
+
+@pytest.mark.parametrize("spread", [1, 1_000_000_000, -7])
+def test_density_chunks_of_any_order_column(spark, spread):
+    """Dense, sparse (10^9 apart) and negative order values: at the shipped
+    settings no chunk holds much more than a sixteenth of a small input."""
+    df = spark.range(0, 20_000).select((F.col("id") * spread).alias("o"))
+    got = chunk_rows(df, "o")
+    assert len(got) >= MIN_CHUNKS and max(got.values()) <= 1.3 * 20_000 / MIN_CHUNKS
+    few = chunk_rows(df, "o", target_rows=500)
+    assert max(few.values()) <= 750
+
+
+def test_density_chunks_split_crowded_minutes(spark):
+    calm = spark.range(0, 5_000).select((F.col("id") * 60_000).alias("o"))
+    crowd = spark.range(0, 20_000).select((F.lit(120_000_000) + F.col("id")).alias("o"))   # 4 rows of 5 in 20 seconds
+    got = chunk_rows(calm.union(crowd), "o", target_rows=1000)
+    assert max(got.values()) <= 2_000
+
+
+def test_density_chunks_follow_the_order(spark):
+    df = spark.createDataFrame([(o,) for o in [5, 5, 9, -(1 << 40), 1 << 40, 17, None]], "o bigint")
+    rows = sorted((r["o"], r["c"]) for r in df.select("o", density_chunk(df, "o").alias("c")).collect() if r["o"] is not None)
+    assert [c for _, c in rows] == sorted(c for _, c in rows)
+    assert df.where("o is null").select(density_chunk(df, "o")).first()[0] is None
+    assert df.limit(0).select(density_chunk(df.limit(0), "o")).count() == 0
+
+
+def test_chunk_number_is_bounded():
+    cuts = chunk_edges(10 ** 13, list(range(0, 65 * 10 ** 9, 10 ** 9)))
+    assert sum(1 for _ in cuts) == 64 and cuts[-1][1] < MAX_CHUNKS
+
+
+@pytest.mark.parametrize("order", ["arrival", "arr_ms"])
+def test_registered_scans_cross_chunks_at_oracle_scale(spark, order):
+    from streamops.sources.tables import sensor, with_jitter
+    s = with_jitter(sensor(spark, "/root/testdata/sf0.01"))
+    assert len(chunk_rows(s, order)) >= 8
+
+
+def test_hot_key_with_sparse_order_in_the_event_log(tmp_path):
+    """A key with 40% of the rows, order values 10^9 apart, shipped settings:
+    from the event log, no task's shuffle read is near the key's rows."""
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import functions as F
+from streamops.session import get_session
+from streamops.operators.rolling import rolling_sum
+spark = get_session("local[2]", shuffle_partitions=32, extra={{"spark.eventLog.enabled": "true",
+    "spark.eventLog.dir": {str(tmp_path)!r}, "spark.eventLog.compress": "false",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false"}})
+s = spark.range(0, 60000, 1, 8).select(
+    F.when(F.col("id") % 5 < 2, F.lit("HOT")).otherwise((F.col("id") % 997).cast("string")).alias("id"),
+    (F.col("id") * 1000000000).alias("arrival"), F.col("id").alias("ts_ms"), F.lit(1).alias("vc"))
+rolling_sum(s).write.format("noop").mode("overwrite").save()
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, timeout=300)
+    most = 0
+    for f in tmp_path.rglob("*"):
+        if f.is_file() and not f.name.startswith("."):
+            for line in f.open(errors="replace"):
+                if "SparkListenerTaskEnd" in line:
+                    m = json.loads(line).get("Task Metrics") or {}
+                    most = max(most, (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0))
+    assert 0 < most < 24_000 / 3

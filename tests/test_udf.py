@@ -41,21 +41,19 @@ def test_random_partition_is_deterministic(spark):
     assert len({r["pid"] for r in a}) == 8
 
 
-def test_jdbc_writer_retries_then_fails(spark, monkeypatch):
-    """No database may run here: check the writer's bounded retry with a URL
-    that no driver accepts."""
-    import pytest as _pytest
-    from pyspark.sql import DataFrameWriter
-    from streamops.streaming.sinks import jdbc_batch_writer
-    calls = {"n": 0}
-    orig = DataFrameWriter.jdbc
-
-    def counting(self, *a, **k):
-        calls["n"] += 1
-        return orig(self, *a, **k)
-
-    monkeypatch.setattr(DataFrameWriter, "jdbc", counting)
-    w = jdbc_batch_writer("jdbc:nosuchdriver://nowhere/db", "ws", {"user": "u"}, batch_size=100, retries=3)
-    with _pytest.raises(Exception):
-        w(sensor(spark, SF001).limit(5), 0)
-    assert calls["n"] == 4  # first try + 3 retries
+def test_equal_rows_spread_over_partitions(spark):
+    same = spark.range(1000).select(F.lit("x").alias("id"), F.lit(1).alias("vc"))
+    got = partition.with_partition_id(partition.random_partition(same, 8)).groupBy("pid").count().collect()
+    assert len(got) == 8 and max(r["count"] for r in got) < 250
+
+
+def test_by_key_puts_each_key_in_one_partition(spark):
+    s = sensor(spark, SF001)
+    got = partition.with_partition_id(partition.by_key(s, "id")).groupBy("id").agg(F.count_distinct("pid").alias("n"))
+    assert {r["n"] for r in got.collect()} == {1}
+
+
+def test_table_function_hook(spark):
+    s = spark.createDataFrame([(1, "a b"), (2, ""), (3, None)], "k int, v string")
+    out = udf.flat_map_rows(s, lambda v: [(w, len(w)) for w in (v or "").split()], "w string, n int", "v")
+    assert sorted(map(tuple, out.select("k", "w", "n").collect())) == [(1, "a", 1), (1, "b", 1)]
