@@ -8,7 +8,10 @@ gets id 'HOT').  Each variant runs in its own Spark application with the
 event log written to a fresh scratch folder; the log's task-end records give
 the records each task read from the shuffle.  Prints one JSON line.
 
-    python scripts/skew_probe.py [sf_dir] [width]
+    python scripts/skew_probe.py [sf_dir]
+
+The chunked scan runs at the shipped settings; the number of its chunks is
+printed with the result.
 """
 
 from __future__ import annotations
@@ -21,9 +24,10 @@ import sys
 import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
 
 
-def run_variant(variant: str, sf_dir: str, width: int) -> dict:
+def run_variant(variant: str, sf_dir: str) -> dict:
     log_dir = tempfile.mkdtemp(prefix="run-skew-")
     code = f"""
 import sys
@@ -45,7 +49,7 @@ if {variant!r} == "plain_window":
     w = Window.partitionBy("id").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0)
     out = s.select("arrival", "id", F.sum("vc").over(w).alias("vc"))
 elif {variant!r} == "chunked_scan":
-    out = rolling_sum(s, width={width})
+    out = rolling_sum(s)
 else:
     l, r = s.where("event_type IN ('click', 'signup')"), s.where("event_type IN ('view', 'purchase')")
     f = interval_join if {variant!r} == "interval_plain" else interval_join_bucketed
@@ -71,10 +75,16 @@ spark.stop()
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    width = int(sys.argv[2]) if len(sys.argv) > 2 else 4096
-    res = {v: run_variant(v, sf_dir, width)
+    res = {v: run_variant(v, sf_dir)
            for v in ("plain_window", "chunked_scan", "interval_plain", "interval_bucketed")}
-    print(json.dumps({"sf_dir": sf_dir, "width": width, **res}))
+    from streamops.plans.scan import density_chunk
+    from streamops.session import get_session
+    from streamops.sources.tables import sensor
+    spark = get_session("local[2]", shuffle_partitions=2)
+    s = sensor(spark, sf_dir)
+    chunks = s.select(density_chunk(s, "arrival").alias("c")).distinct().count()
+    spark.stop()
+    print(json.dumps({"sf_dir": sf_dir, "chunks": chunks, **res}))
 
 
 if __name__ == "__main__":

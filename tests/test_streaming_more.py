@@ -35,6 +35,7 @@ def test_topn_chained_stream_equals_batch(spark):
     src, _ = split_events(SF001, 3, closing=True)
     got = run_to_memory(SW.topn_chained(with_event_time(events_stream(spark, src)), 2, 10 * HOUR, 5 * HOUR, shards=7))
     cols = ["w_start", "w_end", "rank", "vc", "cnt"]
+    got = got.where(F.col("w_start") < 1_720_000_000_000)     # without the closing rows' own windows
     assert as_set(got, cols) == as_set(topn.topn_all_window(sensor(spark, SF001), 2, 10 * HOUR, 5 * HOUR), cols)
 
 
