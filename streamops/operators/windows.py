@@ -124,14 +124,6 @@ def session_agg(df: DataFrame, gap_ms: int, key: str = "id", time: str = "ts_ms"
         F.sum("_cnt").alias("cnt"), F.sum("_sum").cast("bigint").alias("sum_vc")).drop("_sess")
 
 
-def session_agg_native(df: DataFrame, gap_ms: int, key: str = "id", time_col: str = "event_time",
-                       value: str = "vc") -> DataFrame:
-    """Spark's ``session_window`` (used by the streaming form).  It sorts each
-    key in one task, so prefer ``session_agg`` for skewed batch input."""
-    return (df.groupBy(key, F.session_window(time_col, f"{gap_ms} milliseconds").alias("s"))
-              .agg(*count_sum(value)))
-
-
 def count_window_tumbling(df: DataFrame, size: int, key: str = "id", order: str = "arrival",
                           value: str = "vc", width: int | None = None) -> DataFrame:
     """countWindow(size): consecutive groups of ``size`` rows per key; an

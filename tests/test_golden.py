@@ -1,5 +1,6 @@
 """Golden results on the reference programs' literal inputs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from streamops.functions.parse import parse_sensor_lines
@@ -129,15 +130,39 @@ def test_g8_connect(spark):
     assert joins.connect_join(a, b).count() == 6
 
 
-def test_g9_rich_map(spark):
-    df = spark.createDataFrame([(1,), (2,), (3,), (4,)], "x int")
+def test_g9_rich_map(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (2,), (3,), (4,)], "x int").repartition(3)
     assert rows(transform.map_increment(df, "x"), "value") == [(2,), (3,), (4,), (5,)]
-    opened = []
-    out = transform.with_task_lifecycle(
-        df, setup=lambda: {"n": 0}, row_fn=lambda st, pdf: pdf.assign(x=pdf.x + 1),
-        teardown=lambda st: None, schema="x int")
+    folder = str(tmp_path)
+
+    def mark(kind, name):
+        open(f"{folder}/{kind}-{name}", "x").close()   # fails if it ran twice
+
+    def setup():
+        import uuid
+        name = uuid.uuid4().hex
+        mark("open", name)
+        return name
+
+    def seen():
+        names = [p.name.split("-") for p in tmp_path.iterdir()]
+        return sorted(n for k, n in names if k == "open"), sorted(n for k, n in names if k == "close")
+
+    out = transform.with_task_lifecycle(df, setup=setup, row_fn=lambda st, pdf: pdf.assign(x=pdf.x + 1),
+                                        teardown=lambda st: mark("close", st), schema="x int")
     assert rows(out, "x") == [(2,), (3,), (4,), (5,)]
-    del opened
+    opened, closed = seen()
+    assert opened == closed and 1 <= len(opened) <= 3  # once for each task that ran
+
+    def fail(st, pdf):
+        raise ValueError("row function failed")
+
+    bad = transform.with_task_lifecycle(df.coalesce(1), setup=setup, row_fn=fail,
+                                        teardown=lambda st: mark("close", st), schema="x int")
+    with pytest.raises(Exception, match="row function failed"):
+        bad.collect()
+    again, done = seen()
+    assert again == done and len(again) > len(opened)  # closed after the failure too
 
 
 def test_g10_tumbling(spark):

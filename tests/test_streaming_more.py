@@ -75,7 +75,8 @@ def test_connect_with_expiry_stream_equals_batch(spark):
 
 def test_native_session_window_equals_scan_sessions(spark):
     s = sensor(spark, SF001).withColumn("event_time", F.timestamp_millis("ts_ms"))
-    native = windows.session_agg_native(s, 4 * HOUR).select(
+    native = s.groupBy("id", F.session_window("event_time", f"{4 * HOUR} milliseconds").alias("s")).agg(
+        *windows.count_sum()).select(
         "id", F.unix_millis("s.start").alias("s_start"), F.unix_millis("s.end").alias("s_end"), "cnt", "sum_vc")
     cols = ["id", "s_start", "s_end", "cnt", "sum_vc"]
     assert as_set(native, cols) == as_set(windows.session_agg(s, 4 * HOUR), cols)
