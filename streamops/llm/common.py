@@ -16,17 +16,13 @@ from streamops.session import scratch_path
 from streamops.sources.tables import read_table
 
 __all__ = ["as_text", "filesystem", "hash_words", "local_path", "mix", "read_table", "scratch_path", "settle",
-           "split_words", "u64", "with_text"]
+           "some_texts", "split_words", "with_text"]
 
 # Odd multipliers for mixing 64-bit hashes (fixed values of this package).
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def u64(x: int) -> np.uint64:
-    return np.uint64(x & 0xFFFFFFFFFFFFFFFF)
-
-
 def settle(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, so a
     lost executor costs no recomputation, and every later step sees one fixed
@@ -71,6 +67,18 @@ def as_text(col) -> pa.Array:
     return pc.fill_null(col, "")
 
 
+def some_texts(col, chars: int = 1 << 23):
+    """The texts of a batch in runs of at most 50,000 and about ``chars`` bytes."""
+    texts = as_text(col)
+    at = np.concatenate(([0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))))
+    a = 0
+    while a < len(texts):
+        z = int(np.searchsorted(at, at[a] + chars, "left"))
+        z = min(len(texts), max(a + 1, z), a + 50_000)
+        yield a, texts.slice(a, z - a)
+        a = z
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """White-space words ``[^\\x20\\x09-\\x0D]+`` of each text.
 

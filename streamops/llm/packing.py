@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamops.llm.common import as_text, settle
+from streamops.llm.common import settle, some_texts
 
 CAPACITY = 1024
 END_ID = 2
@@ -94,11 +94,9 @@ def pieces(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, e
 
     def run(batches):
         enc, part, seen = encoder(path, pattern), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ids, offs = encode_batch(enc, as_text(b.column(1)))
-            keys = b.column(0).to_pylist()
+        for keys, texts in ((b.column(0).slice(a, len(t)).to_pylist(), t)
+                            for b in batches for a, t in some_texts(b.column(1), 1 << 24)):
+            ids, offs = encode_batch(enc, texts)
             rows = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids")}
             for i, key in enumerate(keys):
                 own = np.append(ids[offs[i]:offs[i + 1]], np.uint32(end_id)).astype("<u4")
