@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamops.llm.common import MIX, MIX2, as_text, filesystem, hash_words, local_path, scratch_path, settle, split_words
+from streamops.llm.common import MIX, MIX2, as_text, filesystem, hash_words, local_path, scratch_path, settle, some_texts, split_words
 
 END = np.uint64(xxhash.xxh3_64_intdigest(b" "))     # no word is a blank
 BEGIN = np.uint64(0xFFFFFFFF)                       # the number of the text's begin
@@ -125,6 +125,13 @@ def tokens(col) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return split_words(pc.ascii_lower(as_text(col)))
 
 
+def parts_of(batches, text: int, size: int = 1 << 23):
+    """The batches in parts of about ``size`` bytes of text."""
+    for b in batches:
+        for a, texts in some_texts(b.column(text), size):
+            yield b.slice(a, len(texts))
+
+
 def with_ends(word: np.ndarray, offs: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:
     """The token stream with an end after each text, and its offsets."""
     n = len(offs) - 1
@@ -275,9 +282,9 @@ def narrow(values: np.ndarray) -> str:
 def count_words(texts: DataFrame, folder: str, ranges: int) -> DataFrame:
     def run(batches):
         tally, n = Tally(), 0
-        for b in batches:
-            words, code, offs = tokens(b.column(0))
-            n += b.num_rows
+        for part in parts_of(batches, 0):
+            words, code, offs = tokens(part.column(0))
+            n += part.num_rows
             if len(words):
                 tally.add(hash_words(words), np.bincount(code, minlength=len(words)))
         if n:
@@ -302,8 +309,8 @@ def count_pairs(texts: DataFrame, model: Model, ranges: int) -> DataFrame:
     def run(batches):
         tally = Tally()
         end = model.words(np.array([END]))[0]
-        for b in batches:
-            words, code, offs = tokens(b.column(0))
+        for part in parts_of(batches, 0):
+            words, code, offs = tokens(part.column(0))
             ids, own = with_ends(model.words(hash_words(words))[code] if len(code) else np.zeros(0, np.uint64), offs, end)
             k, n = np.unique(mix64(pairs(ids, own)), return_counts=True)
             tally.add(k, n)
@@ -431,7 +438,7 @@ def score(spark: SparkSession, docs: DataFrame, range_tokens: int = RANGE_TOKENS
     model = fit(spark, docs, range_tokens)
 
     def run(batches):
-        for b in batches:
+        for b in parts_of(batches, 2):
             words, code, offs = tokens(b.column(2))
             n = b.num_rows
             h = np.append(hash_words(words), END)
