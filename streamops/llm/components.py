@@ -23,20 +23,33 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b): the label is the
     smallest node of its component.
 
-    A round gives every node the smallest label among its neighbours', then the
-    label of its label, so the number of rounds grows with the logarithm of the
-    longest path.  Each round is written to the shared folder; only the number
-    of changed labels comes to the driver."""
-    both = settle(spark, links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct(), "links")
-    labels = settle(spark, both.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    A round hooks every node to its smallest neighbour, shortens these trees to
+    stars, and keeps only the links between different stars.  The trees of a
+    round take as many joins as the logarithm of their depth, and every star has
+    two nodes at least, so the rounds are logarithmic too; most links go in the
+    first.  Each step is written to the shared folder; only whether something
+    is left comes to the driver."""
+    edges = settle(spark, links.select("a", "b").where("a != b").distinct(), "links")
+    labels = None
     while True:
-        near = salted_join(both.withColumnRenamed("a", "node"), labels, ["node"]).groupBy(F.col("b").alias("node")).agg(
-            F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.least("label", "near").alias("next"), "label")
-        up = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        new = settle(spark, salted_join(step, up, ["next"]).select(
-            "node", F.least("next", "far").alias("label"), (F.least("next", "far") != F.col("label")).alias("changed")), "labels")
-        labels = new.select("node", "label")
-        if not new.where("changed").limit(1).count():
+        both = edges.union(edges.select("b", "a"))
+        up = settle(spark, both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "up")
+        while True:
+            far = up.select(F.col("node").alias("label"), F.col("label").alias("far"))
+            new = settle(spark, salted_join(up, far, ["label"]).select(
+                "node", F.col("far").alias("label"), (F.col("far") != F.col("label")).alias("changed")), "up")
+            up = new.select("node", "label")
+            if not new.where("changed").limit(1).count():
+                break
+        if labels is None:
+            labels = up
+        else:
+            root = up.select(F.col("node").alias("label"), F.col("label").alias("root"))
+            labels = settle(spark, salted_join(labels, root, ["label"], "left").select(
+                "node", F.coalesce("root", "label").alias("label")), "labels")
+        la = up.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        lb = up.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        between = salted_join(salted_join(edges, la, ["a"]), lb, ["b"]).where("la != lb")
+        edges = settle(spark, between.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "links")
+        if not edges.limit(1).count():
             return labels

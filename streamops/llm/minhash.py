@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamops.llm.common import as_text, hash_words, mix, settle, split_words
+from streamops.llm.common import hash_words, mix, settle, some_texts, split_words
 from streamops.llm.components import components, salted_join
 
 SHINGLE = 5
@@ -46,6 +46,7 @@ SIMILAR = 0.8
 BANDS, ROWS = 10, 2
 SAMPLES = BANDS * ROWS
 FLOOR = 0.01
+LEADERS = 4                      # of each bucket with several classes, in each further round
 BLOCK = 4_000_000                # shingles of one block of the frequency count
 BITS = np.uint64(48)
 MASK = np.uint64((1 << 48) - 1)
@@ -95,18 +96,6 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key & MASK, tf, np.searchsorted(key >> BITS, np.arange(n + 1, dtype=np.uint64))
 
 
-def some_texts(col, chars: int = 1 << 23):
-    """The texts of a batch in runs of at most 50,000 and about ``chars`` bytes."""
-    texts = as_text(col)
-    at = np.concatenate(([0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))))
-    a = 0
-    while a < len(texts):
-        z = int(np.searchsorted(at, at[a] + chars, "left"))
-        z = min(len(texts), max(a + 1, z), a + 50_000)
-        yield a, texts.slice(a, z - a)
-        a = z
-
-
 # ------------------------------------------------------ common shingles
 
 
@@ -307,9 +296,12 @@ def verified(spark: SparkSession, pairs: DataFrame, vecs: DataFrame, common, sim
                 [b.column(b.schema.get_field_index("a")).filter(mask), b.column(b.schema.get_field_index("b")).filter(mask),
                  pa.array(sims, pa.float64()).filter(mask)], ["a", "b", "similarity"])
 
+    # only the vectors that the pairs need are moved; a leader's pairs are the
+    # large side of an inner join, which Spark splits where it is skewed
     left = vecs.select(F.col("node").alias("a"), F.col("h").alias("ha"), F.col("tf").alias("ta"))
-    right = vecs.select(F.col("node").alias("b"), F.col("h").alias("hb"), F.col("tf").alias("tb"))
-    both = salted_join(pairs.join(left, "a"), right, ["b"], salt=4)
+    right = vecs.select(F.col("node").alias("b"), F.col("h").alias("hb"), F.col("tf").alias("tb")).join(
+        pairs.select("b").distinct(), "b")
+    both = pairs.join(left, "a").join(right, "b")
     return settle(spark, both.mapInArrow(run, "a binary, b binary, similarity double"), "verified")
 
 
@@ -338,30 +330,47 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
     vecs = vectors(spark, docs.where("doc_id is not null"), need.where("doc_id is not null"))
     if docs.where("doc_id is null").limit(1).count():
         vecs = vecs.unionByName(unnamed_vectors(spark, docs, need.where("doc_id is null").select("node")))
-    links = verified(spark, pairs, vecs, common, similar)
+    labels = components(spark, verified(spark, pairs, vecs, common, similar))
     order = 0
     while True:
-        labels = components(spark, links)
-        # buckets whose members are still in different classes
-        order += 1
-        now = salted_join(member, labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = now.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                        F.min_by("node", F.xxhash64("band", "node", F.lit(order))).alias("b"),
-                                        F.min_by("label", F.xxhash64("band", "node", F.lit(order))).alias("own"))
-        mixed = mixed.where("lo != hi").select("band", "b", "own")
-        more = salted_join(now, mixed, ["band"]).where("label != own").select(
-            F.least("node", "b").alias("b"), F.greatest("node", "b").alias("a")).distinct()
-        more = settle(spark, more.select("a", "b").join(pairs, ["a", "b"], "left_anti"), "pairs")
+        more = settle(spark, across(member, labels, order).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        order += LEADERS
         if not more.limit(1).count():
             break
-        pairs = settle(spark, pairs.unionByName(more), "pairs")
         new = verified(spark, more, vecs, common, similar)
         if not new.limit(1).count():
             break
-        links = settle(spark, links.unionByName(new), "verified")
+        pairs = settle(spark, pairs.unionByName(more), "pairs")
+        labels = joined_labels(spark, labels, new)
     return salted_join(sketches.select("node", "doc_id"), labels, ["node"], "left")
 
 
+def across(member: DataFrame, labels: DataFrame, order: int) -> DataFrame:
+    """(a, b): members of buckets that hold several classes, with LEADERS of
+    the bucket's members (chosen by a hash that changes with ``order``) that
+    are of another class."""
+    now = salted_join(member, labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
+    lead = [F.min_by(F.struct(F.col("node").alias("b"), F.col("label").alias("own")),
+                     F.xxhash64("band", "node", F.lit(order + i))).alias(f"l{i}") for i in range(LEADERS)]
+    mixed = now.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *lead).where("lo != hi")
+    mixed = mixed.select("band", F.array(*(f"l{i}" for i in range(LEADERS))).alias("leaders"))
+    each = salted_join(now, mixed, ["band"]).select("node", "label", F.explode("leaders").alias("l"))
+    return each.where("label != l.own").select(F.greatest("node", "l.b").alias("a"), F.least("node", "l.b").alias("b")).distinct()
+
+
+def joined_labels(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: components of the classes that they join."""
+    nodes = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    new = nodes.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    known = settle(spark, labels.unionByName(new), "labels")
+    la = known.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    lb = known.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    between = links.select("a", "b").join(la, "a").join(lb, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    roots = components(spark, between).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return settle(spark, salted_join(known, roots, ["label"], "left").select(
+        "node", F.coalesce("root", "label").alias("label")), "labels")
+
+
 def unnamed_vectors(spark: SparkSession, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Vectors of texts all of whose rows have a null doc_id."""
     at = F.lit(-1).cast("long")
