@@ -16,9 +16,10 @@ similarity, and links of 0.8 or more make classes (connected components).
   documents is in at least FLOOR / 2 of some block's, or its sum over the blocks
   that report it would be below half of the floor; what passes that sum is
   counted anew over all documents.
-* A bucket's members are compared with one leader, never with each other.
-  Members of a bucket that are still in different classes afterwards are
-  compared with a leader of another order, again until a round adds no link.
+* A bucket's members are compared with one leader.  Members of a bucket that
+  are still in different classes afterwards are compared with leaders of another
+  order while a round adds links; this only makes the classes large at little
+  cost.  What is left is exact: see ``rest``.
 * The draws (r, c, beta) of a sample are functions of a hash of (shingle, sample).
 
 Everything between the steps is a table in the shared folder; buckets, links
@@ -35,6 +36,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -338,10 +340,15 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
         if not more.limit(1).count():
             break
         new = verified(spark, more, vecs, common, similar)
+        pairs = settle(spark, pairs.unionByName(more), "pairs")
         if not new.limit(1).count():
             break
-        pairs = settle(spark, pairs.unionByName(more), "pairs")
         labels = joined_labels(spark, labels, new)
+    last = settle(spark, rest(spark, member, labels, vecs, common, similar).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if last.limit(1).count():
+        new = verified(spark, last, vecs, common, similar)
+        if new.limit(1).count():
+            labels = joined_labels(spark, labels, new)
     return salted_join(sketches.select("node", "doc_id"), labels, ["node"], "left")
 
 
@@ -358,6 +365,68 @@ def across(member: DataFrame, labels: DataFrame, order: int) -> DataFrame:
     return each.where("label != l.own").select(F.greatest("node", "l.b").alias("a"), F.least("node", "l.b").alias("b")).distinct()
 
 
+def prefix(h: np.ndarray, w: np.ndarray, late: np.ndarray, similar: float) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of a text, those not ``late`` first and then by hash,
+    up to where less than ``similar`` of its weight is left; and the weight left
+    from each on.  Two texts as similar share one of their first shingles: else
+    all that they share is in the left weight of one of them."""
+    order = np.argsort(late, kind="stable")
+    left = np.cumsum(w[order][::-1])[::-1]
+    n = int((left >= similar * left[0] * (1 - 1e-9)).sum())
+    return h[order[:n]], left[:n]
+
+
+def rest(spark: SparkSession, member: DataFrame, labels: DataFrame, vecs: DataFrame, common, similar: float) -> DataFrame:
+    """(a, b): every pair of different classes that shares a bucket and can
+    reach ``similar``, for buckets that hold several classes beside their first leader.
+
+    A prefix filter, lossless for weighted Jaccard similarity: in a bucket the
+    shingles of its first leader and the common ones come last, so that a passage
+    which all members share is no reason to compare them.  Pairs are dropped only
+    where the weights left from a shared shingle on are too small for the bound.
+    In a group the members outside its largest class meet all others, so at most
+    as many pairs within classes are looked at as between them."""
+    shared = spark.sparkContext.broadcast(common)
+    now = salted_join(member, labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
+    leaders = member.groupBy("band").agg(F.min("node").alias("b"))
+    others = salted_join(now, leaders, ["band"]).where("node != b")
+    mixed = others.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("band")
+    of = settle(spark, salted_join(others, mixed, ["band"]).select(F.col("node").alias("a"), "label", "b").distinct(), "mixed")
+
+    def run(batches):
+        for b in batches:
+            col = {c: b.column(b.schema.get_field_index(c)) for c in ("a", "label", "b", "ha", "ta", "hb")}
+            key, left, whole, size = [], [], [], []
+            for i in range(b.num_rows):
+                h, lead = unpacked(col["ha"][i].as_py()), unpacked(col["hb"][i].as_py())
+                w = weights(h, np.frombuffer(col["ta"][i].as_py(), "<u4"), shared.value)
+                first, after = prefix(h, w, np.isin(h, lead) | np.isin(h, shared.value[1]), similar)
+                key.append(mix(first ^ np.uint64(xxhash.xxh3_64_intdigest(col["b"][i].as_py()))).astype(np.int64))
+                left.append(after)
+                whole.append(np.full(len(first), after[0]))
+                size.append(len(first))
+            if not size:
+                continue
+            row = pa.array(np.repeat(np.arange(len(size)), size))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(key)), col["a"].take(row), col["label"].take(row),
+                 pa.array(np.concatenate(whole)), pa.array(np.concatenate(left))], ["key", "a", "label", "whole", "rest"])
+
+    left = vecs.select(F.col("node").alias("a"), F.col("h").alias("ha"), F.col("tf").alias("ta"))
+    right = vecs.select(F.col("node").alias("b"), F.col("h").alias("hb")).join(of.select("b").distinct(), "b")
+    each = settle(spark, of.join(left, "a").join(right, "b").mapInArrow(
+        run, "key long, a binary, label binary, whole double, rest double"), "prefixes")
+    main = each.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.max_by("label", "n").alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
+    few = each.join(main, "key").where("label != main").select(
+        "key", F.col("a").alias("b"), F.col("label").alias("lb"), F.col("whole").alias("wb"), F.col("rest").alias("rb"))
+    near = 1 - 1e-6                                     # for rounding
+    can = (F.least("rest", "rb") >= near * similar / (1 + similar) * (F.col("whole") + F.col("wb"))) & (
+        F.least("whole", "wb") >= near * similar * F.greatest("whole", "wb"))
+    return each.join(few, "key").where((F.col("label") != F.col("lb")) & can).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def joined_labels(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links: components of the classes that they join."""
     nodes = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()

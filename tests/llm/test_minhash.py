@@ -148,6 +148,28 @@ def test_common_shingles_are_found_exactly(spark):
     assert set(want) <= set(h.tolist()) and all(n[np.searchsorted(h, x)] >= 250 for x in want)
 
 
+def test_pairs_among_many_texts_with_one_passage(spark):
+    rng = random.Random(11)
+    passage, own = " ".join(words(rng, 300)), []
+    for i in range(500):
+        own.append([f"o{i}n{k}" for k in range(60)])
+    for i in range(40):                                 # 0.8 alike with the passage, which most buckets consist of
+        own.append([*own[i][:28], *(f"p{i}n{k}" for k in range(28, 60))])
+    df = documents(spark, [passage + " " + " ".join(w) for w in own])
+    common = minhash.common_shingles(spark, df)
+    h, tf, offs = minhash.shingles(pa.array([r["text"] for r in df.collect()]))
+    w = minhash.weights(h, tf, common)
+    cut = [slice(a, z) for a, z in zip(offs[:-1], offs[1:])]
+    some = {(0, b) for b in range(1, len(cut))} | {(i, 500 + i) for i in range(40)}
+    like = {(a, b): minhash.similarity(h[cut[a]], w[cut[a]], h[cut[b]], w[cut[b]]) for a, b in some}
+    want = sorted(p for p, s in like.items() if s >= minhash.SIMILAR)
+    assert want == [(i, 500 + i) for i in range(40)] and sum(s > 0.6 for s in like.values()) > 500
+    classes = defaultdict(list)
+    for r in rows_of(minhash.near_duplicates(spark, df)):
+        classes[r["class_id"]].append(r["doc_id"])
+    assert sorted(tuple(sorted(c)) for c in classes.values() if len(c) > 1) == want
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(f"{i:04d}", f"{i + 1:04d}") for i in range(60)] + [(f"h{rng.randint(0, 40)}", f"h{rng.randint(0, 40)}")
