@@ -6,9 +6,10 @@ white space to one space, digits to 0) and hashed, the documents of its host
 that hold it are counted, and lines above the host's limit are removed; a
 document of which too little remains is rejected.
 
-Copies are the business of the near-duplicate stage, not of this one: documents
-with the same smallest five-word window hash count as one document for a line,
-so the lines of a text with a thousand copies don't look like boilerplate.
+Copies are the business of the near-duplicate stage, not of this one: rows of
+one and the same text count as one document, both of a line and of its host, so
+the lines of a text with a thousand copies don't look like boilerplate.  Texts
+that differ anywhere are different documents.
 
 Plan: one scan turns texts into a small table of counts and line hashes (no
 shuffle); the line counts are two partial aggregates, so a host or line with a
@@ -57,7 +58,7 @@ def normalised(line: Column) -> Column:
 
 def with_counts(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, and the helper columns _family and _lines.
+    base_failed, and the helper columns _same and _lines.
 
     A position is inside a repeated window if a window that starts at most four
     words before it occurs twice; with the starts p1 < p2 < ... of such windows
@@ -91,7 +92,7 @@ def with_counts(docs: DataFrame) -> DataFrame:
          .withColumn("n_symbols", (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("long"))
          .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                      | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
-         .withColumn("_family", F.when(F.size("_win") > 0, F.array_min("_win")).otherwise(F.xxhash64("_t")))
+         .withColumn("_same", F.xxhash64("_t"))
          .withColumn("_lines", F.transform("_l", lambda x: F.struct(
              F.xxhash64(normalised(x)).alias("line"), word_chars(x).alias("chars"),
              F.size(words_of(x)).alias("words")))))
@@ -107,10 +108,11 @@ def key_columns() -> list[Column]:
 
 def frequent_lines(counted: DataFrame, min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE) -> DataFrame:
     """(_host, line): the lines above their host's limit."""
-    hosts = counted.groupBy("_host").agg(F.count("*").alias("n_host"))
-    each = counted.select("_host", "_family", F.explode("_lines.line").alias("line"))
-    # one row for each (host, line, family): two partial aggregates, no distinct sets
-    docs = each.groupBy("_host", "line", "_family").agg(F.lit(1).alias("one"))
+    # one row for each (host, text) and (host, line, text): two partial aggregates, no distinct sets
+    texts = counted.groupBy("_host", "_same").agg(F.lit(1).alias("one"))
+    hosts = texts.groupBy("_host").agg(F.count("one").alias("n_host"))
+    each = counted.select("_host", "_same", F.explode("_lines.line").alias("line"))
+    docs = each.groupBy("_host", "line", "_same").agg(F.lit(1).alias("one"))
     per = docs.groupBy("_host", "line").agg(F.count("one").alias("n")).where(F.col("n") > min_docs)
     return per.join(hosts, "_host").where(F.col("n") > host_share * F.col("n_host")).select("_host", "line")
 
@@ -122,7 +124,7 @@ def verdicts(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS,
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     host = F.coalesce(F.col("source"), F.lit("\x00")).alias("_host")
     table = with_counts(docs.select("doc_id", "source", "text")).select(
-        "doc_id", host, *key_columns(), *counts, "_family", "_lines")
+        "doc_id", host, *key_columns(), *counts, "_same", "_lines")
     counted = settle(spark, table, "quality")
     salt = F.pmod(F.col("_row"), F.lit(SALT))
     often = frequent_lines(counted, min_docs, host_share).withColumn(

@@ -84,6 +84,18 @@ def test_lines_of_many_documents_go_and_copies_stay(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in out.values())
 
 
+def test_depleted_documents_are_counted_by_their_text(spark):
+    rng = random.Random(15)
+    notice = " ".join(words(rng, 100))
+    texts = [f"{notice}\n" + " ".join(f"own{i}w{k}" for k in range(5)) for i in range(100)]
+    assert not any(r["kept"] for r in rows_of(quality.verdicts(spark, documents(spark, texts, sources=["h"] * 100))))
+    # copies count neither for the line nor for its host
+    own = [" ".join(words(rng, 40)) for _ in range(30)]
+    texts = [f"{notice}\n{t}" for t in own] + [" ".join(words(rng, 40))] * 4000
+    out = rows_of(quality.filter_documents(spark, documents(spark, texts, sources=["h"] * len(texts))))
+    assert len(out) == len(texts) and sorted(r["text"] for r in out if r["doc_id"] < 30) == sorted(own)
+
+
 def test_digits_and_spacing_do_not_hide_a_line(spark):
     rng = random.Random(6)
     texts = [f"Visit   number {i} OF this site today\n" + " ".join(words(rng, 30)) for i in range(10, 50)]
