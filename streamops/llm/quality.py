@@ -33,10 +33,11 @@ SYMBOLS = "#*$%&|<>"            # fixed by the contract
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
-#: A line is boilerplate in a host when more than MIN_DOCS documents and more
-#: than HOST_SHARE of the host's documents hold it.
+#: A line is boilerplate in a host when more than MIN_DOCS documents hold it; one
+#: of fewer than LONG_LINE words also needs more than HOST_SHARE of the host's.
 MIN_DOCS = 20
 HOST_SHARE = 0.01
+LONG_LINE = 10
 #: A document is depleted when fewer words than MIN_WORDS_LEFT or less than
 #: SHARE_LEFT of its word characters remain.
 MIN_WORDS_LEFT = 5
@@ -111,10 +112,11 @@ def frequent_lines(counted: DataFrame, min_docs: int = MIN_DOCS, host_share: flo
     # one row for each (host, text) and (host, line, text): two partial aggregates, no distinct sets
     texts = counted.groupBy("_host", "_same").agg(F.lit(1).alias("one"))
     hosts = texts.groupBy("_host").agg(F.count("one").alias("n_host"))
-    each = counted.select("_host", "_same", F.explode("_lines.line").alias("line"))
-    docs = each.groupBy("_host", "line", "_same").agg(F.lit(1).alias("one"))
-    per = docs.groupBy("_host", "line").agg(F.count("one").alias("n")).where(F.col("n") > min_docs)
-    return per.join(hosts, "_host").where(F.col("n") > host_share * F.col("n_host")).select("_host", "line")
+    each = counted.select("_host", "_same", F.explode("_lines").alias("l")).select("_host", "_same", "l.line", "l.words")
+    docs = each.groupBy("_host", "line", "_same").agg(F.max("words").alias("words"))
+    per = docs.groupBy("_host", "line").agg(F.count("*").alias("n"), F.max("words").alias("words")).where(F.col("n") > min_docs)
+    return per.join(hosts, "_host").where((F.col("words") >= LONG_LINE) | (F.col("n") > host_share * F.col("n_host"))).select(
+        "_host", "line")
 
 
 def verdicts(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS,

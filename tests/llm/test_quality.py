@@ -96,6 +96,17 @@ def test_depleted_documents_are_counted_by_their_text(spark):
     assert len(out) == len(texts) and sorted(r["text"] for r in out if r["doc_id"] < 30) == sorted(own)
 
 
+def test_long_lines_have_one_limit_at_every_host_size(spark):
+    rng = random.Random(16)
+    notice, short = " ".join(words(rng, 55)), "See also below"
+    own = [" ".join(words(rng, 20)) + f" end{i}" for i in range(3000)]
+    texts = [f"{notice}\n{short}\n{t}" if i < 25 else t for i, t in enumerate(own)]
+    out = {r["doc_id"]: r["text"] for r in rows_of(quality.filter_documents(
+        spark, documents(spark, texts, sources=["h"] * len(texts))))}
+    assert [out[i] for i in range(25)] == [f"{short}\n{t}" for t in own[:25]]
+    assert [out[i] for i in range(25, 3000)] == own[25:]
+
+
 def test_digits_and_spacing_do_not_hide_a_line(spark):
     rng = random.Random(6)
     texts = [f"Visit   number {i} OF this site today\n" + " ".join(words(rng, 30)) for i in range(10, 50)]
