@@ -7,7 +7,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from streamops.llm import decontaminate, html, langid, minhash, ngram, packing, pii, quality, secrets, warc
+from streamops.llm import (decontaminate, html, langid, minhash, ngram, packing, pii, quality, secrets, substrings,
+                           warc)
 from streamops.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -56,6 +57,10 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(spark, read_table(spark, sf_dir, "documents")).drop("_id", "_row", "removed")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed(spark, read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_warc": op2_warc,
@@ -67,5 +72,21 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_bestfit_packing": op9_bestfit_packing,
     "op10_quality_lines": op10_quality_lines,
+    "op11_substring_dedup": op11_substring_dedup,
+}
+
+ORACLE: dict[str, str] = {
+    "op11_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        runs AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS run
+                 FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+        least AS (SELECT run, min(doc_id) AS first FROM runs GROUP BY run),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM runs JOIN least USING (run)
+                 WHERE doc_id > first),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n
+                 FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d)
+                 ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""".replace("\\\\", "\\"),
 }
-ORACLE: dict[str, str] = {}

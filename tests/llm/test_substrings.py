@@ -1,0 +1,125 @@
+"""Substring de-duplication against a reading of the contract window by window."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from streamops.llm import substrings
+from tests.conftest import SF001
+from tests.llm.fixtures import documents, hostile, rows_of, words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def covered(rows):
+    """For each row the set of covered words."""
+    least, lists = {}, [WORD.findall(t or "") for _, t in rows]
+    for (d, _), w in zip(rows, lists):
+        for i in range(len(w) - 12):
+            if d is not None:
+                least[tuple(w[i:i + 13])] = min(d, least.get(tuple(w[i:i + 13]), d))
+    out = []
+    for (d, _), w in zip(rows, lists):
+        out.append({p for i in range(len(w) - 12) if d is not None and least[tuple(w[i:i + 13])] < d for p in range(i, i + 13)})
+    return lists, out
+
+
+def brute(rows):
+    out = []
+    for (d, _), w, gone in zip(rows, *covered(rows)):
+        left = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((d, len(w), len(gone), hashlib.sha256(left.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def check(spark, df):
+    got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows_of(substrings.removed(spark, df))]
+    want = brute([(r["doc_id"], r["text"]) for r in df.collect()])
+    assert sorted(got, key=str) == want
+    return got
+
+
+def test_hostile_texts_and_clashing_columns(spark):
+    check(spark, documents(spark, hostile(), extra=True))
+
+
+def test_null_and_repeated_ids(spark):
+    rng = random.Random(1)
+    a, b = " ".join(words(rng, 40)), " ".join(words(rng, 40))
+    check(spark, documents(spark, [a, a, a + " x", b, b, a + " " + b, None], ids=[3, 3, 3, None, 5, 9, None]))
+
+
+def test_empty_table(spark):
+    assert rows_of(substrings.removed(spark, documents(spark, []))) == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_planted_passages_and_edits(spark, seed):
+    """Passages of 10 to 60 words at all places, with words changed, under a small vocabulary."""
+    rng = random.Random(seed)
+    vocabulary = words(rng, 40 if seed else 4000)
+    shared = [[rng.choice(vocabulary) for _ in range(rng.randint(10, 60))] for _ in range(6)]
+    texts = []
+    for _ in range(150):
+        w = []
+        for _ in range(rng.randint(0, 5)):
+            w += [rng.choice(vocabulary) for _ in range(rng.randint(0, 20))]
+            p = list(rng.choice(shared))
+            if rng.random() < 0.5:
+                p[rng.randrange(len(p))] = "changed%d" % rng.randrange(3)
+            w += p[rng.randint(0, 8):]
+        texts.append(rng.choice([" ", "\n", "\t "]).join(w))
+    texts += texts[:20]
+    got = check(spark, documents(spark, texts, ids=rng.sample(range(10**9, 2 * 10**9), len(texts))))
+    assert sum(r[2] for r in got)
+
+
+def test_repetition(spark):
+    """Short periods: a document's own repeats are none; a second one's are."""
+    for period in (1, 2, 3, 7):
+        p = " ".join(f"w{i}" for i in range(period))
+        check(spark, documents(spark, [" ".join([p] * 60), " ".join([p] * 30), "tail " + " ".join([p] * 9)]))
+
+
+def test_frequent_anchor_is_spread(spark):
+    """A passage in every document, different words around it: more than any share allows."""
+    rng = random.Random(5)
+    p = " ".join(words(rng, 20))
+    df = documents(spark, [" ".join(words(rng, 15)) + f" {p} " + " ".join(words(rng, 15)) for _ in range(300)])
+    known = substrings._prepared(df)
+    spread = substrings.frequent(known, 100)
+    assert 0 < len(spread) <= 200
+    met = substrings.meet(known, spread)
+    assert {(r["doc"], r["e"]) for r in met.where("known").collect()} == {
+        (r["doc"], r["e"]) for r in substrings.meet(known, spread[:0]).where("known").collect()}
+    check(spark, df)
+
+
+def test_maximal_repeats(spark):
+    rng = random.Random(8)
+    texts = [" ".join(words(rng, 80)) for _ in range(4)]
+    w = [t.split(" ") for t in texts]
+    texts.append(" ".join(["a"] + w[0][:30] + ["b"] + w[1][5:40] + w[2][50:60]))
+    df = documents(spark, texts)
+    got = {(r["doc_id"], r["start"], r["n_words"]) for r in rows_of(substrings.repeats(spark, df))}
+    assert got == {(4, 1, 30), (4, 32, 35)}
+
+
+def test_the_table(spark):
+    check(spark, spark.read.parquet(f"{SF001}/documents.parquet"))
+
+
+def test_query(spark):
+    from streamops.llm.queries import QUERIES
+    df = QUERIES["op11_substring_dedup"](spark, SF001)
+    assert df.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    assert dict(df.dtypes) == {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"}
+
+
+def test_query_matches_sql(spark, con001):
+    from streamops.llm.queries import ORACLE, QUERIES
+    from tests.oracle import compare
+    ok, msg = compare(QUERIES["op11_substring_dedup"](spark, SF001), con001, ORACLE["op11_substring_dedup"])
+    assert ok, msg
