@@ -32,7 +32,7 @@ none, so its text stays whole; rows that share an id are one document (none is
 another's source) though each gets its own row; ties do not arise, as ids
 decide; texts under ``SPAN`` words have no repeats; an empty table gives an
 empty result; other columns are not read.  A long text is handled whole, in
-memory of its row (about 100 bytes a word while it is worked on).
+memory of its row (about 20 bytes a character while it is worked on).
 """
 
 from __future__ import annotations
@@ -42,10 +42,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamops.llm.common import hash_words, mix, settle, some_texts, split_words
+from streamops.llm.common import mix, settle, some_texts
 
 #: Words of the shortest repeat, and of a seed.
 SPAN = 13
@@ -57,6 +58,65 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+#: White space (fixed values of the contract).
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Bytes hashed at a time; words longer than ``LONG`` are hashed one by one.
+SLICE = 1 << 20
+LONG = 64
+_POWER = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(SLICE, STEP, np.uint64))))
+_BACK = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(SLICE, BACK, np.uint64))))
+
+
+class Words:
+    """The words of some texts: their bytes ``data[start:end]``, the first word
+    of each text (``offsets``, one more at the end), and a hash of each."""
+
+    def __init__(self, texts: pa.Array):
+        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        data = texts.buffers()[2]
+        self.data = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
+        at = at - at[0]
+        n = len(self.data)
+        edge = np.zeros(n + 1, bool)                   # a text begins here
+        edge[at] = True
+        blank = np.concatenate(([True], SPACE[self.data], [True]))
+        inside = ~blank[1:-1]
+        self.start = np.flatnonzero(inside & (blank[:-2] | edge[:-1]))
+        self.end = np.flatnonzero(inside & (blank[2:] | edge[1:])) + 1
+        self.offsets = np.searchsorted(self.start, at)
+
+    def hashes(self) -> np.ndarray:
+        size = self.end - self.start
+        out = np.zeros(len(size), np.uint64)
+        a = 0
+        while a < len(size):                           # some words at a time: powers of one table
+            z = max(a + 1, int(np.searchsorted(self.start, self.start[a] + SLICE - LONG)))
+            lo, hi = self.start[a], min(len(self.data), self.start[a] + SLICE)
+            total = np.concatenate(([np.uint64(0)], np.cumsum((self.data[lo:hi].astype(np.uint64) + np.uint64(1)) * _POWER[:hi - lo], dtype=np.uint64)))
+            s, e = self.start[a:z] - lo, np.minimum(self.end[a:z] - lo, hi - lo)
+            out[a:z] = (total[e] - total[s]) * _BACK[s]
+            a = z
+        for i in np.flatnonzero(size > LONG):
+            out[i] = xxhash.xxh3_64_intdigest(self.data[self.start[i]:self.end[i]])
+        return mix(out + size.astype(np.uint64) * BACK)
+
+    def joined(self, keep: np.ndarray) -> pa.Array:
+        """The words to keep of each text, joined by one space."""
+        last = np.zeros(len(keep), bool)               # the last word kept of each text has no space after it
+        kept = np.flatnonzero(keep)
+        text = np.searchsorted(self.offsets, kept, "right")
+        last[kept[np.append(text[1:] != text[:-1], True)[:len(kept)]]] = True
+        depth = np.zeros(len(self.data) + 2, np.int8)
+        depth[self.start[keep]] += 1
+        depth[self.end[keep] + ~last[keep]] -= 1       # words never touch, a space lies between
+        mask = np.cumsum(depth[:-2], dtype=np.int8) > 0
+        data = self.data[mask]
+        data[SPACE[data]] = 0x20
+        size = np.concatenate(([0], np.cumsum((self.end - self.start + ~last) * keep)))
+        return pa.Array.from_buffers(pa.large_string(), len(self.offsets) - 1, [
+            None, pa.py_buffer(size[self.offsets].astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 class Anchors:
     """The anchors of some texts, as flat arrays in word order.
 
@@ -68,9 +128,8 @@ class Anchors:
 
     def __init__(self, texts: pa.Array, span: int = SPAN, seed: int = SEED):
         self.span = span
-        distinct, codes, self.offsets = split_words(texts)
-        h = mix(hash_words(distinct))[codes] if len(codes) else np.zeros(0, np.uint64)
-        self.words, self.codes = distinct, codes
+        self.words = Words(texts)
+        self.offsets, h = self.words.offsets, self.words.hashes()
         n = len(h)
         power = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, STEP, np.uint64))))
         self._back = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, BACK, np.uint64))))
@@ -80,11 +139,14 @@ class Anchors:
         # starts of all runs, and the place of the least seed of each
         start = np.repeat(self.offsets[:-1] - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
         seeds = self._hash(np.arange(max(0, n - seed + 1)), seed)
-        least, at = seeds[start], start.copy()
-        for k in range(1, span - seed + 1):
-            s = seeds[start + k]
-            less = s < least
-            least, at = np.where(less, s, least), np.where(less, start + k, at)
+        # least of 2, 4, 8, ... seeds, the first of equal ones, up to all of a run
+        least, at, have, need = seeds, np.arange(len(seeds)), 1, span - seed + 1
+        while have < need:
+            by = min(have, need - have)
+            less = least[by:] < least[:-by]
+            least, at = np.where(less, least[by:], least[:-by]), np.where(less, at[by:], at[:-by])
+            have += by
+        least, at = least[start], at[start]
         owner = np.repeat(np.arange(len(inside)), runs)
         new = np.ones(len(start), bool)
         new[1:] = (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
@@ -109,7 +171,7 @@ def _long(x: np.ndarray) -> pa.Array:
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Anchors]]:
     """Batches in parts of some megabytes of text, with their anchors."""
     for b in batches:
-        for a, texts in some_texts(b.column("text")):
+        for a, texts in some_texts(b.column("text"), 1 << 22):
             yield b.slice(a, len(texts)), Anchors(texts)
 
 
@@ -229,18 +291,25 @@ def _covered(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return d.join(lists, "doc", "left")
 
 
-def _spans(a: Anchors, t: int, e, r) -> tuple[np.ndarray, np.ndarray]:
+def _lists(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The texts of a part with repeats, their extents and runs."""
+    e, r = b.column("e"), b.column("r")
+    for t in np.flatnonzero(e.is_valid().to_numpy(zero_copy_only=False)):
+        yield int(t), e[t].values.to_numpy(), r[t].values.to_numpy()
+
+
+def _spans(a: Anchors, t: int, e: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal repeats of text ``t``, in words of the text."""
     lo, hi = int(a.offsets[t]), int(a.offsets[t + 1])
     cover = np.zeros(hi - lo + 1, np.int64)
     mine = slice(*np.searchsorted(a.text, [t, t + 1]))
-    if e is not None and len(e):
-        hit = np.isin(a.extent[mine].view(np.int64), np.array(e, np.int64))
+    if len(e):
+        hit = np.isin(a.extent[mine].view(np.int64), e)
         np.add.at(cover, a.first[mine][hit] - lo, 1)
         np.add.at(cover, a.last[mine][hit] + a.span - lo, -1)
-    if r is not None and len(r) and hi - lo >= a.span:
+    if len(r):
         start = np.arange(lo, hi - a.span + 1)
-        start = start[np.isin(a.run(start).view(np.int64), np.array(r, np.int64))] - lo
+        start = start[np.isin(a.run(start).view(np.int64), r)] - lo
         np.add.at(cover, start, 1)
         np.add.at(cover, start + a.span, -1)
     inside = np.concatenate(([False], np.cumsum(cover)[:-1] > 0, [False]))
@@ -254,10 +323,9 @@ def repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     def rows(batches):
         for b, a in _parts(batches):
-            e, r = b.column("e"), b.column("r")
             doc, start, n = [], [], []
-            for t in range(len(b)):
-                s, z = _spans(a, t, e[t].as_py(), r[t].as_py())
+            for t, e, r in _lists(b):
+                s, z = _spans(a, t, e, r)
                 doc += [b.column("doc")[t].as_py()] * len(s)
                 start += s.tolist()
                 n += (z - s).tolist()
@@ -272,20 +340,16 @@ def removed(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     def rows(batches):
         for b, a in _parts(batches):
-            e, r, words, out = b.column("e"), b.column("r"), a.words, [[], [], [], []]
-            for t in range(len(b)):
-                lo, hi = int(a.offsets[t]), int(a.offsets[t + 1])
-                keep = np.ones(hi - lo, bool)
-                for s, z in zip(*_spans(a, t, e[t].as_py(), r[t].as_py())):
-                    keep[s:z] = False
-                left = " ".join(words.take(pa.array(a.codes[lo:hi][keep])).to_pylist())
-                out[0].append(hi - lo)
-                out[1].append(int(hi - lo - keep.sum()))
-                out[2].append(left)
-                out[3].append(hashlib.sha256(left.encode()).hexdigest())
+            keep = np.ones(a.offsets[-1], bool)
+            for t, e, r in _lists(b):
+                for s, z in zip(*_spans(a, t, e, r)):
+                    keep[a.offsets[t] + s:a.offsets[t] + z] = False
+            left = np.concatenate(([0], np.cumsum(keep)))[a.offsets]
+            n, kept = np.diff(a.offsets), a.words.joined(keep)
+            digests = [hashlib.sha256(x.as_buffer()).hexdigest() for x in kept]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()),
-                 pa.array(out[3], pa.string())], names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
+                [b.column("doc"), pa.array(n, pa.int64()), pa.array(n - np.diff(left), pa.int64()), kept.cast(pa.string()),
+                 pa.array(digests, pa.string())], names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
     return _covered(spark, docs).mapInArrow(
         rows, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
