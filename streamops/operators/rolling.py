@@ -28,8 +28,8 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], chunk_col: s
     return prefix_scan(df, keys, order, chunk, [Agg(name, "count", F.lit(1))], reuse_input=reuse_input)
 
 
-def _keyed(df, key, order, width, aggs):
-    return prefix_scan(df, [key], [order], chunk_for(df, order, width), aggs)
+def _keyed(df, key, order, width, aggs, keep=()):
+    return prefix_scan(df, [key], [order], chunk_for(df, order, width), aggs, keep=[order, key, *keep])
 
 
 def rolling_sum(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
@@ -71,5 +71,5 @@ def rolling_max_by(df: DataFrame, key: str = "id", order: str = "arrival", value
 def rolling_reduce(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
                    time: str = "ts_ms", width: int | None = None) -> DataFrame:
     """reduce((a, b) -> (a.id, b.ts, a.vc + b.vc)): current ts, running sum."""
-    out = _keyed(df, key, order, width, [Agg("_s", "sum", F.col(value).cast("bigint"))])
+    out = _keyed(df, key, order, width, [Agg("_s", "sum", F.col(value).cast("bigint"))], keep=[time])
     return out.select(order, key, time, F.col("_s").alias(value))

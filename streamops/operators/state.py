@@ -17,7 +17,7 @@ def jump_alert(df: DataFrame, key: str = "id", order: str = "arrival", value: st
     """Rows whose value differs from the key's previous value by more than
     ``threshold``; the previous value of a key's first row is 0."""
     s = prefix_scan(df, [key], [order], chunk_for(df, order, width),
-                    [Agg("_prev", "last", F.col(value), inclusive=False)])
+                    [Agg("_prev", "last", F.col(value), inclusive=False)], keep=[order, key, value])
     prev = F.coalesce(F.col("_prev"), F.lit(0))
     # in BIGINT: two INT values can be further apart than an INT can hold
     return s.where(F.abs(F.col(value).cast("bigint") - prev.cast("bigint")) > threshold).select(
@@ -29,7 +29,7 @@ def value_counts_running(df: DataFrame, key: str = "id", order: str = "arrival",
     """Map state ``value -> count``: per row, the count of its own value so far
     (the long form of the whole map; emitting the map per row is quadratic)."""
     s = prefix_scan(df, [key, value], [order], chunk_for(df, order, width),
-                    [Agg("cnt", "count", F.lit(1))])
+                    [Agg("cnt", "count", F.lit(1))], keep=[order, key, value])
     return s.select(order, key, value, "cnt")
 
 
@@ -40,7 +40,7 @@ def value_counts_final(df: DataFrame, key: str = "id", value: str = "vc") -> Dat
 def running_sum(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
                 width: int | None = None) -> DataFrame:
     s = prefix_scan(df, [key], [order], chunk_for(df, order, width),
-                    [Agg("sum_vc", "sum", F.col(value).cast("bigint"))])
+                    [Agg("sum_vc", "sum", F.col(value).cast("bigint"))], keep=[order, key, value])
     return s.select(order, key, value, "sum_vc")
 
 
@@ -48,7 +48,8 @@ def running_avg(df: DataFrame, key: str = "id", order: str = "arrival", value: s
                 width: int | None = None) -> DataFrame:
     """Running mean from an exact BIGINT sum and a count."""
     s = prefix_scan(df, [key], [order], chunk_for(df, order, width),
-                    [Agg("_s", "sum", F.col(value).cast("bigint")), Agg("_n", "count", F.col(value))])
+                    [Agg("_s", "sum", F.col(value).cast("bigint")), Agg("_n", "count", F.col(value))],
+                    keep=[order, key, value])
     return s.select(order, key, value, (F.col("_s").cast("double") / F.col("_n")).alias("avg_vc"))
 
 
@@ -64,7 +65,8 @@ def ttl_state(df: DataFrame, ttl_ms: int, key: str = "id", order: str = "arrival
     earlier rows of its *island* (rows of a key with gaps < ttl).
     """
     chunk = chunk_for(df, order, width)
-    s = prefix_scan(df, [key], [order], chunk, [Agg("_pt", "last", F.col(time), inclusive=False)])
+    s = prefix_scan(df, [key], [order], chunk, [Agg("_pt", "last", F.col(time), inclusive=False)],
+                    keep=[order, key, time, value])
     brk = F.col("_pt").isNull() | (F.col(time) - F.col("_pt") >= ttl_ms)
     # one more scan carries both the start of the current island and the
     # last write before this row; a write from an earlier island is expired
@@ -74,7 +76,8 @@ def ttl_state(df: DataFrame, ttl_ms: int, key: str = "id", order: str = "arrival
     s = prefix_scan(s, [key], [order], chunk,
                     [Agg("_start", "last_nonnull", F.when(brk, F.col(order))),
                      Agg("_wo", "last_nonnull", F.when(wrote, F.col(order)), inclusive=False),
-                     Agg("_wv", "last_nonnull", F.when(wrote, F.col(value)), inclusive=False)])
+                     Agg("_wv", "last_nonnull", F.when(wrote, F.col(value)), inclusive=False)],
+                    keep=[order, key, time, value])
     s = s.withColumn("state", F.when(F.col("_wo") >= F.col("_start"), F.col("_wv")))
     return s.select(order, key, time, value, "state")
 
@@ -84,7 +87,8 @@ def bucket_running_count(df: DataFrame, n: int, order: str = "arrival",
     """Operator list state: a running element count per fixed bucket (the
     stand-in for a subtask), ``bucket = pmod(arrival, n)``."""
     d = df.withColumn("bucket", F.pmod(F.col(order), F.lit(n)).cast("int"))
-    s = prefix_scan(d, ["bucket"], [order], chunk_for(df, order, width), [Agg("cnt", "count", F.lit(1))])
+    s = prefix_scan(d, ["bucket"], [order], chunk_for(df, order, width), [Agg("cnt", "count", F.lit(1))],
+                    keep=[order, "bucket"])
     return s.select(order, "bucket", "cnt")
 
 

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import Agg, chunk_for, chunk_of, floor_div, prefix_scan
+from streamops.plans.scan import Agg, chunk_for, chunk_of, floor_div, halo_scan, prefix_scan
 
 
 def assign_tumbling(df: DataFrame, size_ms: int, time: str = "ts_ms") -> DataFrame:
@@ -128,7 +128,8 @@ def count_window_tumbling(df: DataFrame, size: int, key: str = "id", order: str
                           value: str = "vc", width: int | None = None) -> DataFrame:
     """countWindow(size): consecutive groups of ``size`` rows per key; an
     incomplete tail never fires."""
-    s = prefix_scan(df, [key], [order], chunk_for(df, order, width), [Agg("_rn", "count", F.lit(1))])
+    s = prefix_scan(df, [key], [order], chunk_for(df, order, width), [Agg("_rn", "count", F.lit(1))],
+                    keep=[key, order, value])
     s = s.withColumn("win_no", floor_div("`_rn` - 1", size))
     g = s.groupBy(key, "win_no").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum(value).cast("bigint").alias("sum_vc"),
@@ -141,17 +142,17 @@ def count_window_sliding(df: DataFrame, size: int, slide: int, key: str = "id",
     """countWindow(size, slide): fires after every ``slide``-th row of a key,
     over its last (up to) ``size`` rows.
 
-    The window sum is a difference of running sums, S(n) - S(n - size); the
-    lagged running sum is found by an equi-join on (key, position), which
-    spreads a hot key over all tasks (no per-key frame)."""
-    s = prefix_scan(df, [key], [order], chunk_for(df, order, width),
-                    [Agg("_rn", "count", F.lit(1)), Agg("_s", "sum", F.col(value).cast("bigint"))])
-    fires = s.where(F.pmod(F.col("_rn"), F.lit(slide)) == 0).select(key, "_rn", "_s", F.col(order).alias("fire_arrival"))
-    back = s.select(F.col(key).alias("_bk"), (F.col("_rn") + size).alias("_brn"), F.col("_s").alias("_bs"))
-    j = fires.join(back, fires[key].eqNullSafe(back["_bk"]) & (fires["_rn"] == back["_brn"]), "left")
-    return j.select(key, F.col("_rn").alias("pos"), "fire_arrival",
-                    F.least(F.col("_rn"), F.lit(size)).alias("cnt"),
-                    (F.col("_s") - F.coalesce(F.col("_bs"), F.lit(0))).alias("sum_vc"))
+    The frame itself is evaluated (``halo_scan``): each chunk gets the values of
+    the ``size - 1`` rows before it, so a window without any value sums to NULL,
+    and a hot key is spread over its chunks without a self-join on positions."""
+    s = halo_scan(df, [key], [order], chunk_for(df, order, width), F.col(value).cast("bigint"), size,
+                  {"_s": F.sum("_v")}, keep=[key, order])
+    s = s.where(F.pmod(F.col("_pos"), F.lit(slide)) == 0)
+    known = F.filter("_halo", lambda v: v.isNotNull())
+    before = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0).cast("bigint"), lambda a, v: a + v))
+    return s.select(key, F.col("_pos").alias("pos"), F.col(order).alias("fire_arrival"),
+                    F.least(F.col("_pos"), F.lit(size)).alias("cnt"),
+                    F.coalesce(F.col("_s") + before, "_s", before).alias("sum_vc"))
 
 
 # legacy full-window apply (W13) has the same output as the process function

@@ -21,6 +21,7 @@ deterministic (every caller passes the arrival column).
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -69,20 +70,52 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
-                chunk: Column, aggs: list[Agg], reuse_input: bool = False) -> DataFrame:
-    """Append one column per ``Agg`` holding its running value.
-
-    partition_by  key columns (may be empty: one global order)
-    order_by      order columns, unique within a key
-    chunk         BIGINT expression, non-decreasing along ``order_by``
-    reuse_input   False: chunk totals by a partial + final aggregate over a
-                  second read of the input (cheap inputs: a column scan).
-                  True: the input is read and shuffled once; the chunk totals
-                  come from whole-chunk frames of the same window and the
-                  shuffle is reused (inputs whose upstream is expensive, such
-                  as tokenised text).
-    """
+@dataclass(frozen=True)
+class Chunked:
+    """Rows shuffled by (chunk, key), with the plan's helper columns.
+
+    pcols   the chunk and the key in null-safe form: ``_chunk, _k0, _n0, ...``
+    order   the order columns
+    kept    the columns to keep, made of those of ``rows``
+    window  by chunk and key, in order"""
+
+    rows: DataFrame
+    pcols: list[str]
+    order: list[Column]
+    kept: list[Column]
+
+    @property
+    def window(self):
+        return Window.partitionBy(*self.pcols).orderBy(*self.order)
+
+    def totals(self, *aggs: Column) -> DataFrame:
+        """One row for each (chunk, key).  Its rows read every column of the
+        exchange (the hash in the condition, which is never null), so that Spark
+        finds this exchange and that of ``rows`` equal and runs it once."""
+        alike = F.bit_xor(F.hash(*self.rows.columns)).alias("_alike")
+        return self.rows.groupBy(*self.pcols).agg(*aggs, alike).where(F.col("_alike").isNotNull()).drop("_alike")
+
+    def earlier(self):
+        """Window over the totals of a key's earlier chunks."""
+        return (Window.partitionBy(*self.pcols[1:]) if len(self.pcols) > 1 else Window.partitionBy()).orderBy("_chunk") \
+            .rowsBetween(Window.unboundedPreceding, -1)
+
+    def with_carry(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
+        """``rows`` beside their chunk's row of ``carry``, whose helper columns
+        are ``_c`` and the name."""
+        cond = None
+        for c in self.pcols:
+            e = rows[c] == carry[f"_c{c}"]
+            cond = e if cond is None else cond & e
+        return rows.join(carry, cond)
+
+    def names(self) -> list[Column]:
+        return [F.col(c).alias(f"_c{c}") for c in self.pcols]
+
+
+def chunked(df: DataFrame, partition_by: list[str], order_by: list[str], chunk: Column, extra: list[Column],
+            keep: list[str]) -> Chunked:
+    """The columns ``keep`` and ``extra`` of ``df``, shuffled by (chunk, key)."""
     # Plain, null-safe surrogate key columns: coalesce(k, default) plus an
     # is-null flag for nullable keys.  Plain atomic columns keep sort prefixes
     # and hash partitioning cheap, and an inner equi-join on them keeps NULL
@@ -91,20 +124,42 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
     # A NULL order value sorts first (ASC NULLS FIRST), so its row belongs to
     # the lowest chunk: a NULL chunk becomes the smallest BIGINT instead of
     # being lost in the equi-join.
-    pcols, extra = ["_chunk"], [F.coalesce(chunk, F.lit(-(1 << 63)).cast("bigint")).alias("_chunk")]
+    # A kept key is not shuffled beside its surrogate but made of it afterwards.
+    pcols, cols = ["_chunk"], [F.coalesce(chunk, F.lit(-(1 << 63)).cast("bigint")).alias("_chunk")]
+    schema, out = df.schema, {c: F.col(c) for c in keep}
     for i, k in enumerate(partition_by):
-        f = df.schema[k]
-        extra.append(F.coalesce(F.col(k), _default(f.dataType)).alias(f"_k{i}"))
+        f = schema[k]
+        cols.append(F.coalesce(F.col(k), _default(f.dataType)).alias(f"_k{i}"))
         pcols.append(f"_k{i}")
+        whole = F.col(f"_k{i}")
         if f.nullable:
-            extra.append(F.col(k).isNull().alias(f"_n{i}"))
+            cols.append(F.col(k).isNull().alias(f"_n{i}"))
             pcols.append(f"_n{i}")
-    kcols = pcols[1:]
-    extra += [a.expr.alias(f"_x{i}") for i, a in enumerate(aggs)]
-    d = df.select("*", *extra)
+            whole = F.when(~F.col(f"_n{i}"), whole)
+        if k in out and k not in order_by:
+            out[k] = whole.alias(k)
+    raw = [c for c in keep if c not in partition_by or c in order_by]
+    cols += [F.col(o) for o in order_by if isinstance(o, str) and o not in keep]
+    return Chunked(df.select(*raw, *cols, *extra).repartition(*pcols), pcols, _cols(order_by), list(out.values()))
+
 
-    ordc = _cols(order_by)
-    wc = Window.partitionBy(*pcols).orderBy(*ordc)
+def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
+                chunk: Column, aggs: list[Agg], reuse_input: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Append one column per ``Agg`` holding its running value.
+
+    partition_by  key columns (may be empty: one global order)
+    order_by      order columns, unique within a key
+    chunk         BIGINT expression, non-decreasing along ``order_by``
+    keep          columns of ``df`` in the result (default: all); the fewer, the
+                  less is shuffled
+    reuse_input   where the chunk totals come from.  False: an aggregate of the
+                  shuffled rows.  True: the last running value of each chunk, for
+                  keys so many that (chunk, key) groups are few rows each (words).
+    """
+    names = {a.name for a in aggs}
+    keep = [c for c in (df.columns if keep is None else keep) if c not in names or c in partition_by + list(order_by)]
+    ch = chunked(df, partition_by, order_by, chunk, [a.expr.alias(f"_x{i}") for i, a in enumerate(aggs)], keep)
+    pcols, ordc, d, wc = ch.pcols, ch.order, ch.rows, ch.window
     incl = wc.rowsBetween(Window.unboundedPreceding, 0)
     excl = wc.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -163,13 +218,12 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
             else:  # last_nonnull
                 t = F.max_by(x, F.when(x.isNotNull(), ord_struct))
             tot.append(t.alias(f"_t{i}"))
-        chunks = d.groupBy(*pcols).agg(*tot)
+        chunks = ch.totals(*tot)
         rows = d.select("*", *within)
 
     # 2. carry over earlier chunks of the same key
-    wk = (Window.partitionBy(*kcols) if kcols else Window.partitionBy()).orderBy("_chunk") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    carry = [F.col(c).alias(f"_c{c}") for c in pcols] + [F.sum("_n").over(wk).alias("_cn")]
+    wk = ch.earlier()
+    carry = [*ch.names(), F.sum("_n").over(wk).alias("_cn")]
     for i, a in enumerate(aggs):
         t = F.col(f"_t{i}")
         if a.kind in ("sum", "count"):
@@ -185,16 +239,11 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
         else:
             c = F.last(t, ignorenulls=True).over(wk)
         carry.append(c.alias(f"_c{i}"))
-    carry_df = chunks.select(*carry)
 
     # 3. the in-chunk window runs first (rows shuffled by (chunk, key)); the
     # join to the carry then reuses that partitioning, or probes a broadcast
     # carry in the parallel post-shuffle tasks
-    cond = None
-    for c in pcols:
-        e = rows[c] == carry_df[f"_c{c}"]
-        cond = e if cond is None else cond & e
-    j = rows.join(carry_df, cond)
+    j = ch.with_carry(rows, chunks.select(*carry))
     outs = []
     for i, a in enumerate(aggs):
         w, c, n_in = F.col(f"_w{i}"), F.col(f"_c{i}"), F.col("_nin")
@@ -215,9 +264,42 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
         else:
             v = F.coalesce(w, c)
         outs.append(v.alias(a.name))
-    # the input's columns (minus any an aggregate replaces) plus the results
-    names = {a.name for a in aggs}
-    return j.select(*[F.col(c) for c in df.columns if c not in names], *outs)
+    # the kept columns (minus any an aggregate replaces) plus the results
+    return j.select(*[c for c, name in zip(ch.kept, keep) if name not in names], *outs)
+
+
+def halo_scan(df: DataFrame, partition_by: list[str], order_by: list[str], chunk: Column, value: Column, size: int,
+              within: dict[str, Column], keep: list[str]) -> DataFrame:
+    """Frames of a row and the ``size - 1`` rows before it, across chunks.
+
+    Adds ``_pos`` (the row's place in its key, from 1), ``_halo`` (the values of
+    the frame's rows that lie in earlier chunks, in order) and the aggregates
+    ``within`` (of ``_v``, the value) over its rows in the own chunk.
+
+    A chunk's summary is its number of rows and its last ``size - 1`` values;
+    the halo of a chunk is the end of the summaries before it joined, of which
+    ``size - 1`` are enough as none is empty.  So any frame is evaluated as it
+    is, and no row is joined to another by its place."""
+    if size < 1:
+        raise ValueError("size must be positive")
+    ch = chunked(df, partition_by, order_by, chunk, [value.alias("_v")], keep)
+    back = size - 1
+    last = ch.rows.select("*", F.lead(F.lit(1), max(1, back)).over(ch.window).alias("_more"),
+                          F.row_number().over(ch.window).cast("bigint").alias("_r"))
+    # the rows that no row follows ``back`` rows on are the chunk's end; values in structs, so that NULLs stay
+    end = last.where(F.col("_more").isNull()).groupBy(*ch.pcols).agg(
+        F.max("_r").alias("_n"), F.array_sort(F.collect_list(F.struct("_r", "_v"))).alias("_end"))
+    before = ch.earlier()
+    joined = F.flatten(F.collect_list(F.col("_end._v")).over(before.rowsBetween(-max(1, back), -1)))
+    carry = end.select(*ch.names(), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_cn"),
+                       F.slice(joined, F.greatest(F.size(joined) - back + 1, F.lit(1)), back).alias("_whole"))
+    here = ch.window.rowsBetween(-back, 0)
+    rows = ch.rows.select("*", F.row_number().over(ch.window).cast("bigint").alias("_r"),
+                          *[a.over(here).alias(n) for n, a in within.items()])
+    j = ch.with_carry(rows, carry)
+    lacking = F.least(F.greatest(F.lit(size) - F.col("_r"), F.lit(0)).cast("int"), F.size("_whole"))
+    return j.select(*ch.kept, (F.col("_cn") + F.col("_r")).alias("_pos"), *within,
+                    F.slice("_whole", F.size("_whole") - lacking + 1, lacking).alias("_halo"))
 
 
 def floor_div(sql: str, n: int) -> Column:
@@ -254,22 +336,62 @@ def chunk_edges(n: int, edges: list[int], target_rows: int = TARGET_ROWS,
     return [(a, i * parts, max(1, -(-(b - a) // parts))) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
 
 
+#: Sketches of this process: an order column is looked at once for each state of its table.
+_SKETCHES: OrderedDict[tuple, tuple] = OrderedDict()
+KEPT_SKETCHES = 256
+#: Size of the sketch: a quantile is off by about 0.1% of the rows.
+SKETCH_K = 2000
+
+
+def order_sketch(df: DataFrame, order_col: str) -> tuple[int, int | None, int | None, list[int]]:
+    """(rows, least, greatest, ``SEGMENTS`` + 1 quantiles) of an order column.
+
+    A KLL sketch, combined map-side, one row to the driver.  It is kept by the
+    plan and size of ``df``; where a table grew without being noticed, chunks are
+    larger or more than meant, and results the same."""
+    query = df._jdf.queryExecution()
+    state = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+             str(query.optimizedPlan().stats().sizeInBytes()), order_col)
+    if state not in _SKETCHES:
+        c = F.col(order_col).cast("bigint")
+        steps = F.array(*(F.lit(k / SEGMENTS) for k in range(SEGMENTS + 1)))
+        one = df.agg(F.count(c).alias("n"), F.min(c).alias("a"), F.max(c).alias("b"),
+                     F.kll_sketch_agg_bigint(c, F.lit(SKETCH_K)).alias("s"))
+        r = one.select("n", "a", "b", F.when(F.col("n") > 0, F.kll_sketch_get_quantile_bigint("s", steps)).alias("q")).first()
+        _SKETCHES[state] = (r["n"], r["a"], r["b"], list(r["q"] or []))
+        while len(_SKETCHES) > KEPT_SKETCHES:
+            _SKETCHES.popitem(last=False)
+    _SKETCHES.move_to_end(state)
+    return _SKETCHES[state]
+
+
+def even_cuts(cuts: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Neighbouring segments joined while their chunk widths are alike (within a
+    factor of two): an even order column needs one division, no case distinction."""
+    out: list[list] = []                                # start, first chunk, least and greatest width
+    for start, first, width in cuts:
+        if out and max(out[-1][3], width) <= 2 * min(out[-1][2], width):
+            out[-1][2], out[-1][3] = min(out[-1][2], width), max(out[-1][3], width)
+        else:
+            out.append([start, first, width, width])
+    return [(s, f, hi) for s, f, _, hi in out]
+
+
 def density_chunk(df: DataFrame, order_col: str, target_rows: int = TARGET_ROWS,
                   min_chunks: int = MIN_CHUNKS) -> Column:
     """A chunk number for any BIGINT order column, dense, sparse or bursty.
 
-    One aggregate over the column (count and quantiles, a single row) gives
-    ``SEGMENTS`` segments of about equal row counts; each is cut into chunks of
-    equal width.  Values 10^9 apart and crowded minutes alike give chunks of
-    about ``target_rows`` rows.  Rows with one and the same order value stay in
-    one chunk."""
-    steps = [k / SEGMENTS for k in range(SEGMENTS + 1)]
-    r = df.agg(F.count(order_col).alias("n"), F.min(order_col).alias("a"), F.max(order_col).alias("b"),
-               F.percentile_approx(order_col, steps, 1000).alias("q")).first()
-    if not r["n"]:
+    The quantiles of the column's kept sketch give segments of about equal row
+    counts; each is cut into chunks of equal width.  Values 10^9 apart and
+    crowded minutes alike give chunks of about ``target_rows`` rows.  Rows with
+    one and the same order value stay in one chunk."""
+    n, least, greatest, quantiles = order_sketch(df, order_col)
+    if not n:
         return F.lit(0).cast("bigint")
-    edges = sorted({int(r["a"]), *map(int, r["q"]), int(r["b"]) + 1})
-    cuts = chunk_edges(r["n"], edges, target_rows, min_chunks)
+    chunks = max(min_chunks, -(-n // target_rows))
+    stride = max(1, SEGMENTS // chunks)                 # few chunks need few segments
+    edges = sorted({int(least), *map(int, quantiles[::stride]), int(greatest) + 1})
+    cuts = even_cuts(chunk_edges(n, edges, target_rows, min_chunks))
     c = f"CAST(`{order_col}` AS BIGINT)"
 
     def pick(lo: int, hi: int) -> str:
