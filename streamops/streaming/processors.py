@@ -390,6 +390,66 @@ class WindowFirings(StatefulProcessor):
         pass
 
 
+class GlobalTrigger(StatefulProcessor):
+    """Global window with a trigger and purge rule (W9), as in
+    ``operators.triggers``.  The rows carry the trigger's condition as the
+    column ``own`` (``with_own``).  State: place since the last cut, latest time,
+    firing number, and the contents' count, sum and first arrival; whole numpy
+    columns, no loop over rows."""
+
+    OUTPUT = "id string, firing bigint, fire_arrival bigint, cnt bigint, sum_vc bigint, first_arrival bigint"
+
+    def __init__(self, trigger, purge: bool = True):
+        self.trigger, self.purge = trigger, purge
+
+    @staticmethod
+    def with_own(stream: DataFrame, trigger) -> DataFrame:
+        from pyspark.sql import functions as F
+        own = F.coalesce(F.expr(trigger.when), F.lit(False)) if trigger.when else F.lit(False)
+        return stream.withColumn("own", own)
+
+    def init(self, handle):
+        self.st = handle.getValueState("st", "place long, latest long, firing long, cnt long, some long, sum_vc long, first long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _sorted(rows)
+        n = len(pdf)
+        if not n:
+            return
+        place0, latest, firing0, cnt0, some0, sum0, first0 = self.st.get() if self.st.exists() else (0, None, 0, 0, 0, 0, None)
+        cut = pdf["own"].to_numpy(dtype=bool).copy()
+        low = np.iinfo(np.int64).min
+        time = pd.to_numeric(pdf["ts_ms"]).astype("Int64").fillna(low).to_numpy("int64")
+        latest = low if latest is None else latest
+        so_far = np.maximum.accumulate(np.concatenate(([latest], time)))
+        if self.trigger.every_ms:
+            known = (time != low) & (so_far[:-1] != low)
+            cut |= known & (np.where(known, time, 0) // self.trigger.every_ms > np.where(known, so_far[:-1], 0) // self.trigger.every_ms)
+        at = np.arange(1, n + 1)
+        last_cut = np.maximum.accumulate(np.concatenate(([-place0], np.where(cut, at, -place0))))
+        fires = cut | ((at - last_cut[:-1]) % self.trigger.count == 0) if self.trigger.count else cut
+        vc = _values(pdf)
+        cnt = np.concatenate(([0], np.arange(1, n + 1))) + cnt0
+        some = np.concatenate(([0], vc.notna().to_numpy().cumsum())) + some0
+        total = np.concatenate(([0], vc.fillna(0).to_numpy("int64").cumsum())) + sum0
+        arrival = pdf["arrival"].to_numpy()
+        hit = np.flatnonzero(fires)
+        starts = np.concatenate(([0], hit + 1)) if self.purge else np.zeros(len(hit) + 1, int)
+        # what was there before the first row that counts: the state's contents, none after a purge
+        base = [np.where(starts > 0, x[starts], 0) for x in (cnt, some, total)]
+        first = [first0 if s == 0 and first0 is not None else int(arrival[s]) if s < n else None for s in starts.tolist()]
+        known = (some[hit + 1] - base[1][:-1]) > 0
+        self.st.update((int(n - last_cut[-1]), None if so_far[-1] == low else int(so_far[-1]), firing0 + len(hit),
+                        int(cnt[-1] - base[0][-1]), int(some[-1] - base[1][-1]), int(total[-1] - base[2][-1]), first[-1]))
+        yield pd.DataFrame({
+            "id": key[0], "firing": firing0 + np.arange(len(hit)), "fire_arrival": arrival[hit],
+            "cnt": cnt[hit + 1] - base[0][:-1], "sum_vc": pd.Series(total[hit + 1] - base[2][:-1], dtype="Int64").where(known),
+            "first_arrival": pd.Series(first[:-1], dtype="Int64")})
+
+    def close(self):
+        pass
+
+
 class EventTimer(StatefulProcessor):
     """Registers an event-time timer at a fixed time when a key is first seen
     and reports it when the watermark passes it (T1)."""

@@ -44,3 +44,18 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         fs.delete(p, False)
     if not fs.rename(aside, p):
         raise OSError(f"could not move {path}.tmp into place")
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target must not exist."""
+    a, fs = _open(spark, source)
+    b, _ = _open(spark, target)
+    fs.mkdirs(b.getParent())
+    if fs.exists(b) or not fs.rename(a, b):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    p, fs = _open(spark, path)
+    fs.delete(p, True)
