@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from streamops.functions.parse import parse_sensor_lines
 from streamops.functions.scalar import scalar_bundle
 from streamops.functions.tokenize import tokenize_lines
-from streamops.operators import joins, lateness, partition, rolling, state, topn, transform, windows
+from streamops.operators import joins, lateness, partition, rolling, state, timers, topn, transform, triggers, windows
 from streamops.plans.scan import density_chunk
 from streamops.sources.tables import (JITTER_MOD, JITTER_MULT, JITTER_STEP_MS, candidate_lines, lines_view,
                                       read_table, sensor, sensor_lines, with_jitter)
@@ -29,6 +29,8 @@ UNEVEN_SIZE, UNEVEN_STEP = 5 * HOUR, 2 * HOUR
 SESSION_GAP = 4 * HOUR
 COUNT_SIZE, COUNT_SLIDE = 5, 2
 DELAY, LATENESS = 30 * MIN, 20 * MIN
+# the sliding side output: windows short enough that the synthetic delay closes some
+LATE_SIZE, LATE_STEP, LATE_LATENESS = 10 * MIN, 5 * MIN, 5 * MIN
 PERIODIC_EVERY = 100
 WINDOW_JOIN = 10 * HOUR
 INTERVAL = 2 * HOUR
@@ -50,6 +52,13 @@ TIMER_AT = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
 FLATMAP = {"click": ["vc"], "view": ["ts_ms", "vc"]}
 ROUTES = {"click": "tag1", "purchase": "tag2"}
 TOPIC = "sensor"
+# A timer at the next full hour of the row's time; a trigger of three rules; config values beyond an INT.
+HOURLY = f"ts_ms - pmod(ts_ms, {HOUR}) + {HOUR}"
+TRIGGER = triggers.Trigger(when="vc > 90", every_ms=48 * HOUR, count=6)
+TRIGGER_KEEP = triggers.Trigger(when="vc % 10 = 7")
+TRIGGER_TIME = triggers.Trigger(every_ms=24 * HOUR)
+ENTRIES = ("click", "view", "purchase")
+BIG = 10_000_000_000
 LEFT_TYPES = ("click", "view")
 NO_KEY_TYPE = "view"
 
@@ -82,6 +91,22 @@ def _no_key(s):
     return s.withColumn("id", F.when(F.col("event_type") != NO_KEY_TYPE, F.col("id")))
 
 
+def _some_values(s):
+    """The same rows with a NULL value in seven of ten, so that whole frames are NULL."""
+    return s.withColumn("vc", F.when(F.col("vc") % 10 >= 7, F.col("vc")))
+
+
+def _config(s):
+    """Sign-ups as config rows: they put a value, sometimes NULL, under one of three entries."""
+    entry = F.element_at(F.array(*map(F.lit, ENTRIES)), (F.col("arrival") % 3 + 1).cast("int"))
+    return s.where("event_type = 'signup'").select(
+        "arrival", entry.alias("name"), F.when(F.col("vc") % 5 != 0, F.col("vc") * BIG).alias("value"))
+
+
+def _data(s):
+    return s.where("event_type <> 'signup'").select("arrival", "id", "event_type", "vc")
+
+
 def _firings(j):
     cls = lateness.classify_tumbling(lateness.watermark_trace(j, DELAY), TUMBLE, LATENESS)
     return lateness.window_firings(cls)
@@ -180,8 +205,14 @@ QUERIES = {
     "watermark_monotonic": lambda sp, d: lateness.watermark_trace(_jitter(sp, d), 0).select(
         "arrival", "arr_ms", "ts_ms", "wm_before", "wm_after"),
     "late_side_output_sliding": lambda sp, d: lateness.side_output_sliding(
-        _traced(sp, d), TUMBLE, TUMBLE // 2, LATENESS).select("arrival", "id", "ts_ms", "vc"),
+        _traced(sp, d), LATE_SIZE, LATE_STEP, LATE_LATENESS).select("arrival", "id", "ts_ms", "vc"),
     "timer_event": lambda sp, d: lateness.event_timer_first_fire(_sensor(sp, d), TIMER_AT, DELAY),
+    "timer_rearmed": lambda sp, d: timers.event_timers(_jitter(sp, d), F.lit(TIMER_AT), DELAY),
+    "timer_hourly": lambda sp, d: timers.event_timers(_jitter(sp, d), F.expr(HOURLY), DELAY),
+    # global windows with a trigger
+    "win_global_trigger": lambda sp, d: triggers.global_window_trigger(_sensor(sp, d), TRIGGER),
+    "win_global_trigger_keep": lambda sp, d: triggers.global_window_trigger(_sensor(sp, d), TRIGGER_KEEP, purge=False),
+    "win_global_trigger_interval": lambda sp, d: triggers.global_window_trigger(_sensor(sp, d), TRIGGER_TIME),
     # joins
     "join_window": lambda sp, d: joins.window_join(*_sides(sp, d), WINDOW_JOIN),
     "join_interval": lambda sp, d: joins.interval_join_bucketed(*_sides(sp, d), -INTERVAL, INTERVAL),
@@ -190,6 +221,10 @@ QUERIES = {
     "join_broadcast_threshold": lambda sp, d: joins.asof_threshold(
         _sensor(sp, d).where(F.col("event_type") != "signup"),
         _sensor(sp, d).where(F.col("event_type") == "signup").withColumnRenamed("vc", "threshold")),
+    "join_broadcast_lookup": lambda sp, d: joins.asof_lookup(
+        _data(_sensor(sp, d)), _config(_sensor(sp, d)), "event_type").where(F.col("vc") * BIG > F.coalesce("value", F.lit(0))),
+    "join_broadcast_map": lambda sp, d: joins.asof_entries(
+        _data(_sensor(sp, d)), _config(_sensor(sp, d)), list(ENTRIES)),
     # keyed state
     "state_jump_alert": lambda sp, d: state.jump_alert(_sensor(sp, d), threshold=JUMP),
     "state_top3": lambda sp, d: state.running_top_k(_sensor(sp, d), TOP_K_STATE),
@@ -205,6 +240,7 @@ QUERIES = {
     "state_top3_null_key": lambda sp, d: state.running_top_k(_no_key(_sensor(sp, d)), TOP_K_STATE),
     "win_process_null_key": lambda sp, d: windows.window_process(_no_key(_sensor(sp, d)), TUMBLE),
     "win_count_sliding_null_key": lambda sp, d: windows.count_window_sliding(_no_key(_sensor(sp, d)), COUNT_SIZE, COUNT_SLIDE),
+    "win_count_sliding_null_value": lambda sp, d: windows.count_window_sliding(_some_values(_sensor(sp, d)), COUNT_SIZE, COUNT_SLIDE),
     "win_allowed_lateness_null_key": lambda sp, d: _firings(_no_key(_jitter(sp, d))),
     # top-N
     "topn_window_all": lambda sp, d: topn.topn_all_window(_sensor(sp, d), TOP_N, SLIDE_SIZE, SLIDE_STEP),
@@ -408,7 +444,53 @@ ORACLE["join_interval_bucketed"] = ORACLE["join_interval"]
 ORACLE["watermark_monotonic"] = ORACLE["watermark_trace"].replace(f"- {DELAY + 1} AS", "- 1 AS")
 ORACLE["late_side_output_sliding"] = (
     f"SELECT arrival, id, ts_ms, vc FROM ({TRACED}) WHERE wm_before IS NOT NULL AND "
-    f"ts_ms - ts_ms % {TUMBLE // 2} + {TUMBLE} - 1 + {LATENESS} <= wm_before")
+    f"ts_ms - ts_ms % {LATE_STEP} + {LATE_SIZE} - 1 + {LATE_LATENESS} <= wm_before")
 _SENSOR_NO_KEY = f"SELECT CASE WHEN event_type <> '{NO_KEY_TYPE}' THEN id END AS id, ts_ms, vc, arrival, event_type FROM ({SENSOR})"
 for _name in ("rolling_sum", "state_running_sum", "state_top3", "win_process", "win_count_sliding", "win_allowed_lateness"):
     ORACLE[f"{_name}_null_key"] = ORACLE[_name].replace(f"({SENSOR})", f"({_SENSOR_NO_KEY})")
+ORACLE["win_count_sliding_null_value"] = ORACLE["win_count_sliding"].replace(
+    f"({SENSOR})", f"(SELECT id, ts_ms, CASE WHEN vc % 10 >= 7 THEN vc END AS vc, arrival, event_type FROM ({SENSOR}))")
+
+
+def _timer_oracle(at: str) -> str:
+    """Registrations against the moves of the watermark: the nearest move at or above each due value."""
+    return (f"WITH t AS ({TRACED}), m AS (SELECT wm_after AS wm, arrival AS fired_at FROM t "
+            f"WHERE wm_before IS NULL OR wm_after > wm_before), "
+            f"r AS (SELECT id, CAST({at} AS BIGINT) AS timer_ms, greatest({at}, coalesce(wm_before + 1, {at})) AS due FROM t) "
+            f"SELECT id, timer_ms, fired_at, wm, count(*) AS registered FROM r ASOF LEFT JOIN m ON r.due <= m.wm GROUP BY ALL")
+
+
+def _trigger_oracle(trigger: triggers.Trigger, purge: bool) -> str:
+    key = "PARTITION BY id ORDER BY arrival"
+    before = f"({key} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    cut = [trigger.when or "false"]
+    if trigger.every_ms:
+        cut.append(f"coalesce(ts_ms // {trigger.every_ms} > max(ts_ms) OVER {before} // {trigger.every_ms}, false)")
+    count = f" OR (rn - coalesce(last, 0)) % {trigger.count} = 0" if trigger.count else ""
+    per = (f"WITH c AS (SELECT *, row_number() OVER ({key}) AS rn, {' OR '.join(cut)} AS cut FROM ({SENSOR})), "
+           f"l AS (SELECT *, max(CASE WHEN cut THEN rn END) OVER {before} AS last FROM c), "
+           f"f AS (SELECT *, cut{count} AS fires FROM l), "
+           f"n AS (SELECT *, coalesce(count(*) FILTER (fires) OVER {before}, 0) AS firing FROM f), "
+           f"g AS (SELECT id, firing, max(CASE WHEN fires THEN arrival END) AS fire_arrival, count(*) AS cnt, "
+           f"CAST(sum(vc) AS BIGINT) AS sum_vc, min(arrival) AS first_arrival FROM n GROUP BY id, firing) ")
+    if purge:
+        return per + "SELECT id, firing, fire_arrival, cnt, sum_vc, first_arrival FROM g WHERE fire_arrival IS NOT NULL"
+    return per + ("SELECT id, firing, fire_arrival, CAST(sum(cnt) OVER w AS BIGINT) AS cnt, CAST(sum(sum_vc) OVER w AS BIGINT) AS sum_vc, "
+                  "min(first_arrival) OVER w AS first_arrival FROM g WHERE fire_arrival IS NOT NULL "
+                  "WINDOW w AS (PARTITION BY id ORDER BY firing ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+
+
+ORACLE["timer_rearmed"] = _timer_oracle(str(TIMER_AT))
+ORACLE["timer_hourly"] = _timer_oracle(f"(ts_ms - ts_ms % {HOUR} + {HOUR})")
+ORACLE["win_global_trigger"] = _trigger_oracle(TRIGGER, True)
+ORACLE["win_global_trigger_keep"] = _trigger_oracle(TRIGGER_KEEP, False)
+ORACLE["win_global_trigger_interval"] = _trigger_oracle(TRIGGER_TIME, True)
+_CONFIG = (f"SELECT arrival, ['click', 'view', 'purchase'][arrival % 3 + 1] AS name, {{'v': CASE WHEN vc % 5 <> 0 THEN "
+           f"vc * CAST({BIG} AS BIGINT) END}} AS put FROM ({SENSOR}) WHERE event_type = 'signup'")
+_DATA = f"SELECT arrival, id, event_type, vc FROM ({SENSOR}) WHERE event_type <> 'signup'"
+ORACLE["join_broadcast_lookup"] = (
+    f"SELECT d.arrival, d.id, d.event_type, d.vc, put.v AS value FROM ({_DATA}) d ASOF LEFT JOIN ({_CONFIG}) c "
+    f"ON d.event_type = c.name AND d.arrival >= c.arrival WHERE d.vc * CAST({BIG} AS BIGINT) > coalesce(put.v, 0)")
+ORACLE["join_broadcast_map"] = f"SELECT d.arrival, d.id, d.event_type, d.vc, " + ", ".join(
+    f"{n}.put.v AS {n}" for n in ENTRIES) + f" FROM ({_DATA}) d " + " ".join(
+    f"ASOF LEFT JOIN (SELECT * FROM ({_CONFIG}) WHERE name = '{n}') {n} ON d.arrival >= {n}.arrival" for n in ENTRIES)

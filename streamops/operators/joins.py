@@ -8,7 +8,7 @@ operator: every matching pair.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamops.operators.windows import assign_tumbling
@@ -99,14 +99,57 @@ def asof_threshold(data: DataFrame, config: DataFrame, order: str = "arrival",
     An as-of join by arrival: data and config are unioned and the last
     non-null threshold is carried along the arrival order by a chunked prefix
     scan – no range join, no nested loop, and nothing is broadcast whose size
-    grows with the data.
+    grows with the data.  Value and threshold keep the types of their inputs.
     """
-    u = (data.select(order, value, *keep, F.lit(None).cast("int").alias("_th"), F.lit(True).alias("_is_data"))
-         .unionByName(config.select(order, F.lit(None).cast("int").alias(value),
+    value_type, th_type = data.schema[value].dataType, config.schema[threshold_col].dataType
+    u = (data.select(order, value, *keep, F.lit(None).cast(th_type).alias("_th"), F.lit(True).alias("_is_data"))
+         .unionByName(config.select(order, F.lit(None).cast(value_type).alias(value),
                                     *[F.lit(None).cast(data.schema[k].dataType).alias(k) for k in keep],
-                                    F.col(threshold_col).cast("int").alias("_th"),
-                                    F.lit(False).alias("_is_data"))))
-    s = prefix_scan(u, [], [order], chunk_for(u, order, width), [Agg("_cur", "last_nonnull", F.col("_th"))])
-    th = F.coalesce(F.col("_cur"), F.lit(default))
+                                    F.col(threshold_col).alias("_th"), F.lit(False).alias("_is_data"))))
+    s = prefix_scan(u, [], [order], chunk_for(u, order, width), [Agg("_cur", "last_nonnull", F.col("_th"))],
+                    keep=[order, value, *keep, "_is_data"])
+    th = F.coalesce(F.col("_cur"), F.lit(default).cast(th_type))
     return s.where(F.col("_is_data") & (F.col(value) > th)).select(
         order, *keep, value, th.alias(threshold_col))
+
+
+def _with_config(data: DataFrame, config: DataFrame, order: str, cols: list[str], name: str, value: str,
+                 by: Column) -> DataFrame:
+    """Data and config rows in one frame.  ``_put`` is the config row's value in
+    a struct, so that a NULL value is an update too; ``_name`` is the entry that
+    the row sets or asks for; of rows with one order value the config comes first."""
+    put_type = config.schema[value].dataType
+    rows = data.select(order, *cols, by.alias("_name"), F.lit(None).cast(f"struct<v:{put_type.simpleString()}>").alias("_put"),
+                       F.lit(1).alias("_is_data"))
+    sets = config.select(order, *[F.lit(None).cast(data.schema[c].dataType).alias(c) for c in cols], F.col(name).alias("_name"),
+                         F.struct(F.col(value).alias("v")).alias("_put"), F.lit(0).alias("_is_data"))
+    return rows.unionByName(sets)
+
+
+def asof_lookup(data: DataFrame, config: DataFrame, by: str, order: str = "arrival", name: str = "name",
+                value: str = "value", width: int | None = None) -> DataFrame:
+    """Broadcast state as a map: config rows put ``value`` under ``name``; each
+    data row gets (as column ``value``) what its entry ``by`` held when it
+    arrived, NULL if nothing or a NULL was put last.
+
+    A versioned as-of join per config key: the last put is carried along the
+    arrival order of each entry by a scan over (entry, chunk).  Any number of
+    entries and any type of value; an entry that a third of all data rows ask for
+    is spread over its chunks; the map is never held in one place.  NULL is an
+    entry like any other."""
+    cols = [c for c in data.columns if c != order]
+    u = _with_config(data, config, order, cols, name, value, F.col(by))
+    s = prefix_scan(u, ["_name"], [order, "_is_data"], chunk_for(u, order, width),
+                    [Agg("_put_last", "last_nonnull", F.col("_put"))], keep=[order, *cols, "_is_data"])
+    return s.where(F.col("_is_data") == 1).select(*data.columns, F.col("_put_last.v").alias(value))
+
+
+def asof_entries(data: DataFrame, config: DataFrame, names: list[str], order: str = "arrival", name: str = "name",
+                 value: str = "value", width: int | None = None) -> DataFrame:
+    """As ``asof_lookup`` for rows that each need the same few entries: one
+    column for each of ``names``, from one scan that carries all of them."""
+    cols = [c for c in data.columns if c != order]
+    u = _with_config(data, config.where(F.col(name).isin(names)), order, cols, name, value, F.lit(None).cast(config.schema[name].dataType))
+    aggs = [Agg(f"_put_{i}", "last_nonnull", F.when(F.col("_name") == n, F.col("_put"))) for i, n in enumerate(names)]
+    s = prefix_scan(u, [], [order, "_is_data"], chunk_for(u, order, width), aggs, keep=[order, *cols, "_is_data"])
+    return s.where(F.col("_is_data") == 1).select(*data.columns, *(F.col(f"_put_{i}.v").alias(n) for i, n in enumerate(names)))

@@ -61,3 +61,51 @@ def threshold_batches(config: DataFrame, sink, carry_root: str, order: str = "ar
             batch.unpersist()
 
     return run
+
+
+def lookup_batches(config: DataFrame, sink, carry_root: str, by: str, order: str = "arrival", name: str = "name",
+                   value: str = "value"):
+    """``foreachBatch`` function for broadcast state as a map: ``sink(rows,
+    batch_id)`` with each batch row beside what its entry ``by`` held
+    (``joins.asof_lookup``).
+
+    The carry is a table, the last put of each entry up to a batch's last
+    arrival, written for every batch id; a batch reads it and the config rows
+    that came since, so the state may have any number of entries."""
+    from streamops.operators.joins import asof_lookup
+
+    def table(batch_id: int) -> str:
+        return os.path.join(carry_root, f"entries-{batch_id:012d}")
+
+    def mark(batch_id: int) -> str:
+        return os.path.join(carry_root, f"upto={batch_id:012d}")
+
+    cols = [order, name, value]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, upto, old = batch.sparkSession, None, None
+        if batch_id > 0:
+            text = store.read_text(spark, mark(batch_id - 1))
+            if text is None:
+                raise FileNotFoundError(f"no carry of batch {batch_id - 1} in {carry_root}")
+            upto = json.loads(text)["upto"]
+            old = spark.read.schema(config.select(*cols).schema).parquet(table(batch_id - 1))
+        batch = batch.persist()
+        try:
+            last = batch.agg(F.max(order)).first()[0]
+            last = upto if last is None else last if upto is None else max(last, upto)
+            new = config.where(F.col(order) <= F.lit(last)).select(*cols)
+            if upto is not None:
+                new = new.where(F.col(order) > F.lit(upto))
+            puts = new if old is None else new.unionByName(old)
+            sink(asof_lookup(batch, puts, by, order, name, value), batch_id)
+            latest = puts.groupBy(name).agg(F.max_by(F.struct(order, value), F.col(order)).alias("_last"))
+            latest.select(F.col(f"_last.{order}").alias(order), name, F.col(f"_last.{value}").alias(value)) \
+                  .write.mode("overwrite").parquet(table(batch_id))
+            store.write_text(spark, mark(batch_id), json.dumps({"upto": last}))
+            if batch_id > 1:                           # only this batch and the next can be run again
+                store.remove(spark, table(batch_id - 2))
+        finally:
+            batch.unpersist()
+
+    return run

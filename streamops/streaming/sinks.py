@@ -6,6 +6,8 @@ can drop replays.  The JDBC and Parquet writers are safe to replay by batch id.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from streamops.streaming import store
 
 # Fixed value: the hourly directory format of the file sink.
 HOUR_DIR_FORMAT = "yyyy-MM-dd HH"
+#: The file that marks a whole batch.
+WHOLE = "_whole"
 
 
 def kafka_value_rows(lines: DataFrame, value_col: str = "value", id_col: str | None = None) -> DataFrame:
@@ -130,19 +134,24 @@ def jdbc_batch_writer(url: str, table: str, properties: dict, batch_size: int =
 
 
 def idempotent_parquet_sink(path: str):
-    """``foreachBatch`` writer that is safe to replay: batch N goes to
-    ``path/batch_id=N`` and is skipped only if its commit marker exists.
+    """``foreachBatch`` writer that is safe to replay, for its readers too:
+    batch N is written aside, with a mark that it is whole, and published as
+    ``path/batch_id=N`` by one rename.
 
-    The marker (``path/_commits/N``) is written after the whole batch, so a
-    folder that a failed attempt left behind, readable or not, is overwritten."""
+    A published batch is never written again, whenever the replay comes, so a
+    stream that reads ``path`` sees each file once; what a failed attempt left
+    lies in a hidden folder, and a folder without the mark is replaced."""
     root = path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        marker = f"{root}/_commits/{int(batch_id)}"
-        if store.exists(batch.sparkSession, marker):
+        spark, final = batch.sparkSession, f"{root}/batch_id={int(batch_id)}"
+        if store.exists(spark, f"{final}/{WHOLE}"):
             return
-        batch.write.mode("overwrite").parquet(f"{root}/batch_id={int(batch_id)}")
-        store.write_text(batch.sparkSession, marker, "done")
+        attempt = f"{root}/_attempts/{int(batch_id)}-{uuid.uuid4().hex}"
+        batch.write.parquet(attempt)
+        store.write_text(spark, f"{attempt}/{WHOLE}", "")
+        store.remove(spark, final)
+        store.move(spark, attempt, final)
 
     return write
 
