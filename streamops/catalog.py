@@ -71,6 +71,10 @@ def _jitter(spark, d):
     return with_jitter(sensor(spark, d))
 
 
+def _clock(spark, d):
+    return _jitter(spark, d).select("id", "ts_ms", "arr_ms", "arrival")
+
+
 def _lines(spark, d):
     return lines_view(read_table(spark, d, "documents"))
 
@@ -108,7 +112,8 @@ def _data(s):
 
 
 def _firings(j):
-    cls = lateness.classify_tumbling(lateness.watermark_trace(j, DELAY), TUMBLE, LATENESS)
+    traced = lateness.watermark_trace(j, DELAY, keep=["arrival", "arr_ms", "ts_ms", "id", "vc"])
+    cls = lateness.classify_tumbling(traced, TUMBLE, LATENESS)
     return lateness.window_firings(cls)
 
 
@@ -116,12 +121,12 @@ def _parsed(spark, d):
     return parse_sensor_lines(candidate_lines(spark, d), keep=["source", "rec", "pos"])
 
 
-def _traced(spark, d):
-    return lateness.watermark_trace(_jitter(spark, d), DELAY)
+def _traced(spark, d, *cols):
+    return lateness.watermark_trace(_jitter(spark, d), DELAY, keep=["arrival", "arr_ms", "ts_ms", *cols])
 
 
 def _classified(spark, d):
-    return lateness.classify_tumbling(_traced(spark, d), TUMBLE, LATENESS)
+    return lateness.classify_tumbling(_traced(spark, d, "id", "vc"), TUMBLE, LATENESS)
 
 
 def _file_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -202,13 +207,14 @@ QUERIES = {
     "win_allowed_lateness": lambda sp, d: lateness.window_firings(_classified(sp, d)),
     "late_side_output": lambda sp, d: _classified(sp, d).where(F.col("lateness") == lateness.CLOSED).select(
         "arrival", "id", "ts_ms", "vc"),
-    "watermark_monotonic": lambda sp, d: lateness.watermark_trace(_jitter(sp, d), 0).select(
+    "watermark_monotonic": lambda sp, d: lateness.watermark_trace(
+        _jitter(sp, d), 0, keep=["arrival", "arr_ms", "ts_ms"]).select(
         "arrival", "arr_ms", "ts_ms", "wm_before", "wm_after"),
     "late_side_output_sliding": lambda sp, d: lateness.side_output_sliding(
-        _traced(sp, d), LATE_SIZE, LATE_STEP, LATE_LATENESS).select("arrival", "id", "ts_ms", "vc"),
+        _traced(sp, d, "id", "vc"), LATE_SIZE, LATE_STEP, LATE_LATENESS).select("arrival", "id", "ts_ms", "vc"),
     "timer_event": lambda sp, d: lateness.event_timer_first_fire(_sensor(sp, d), TIMER_AT, DELAY),
-    "timer_rearmed": lambda sp, d: timers.event_timers(_jitter(sp, d), F.lit(TIMER_AT), DELAY),
-    "timer_hourly": lambda sp, d: timers.event_timers(_jitter(sp, d), F.expr(HOURLY), DELAY),
+    "timer_rearmed": lambda sp, d: timers.event_timers(_clock(sp, d), F.lit(TIMER_AT), DELAY),
+    "timer_hourly": lambda sp, d: timers.event_timers(_clock(sp, d), F.expr(HOURLY), DELAY),
     # global windows with a trigger
     "win_global_trigger": lambda sp, d: triggers.global_window_trigger(_sensor(sp, d), TRIGGER),
     "win_global_trigger_keep": lambda sp, d: triggers.global_window_trigger(_sensor(sp, d), TRIGGER_KEEP, purge=False),

@@ -27,15 +27,15 @@ ON_TIME, ALLOWED, CLOSED = "on_time", "allowed", "closed"
 def watermark_trace(df: DataFrame, delay_ms: int, time: str = "ts_ms",
                     arrival: tuple[str, ...] = ("arr_ms", "arrival"),
                     chunk_width: int | None = None,
-                    initial_max: int | None = None) -> DataFrame:
+                    initial_max: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Adds ``wm_before`` / ``wm_after``: the watermark just before and just
     after each row (NULL = no watermark yet).  ``arrival[0]`` is the chunked
     order column (non-decreasing along the arrival order).  ``initial_max`` is
     the max event time of everything that arrived earlier (the streaming
-    carry)."""
+    carry).  ``keep`` names the columns of ``df`` to keep (default: all)."""
+    t = F.col(time)
     s = prefix_scan(df, [], list(arrival), chunk_for(df, arrival[0], chunk_width),
-                    [Agg("_mx_b", "max", F.col(time), inclusive=False),
-                     Agg("_mx_a", "max", F.col(time), inclusive=True)])
+                    [Agg("_mx_b", "max", t, inclusive=False), Agg("_mx_a", "max", t, inclusive=True)], keep=keep)
     init = F.lit(initial_max).cast("bigint")
     return (s.withColumn("wm_before", F.greatest(F.col("_mx_b"), init) - F.lit(delay_ms + 1))
              .withColumn("wm_after", F.greatest(F.col("_mx_a"), init) - F.lit(delay_ms + 1))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import Agg, chunk_for, prefix_scan
+from streamops.plans.scan import Agg, chunk_for, chunked, prefix_scan
 
 
 def jump_alert(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
@@ -117,29 +117,24 @@ def running_top_k(df: DataFrame, k: int = 3, key: str = "id", order: str = "arri
     """After each row, the ``k`` largest values of its key so far, descending,
     as columns ``top1..topk`` (NULL while fewer exist), in the value's type.
 
-    1. per (key, chunk) the k largest values (ranked in one chunk);
-    2. per key the carry, the k largest of all earlier chunks, over that table
-       (at most k rows for each chunk);
-    3. per (key, chunk) the running k largest, merged with the carry.
-    All of it is built-in windows and sorts of k-element arrays.  A NULL value
-    changes nothing; NULL is a key like any other."""
-    d = df.select(key, order, value, F.coalesce(chunk_for(df, order, width), F.lit(-(1 << 63)).cast("bigint")).alias("_chunk"))
-    top = Window.partitionBy(key, "_chunk").orderBy(F.col(value).desc(), F.col(order))
-    best = (d.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(top))
-             .where(F.col("_r") <= k))
-    # the running k largest over the chunk table; its last row of a chunk is
-    # that chunk's state, and every chunk sees the state of the one before
-    ordered = Window.partitionBy(key).orderBy("_chunk", "_r")
-    states = _levels(best, value, k, ordered).groupBy(key, "_chunk").agg(
-        F.max_by(F.array(*(f"_t{i + 1}" for i in range(k))), "_r").alias("_state"))
-    chunks = d.select(key, "_chunk").distinct()
-    same = F.col("a." + key).eqNullSafe(F.col("b." + key)) & (F.col("a._chunk") == F.col("b._chunk"))
-    carry = chunks.alias("a").join(states.alias("b"), same, "left").select(F.col("a." + key).alias(key), "a._chunk", "_state")
-    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = carry.select(key, "_chunk", F.last("_state", ignorenulls=True).over(earlier).alias("_carry"))
-    rows = _levels(d, value, k, Window.partitionBy(key, "_chunk").orderBy(order))
-    j = rows.alias("a").join(carry.alias("b"), same).select("a.*", "b._carry")
+    1. per (key, chunk) the running k largest; a chunk's last row has its total;
+    2. per key the same over the chunks' totals (at most k rows for each), so
+       that every chunk sees the k largest of all earlier ones;
+    3. each row's k largest, merged with this carry.
+    All of it is built-in windows and sorts of k-element arrays, over one
+    exchange of the rows and one of the chunk table.  A NULL value changes
+    nothing; NULL is a key like any other."""
+    ch = chunked(df, [key], [order], chunk_for(df, order, width), [], [order, key, value])
+    tops = F.array(*(F.col(f"_t{i + 1}") for i in range(k)))
+    rows = _levels(ch.rows, value, k, ch.window)
+    ends = rows.withColumn("_more", F.lead(F.lit(1)).over(ch.window)).where(F.col("_more").isNull())
+    each = ends.select(*ch.pcols, F.posexplode(tops).alias("_r", "_v"))
+    by_key = Window.partitionBy(*ch.pcols[1:])
+    states = _levels(each, "_v", k, by_key.orderBy("_chunk", "_r")).groupBy(*ch.pcols).agg(F.max_by(tops, "_r").alias("_state"))
+    carry = states.select(*ch.names(), F.lag("_state").over(by_key.orderBy("_chunk")).alias("_carry"))
+    j = ch.with_carry(rows, carry)
     none = F.array().cast(f"array<{df.schema[value].dataType.simpleString()}>")
-    both = F.concat(F.array(*(f"_t{i + 1}" for i in range(k))), F.coalesce("_carry", none))
+    both = F.concat(tops, F.coalesce("_carry", none))
     j = j.withColumn("_top", F.sort_array(F.filter(both, lambda v: v.isNotNull()), asc=False))
-    return j.select(order, key, value, *(F.get("_top", F.lit(i)).alias(f"top{i + 1}") for i in range(k)))
+    return j.select(*ch.kept, *(F.get("_top", F.lit(i)).alias(f"top{i + 1}") for i in range(k))).select(
+        order, key, value, *(f"top{i + 1}" for i in range(k)))

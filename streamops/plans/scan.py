@@ -158,7 +158,10 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
     """
     names = {a.name for a in aggs}
     keep = [c for c in (df.columns if keep is None else keep) if c not in names or c in partition_by + list(order_by)]
-    ch = chunked(df, partition_by, order_by, chunk, [a.expr.alias(f"_x{i}") for i, a in enumerate(aggs)], keep)
+    # an expression that several aggregates share (one Column object) is shuffled once
+    at = {id(a.expr): i for i, a in reversed(list(enumerate(aggs)))}
+    xs = [F.col(f"_x{at[id(a.expr)]}") for a in aggs]
+    ch = chunked(df, partition_by, order_by, chunk, [aggs[i].expr.alias(f"_x{i}") for i in sorted(at.values())], keep)
     pcols, ordc, d, wc = ch.pcols, ch.order, ch.rows, ch.window
     incl = wc.rowsBetween(Window.unboundedPreceding, 0)
     excl = wc.rowsBetween(Window.unboundedPreceding, -1)
@@ -166,7 +169,7 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
     # running values inside the chunk
     within = [F.count(F.lit(1)).over(excl).alias("_nin")]
     for i, a in enumerate(aggs):
-        x = F.col(f"_x{i}")
+        x = xs[i]
         fr = incl if a.inclusive else excl
         if a.kind == "sum":
             w = F.sum(x).over(fr)
@@ -189,7 +192,7 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
         whole = wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         tot = [F.count(F.lit(1)).over(whole).alias("_n")]
         for i, a in enumerate(aggs):
-            x = F.col(f"_x{i}")
+            x = xs[i]
             t = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min,
                  "first": F.first, "last": F.last}.get(a.kind)
             t = t(x).over(whole) if t else F.last(x, ignorenulls=True).over(whole)
@@ -202,7 +205,7 @@ def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],
         ord_struct = ordc[0] if len(ordc) == 1 else F.struct(*ordc)
         tot = [F.count(F.lit(1)).alias("_n")]
         for i, a in enumerate(aggs):
-            x = F.col(f"_x{i}")
+            x = xs[i]
             if a.kind == "sum":
                 t = F.sum(x)
             elif a.kind == "count":

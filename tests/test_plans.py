@@ -45,3 +45,31 @@ def test_no_python_in_any_registered_plan(spark, name):
 def test_running_word_count_reads_documents_once(spark):
     p = plan_of(QUERIES["wordcount_running"](spark, SF001))
     assert len(re.findall(r"documents\.parquet", p)) <= 2      # the plan and its initial copy
+
+
+ONE_READ = ["rolling_sum", "rolling_max", "rolling_max_by", "rolling_min", "rolling_min_by", "rolling_reduce", "state_jump_alert",
+            "state_top3", "state_value_counts", "state_running_sum", "state_running_avg", "state_ttl", "state_bucket_count",
+            "watermark_trace", "watermark_monotonic", "late_flag", "late_side_output", "win_allowed_lateness", "win_count_sliding",
+            "win_count_tumbling", "wordcount_running", "win_global_trigger", "rolling_sum_null_key", "state_top3_null_key"]
+
+
+@pytest.mark.parametrize("name", ONE_READ)
+def test_scans_read_their_input_once(spark, name):
+    """Rows and chunk totals come from one exchange (without AQE the reuse shows in the plan)."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan_of(QUERIES[name](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall("FileScan parquet", p)) == 1 and "ReusedExchange" in p
+
+
+def test_order_sketch_is_kept_for_a_table(spark):
+    from streamops.plans import scan
+    from streamops.sources.tables import sensor
+    scan._SKETCHES.clear()
+    for _ in range(3):
+        scan.density_chunk(sensor(spark, SF001), "arrival")
+    assert len(scan._SKETCHES) == 1
+    scan.density_chunk(sensor(spark, "/root/testdata/sf0.01"), "arrival")
+    assert len(scan._SKETCHES) == 2
