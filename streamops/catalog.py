@@ -38,6 +38,7 @@ TTL = 5 * HOUR
 CONNECT_TTL = 6 * HOUR
 TOP_N = 2
 TOP_K_STATE = 3
+SNAPSHOT = 20
 JUMP = 10
 ALARM = 10
 BUCKETS = 4
@@ -235,6 +236,7 @@ QUERIES = {
     "state_jump_alert": lambda sp, d: state.jump_alert(_sensor(sp, d), threshold=JUMP),
     "state_top3": lambda sp, d: state.running_top_k(_sensor(sp, d), TOP_K_STATE),
     "state_value_counts": lambda sp, d: state.value_counts_running(_sensor(sp, d)),
+    "state_map_snapshots": lambda sp, d: state.map_snapshots(state.map_deltas(_sensor(sp, d), SNAPSHOT), SNAPSHOT),
     "state_value_counts_final": lambda sp, d: state.value_counts_final(_sensor(sp, d)),
     "state_running_sum": lambda sp, d: state.running_sum(_sensor(sp, d)),
     "state_running_avg": lambda sp, d: state.running_avg(_sensor(sp, d)),
@@ -427,6 +429,10 @@ ORACLE = {
                    f"list_sort(list(vc) OVER ({W_ID}), 'DESC') AS t FROM ({SENSOR}))"),
     "state_value_counts": (f"SELECT arrival, id, vc, count(*) OVER (PARTITION BY id, vc ORDER BY arrival ROWS BETWEEN "
                            f"UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt FROM ({SENSOR})"),
+    "state_map_snapshots": (
+        f"WITH r AS (SELECT id, vc, arrival, row_number() OVER (PARTITION BY id ORDER BY arrival) AS pos FROM ({SENSOR})) "
+        f"SELECT e.id, e.pos // {SNAPSHOT} - 1 AS segment, e.arrival, r.vc, count(*) AS cnt FROM r e JOIN r ON r.id = e.id "
+        f"AND r.pos <= e.pos WHERE e.pos % {SNAPSHOT} = 0 GROUP BY ALL"),
     "state_value_counts_final": f"SELECT id, vc, count(*) AS cnt FROM ({SENSOR}) GROUP BY id, vc",
     "state_running_sum": f"SELECT arrival, id, vc, CAST(sum(vc) OVER ({W_ID}) AS BIGINT) AS sum_vc FROM ({SENSOR})",
     "state_running_avg": (f"SELECT arrival, id, vc, CAST(sum(vc) OVER ({W_ID}) AS DOUBLE) / count(vc) OVER ({W_ID}) "

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import Agg, chunk_for, chunked, prefix_scan
+from streamops.plans.scan import Agg, chunk_for, chunked, floor_div, prefix_scan
 
 
 def jump_alert(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
@@ -37,6 +37,47 @@ def value_counts_final(df: DataFrame, key: str = "id", value: str = "vc") -> Dat
     return df.groupBy(key, value).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def map_deltas(df: DataFrame, every: int, key: str = "id", order: str = "arrival", value: str = "vc",
+               width: int | None = None) -> DataFrame:
+    """The map state ``value -> count`` as changes: each row's own entry after it
+    (order, key, value, cnt), the row's place in its key and its segment of
+    ``every`` rows.  With ``map_snapshots`` the whole map at any row can be made
+    again (``map_at``), from output that grows with the input."""
+    chunk = chunk_for(df, order, width)
+    s = prefix_scan(df, [key], [order], chunk, [Agg("pos", "count", F.lit(1))], keep=[order, key, value])
+    s = prefix_scan(s, [key, value], [order], chunk, [Agg("cnt", "count", F.lit(1))], keep=[order, key, value, "pos"])
+    return s.select(order, key, value, "cnt", "pos", floor_div("`pos` - 1", every).alias("segment"))
+
+
+def map_snapshots(deltas: DataFrame, every: int, key: str = "id", order: str = "arrival", value: str = "vc") -> DataFrame:
+    """The whole map after every ``every`` rows of a key: (key, segment, order,
+    value, cnt), one row for each entry.  An entry's count after a segment is its
+    last change up to there, so changes are combined by segment map-side and each
+    is repeated until the next.  Linear where ``every`` is at least the number of
+    a key's entries."""
+    ends = deltas.where(F.col("pos") % every == 0).select(F.col(key).alias("_key"), "segment", F.col(order))
+    last = deltas.groupBy(F.col(key).alias("_key2")).agg((floor_div("max(`pos`)", every) - 1).alias("_last"))
+    changes = deltas.groupBy(key, value, "segment").agg(F.max("cnt").alias("cnt"))
+    following = F.lead("segment").over(Window.partitionBy(key, value).orderBy("segment"))
+    changes = changes.withColumn("_next", following).join(last, F.col(key).eqNullSafe(F.col("_key2")))
+    upto = F.least(F.coalesce(F.col("_next") - 1, F.col("_last")), F.col("_last"))
+    filled = changes.where(F.col("segment") <= upto).select(key, value, "cnt", F.explode(F.sequence("segment", upto)).alias("_s"))
+    return filled.join(ends, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_s") == F.col("segment"))).select(
+        key, "segment", order, value, "cnt")
+
+
+def map_at(deltas: DataFrame, snapshots: DataFrame, of: str | None, at: int, key: str = "id", order: str = "arrival",
+           value: str = "vc") -> DataFrame:
+    """(value, cnt): the map of key ``of`` after the row ``at``: the last
+    snapshot and the changes after it."""
+    mine = snapshots.where(F.col(key).eqNullSafe(F.lit(of)) & (F.col(order) <= at))
+    top = mine.agg(F.max("segment").alias("s")).scalar()
+    base = mine.where(F.col("segment") == top).select(value, "cnt")
+    since = deltas.where(F.col(key).eqNullSafe(F.lit(of)) & (F.col(order) <= at)
+                         & (F.col("segment") > F.coalesce(top, F.lit(-1)))).select(value, "cnt")
+    return base.unionByName(since).groupBy(value).agg(F.max("cnt").alias("cnt"))
+
+
 def running_sum(df: DataFrame, key: str = "id", order: str = "arrival", value: str = "vc",
                 width: int | None = None) -> DataFrame:
     s = prefix_scan(df, [key], [order], chunk_for(df, order, width),

@@ -510,3 +510,11 @@ def apply(stream: DataFrame, key: str, processor, time_mode: str = "none",
     return stream.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.OUTPUT, outputMode="Append",
         timeMode=time_mode, eventTimeColumnName=event_time_col)
+
+
+def stored_state(spark, checkpoint: str, variable: str) -> DataFrame:
+    """What a stopped query's checkpoint holds of one state variable: the keys'
+    fields and the value's fields, one row for each key (value state).  A check
+    of restored state (ST7) that needs no running query."""
+    state = spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
+    return state.select("key.*", "value.*")

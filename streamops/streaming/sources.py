@@ -41,6 +41,24 @@ def kafka_stream(spark: SparkSession, **options) -> DataFrame:
     return decode_kafka_value(spark.readStream.format("kafka").options(**options).load())
 
 
+def header_id(df: DataFrame, name: str = "dedup_id") -> DataFrame:
+    """Adds ``dedup_id`` from the record header that ``sinks.kafka_records``
+    writes (the source option ``includeHeaders`` gives the headers); NULL where a
+    record has none."""
+    of_name = F.filter("headers", lambda h: h["key"] == name)
+    return df.withColumn("dedup_id", F.get(of_name, F.lit(0))["value"].cast("string"))
+
+
+def consume_once(stream: DataFrame, id_col: str = "dedup_id", time_col: str = "event_time", within: str = "1 hour") -> DataFrame:
+    """The consumer's side of an at-least-once sink: the first record of each id
+    (K2).  A copy comes within ``within`` of the first in event time; ids older
+    than that leave the state, so it holds those of about twice that span.
+    Records without an id are all kept."""
+    marked = stream.withWatermark(time_col, within).withColumn(
+        "_once", F.coalesce(F.concat(F.lit("i"), F.col(id_col)), F.concat(F.lit("r"), F.expr("uuid()"))))
+    return marked.dropDuplicatesWithinWatermark(["_once"]).drop("_once")
+
+
 def events_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
     """A parquet folder of ``events`` files read as a stream, as sensor rows."""
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
