@@ -47,28 +47,30 @@ def test_offsets_are_paced_and_bounded(monkeypatch):
 
 
 def test_each_number_once_over_a_restart(spark, tmp_path):
-    n, rate, folder = 120, 40, str(tmp_path / "numbers")
-    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    n, rate, folder = 120, 10, str(tmp_path / "numbers")
+    out, ck, schema = str(tmp_path / "out"), str(tmp_path / "ck"), "i bigint, value string"
 
-    def run(seconds):
+    def given():
+        return sorted(r["i"] for r in spark.read.schema(schema).parquet(out).collect()) if os.path.exists(f"{out}/_spark_metadata/0") else []
+
+    def run(until):
         q = paced_numbers(spark, n, folder, rate, readers=3).writeStream.format("parquet").option(
-            "checkpointLocation", ck).trigger(processingTime="300 milliseconds").start(out)
-        time.sleep(seconds)
+            "checkpointLocation", ck).trigger(processingTime="200 milliseconds").start(out)
+        end = time.time() + 90
+        while len(given()) < until and time.time() < end:
+            time.sleep(0.3)
         try:
             q.stop()
         except StreamingQueryException:                # stopped in the middle of a batch, like a crash
             pass
+        return given()
 
     start = time.time()
-    run(2.5)
-    got = sorted(r["i"] for r in spark.read.parquet(out).collect())
+    got = run(1)
     assert got == list(range(len(got))) and 0 < len(got) <= rate * (time.time() - start)
-    end = time.time() + 60
-    while len(got) < n and time.time() < end:
-        run(2)
-        got = sorted(r["i"] for r in spark.read.parquet(out).collect())
-    assert got == list(range(n))
-    assert {r["value"] for r in spark.read.parquet(out).collect()} == {f"Number:{i}" for i in range(n)}
+    assert run(len(got) + 1) == list(range(len(given())))
+    assert run(n) == list(range(n))
+    assert {r["value"] for r in spark.read.schema(schema).parquet(out).collect()} == {f"Number:{i}" for i in range(n)}
 
 
 # --- two-phase sink -------------------------------------------------------------
