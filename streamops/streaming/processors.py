@@ -110,19 +110,21 @@ class TopK(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
+        low = np.iinfo(np.int64).min                   # stands for "no value"
         top = [int(r[0]) for r in self.top.get()] if self.top.exists() else []
         vc, out = _values(pdf), []
-        for v in vc.tolist():
-            if not pd.isna(v):
-                top = sorted([*top, int(v)], reverse=True)[: self.k]
-            out.append((top + [None] * self.k)[: self.k])
-        self.top.put([(t,) for t in top])
+        x = vc.fillna(low).to_numpy("int64")
+        for first in (top + [low] * self.k)[: self.k]:
+            # the largest so far, from the state on; what a row displaces goes to the next level
+            most = np.maximum.accumulate(np.concatenate(([first], x)))
+            x = np.minimum(x, most[:-1])
+            out.append(most)
+        self.top.put([(int(m[-1]),) for m in out if m[-1] != low])
         kind = "Int32" if self.value_type == "int" else "Int64"
-        res = pd.DataFrame(out, columns=[f"top{i + 1}" for i in range(self.k)], dtype=kind)
-        res.insert(0, "vc", vc.astype(kind))
-        res.insert(0, "arrival", pdf["arrival"].to_numpy())
-        res.insert(0, "id", key[0])
-        yield res
+        res = {"id": key[0], "arrival": pdf["arrival"].to_numpy(), "vc": vc.astype(kind)}
+        for i, m in enumerate(out):
+            res[f"top{i + 1}"] = pd.Series(m[1:], dtype="Int64").where(m[1:] != low).astype(kind)
+        yield pd.DataFrame(res)
 
     def close(self):
         pass
@@ -174,20 +176,24 @@ class EventTimeTTL(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _sorted(rows)
+        n = len(pdf)
+        if not n:
+            return
         v, last = self.st.get() if self.st.exists() else (None, None)
-        out = []
-        for a, t, x in zip(pdf["arrival"].tolist(), pdf["ts_ms"].tolist(), _values(pdf).tolist()):
-            x = None if pd.isna(x) else int(x)
-            if last is not None and t - last >= self.ttl_ms:
-                v = None
-            out.append((key[0], a, t, x, v))
-            if x is not None and x > self.write_above:
-                v = x
-            last = t
-        self.st.update((v, last))
-        res = pd.DataFrame(out, columns=["id", "arrival", "ts_ms", "vc", "state"])
-        res[["vc", "state"]] = res[["vc", "state"]].astype("Int32")
-        yield res
+        vc, time = _values(pdf), pdf["ts_ms"].to_numpy("int64")
+        before = np.concatenate(([time[0] if last is None else last], time[:-1]))
+        expired = time - before >= self.ttl_ms
+        wrote = (vc > self.write_above).fillna(False).to_numpy(dtype=bool)
+        # the row that wrote last before each row (-1: the state), valid if nothing expired since
+        at = np.arange(n)
+        writer = np.maximum.accumulate(np.concatenate(([-1], np.where(wrote, at, -1))))
+        start = np.maximum.accumulate(np.where(expired, at, -1))
+        held = pd.concat([pd.Series([v], dtype="Int64"), vc], ignore_index=True)
+        state = held.take(writer[:-1] + 1).reset_index(drop=True).where(writer[:-1] >= start)
+        final = held.iloc[int(writer[-1]) + 1] if writer[-1] >= start[-1] else None
+        self.st.update((None if final is None or pd.isna(final) else int(final), int(time[-1])))
+        yield pd.DataFrame({"id": key[0], "arrival": pdf["arrival"].to_numpy(), "ts_ms": time,
+                            "vc": vc.astype("Int32"), "state": state.astype("Int32")})
 
     def close(self):
         pass
@@ -266,24 +272,23 @@ class CountWindows(StatefulProcessor):
         pdf = _sorted(rows)
         buf = [r[0] for r in self.buf.get()] if self.buf.exists() else []
         n = int(self.pos.get()[0]) if self.pos.exists() else 0
-        out = []
-
-        def total():                                   # NULL values add nothing; all NULL is NULL
-            some = [x for x in buf if x is not None]
-            return sum(some) if some else None
-
-        for v in _values(pdf).tolist():
-            n += 1
-            buf = [*buf, None if pd.isna(v) else int(v)][-self.size:]
-            if n % self.size == 0:
-                out.append((key[0], "tumbling", n // self.size - 1, self.size, total()))
-            if n % self.slide == 0:
-                out.append((key[0], "sliding", n, len(buf), total()))
-        self.buf.put([(x,) for x in buf])
-        self.pos.update((n,))
-        res = pd.DataFrame(out, columns=["id", "kind", "pos", "cnt", "sum_vc"])
-        res["sum_vc"] = res["sum_vc"].astype("Int64")
-        yield res
+        # the kept values and the batch in one row, with running sums and counts of values that are not NULL
+        x = pd.concat([pd.Series(buf, dtype="Int64"), _values(pdf)], ignore_index=True)
+        total = np.concatenate(([0], x.fillna(0).to_numpy("int64").cumsum()))
+        some = np.concatenate(([0], x.notna().to_numpy().cumsum()))
+        place = np.arange(n + 1, n + 1 + len(pdf))
+        end = len(buf) + np.arange(1, len(pdf) + 1)
+        start = np.maximum(end - self.size, 0)
+        sums = pd.Series(total[end] - total[start], dtype="Int64").where(some[end] > some[start])
+        cnt = np.minimum(place, self.size)
+
+        def fired(hit, kind, pos):
+            return pd.DataFrame({"id": key[0], "kind": kind, "pos": pos[hit], "cnt": cnt[hit], "sum_vc": sums[hit].array})
+
+        self.buf.put([(None if pd.isna(v) else int(v),) for v in x[-self.size:]])
+        self.pos.update((n + len(pdf),))
+        yield fired(place % self.size == 0, "tumbling", place // self.size - 1)
+        yield fired(place % self.slide == 0, "sliding", place)
 
     def close(self):
         pass

@@ -62,16 +62,16 @@ def with_hour_bucket(df: DataFrame, time_ms: str = "ts_ms") -> DataFrame:
     return df.withColumn("bucket_hour", F.date_format(millis_to_ntz(time_ms), HOUR_DIR_FORMAT))
 
 
-def write_text_by_hour(df: DataFrame, path: str, value_col: str = "value", salts: int = 1,
-                       max_records_per_file: int = 1_000_000) -> None:
+def write_text_by_hour(df: DataFrame, path: str, value_col: str = "value", max_records_per_file: int = 1_000_000) -> None:
     """Batch row-format text sink: one folder per event hour, files rolled by a
-    record cap.  Rows are first brought together by (hour, salt), so an hour
-    gives about ``salts`` files (and those that the cap rolls) whatever the
-    order and number of input tasks; raise ``salts`` with the rows of an hour."""
-    salt = F.pmod(F.xxhash64(value_col), F.lit(salts))
-    (df.select(value_col, "bucket_hour").repartition(F.col("bucket_hour"), salt).sortWithinPartitions("bucket_hour")
-       .write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
-       .partitionBy("bucket_hour").text(path))
+    record cap.  Rows are dealt by ranges of (hour, hash of the line, input
+    task): ranges hold alike many rows, so small hours share a task, an hour with
+    a third of all rows is written by a third of the tasks, and an hour gives
+    about as many files as tasks that hold it (and those that the cap rolls)."""
+    rows = df.select(value_col, "bucket_hour")
+    dealt = rows.repartitionByRange(F.col("bucket_hour"), F.xxhash64(value_col), F.spark_partition_id())
+    (dealt.sortWithinPartitions("bucket_hour").write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
+          .partitionBy("bucket_hour").text(path))
 
 
 def read_text_by_hour(spark, path: str) -> DataFrame:
