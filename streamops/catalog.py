@@ -253,6 +253,7 @@ QUERIES = {
     # top-N
     "topn_window_all": lambda sp, d: topn.topn_all_window(_sensor(sp, d), TOP_N, SLIDE_SIZE, SLIDE_STEP),
     "topn_window_keyed": lambda sp, d: topn.topn_keyed(_sensor(sp, d), TOP_N, SLIDE_SIZE, SLIDE_STEP),
+    "topn_window_pruned": lambda sp, d: topn.topn_pruned(_sensor(sp, d), TOP_N, SLIDE_SIZE, SLIDE_STEP),
     # sinks (row shaping and round trips)
     "kafka_value_rows": lambda sp, d: sinks.kafka_value_rows(sensor_lines(_sensor(sp, d)), id_col="rec"),
     "kafka_keyed_rows": lambda sp, d: sinks.kafka_keyed_rows(sensor_lines(_sensor(sp, d)), TOPIC),
@@ -447,6 +448,7 @@ ORACLE = {
                            f"FROM ({SENSOR})"),
     "topn_window_all": TOPN,
     "topn_window_keyed": TOPN,
+    "topn_window_pruned": TOPN,
     "kafka_value_rows": f"SELECT value, CAST(rec AS VARCHAR) AS dedup_id FROM ({SLINES})",
     "kafka_keyed_rows": f"SELECT '{TOPIC}' AS topic, split_part(value, ',', 1) AS key, value FROM ({SLINES})",
     "sink_file_roundtrip": (f"SELECT id || ',' || CAST(ts_ms AS VARCHAR) || ',' || CAST(vc AS VARCHAR) AS value, "
