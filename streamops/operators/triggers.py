@@ -47,14 +47,19 @@ class Trigger:
 
 
 def _cuts(df: DataFrame, trigger: Trigger, key: str, order: str, time: str, chunk: Column, keep: list[str]) -> DataFrame:
-    """Adds ``_cut``: the row fires by its own condition or time."""
-    cut = F.coalesce(F.expr(trigger.when), F.lit(False)) if trigger.when else F.lit(False)
-    df = df.withColumn("_own", cut)
-    if not trigger.every_ms:
-        return df.select(*keep, F.col("_own").alias("_cut"))
-    s = prefix_scan(df, [key], [order], chunk, [Agg("_late", "max", F.col(time), inclusive=False)], keep=[*keep, "_own"])
-    later = floor_div(f"`{time}`", trigger.every_ms) > floor_div("`_late`", trigger.every_ms)
-    return s.select(*keep, (F.col("_own") | F.coalesce(later, F.lit(False))).alias("_cut"))
+    """Adds ``_cut``, the row fires by its own condition or time, and ``_pos``,
+    its place in the key, where the trigger counts."""
+    own = F.coalesce(F.expr(trigger.when), F.lit(False)) if trigger.when else F.lit(False)
+    df = df.withColumn("_own", own)
+    aggs = [Agg("_late", "max", F.col(time), inclusive=False)] if trigger.every_ms else []
+    aggs += [Agg("_pos", "count", F.lit(1))] if trigger.count else []
+    if aggs:
+        df = prefix_scan(df, [key], [order], chunk, aggs, keep=[*keep, "_own"])
+    cut = F.col("_own")
+    if trigger.every_ms:
+        later = floor_div(f"`{time}`", trigger.every_ms) > floor_div("`_late`", trigger.every_ms)
+        cut = cut | F.coalesce(later, F.lit(False))
+    return df.select(*keep, cut.alias("_cut"), *(["_pos"] if trigger.count else []))
 
 
 def firing_rows(df: DataFrame, trigger: Trigger, key: str = "id", order: str = "arrival", time: str = "ts_ms",
@@ -64,8 +69,7 @@ def firing_rows(df: DataFrame, trigger: Trigger, key: str = "id", order: str = "
     chunk, keep = chunk_for(df, order, width), list(dict.fromkeys([key, order, time, value]))
     d = _cuts(df, trigger, key, order, time, chunk, keep)
     if trigger.count:
-        # the row's place, and the place of the last cut before it
-        d = prefix_scan(d, [key], [order], chunk, [Agg("_pos", "count", F.lit(1))], keep=[*keep, "_cut"])
+        # the row's place after the last cut before it
         if trigger.when or trigger.every_ms:
             d = prefix_scan(d, [key], [order], chunk, [Agg("_last", "last_nonnull", F.when(F.col("_cut"), F.col("_pos")), inclusive=False)],
                             keep=[*keep, "_cut", "_pos"])
