@@ -2,7 +2,10 @@
 
 A tolerant tag reader builds the element tree; elements that are never article
 text (menus, page headers and footers, sidebars, adverts, notices, forms,
-scripts, reader comments) are marked by tag, role, class and id.  Every block
+scripts, reader comments) are marked by tag, role, class and id.  A mark by a form
+or aside tag or by a word of a class or id is doubtful: it does not count on a
+form, or an element that is named like content or holds an article or main
+element, if most of the page's unlinked text is in it.  Every block
 of text gives points for length and commas to the element that holds it and, in
 falling shares, to that element's ancestors; an element's score is discounted
 by its link density.  The best element (or the article around it) is kept with
@@ -39,7 +42,8 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
         "option": ({"option"}, {"select"})}
 P_KEEPS = frozenset("address article aside blockquote button body caption center dd details dialog div dl dt fieldset "
                     "figure footer form header html li main nav ol section table td th ul".split())
-NEVER = frozenset("nav footer aside form button select menu dialog object embed svg canvas audio video iframe "
+DOUBTFUL = frozenset("aside form".split())
+NEVER = frozenset("nav footer button select menu dialog object embed svg canvas audio video iframe "
                   "datalist fieldset label input math".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form "
                   "toolbar tablist status".split())
@@ -66,7 +70,8 @@ class Page:
     """The element tree as flat lists; element 0 is the root."""
 
     def __init__(self):
-        self.tag, self.parent, self.off, self.weight = ["#root"], [-1], [False], [0.0]
+        self.tag, self.parent, self.weight = ["#root"], [-1], [0.0]
+        self.mark: list[str | None] = [None]                # never article text: "sure" or "doubtful"
         self.runs: list[tuple[int, int, str, bool]] = []    # (block, element, text, inside a link)
 
     def add(self, tag: str, parent: int, attrs: str) -> int:
@@ -75,16 +80,19 @@ class Page:
             kind = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "").lower() for m in ATTR.finditer(attrs)}
         name = f"{kind.get('class', '')} {kind.get('id', '')}"
         root = tag in ("html", "body")
-        off = not root and (
-            tag in NEVER or kind.get("role") in ROLES or "hidden" in kind or kind.get("aria-hidden") == "true"
-            or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", kind.get("style", "")) is not None
-            or COMMENTS.search(name) is not None
-            or (tag not in ("article", "main") and UNLIKELY.search(name) is not None))
-        if not root and not off and tag not in HEADINGS and (tag == "header" or HEADER.search(name)):
-            off = not self.inside(parent, "article")   # a page's header; an article's own header holds its title
+        mark = None
+        if not root:
+            if (tag in NEVER or kind.get("role") in ROLES or "hidden" in kind or kind.get("aria-hidden") == "true"
+                    or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", kind.get("style", "")) is not None
+                    or COMMENTS.search(name) is not None):
+                mark = "sure"
+            elif tag not in HEADINGS and (tag == "header" or HEADER.search(name)) and not self.inside(parent, "article"):
+                mark = "sure"                          # a page's header; an article's own header holds its title
+            elif tag in DOUBTFUL or (tag not in ("article", "main") and UNLIKELY.search(name) is not None):
+                mark = "doubtful"
         self.tag.append(tag)
         self.parent.append(parent)
-        self.off.append(off or self.off[parent])
+        self.mark.append(mark)
         self.weight.append(25.0 if not root and LIKELY.search(name) else 0.0)
         return len(self.tag) - 1
 
@@ -95,6 +103,24 @@ class Page:
             node = self.parent[node]
         return False
 
+    def off(self) -> list[bool]:
+        """Which elements are left out: marked ones and what is in them."""
+        n = len(self.tag)
+        sure, plain = [False] * n, [0] * n
+        holds = [t in ("article", "main") for t in self.tag]
+        for i in range(1, n):                              # parents come before children
+            sure[i] = self.mark[i] == "sure" or sure[self.parent[i]]
+        for _, node, raw, linked in self.runs:
+            plain[node] += 0 if linked or sure[node] else len(raw.strip())
+        for i in range(n - 1, 0, -1):
+            plain[self.parent[i]] += plain[i]
+            holds[self.parent[i]] |= holds[i] and not sure[i]
+        out = [False] * n
+        for i in range(1, n):
+            wraps = (self.tag[i] == "form" or self.weight[i] > 0 or holds[i]) and 2 * plain[i] > plain[0]
+            out[i] = out[self.parent[i]] or sure[i] or (self.mark[i] == "doubtful" and not wraps)
+        return out
+
 
 def parse(html: str) -> Page:
     page, stack, block, links, at = Page(), [0], 0, 0, 0
@@ -176,11 +202,11 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = parse(html)
-    n = len(page.tag)
+    n, off = len(page.tag), page.off()
     # blocks of text that may count
     blocks: dict[int, list] = {}
     for block, node, raw, linked in page.runs:
-        if not page.off[node]:
+        if not off[node]:
             b = blocks.setdefault(block, [node, [], 0, 0])
             b[1].append(unescape(raw) if "&" in raw else raw)
             size = len(raw.strip())
@@ -226,7 +252,7 @@ def main_text(html: str | None) -> str:
     if not article and page.parent[best] >= 0:
         bar = max(10.0, 0.2 * total[best])
         for i in range(1, n):
-            if page.parent[i] == page.parent[best] and i != best and not page.off[i]:
+            if page.parent[i] == page.parent[best] and i != best and not off[i]:
                 dense = link[i] / max(1, size[i])
                 if total[i] >= bar or (page.tag[i] in HEADINGS and size[i]) or (
                         page.tag[i] in ("p", "blockquote", "pre", "ul", "ol", "table") and dense < 0.25):

@@ -101,3 +101,27 @@ def test_rows(spark):
     assert sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in got) == sorted(
         [("1", WANT, len(WANT))] * 2 + [("None", "", 0), ("2", "", 0)])
     assert html.extract(df.limit(0)).count() == 0
+
+
+STORY = ["The bridge over the river was closed on Monday, after engineers found cracks in two of its piers.",
+         "Repairs will take until the spring, the council said, and buses will cross further north until then.",
+         "Shops near the square fear for their trade, since most of their customers come over the bridge."]
+SIDE = ('<div class="sidebar"><p>Most read this week: ten places to visit, and why they matter to our readers.</p></div>'
+        '<form class="newsletter"><p>Sign up for our letter, it is free and comes every morning.</p></form>')
+WRAPPERS = ['<form id="aspnet"><div>{}</div>{}</form>', '<div id="content" class="post has-sidebar">{}{}</div>',
+            '<div class="entry no-sidebar">{}</div>{}', '<div class="story share-enabled">{}</div>{}',
+            '<div class="layout no-sidebar"><article>{}</article></div>{}', '<div class="hidden-gem-post">{}</div>{}']
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_a_doubtful_name_around_the_article_does_not_lose_it(wrapper):
+    story = "".join(f"<p>{p}</p>" for p in STORY)
+    page = f"<html><body><nav><a href=/>Home</a></nav>{wrapper.format(story, SIDE)}<footer>About us</footer></body></html>"
+    assert html.main_text(page) == "\n\n".join(STORY)
+
+
+def test_a_doubtful_element_with_less_than_most_of_the_text_stays_out():
+    story = "".join(f"<p>{p}</p>" for p in STORY)
+    box = "<div class='related-content'><article><p>Another story, of which the first lines are shown here.</p></article></div>"
+    assert html.main_text(f"<body><div>{story}</div>{box}</body>") == "\n\n".join(STORY)
+    assert html.main_text("<body><div class='promo'><p>Only an advert, nothing else, on this page.</p></div></body>") == ""
