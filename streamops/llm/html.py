@@ -9,7 +9,9 @@ element, if most of the page's unlinked text is in it.  Every block
 of text gives points for length and commas to the element that holds it and, in
 falling shares, to that element's ancestors; an element's score is discounted
 by its link density.  The best element (or the article around it) is kept with
-those of its siblings that score well too, and its blocks are the text.
+those of its siblings that score well too, and its blocks are the text.  Beside an
+article these are articles with three tenths of its points, and paragraphs of 25
+characters or more right in the main element.
 
 Each page is read on its own, in one pass without recursion, so the work is
 linear in the page and any nesting depth is safe.
@@ -249,7 +251,16 @@ def main_text(html: str | None) -> str:
     article = up > 0
     best = up if article else best
     keep = {best}
-    if not article and page.parent[best] >= 0:
+    if article:                                        # other articles beside it, and what main says outside of it
+        bar = max(5.0, 0.3 * score[best])
+        for i in range(1, n):
+            if page.parent[i] == page.parent[best] and i != best and not off[i]:
+                dense = link[i] / max(1, size[i])
+                if (page.tag[i] == page.tag[best] and score[i] * (1 - dense) >= bar) or (
+                        page.tag[page.parent[i]] == "main" and page.tag[i] in ("p", "blockquote", "pre")
+                        and size[i] >= 25 and dense < 0.25):
+                    keep.add(i)
+    elif page.parent[best] >= 0:
         bar = max(10.0, 0.2 * total[best])
         for i in range(1, n):
             if page.parent[i] == page.parent[best] and i != best and not off[i]:

@@ -125,3 +125,13 @@ def test_a_doubtful_element_with_less_than_most_of_the_text_stays_out():
     box = "<div class='related-content'><article><p>Another story, of which the first lines are shown here.</p></article></div>"
     assert html.main_text(f"<body><div>{story}</div>{box}</body>") == "\n\n".join(STORY)
     assert html.main_text("<body><div class='promo'><p>Only an advert, nothing else, on this page.</p></div></body>") == ""
+
+
+def test_articles_side_by_side_and_paragraphs_of_main_are_kept():
+    one, two = "".join(f"<p>{p}</p>" for p in STORY), "".join(f"<p>{p} Or so, it seems, on the whole.</p>" for p in STORY)
+    both = "\n\n".join(STORY + [f"{p} Or so, it seems, on the whole." for p in STORY])
+    card = "<article><p>Next: the market.</p></article>"
+    assert html.main_text(f"<body><article>{one}</article><article>{two}</article>{SIDE}{card}</body>") == both
+    tail = "<p>This story was first told, in other words, in the paper of Tuesday.</p>"
+    assert html.main_text(f"<body><main><article>{one}</article>{tail}{card}<p>Share it</p><p><a href=x>{PARA}</a></p></main></body>"
+                          ) == "\n\n".join(STORY + [tail[3:-4]])
