@@ -5,6 +5,7 @@ from __future__ import annotations
 from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
@@ -16,7 +17,7 @@ from streamops.session import scratch_path
 from streamops.sources.tables import read_table
 
 __all__ = ["as_text", "filesystem", "hash_words", "local_path", "mix", "read_table", "scratch_path", "settle",
-           "some_texts", "split_words", "with_text"]
+           "sieve", "some_texts", "split_words", "with_text"]
 
 # Odd multipliers for mixing 64-bit hashes (fixed values of this package).
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -32,6 +33,31 @@ def settle(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a sieve: 4 MB, whatever the size of its table.
+SIEVE = 1 << 25
+
+
+def sieve(spark: SparkSession, rows: DataFrame, few: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose keys are surely not in ``few``, and the
+    others, which a join has to tell apart.  A bitmap of the keys' hashes; the
+    more keys, the more rows it doubts, and the result of the join is the same."""
+    at = F.xxhash64(*keys).bitwiseAND(F.lit(SIEVE - 1))
+    bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    words = few.select(at.alias("at")).select(F.shiftright("at", 6).alias("w"), bit.alias("b")).groupBy("w").agg(
+        F.bit_or("b").alias("b")).toArrow()                     # at most SIEVE / 64 rows
+    marks = np.zeros(SIEVE // 64, np.uint64)
+    marks[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast(marks)
+
+    @F.pandas_udf("boolean")
+    def marked(x: pd.Series) -> pd.Series:
+        i = x.to_numpy().astype(np.uint64)
+        return pd.Series((shared.value[i >> np.uint64(6)] >> (i & np.uint64(63))) & np.uint64(1) == 1)
+
+    seen = rows.withColumn("_marked", marked(at))
+    return seen.where(~F.col("_marked")).drop("_marked"), seen.where("_marked").drop("_marked")
+
+
 def with_text(docs: DataFrame, row: Column, text: Column, changed: Column) -> list[Column]:
     """The columns of ``docs`` out of the struct ``row``, with another text
     where ``changed``; n_chars, where there is one, follows the text."""

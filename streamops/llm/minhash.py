@@ -16,10 +16,11 @@ similarity, and links of 0.8 or more make classes (connected components).
   documents is in at least FLOOR / 2 of some block's, or its sum over the blocks
   that report it would be below half of the floor; what passes that sum is
   counted anew over all documents.
-* A bucket's members are compared with one leader.  Members of a bucket that
-  are still in different classes afterwards are compared with leaders of another
-  order while a round adds links; this only makes the classes large at little
-  cost.  What is left is exact: see ``rest``.
+* A bucket's members are compared with one leader.  Those outside the bucket's
+  largest class afterwards are compared with LEADERS of it; this only makes the
+  classes large at little cost.  What is left is exact: see ``rest``.
+* Before vectors are moved, a pair has to pass a bound that is never too small:
+  each text's weights summed over few slots of its shingles (``outlines``).
 * The draws (r, c, beta) of a sample are functions of a hash of (shingle, sample).
 
 Everything between the steps is a table in the shared folder; buckets, links
@@ -36,11 +37,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamops.llm.common import hash_words, mix, settle, some_texts, split_words
+from streamops.llm.common import hash_words, mix, settle, sieve, some_texts, split_words
 from streamops.llm.components import components, salted_join
 
 SHINGLE = 5
@@ -48,7 +48,9 @@ SIMILAR = 0.8
 BANDS, ROWS = 10, 2
 SAMPLES = BANDS * ROWS
 FLOOR = 0.01
-LEADERS = 4                      # of each bucket with several classes, in each further round
+LEADERS = 4                      # of a bucket's largest class, in the further round
+STEPS = 4                        # of an outline's slot for one shingle of full weight
+FULL = 255                       # a slot with this much or more
 BLOCK = 4_000_000                # shingles of one block of the frequency count
 BITS = np.uint64(48)
 MASK = np.uint64((1 << 48) - 1)
@@ -215,8 +217,31 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
                        text.alias("text"), *more)
 
 
+def outlines(h: np.ndarray, weight: np.ndarray, offs: np.ndarray) -> pa.Array:
+    """One byte for each slot of a text: the weight of its shingles there, in
+    steps and rounded up.  The slots are the low bits of the hashes, a power of
+    two that gives each two to four shingles, so that outlines of two lengths
+    are compared by adding up the longer."""
+    size = np.maximum(np.diff(offs), 1)
+    slots = 1 << np.maximum(np.log2(size).astype(np.int64) - 1, 3)
+    ends = np.concatenate(([0], np.cumsum(slots)))
+    owner = np.repeat(np.arange(len(size)), np.diff(offs))
+    at = ends[owner] + (h & (slots[owner] - 1).astype(np.uint64)).astype(np.int64)
+    sums = np.bincount(at, weight, int(ends[-1])) * (STEPS / np.log1p(1 / FLOOR))
+    raw = np.minimum(np.ceil(sums - 1e-9), FULL).astype(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
+
+
+def most_shared(a: bytes, b: bytes) -> float:
+    """At least the weight that two texts of these outlines share."""
+    x, y = (np.frombuffer(o, np.uint8).astype(np.int64) for o in ((a, b) if len(a) >= len(b) else (b, a)))
+    x, y = np.where(x == FULL, 1 << 40, x), np.where(y == FULL, 1 << 40, y)
+    return float(np.minimum(x.reshape(-1, len(y)).sum(0), y).sum() * np.log1p(1 / FLOOR) / STEPS)
+
+
 def sketch(spark: SparkSession, docs: DataFrame, common) -> DataFrame:
-    """node, doc_id and band hashes (none for a text without words) of every row."""
+    """node, doc_id, band hashes (none for a text without words), weight and
+    outline of every row."""
     shared = spark.sparkContext.broadcast(common)
 
     def run(batches):
@@ -224,15 +249,19 @@ def sketch(spark: SparkSession, docs: DataFrame, common) -> DataFrame:
             for a, part in some_texts(b.column(2)):
                 h, tf, offs = shingles(part)
                 full = np.diff(offs) > 0
-                lists = np.zeros((0, BANDS), np.uint64)
+                lists, w = np.zeros((0, BANDS), np.uint64), weights(h, tf, shared.value)
                 if full.any():
-                    lists = bands(samples(h, weights(h, tf, shared.value), np.append(offs[:-1][full], offs[-1])))
+                    lists = bands(samples(h, w, np.append(offs[:-1][full], offs[-1])))
                 ends = np.concatenate(([0], np.cumsum(full * BANDS))).astype(np.int32)
                 col = pa.ListArray.from_arrays(pa.array(ends), pa.array(lists.reshape(-1).astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, len(part)), b.column(1).slice(a, len(part)), col],
-                                                 ["node", "doc_id", "bands"])
+                owner = np.repeat(np.arange(len(part)), np.diff(offs))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(a, len(part)), b.column(1).slice(a, len(part)), col,
+                     pa.array(np.bincount(owner, w, len(part)).astype(float)), outlines(h, w, offs)],
+                    ["node", "doc_id", "bands", "whole", "outline"])
 
-    return settle(spark, keyed(docs).mapInArrow(run, "node binary, doc_id long, bands array<long>"), "sketch")
+    return settle(spark, keyed(docs).mapInArrow(
+        run, "node binary, doc_id long, bands array<long>, whole double, outline binary"), "sketch")
 
 
 # ---------------------------------------------------------- links and classes
@@ -260,13 +289,24 @@ def vectors(spark: SparkSession, docs: DataFrame, nodes: DataFrame) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(a, len(part)),
                      pa.array([packed(small[offs[i]:offs[i + 1]]) for i in rows], pa.binary()),
-                     pa.array([tf[offs[i]:offs[i + 1]].astype("<u4").tobytes() for i in rows], pa.binary())],
+                     pa.array([counts(tf[offs[i]:offs[i + 1]]) for i in rows], pa.binary())],
                     ["node", "h", "tf"])
 
-    texts = keyed(docs).join(nodes, ["node", "doc_id"]).select("node", "text").dropDuplicates(["node"])
+    # most texts are in no bucket: those that surely aren't are not moved
+    _, some = sieve(spark, keyed(docs), nodes, ["node", "doc_id"])
+    texts = some.join(nodes.hint("merge"), ["node", "doc_id"]).select("node", "text").dropDuplicates(["node"])
     return settle(spark, texts.mapInArrow(run, "node binary, h binary, tf binary"), "vectors")
 
 
+def counts(tf: np.ndarray) -> bytes:
+    """Term frequencies in one byte each, or four where one needs them."""
+    return tf.astype("<u4" if len(tf) and tf.max() > 255 else "u1").tobytes()
+
+
+def uncounted(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, "u1" if len(raw) == n else "<u4")
+
+
 def packed(h: np.ndarray) -> bytes:
     """The 6 low bytes of each 48-bit hash."""
     return h.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
@@ -278,6 +318,25 @@ def unpacked(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def possible(spark: SparkSession, pairs: DataFrame, light: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) whose outlines (``light``: node, whole, outline) leave the bound possible."""
+    near = 1 - 1e-6                                     # for rounding
+
+    def run(batches):
+        for b in batches:
+            oa, ob = (b.column(b.schema.get_field_index(c)) for c in ("oa", "ob"))
+            both = np.array([most_shared(x.as_py(), y.as_py()) for x, y in zip(oa, ob)], np.float64)
+            total = b.column(b.schema.get_field_index("total")).to_numpy(zero_copy_only=False)
+            mask = pa.array(both * (1 + similar) >= near * similar * total)
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)).filter(mask) for c in ("a", "b")], ["a", "b"])
+
+    la = light.select(F.col("node").alias("a"), F.col("whole").alias("wa"), F.col("outline").alias("oa"))
+    lb = light.select(F.col("node").alias("b"), F.col("whole").alias("wb"), F.col("outline").alias("ob"))
+    both = pairs.join(la, "a").join(lb, "b").where(F.least("wa", "wb") >= near * similar * F.greatest("wa", "wb"))
+    both = both.select("a", "b", (F.col("wa") + F.col("wb")).alias("total"), "oa", "ob")
+    return settle(spark, both.mapInArrow(run, "a binary, b binary"), "possible")
+
+
 def verified(spark: SparkSession, pairs: DataFrame, vecs: DataFrame, common, similar: float) -> DataFrame:
     """The pairs (a, b) whose weighted Jaccard similarity reaches the bound."""
     shared = spark.sparkContext.broadcast(common)
@@ -289,8 +348,8 @@ def verified(spark: SparkSession, pairs: DataFrame, vecs: DataFrame, common, sim
             for i in range(b.num_rows):
                 ha, ta, hb, tb = (c[i].as_py() for c in cols)
                 ha, hb = unpacked(ha), unpacked(hb)
-                s = similarity(ha, weights(ha, np.frombuffer(ta, "<u4"), shared.value),
-                               hb, weights(hb, np.frombuffer(tb, "<u4"), shared.value))
+                s = similarity(ha, weights(ha, uncounted(ta, len(ha)), shared.value),
+                               hb, weights(hb, uncounted(tb, len(hb)), shared.value))
                 keep.append(s >= similar)
                 sims.append(s)
             mask = pa.array(keep, pa.bool_())
@@ -300,9 +359,10 @@ def verified(spark: SparkSession, pairs: DataFrame, vecs: DataFrame, common, sim
 
     # only the vectors that the pairs need are moved; a leader's pairs are the
     # large side of an inner join, which Spark splits where it is skewed
-    left = vecs.select(F.col("node").alias("a"), F.col("h").alias("ha"), F.col("tf").alias("ta"))
+    left = vecs.select(F.col("node").alias("a"), F.col("h").alias("ha"), F.col("tf").alias("ta")).join(
+        pairs.select("a").distinct(), "a", "left_semi")
     right = vecs.select(F.col("node").alias("b"), F.col("h").alias("hb"), F.col("tf").alias("tb")).join(
-        pairs.select("b").distinct(), "b")
+        pairs.select("b").distinct(), "b", "left_semi")
     both = pairs.join(left, "a").join(right, "b")
     return settle(spark, both.mapInArrow(run, "a binary, b binary, similarity double"), "verified")
 
@@ -323,28 +383,25 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
     common = common_shingles(spark, docs)
     sketches = sketch(spark, docs, common)
     member = settle(spark, buckets(sketches), "buckets")
+    light = settle(spark, sketches.join(member.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("whole").alias("whole"), F.first("outline").alias("outline")), "light")
     leaders = member.groupBy("band").agg(F.min("node").alias("b"))
     pairs = salted_join(member, leaders, ["band"]).where("node != b").select(
         F.col("node").alias("a"), "b").distinct()
-    pairs = settle(spark, pairs, "pairs")
-    rep = sketches.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    need = member.select("node").distinct().join(rep, "node")
+    pairs = possible(spark, pairs, light, similar)
+    need = light.select("node", "doc_id")
     vecs = vectors(spark, docs.where("doc_id is not null"), need.where("doc_id is not null"))
     if docs.where("doc_id is null").limit(1).count():
         vecs = vecs.unionByName(unnamed_vectors(spark, docs, need.where("doc_id is null").select("node")))
     labels = components(spark, verified(spark, pairs, vecs, common, similar))
-    order = 0
-    while True:
-        more = settle(spark, across(member, labels, order).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        order += LEADERS
-        if not more.limit(1).count():
-            break
+    more = possible(spark, across(member, labels).join(pairs, ["a", "b"], "left_anti"), light, similar)
+    if more.limit(1).count():
         new = verified(spark, more, vecs, common, similar)
         pairs = settle(spark, pairs.unionByName(more), "pairs")
-        if not new.limit(1).count():
-            break
-        labels = joined_labels(spark, labels, new)
-    last = settle(spark, rest(spark, member, labels, vecs, common, similar).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        if new.limit(1).count():
+            labels = joined_labels(spark, labels, new)
+    last = possible(spark, rest(spark, member, labels, light, vecs, common, similar), light, similar)
+    last = settle(spark, last.join(pairs, ["a", "b"], "left_anti"), "pairs")
     if last.limit(1).count():
         new = verified(spark, last, vecs, common, similar)
         if new.limit(1).count():
@@ -352,70 +409,86 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
     return salted_join(sketches.select("node", "doc_id"), labels, ["node"], "left")
 
 
-def across(member: DataFrame, labels: DataFrame, order: int) -> DataFrame:
+def across(member: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b): members of buckets that hold several classes, with LEADERS of
-    the bucket's members (chosen by a hash that changes with ``order``) that
-    are of another class."""
+    the bucket's largest class (chosen by a hash) where they are of another.
+
+    Only buckets of which that class is a tenth: the members of others have
+    a passage in common rather than a source."""
     now = salted_join(member, labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
-    lead = [F.min_by(F.struct(F.col("node").alias("b"), F.col("label").alias("own")),
-                     F.xxhash64("band", "node", F.lit(order + i))).alias(f"l{i}") for i in range(LEADERS)]
-    mixed = now.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *lead).where("lo != hi")
-    mixed = mixed.select("band", F.array(*(f"l{i}" for i in range(LEADERS))).alias("leaders"))
-    each = salted_join(now, mixed, ["band"]).select("node", "label", F.explode("leaders").alias("l"))
-    return each.where("label != l.own").select(F.greatest("node", "l.b").alias("a"), F.least("node", "l.b").alias("b")).distinct()
-
-
-def prefix(h: np.ndarray, w: np.ndarray, late: np.ndarray, similar: float) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles of a text, those not ``late`` first and then by hash,
-    up to where less than ``similar`` of its weight is left; and the weight left
-    from each on.  Two texts as similar share one of their first shingles: else
-    all that they share is in the left weight of one of them."""
-    order = np.argsort(late, kind="stable")
+    lead = F.array(*(F.min_by("node", F.xxhash64("band", "node", F.lit(i))) for i in range(LEADERS)))
+    each = now.groupBy("band", "label").agg(F.count("*").alias("n"), F.array_distinct(lead).alias("leaders"))
+    main = each.groupBy("band").agg(F.sum("n").alias("n"), F.count("*").alias("classes"), F.max("n").alias("top"), F.max_by(
+        F.struct(F.col("label").alias("own"), "leaders"), "n").alias("m")).where("classes > 1 and top > 1 and 10 * top >= n")
+    others = salted_join(now, main.select("band", "m.*"), ["band"]).where("label != own")
+    return others.select("node", F.explode("leaders").alias("b")).select(
+        F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+
+
+def prefix(n: np.ndarray, h: np.ndarray, w: np.ndarray, whole: float, similar: float) -> tuple[np.ndarray, np.ndarray]:
+    """The first of a text's shingles ``h`` that other texts hold too, rarest
+    (``n``) first and then by hash, up to where less than ``similar`` of its
+    weight is left; and the weight left from each on.  Two texts as similar
+    share one of their first shingles: else all that they share is in the left
+    weight of one of them."""
+    order = np.lexsort((h, n))
     left = np.cumsum(w[order][::-1])[::-1]
-    n = int((left >= similar * left[0] * (1 - 1e-9)).sum())
-    return h[order[:n]], left[:n]
+    k = int((left >= similar * whole * (1 - 1e-9)).sum())
+    return h[order[:k]], left[:k]
 
 
-def rest(spark: SparkSession, member: DataFrame, labels: DataFrame, vecs: DataFrame, common, similar: float) -> DataFrame:
-    """(a, b): every pair of different classes that shares a bucket and can
-    reach ``similar``, for buckets that hold several classes beside their first leader.
+def rest(spark: SparkSession, member: DataFrame, labels: DataFrame, light: DataFrame, vecs: DataFrame, common,
+         similar: float) -> DataFrame:
+    """(a, b): every pair of different classes that can reach ``similar``, of
+    texts from buckets that hold several classes beside their first leader.
 
-    A prefix filter, lossless for weighted Jaccard similarity: in a bucket the
-    shingles of its first leader and the common ones come last, so that a passage
-    which all members share is no reason to compare them.  Pairs are dropped only
-    where the weights left from a shared shingle on are too small for the bound.
-    In a group the members outside its largest class meet all others, so at most
-    as many pairs within classes are looked at as between them."""
+    A prefix filter, lossless for weighted Jaccard similarity: shingles that
+    few of these texts hold come first, so neither a passage that many share nor
+    what near copies keep of their source is a reason to compare them.  Pairs are
+    dropped only where the weights left from a shared shingle on are too small
+    for the bound.  Of a shingle's texts those outside its largest class meet all
+    others, so at most as many pairs within classes are looked at as between them."""
     shared = spark.sparkContext.broadcast(common)
     now = salted_join(member, labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
     leaders = member.groupBy("band").agg(F.min("node").alias("b"))
     others = salted_join(now, leaders, ["band"]).where("node != b")
     mixed = others.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("band")
-    of = settle(spark, salted_join(others, mixed, ["band"]).select(F.col("node").alias("a"), "label", "b").distinct(), "mixed")
+    of = settle(spark, salted_join(others, mixed, ["band"]).select("node", "label").distinct().join(
+        light.select("node", "whole"), "node"), "mixed")
 
-    def run(batches):
+    def single(batches):
         for b in batches:
-            col = {c: b.column(b.schema.get_field_index(c)) for c in ("a", "label", "b", "ha", "ta", "hb")}
-            key, left, whole, size = [], [], [], []
-            for i in range(b.num_rows):
-                h, lead = unpacked(col["ha"][i].as_py()), unpacked(col["hb"][i].as_py())
-                w = weights(h, np.frombuffer(col["ta"][i].as_py(), "<u4"), shared.value)
-                first, after = prefix(h, w, np.isin(h, lead) | np.isin(h, shared.value[1]), similar)
-                key.append(mix(first ^ np.uint64(xxhash.xxh3_64_intdigest(col["b"][i].as_py()))).astype(np.int64))
+            col = {c: b.column(b.schema.get_field_index(c)) for c in ("node", "h", "tf")}
+            for i in range(0, b.num_rows, 1000):
+                raw = [unpacked(x.as_py()) for x in col["h"].slice(i, 1000)]
+                w = [weights(h, uncounted(x.as_py(), len(h)), shared.value) for h, x in zip(raw, col["tf"].slice(i, 1000))]
+                row = pa.array(np.repeat(np.arange(len(raw)), [len(h) for h in raw]))
+                yield pa.RecordBatch.from_arrays(
+                    [col["node"].slice(i, 1000).take(row), pa.array(np.concatenate(raw).astype(np.int64)),
+                     pa.array(np.concatenate(w))], ["node", "h", "w"])
+
+    def first(batches):
+        for b in batches:
+            col = {c: b.column(b.schema.get_field_index(c)) for c in ("node", "label", "whole", "list")}
+            key, left, size = [], [], []
+            for own, whole in zip(col["list"], col["whole"]):
+                n, h, w = (own.values.field(c).to_numpy(zero_copy_only=False) for c in ("n", "h", "w"))
+                k, after = prefix(n, h, w, whole.as_py(), similar)
+                key.append(k)
                 left.append(after)
-                whole.append(np.full(len(first), after[0]))
-                size.append(len(first))
+                size.append(len(k))
             if not size:
                 continue
             row = pa.array(np.repeat(np.arange(len(size)), size))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(key)), col["a"].take(row), col["label"].take(row),
-                 pa.array(np.concatenate(whole)), pa.array(np.concatenate(left))], ["key", "a", "label", "whole", "rest"])
-
-    left = vecs.select(F.col("node").alias("a"), F.col("h").alias("ha"), F.col("tf").alias("ta"))
-    right = vecs.select(F.col("node").alias("b"), F.col("h").alias("hb")).join(of.select("b").distinct(), "b")
-    each = settle(spark, of.join(left, "a").join(right, "b").mapInArrow(
-        run, "key long, a binary, label binary, whole double, rest double"), "prefixes")
+                [pa.array(np.concatenate(key)), col["node"].take(row), col["label"].take(row), col["whole"].take(row),
+                 pa.array(np.concatenate(left))], ["key", "a", "label", "whole", "rest"])
+
+    parts = settle(spark, of.select("node").join(vecs, "node").mapInArrow(single, "node binary, h long, w double"), "shingles")
+    often = parts.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    lists = parts.join(often, "h").groupBy("node").agg(F.collect_list(F.struct("n", "h", "w")).alias("list"))
+    each = settle(spark, lists.join(of, "node").mapInArrow(
+        first, "key long, a binary, label binary, whole double, rest double"), "prefixes")
     main = each.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
         F.max_by("label", "n").alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
     few = each.join(main, "key").where("label != main").select(
@@ -466,6 +539,9 @@ def dedupe(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> Da
                   .select(F.col("node").alias("_node"), "_key", "count"), "kept")
     own = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
     all_rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), own.alias("_node"), key.alias("_key"))
-    single = all_rows.join(keep.where("count = 1").drop("count"), ["_node", "_key"])
-    again = all_rows.join(keep.where("count > 1").drop("count"), ["_node", "_key"]).dropDuplicates(["_node", "_key"])
-    return single.unionByName(again).select("_doc.*")
+    # most rows are kept: only those that may go, or may be repeated, are moved
+    seen = rows.select(F.col("node").alias("_node"), key.alias("_key")).distinct()
+    sure, some = sieve(spark, all_rows, seen.join(keep.where("count = 1"), ["_node", "_key"], "left_anti"), ["_node", "_key"])
+    single = some.join(keep.where("count = 1").drop("count").hint("merge"), ["_node", "_key"])
+    again = some.join(keep.where("count > 1").drop("count").hint("merge"), ["_node", "_key"]).dropDuplicates(["_node", "_key"])
+    return sure.unionByName(single).unionByName(again).select("_doc.*")

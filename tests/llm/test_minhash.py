@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from streamops.llm import minhash
+from streamops.llm.common import sieve
 from streamops.llm.components import components
 from tests.conftest import SF001
 from tests.llm.fixtures import documents, hostile, rows_of, words
@@ -170,6 +171,50 @@ def test_pairs_among_many_texts_with_one_passage(spark):
     assert sorted(tuple(sorted(c)) for c in classes.values() if len(c) > 1) == want
 
 
+def test_outlines_never_rule_out_a_link():
+    rng = np.random.default_rng(5)
+    pool = np.sort(rng.choice(1 << 47, 6000, replace=False).astype(np.uint64))
+    for n, m, times in ((3, 3, 1), (300, 340, 1), (2500, 3100, 3), (40, 50, 4000), (1, 5000, 2)):
+        base = rng.permutation(pool)[:max(n, m)]
+        ha, hb = np.sort(base[:n]), np.sort(base[-m:])
+        wa, wb = rng.integers(1, times + 1, n) * np.log1p(100), rng.integers(1, times + 1, m) * rng.uniform(0.5, 4.6, m)
+        a, b = (minhash.outlines(h, w, np.array([0, len(h)]))[0].as_py() for h, w in ((ha, wa), (hb, wb)))
+        _, at, to = np.intersect1d(ha, hb, return_indices=True)
+        both = np.minimum(wa[at], wb[to]).sum()
+        assert minhash.most_shared(a, b) >= both * (1 - 1e-9) and minhash.most_shared(b, a) == minhash.most_shared(a, b)
+    far = [minhash.outlines(h, np.full(400, np.log1p(100)), np.array([0, 400]))[0].as_py()
+           for h in (np.sort(pool[::2][:400]), np.sort(pool[1::2][:400]))]
+    assert minhash.most_shared(*far) < 2 * 0.8 / 1.8 * 400 * np.log1p(100)
+
+
+def test_sieve_passes_only_rows_without_the_keys(spark):
+    rows = spark.range(3000).selectExpr("id as k", "cast(id % 7 as string) as s")
+    few = rows.where("k % 50 = 0").select("k", "s")
+    sure, some = sieve(spark, rows, few, ["k", "s"])
+    assert sorted(r["k"] for r in sure.union(some).collect()) == list(range(3000))
+    assert some.join(few, ["k", "s"]).count() == 60 and some.count() < 100
+    assert sieve(spark, rows, few.limit(0), ["k", "s"])[1].count() == 0
+
+
+def test_copies_of_one_source_too_far_apart_make_no_pairs(spark):
+    """0.85 of each text is its source's, 0.74 alike: all share a bucket, and no pair is left to compare."""
+    rng = np.random.default_rng(9)
+    pool = np.unique(rng.integers(0, 1 << 47, 20_000).astype(np.uint64))
+    own, source = pool[:9000].reshape(60, 150), rng.permutation(pool[9000:10_000])
+    weight = 1000 * np.log1p(100)
+    nodes = [bytes([i]) * 16 for i in range(60)]
+    texts = [np.sort(np.concatenate((own[i], source[np.setdiff1d(np.arange(1000), rng.choice(1000, 150, replace=False))])))
+             for i in range(60)]
+    member = spark.createDataFrame([(1, n) for n in nodes], "band long, node binary")
+    none = spark.createDataFrame([], "node binary, label binary")
+    light = spark.createDataFrame([(n, float(weight)) for n in nodes], "node binary, whole double")
+    vecs = spark.createDataFrame([(n, minhash.packed(h), minhash.counts(np.ones(1000, np.int64)))
+                                  for n, h in zip(nodes, texts)], "node binary, h binary, tf binary")
+    common = (60, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert minhash.rest(spark, member, none, light, vecs, common, minhash.SIMILAR).count() == 0
+    assert minhash.across(member, none).count() == 0    # no class to join
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(f"{i:04d}", f"{i + 1:04d}") for i in range(60)] + [(f"h{rng.randint(0, 40)}", f"h{rng.randint(0, 40)}")
