@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamops.llm.common import settle, with_text
+from streamops.llm.common import settle, sieve, with_text
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "mail", "tel", "ssn", "iban", "name")
@@ -306,8 +306,11 @@ def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
     merged = s.groupBy("_id", "_row", "_n").agg(F.min("start").alias("start"), F.max("end").alias("end"),
                                                 F.min_by("kind", F.struct("start", -F.col("end"), "rank")).alias("kind"))
     per = merged.groupBy("_id", "_row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("_m"))
-    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *row_key()).join(
-        settle(spark, per, "masks"), ["_id", "_row"], "left")
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *row_key())
+    # most documents hold no span: only those that may are moved
+    masks = settle(spark, per, "masks")
+    sure, some = sieve(spark, keyed, masks, ["_id", "_row"])
+    some = some.join(masks.hint("merge"), ["_id", "_row"], "left")
     m, text = F.col("_m"), F.col("_doc").getField("text")
 
     def part(x, i):
@@ -315,4 +318,4 @@ def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
         return F.concat(F.substring(text, begin + 1, x["start"].cast("int") - begin), F.lit("["), F.upper(x["kind"]), F.lit("]"))
     last = F.get(m, F.size(m) - 1)["end"].cast("int")
     masked = F.concat(F.array_join(F.transform(m, part), ""), F.substring(text, last + 1, F.length(text)))
-    return keyed.select(*with_text(docs, F.col("_doc"), masked, m.isNotNull()))
+    return sure.select("_doc.*").unionByName(some.select(*with_text(docs, F.col("_doc"), masked, m.isNotNull())))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamops.llm.common import settle, with_text
+from streamops.llm.common import settle, sieve, with_text
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"            # fixed by the contract
@@ -151,7 +151,9 @@ def filter_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     v = settle(spark, verdicts(spark, docs).select("_id", "_row", "kept", "removed").where(
         "not kept or removed is not null").dropDuplicates(["_id", "_row"]), "verdicts")
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *key_columns())
-    kept = keyed.join(v, ["_id", "_row"], "left").where(F.coalesce("kept", F.lit(True)))
+    # most documents stay as they are: only those that may have a verdict are moved
+    sure, some = sieve(spark, keyed, v, ["_id", "_row"])
+    kept = some.join(v.hint("merge"), ["_id", "_row"], "left").where(F.coalesce("kept", F.lit(True)))
     cut = F.array_join(F.filter(F.split(F.col("_doc").getField("text"), "\n", -1), lambda x: ~(
         x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("removed", F.xxhash64(normalised(x))))), "\n")
-    return kept.select(*with_text(docs, F.col("_doc"), cut, F.col("removed").isNotNull()))
+    return sure.select("_doc.*").unionByName(kept.select(*with_text(docs, F.col("_doc"), cut, F.col("removed").isNotNull())))
