@@ -51,6 +51,7 @@ FLOOR = 0.01
 LEADERS = 4                      # of a bucket's largest class, in the further round
 STEPS = 4                        # of an outline's slot for one shingle of full weight
 FULL = 255                       # a slot with this much or more
+PART = 1 << 21                   # bytes of text in hand at a time, each a dozen arrays of its words
 BLOCK = 4_000_000                # shingles of one block of the frequency count
 BITS = np.uint64(48)
 MASK = np.uint64((1 << 48) - 1)
@@ -116,7 +117,7 @@ def often_in_blocks(texts: DataFrame, share: float) -> DataFrame:
     def run(batches):
         blocks, rows, size = [], 0, 0
         for b in batches:
-            for _, part in some_texts(b.column(0)):
+            for _, part in some_texts(b.column(0), PART):
                 h, _, _ = shingles(part)
                 blocks.append(h)
                 rows, size = rows + len(part), size + len(h)
@@ -144,7 +145,7 @@ def common_shingles(spark: SparkSession, docs: DataFrame, floor: float = FLOOR)
     def run(batches):
         seen = np.zeros((0, 2), np.uint64)
         for b in batches:
-            for _, part in some_texts(b.column(0)):
+            for _, part in some_texts(b.column(0), PART):
                 h, _, offs = shingles(part)
                 size = np.diff(offs)
                 some = size > 0
@@ -246,7 +247,7 @@ def sketch(spark: SparkSession, docs: DataFrame, common) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for a, part in some_texts(b.column(2)):
+            for a, part in some_texts(b.column(2), PART):
                 h, tf, offs = shingles(part)
                 full = np.diff(offs) > 0
                 lists, w = np.zeros((0, BANDS), np.uint64), weights(h, tf, shared.value)
@@ -282,7 +283,7 @@ def vectors(spark: SparkSession, docs: DataFrame, nodes: DataFrame) -> DataFrame
 
     def run(batches):
         for b in batches:
-            for a, part in some_texts(b.column(1)):
+            for a, part in some_texts(b.column(1), PART):
                 h, tf, offs = shingles(part)
                 small = h.astype("<u8")
                 rows = range(len(part))
