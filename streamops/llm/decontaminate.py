@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamops.llm.common import as_text, mix, split_words
+from streamops.llm.common import mix, some_texts, split_words
 
 MIN_MATCH = 5
 COVERAGE = 0.5
 BLOCK_CHARS = 8_000_000
+PART = 1 << 21                   # bytes of text in hand at a time, each a dozen arrays of its words
 ENDS = re.compile(r"^[\W_]+|[\W_]+$")
 FACTOR = np.uint64(0x100000001B3)
 
@@ -231,9 +232,10 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cov
         def run(batches):
             for b in batches:
                 rows = []
-                for r, item, n, tiles in index.value.batch(as_text(b.column(1)), coverage):
-                    matched = sum(x[0] for x in tiles)
-                    rows.append((b.column(0)[r].as_py(), item, n, matched, len(tiles), matched / n))
+                for a, part in some_texts(b.column(1), PART):
+                    for r, item, n, tiles in index.value.batch(part, coverage):
+                        matched = sum(x[0] for x in tiles)
+                        rows.append((b.column(0)[a + r].as_py(), item, n, matched, len(tiles), matched / n))
                 cols = list(zip(*rows)) or [()] * 6
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
@@ -255,10 +257,11 @@ def remove(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, coverage:
     def drop(index):
         def run(batches):
             for b in batches:
-                keep = np.ones(b.num_rows, bool)
-                for r, *_ in index.value.batch(as_text(b.column(at)), coverage):
-                    keep[r] = False
-                yield b.filter(pa.array(keep))
+                for a, part in some_texts(b.column(at), PART):
+                    keep = np.ones(len(part), bool)
+                    for r, *_ in index.value.batch(part, coverage):
+                        keep[r] = False
+                    yield b.slice(a, len(part)).filter(pa.array(keep))
         return run
 
     for index in blocks(spark, benchmark, least, block_chars):

@@ -33,6 +33,7 @@ from streamops.llm.common import settle, some_texts
 
 CAPACITY = 1024
 END_ID = 2
+PART = 1 << 21                   # bytes of text in hand at a time, each a dozen arrays of its words and ids
 
 # ---------------------------------------------------------------- token ids
 
@@ -95,7 +96,7 @@ def pieces(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, e
     def run(batches):
         enc, part, seen = encoder(path, pattern), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for keys, texts in ((b.column(0).slice(a, len(t)).to_pylist(), t)
-                            for b in batches for a, t in some_texts(b.column(1), 1 << 24)):
+                            for b in batches for a, t in some_texts(b.column(1), PART)):
             ids, offs = encode_batch(enc, texts)
             rows = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids")}
             for i, key in enumerate(keys):

@@ -141,3 +141,23 @@ def test_index_ignores_punctuation_tokens():
     index = dec.Index([(1, "Alpha, beta -- gamma; delta epsilon!")])
     hits = list(index.batch(pa.array(["x alpha * beta gamma\n'delta' EPSILON y", "alpha beta gamma delta"]), 0.5))
     assert [(r, i, n) for r, i, n, _ in hits] == [(0, 1, 5)]
+
+
+@pytest.mark.parametrize("form", ["remove", "contaminated"])
+def test_little_text_is_in_hand_at_a_time(spark, monkeypatch, form):
+    """A batch of much text is searched in parts, and every row of it."""
+    rng = random.Random(5)
+    item = " ".join(words(rng, 40))
+    texts = [" ".join(words(rng, 600)) for _ in range(1200)]
+    leaks = {0, 1, 599, 600, 1198, 1199}
+    texts = [f"{t} {item}" if i in leaks else None if i == 7 else t for i, t in enumerate(texts)]
+    largest, split, run = [], dec.split_words, []
+    monkeypatch.setattr(dec, "split_words", lambda x: largest.append(sum(map(len, x.to_pylist()))) or split(x))
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f) or self)
+    getattr(dec, form)(spark, docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sum(len(t or "") for t in texts) > 2 * dec.PART
+    out = list(run[0](iter([pa.RecordBatch.from_pydict({"doc_id": list(range(1200)), "text": texts})])))
+    assert max(largest) <= dec.PART + max(len(t or "") for t in texts)
+    got = [i for b in out for i in b.column(0).to_pylist()]
+    assert got == (sorted(leaks) if form == "contaminated" else [i for i in range(1200) if i not in leaks])

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -97,3 +98,27 @@ def test_plan_size_does_not_follow_the_counts():
     small = packing.plan({n: 3 for n in range(1, 1025)}, 1024)
     large = packing.plan({n: 3_000_000 for n in range(1, 1025)}, 1024)
     assert len(large) < 4 * 1024 and len(large) <= 2 * len(small) + 1024
+
+
+def test_little_text_is_in_hand_at_a_time(spark, monkeypatch):
+    """A batch of much text is encoded in parts, and every row of it."""
+    rng = random.Random(6)
+    texts = [" ".join(words(rng, 600)) for _ in range(1200)]
+    texts[7], texts[8] = None, ""
+    largest, encode, run = [], packing.encode_batch, []
+    monkeypatch.setattr(packing, "encode_batch", lambda enc, x: largest.append(sum(map(len, x.to_pylist()))) or encode(enc, x))
+    monkeypatch.setattr(packing, "TaskContext", type("Task", (), {"get": lambda: type("One", (), {"partitionId": lambda: 0})}))
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f) or self)
+    path = P.path("byte_bpe_50k.tiktoken")
+    packing.pieces(docs, path, P.PATTERN)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1200)), "text": texts})
+    assert sum(len(t or "") for t in texts) > 2 * packing.PART
+    got = {}
+    for b in run[0](iter([batch])):
+        for r in b.to_pylist():
+            got.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+    assert max(largest) <= packing.PART + max(len(t or "") for t in texts)
+    enc = packing.encoder(path, P.PATTERN)
+    for i in range(1200):
+        assert sum(n for _, n in got[i]) == len(enc.encode_ordinary(texts[i] or "")) + 1
