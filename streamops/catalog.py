@@ -181,9 +181,9 @@ QUERIES = {
         partition.custom_partition(_sensor(sp, d).select("arrival", "id"), "id", PARTS)),
     # rolling aggregates
     "wordcount": lambda sp, d: rolling.wordcount(_tokens(sp, d)),
-    "wordcount_running": lambda sp, d: rolling.running_count(
-        _tokens(sp, d), ["word"], ["doc_id", "line_no", "word_pos"], "doc_id",
-        chunk=density_chunk(read_table(sp, d, "documents"), "doc_id", target_rows=DOCS_PER_CHUNK)),
+    "wordcount_running": lambda sp, d: rolling.running_count_uneven(
+        _tokens(sp, d), "word", ["doc_id", "line_no", "word_pos"],
+        density_chunk(read_table(sp, d, "documents"), "doc_id", target_rows=DOCS_PER_CHUNK)),
     "rolling_sum": lambda sp, d: rolling.rolling_sum(_sensor(sp, d)),
     "rolling_max": lambda sp, d: rolling.rolling_max(_sensor(sp, d)),
     "rolling_max_by": lambda sp, d: rolling.rolling_max_by(_sensor(sp, d)),

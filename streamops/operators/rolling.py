@@ -7,10 +7,20 @@ into arrival chunks instead of landing in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamops.plans.scan import Agg, chunk_for, prefix_scan
+from streamops.plans.scan import Agg, chunk_for, chunked, prefix_scan
+
+#: Keys share so many slots where their rows are counted beforehand.
+SLOTS = 1 << 16
+#: A slot is heavy with more than this share of the rows, or with so many rows.
+HEAVY_SHARE = 1 / 256
+HEAVY_ROWS = 1_000_000
+#: With more heavy slots than this, every key is cut.
+HEAVY_SLOTS = 4096
+#: Chunk of the keys that are not cut.
+UNCUT = -(1 << 62)
 
 
 def wordcount(tokens: DataFrame, word_col: str = "word") -> DataFrame:
@@ -28,6 +38,36 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], chunk_col: s
     return prefix_scan(df, keys, order, chunk, [Agg(name, "count", F.lit(1))], reuse_input=reuse_input)
 
 
+def heavy_slots(df: DataFrame, slot: Column) -> list[int]:
+    """The slots with many rows, by a count of all rows of ``df``."""
+    sizes = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))        # at most SLOTS rows
+    least = F.least(F.sum("n").over(Window.partitionBy()) * HEAVY_SHARE, F.lit(HEAVY_ROWS))
+    return sorted(r["slot"] for r in sizes.withColumn("least", least).where("n > least").select("slot").collect())
+
+
+def running_count_uneven(df: DataFrame, key: str, order: list[str], chunk: Column) -> DataFrame:
+    """``running_count`` for many keys of which few have many rows (words).
+
+    Only the keys of heavy slots are cut into chunks, and only their chunks have
+    totals and a carry; the rows of any other key, ``HEAVY_ROWS`` at most, are
+    one chunk.  The slots decide where a row is counted, not what is counted: a
+    light key in a heavy slot is cut as well."""
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
+    heavy = heavy_slots(df, slot)
+    if len(heavy) <= HEAVY_SLOTS:
+        chunk = F.when(slot.isin(heavy), chunk).otherwise(F.lit(UNCUT))
+    ch = chunked(df, [key], order, chunk, [], df.columns, by_hash=True)
+    rows = ch.rows.select("*", F.row_number().over(ch.window).cast("bigint").alias("_w"))
+    # the uncut keys of a task share one row of its totals, whose names are null and meet none in the join
+    cut = F.col("_chunk") != UNCUT
+    alike = F.bit_xor(F.hash(*ch.rows.columns))
+    totals = ch.rows.groupBy(*[F.when(cut, F.col(c)).alias(c) for c in ch.pcols]).agg(
+        F.count(F.lit(1)).alias("_n"), alike.alias("_alike")).where(F.col("_alike").isNotNull()).drop("_alike")
+    carry = totals.select(*ch.names(), F.sum("_n").over(ch.earlier()).alias("_cn")).where(F.col("_cn").isNotNull())
+    j = ch.with_carry(rows, carry, "left")
+    return j.select(*ch.kept, (F.col("_w") + F.coalesce(F.col("_cn"), F.lit(0))).alias("cnt"))
+
+
 def _keyed(df, key, order, width, aggs, keep=()):
     return prefix_scan(df, [key], [order], chunk_for(df, order, width), aggs, keep=[order, key, *keep])
 

@@ -74,7 +74,8 @@ def _cols(xs) -> list[Column]:
 class Chunked:
     """Rows shuffled by (chunk, key), with the plan's helper columns.
 
-    pcols   the chunk and the key in null-safe form: ``_chunk, _k0, _n0, ...``
+    pcols   the chunk and the key in null-safe form: ``_chunk, _k0, _n0, ...``;
+            before them ``_h``, a hash of them, where sorts go by it first
     order   the order columns
     kept    the columns to keep, made of those of ``rows``
     window  by chunk and key, in order"""
@@ -97,25 +98,28 @@ class Chunked:
 
     def earlier(self):
         """Window over the totals of a key's earlier chunks."""
-        return (Window.partitionBy(*self.pcols[1:]) if len(self.pcols) > 1 else Window.partitionBy()).orderBy("_chunk") \
-            .rowsBetween(Window.unboundedPreceding, -1)
+        key = [c for c in self.pcols if c not in ("_h", "_chunk")]
+        return Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
 
-    def with_carry(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
+    def with_carry(self, rows: DataFrame, carry: DataFrame, how: str = "inner") -> DataFrame:
         """``rows`` beside their chunk's row of ``carry``, whose helper columns
         are ``_c`` and the name."""
         cond = None
         for c in self.pcols:
             e = rows[c] == carry[f"_c{c}"]
             cond = e if cond is None else cond & e
-        return rows.join(carry, cond)
+        return rows.join(carry, cond, how)
 
     def names(self) -> list[Column]:
         return [F.col(c).alias(f"_c{c}") for c in self.pcols]
 
 
 def chunked(df: DataFrame, partition_by: list[str], order_by: list[str], chunk: Column, extra: list[Column],
-            keep: list[str]) -> Chunked:
-    """The columns ``keep`` and ``extra`` of ``df``, shuffled by (chunk, key)."""
+            keep: list[str], by_hash: bool = False) -> Chunked:
+    """The columns ``keep`` and ``extra`` of ``df``, shuffled by (chunk, key).
+
+    ``by_hash`` sorts by a hash of them first: a sort compares the first column
+    without reading the rows, and one chunk has many keys where they are words."""
     # Plain, null-safe surrogate key columns: coalesce(k, default) plus an
     # is-null flag for nullable keys.  Plain atomic columns keep sort prefixes
     # and hash partitioning cheap, and an inner equi-join on them keeps NULL
@@ -140,7 +144,10 @@ def chunked(df: DataFrame, partition_by: list[str], order_by: list[str], chunk:
             out[k] = whole.alias(k)
     raw = [c for c in keep if c not in partition_by or c in order_by]
     cols += [F.col(o) for o in order_by if isinstance(o, str) and o not in keep]
-    return Chunked(df.select(*raw, *cols, *extra).repartition(*pcols), pcols, _cols(order_by), list(out.values()))
+    rows = df.select(*raw, *cols, *extra)
+    if by_hash:
+        rows, pcols = rows.withColumn("_h", F.hash(*pcols)), ["_h", *pcols]
+    return Chunked(rows.repartition(*pcols), pcols, _cols(order_by), list(out.values()))
 
 
 def prefix_scan(df: DataFrame, partition_by: list[str], order_by: list[str],

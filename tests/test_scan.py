@@ -169,3 +169,28 @@ spark.stop()
                     m = json.loads(line).get("Task Metrics") or {}
                     most = max(most, (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0))
     assert 0 < most < 24_000 / 3
+
+
+@pytest.mark.parametrize("many", [4096, 0])
+def test_running_word_count_carries_heavy_words_only(spark, tmp_path, monkeypatch, many):
+    """Words with few rows have no chunk totals, and all counts run on over chunks."""
+    from streamops.catalog import QUERIES
+    from streamops.operators import rolling
+    from streamops.plans import scan
+    texts = {i: f"the w{i} of x{i}\nthe  the y{i % 40}" if i % 50 else None for i in range(400)}
+    rows = [(i, t) for i, t in texts.items()] + [(None, "the of w1")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    carried, join = [], scan.Chunked.with_carry
+    monkeypatch.setattr(scan.Chunked, "with_carry", lambda self, r, c, *how: carried.append(c) or join(self, r, c, *how))
+    monkeypatch.setattr(rolling, "HEAVY_SLOTS", many)
+    got = [tuple(r) for r in QUERIES["wordcount_running"](spark, str(tmp_path)).collect()]
+    want, seen = [], {}
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        for n, line in enumerate((t or "").split("\n") if t is not None else [], 1):
+            for k, w in enumerate(line.split(" "), 1):
+                seen[w] = seen.get(w, 0) + 1
+                want.append((i, n, k, w, seen[w]))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    words = {r["_c_k0"] for r in carried[0].collect()}
+    assert {"the", "of", ""} <= words
+    assert len(words) < 100 or not many
