@@ -17,7 +17,8 @@ from streamops.session import scratch_path
 from streamops.sources.tables import read_table
 
 __all__ = ["as_text", "filesystem", "hash_words", "local_path", "mix", "read_table", "scratch_path", "settle",
-           "sieve", "some_texts", "split_words", "with_text"]
+           "sieve", "small_batches", "some_texts", "split_words",
+           "with_text"]
 
 # Odd multipliers for mixing 64-bit hashes (fixed values of this package).
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -33,6 +34,18 @@ def settle(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch sent to a Python worker.
+BATCH = 1 << 21
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to the Python workers in batches of about ``BATCH`` bytes.  Spark's
+    own bounds, 10,000 rows and 64 MB, let a task hold tens of megabytes of text
+    in the JVM and again in the worker.  The setting stays with the session, for
+    the rows move only when the result is used."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 #: Bits of a sieve: 4 MB, whatever the size of its table.
 SIEVE = 1 << 25
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamops.llm.common import settle, some_texts
+from streamops.llm.common import settle, small_batches, some_texts
 
 CAPACITY = 1024
 END_ID = 2
@@ -243,6 +243,7 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, pattern: str, capacity
 
     ``path`` is the rank file of the tokenizer, ``pattern`` its pre-tokenizer
     pattern.  ``with_ids`` keeps the token ids of each piece."""
+    small_batches(spark)
     cut = settle(spark, pieces(docs, path, pattern, capacity, end_id, with_ids), "pieces")
     per = cut.groupBy("part", "length").count()
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -263,5 +264,6 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, pattern: str, capacity
                 [*names, "sequence_id", "offset"])
 
     kind = {"piece": "int", "ids": "array<int>"}
-    return ranked.mapInArrow(run, ", ".join(f"{c} {kind.get(c, 'long')}" for c in names)
-                             + ", sequence_id long, offset long")
+    placed = ranked.mapInArrow(run, ", ".join(f"{c} {kind.get(c, 'long')}" for c in names)
+                               + ", sequence_id long, offset long")
+    return placed.coalesce(max(1, cut.rdd.getNumPartitions()))     # as many as the pieces were read in

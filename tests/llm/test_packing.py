@@ -11,6 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from streamops.llm import packing
+from streamops.llm.common import BATCH
 from tests.conftest import SF001
 from tests.llm.fixtures import documents, hostile, rows_of, words
 
@@ -122,3 +123,26 @@ def test_little_text_is_in_hand_at_a_time(spark, monkeypatch):
     enc = packing.encoder(path, P.PATTERN)
     for i in range(1200):
         assert sum(n for _, n in got[i]) == len(enc.encode_ordinary(texts[i] or "")) + 1
+
+
+def test_batches_and_output_stay_small(spark):
+    """Long texts reach the workers in batches of about BATCH bytes, and the
+    placed pieces are in as many partitions as the pieces are read in."""
+    docs = spark.range(3000, numPartitions=1).selectExpr("id AS doc_id", "repeat(concat(id, ' words '), 400) AS text")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        placed = pack(spark, docs.limit(40))
+        assert placed.rdd.getNumPartitions() < 16 and len({r["doc_id"] for r in placed.collect()}) == 40
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    got = docs.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r["n"] for r in got) == 3000 and max(r["bytes"] for r in got) < 2 * BATCH < sum(r["bytes"] for r in got)
