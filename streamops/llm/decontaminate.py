@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamops.llm.common import mix, some_texts, split_words
+from streamops.llm.common import mix, small_batches, some_texts, split_words
 
 MIN_MATCH = 5
 COVERAGE = 0.5
@@ -226,6 +226,7 @@ PAIRS = "doc_id long, item_id long, item_tokens int, matched int, n_tiles int, c
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
                  least: int = MIN_MATCH, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document and benchmark item that it contains."""
+    small_batches(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def search(index):
@@ -252,6 +253,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cov
 def remove(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
            least: int = MIN_MATCH, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents without the contaminated ones, all columns kept."""
+    small_batches(spark)
     at = docs.columns.index("text")
 
     def drop(index):

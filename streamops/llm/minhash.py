@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamops.llm.common import hash_words, mix, settle, sieve, some_texts, split_words
+from streamops.llm.common import hash_words, mix, settle, sieve, small_batches, some_texts, split_words
 from streamops.llm.components import components, salted_join
 
 SHINGLE = 5
@@ -381,6 +381,7 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
     node, null for a text in no class but its own.
 
     Columns node and label are MD5 sums of texts."""
+    small_batches(spark)
     common = common_shingles(spark, docs)
     sketches = sketch(spark, docs, common)
     member = settle(spark, buckets(sketches), "buckets")

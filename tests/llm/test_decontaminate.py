@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from streamops.llm import decontaminate as dec
+from streamops.llm.common import BATCH
 from tests.conftest import SF001
 from tests.llm.fixtures import documents, hostile, rows_of, words
 
@@ -161,3 +162,19 @@ def test_little_text_is_in_hand_at_a_time(spark, monkeypatch, form):
     assert max(largest) <= dec.PART + max(len(t or "") for t in texts)
     got = [i for b in out for i in b.column(0).to_pylist()]
     assert got == (sorted(leaks) if form == "contaminated" else [i for i in range(1200) if i not in leaks])
+
+
+@pytest.mark.parametrize("form", ["remove", "contaminated"])
+def test_batches_stay_small(spark, form):
+    """Long texts reach the workers in batches of about BATCH bytes."""
+    docs = spark.range(3000, numPartitions=1).selectExpr("id AS doc_id", "repeat(concat(id, ' words '), 400) AS text")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    out = getattr(dec, form)(spark, docs, bench(spark, ["one two three four five six"]))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    got = docs.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r["n"] for r in got) == 3000 and max(r["bytes"] for r in got) < 2 * BATCH < sum(r["bytes"] for r in got)
+    assert out.count() == (3000 if form == "remove" else 0)
