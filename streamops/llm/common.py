@@ -5,7 +5,6 @@ from __future__ import annotations
 from urllib.parse import unquote, urlparse
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
@@ -46,29 +45,29 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
 
 
-#: Bits of a sieve: 4 MB, whatever the size of its table.
+#: Bits of a sieve, 4 MB whatever the size of its table, and of one piece of it:
+#: as many as Spark's bitmaps hold.
 SIEVE = 1 << 25
+PIECE = 1 << 15
 
 
 def sieve(spark: SparkSession, rows: DataFrame, few: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """``rows`` in two: those whose keys are surely not in ``few``, and the
     others, which a join has to tell apart.  A bitmap of the keys' hashes; the
-    more keys, the more rows it doubts, and the result of the join is the same."""
+    more keys, the more rows it doubts, and the result of the join is the same.
+    The bitmap's pieces are a table of their own, broadcast to the rows."""
     at = F.xxhash64(*keys).bitwiseAND(F.lit(SIEVE - 1))
-    bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
-    words = few.select(at.alias("at")).select(F.shiftright("at", 6).alias("w"), bit.alias("b")).groupBy("w").agg(
-        F.bit_or("b").alias("b")).toArrow()                     # at most SIEVE / 64 rows
-    marks = np.zeros(SIEVE // 64, np.uint64)
-    marks[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
-    shared = spark.sparkContext.broadcast(marks)
-
-    @F.pandas_udf("boolean")
-    def marked(x: pd.Series) -> pd.Series:
-        i = x.to_numpy().astype(np.uint64)
-        return pd.Series((shared.value[i >> np.uint64(6)] >> (i & np.uint64(63))) & np.uint64(1) == 1)
-
-    seen = rows.withColumn("_marked", marked(at))
-    return seen.where(~F.col("_marked")).drop("_marked"), seen.where("_marked").drop("_marked")
+    piece, bit = F.expr(f"_at div {PIECE}"), F.expr(f"_at % {PIECE}")
+    hashed = few.select(at.alias("_at")).select(piece.alias("_piece"), bit.alias("_bit"))
+    # dealt by piece first, so that no task but a piece's own holds any of it; at most SIEVE / PIECE rows
+    marks = settle(spark, hashed.repartition("_piece").groupBy("_piece").agg(
+        F.bitmap_construct_agg("_bit").alias("_bits")), "sieve")
+    octet = f"conv(hex(substring(_bits, int(_at % {PIECE} div 8) + 1, 1)), 16, 10)"
+    marked = F.coalesce(F.expr(f"getbit(int({octet}), int(_at % 8)) = 1"), F.lit(False))
+    seen = rows.withColumn("_at", at).withColumn("_of", piece).join(
+        F.broadcast(marks), F.col("_of") == F.col("_piece"), "left").withColumn("_marked", marked)
+    mine = ("_at", "_of", "_piece", "_bits", "_marked")
+    return seen.where(~F.col("_marked")).drop(*mine), seen.where("_marked").drop(*mine)
 
 
 def with_text(docs: DataFrame, row: Column, text: Column, changed: Column) -> list[Column]:

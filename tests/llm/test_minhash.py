@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -196,6 +197,20 @@ def test_sieve_passes_only_rows_without_the_keys(spark):
     assert sieve(spark, rows, few.limit(0), ["k", "s"])[1].count() == 0
 
 
+def test_sieve_runs_no_python_and_marks_every_key(spark):
+    rows = spark.range(300_000).selectExpr("id as k", "if(id % 7 = 0, null, cast(id % 7 as string)) as s")
+    few = rows.where("k % 50 = 0").select("k", "s")
+    sure, some = sieve(spark, rows, few, ["k", "s"])
+    assert sure.columns == some.columns == rows.columns
+    doubted = {r["k"] for r in some.collect()}
+    # 6000 keys lie in every piece and octet of the bitmap; about 54 other rows share a bit with one of them
+    assert doubted >= set(range(0, 300_000, 50)) and len(doubted) < 6200
+    assert sorted([r["k"] for r in sure.collect()] + list(doubted)) == list(range(300_000))
+    for df in (sure, some):
+        assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop",
+                             df._jdf.queryExecution().executedPlan().toString())
+
+
 def test_copies_of_one_source_too_far_apart_make_no_pairs(spark):
     """0.85 of each text is its source's, 0.74 alike: all share a bucket, and no pair is left to compare."""
     rng = np.random.default_rng(9)

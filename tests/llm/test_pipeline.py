@@ -1,6 +1,8 @@
 """The pipeline against its stages' brute-force versions, one after another."""
 
 import importlib.util
+import random
+import re
 import subprocess
 import sys
 from collections import Counter
@@ -10,7 +12,7 @@ from streamops.llm import quality
 from streamops.llm.common import settle
 from tests.conftest import ROOT, SF001
 from tests.llm import test_decontaminate, test_minhash, test_packing, test_pii, test_quality
-from tests.llm.fixtures import documents, hostile, rows_of
+from tests.llm.fixtures import documents, hostile, rows_of, words
 from tests.llm.test_packing import tokenizer  # noqa: F401
 
 ORDER = ["quality_rules", "near_dedup", "decontamination", "personal_data", "bestfit_packing"]
@@ -79,6 +81,18 @@ def test_hostile_rows_pass_through(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF001).count() >= len(ids)
 
 
+def test_quality_rules_and_personal_data_run_no_python(spark):
+    rng = random.Random(21)
+    texts = ["Accept these terms of ours now please and read on carefully\n" + " ".join(words(rng, 40)) + f" mail a{i}@b.com"
+             for i in range(60)] + ["too short"] * 3
+    docs = documents(spark, texts)
+    for name, hit in (("quality_rules", "Accept"), ("personal_data", "@")):
+        out = dict(corpus_pipeline.STAGES)[name](spark, docs, SF001)
+        kept = [r["text"] for r in out.collect()]
+        assert len(kept) >= 60 and not any(hit in t for t in kept)
+        assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
+
+
 def test_empty_table(spark):
     docs = documents(spark, ["x"]).limit(0)
     for _, stage in corpus_pipeline.STAGES:
